@@ -8,27 +8,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _PID = "_range_pid"
+# monotonically_increasing_id() puts the partition id in the upper 31 bits
+# and the row's position inside the partition in the lower 33 bits.
+_ROW_BITS = 33
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], out_col: str,
                       num_partitions: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order_cols)`` as BIGINT, computed in parallel.
 
-    Rows are range-partitioned on the order, numbered inside each range, and
-    shifted by the row count of all earlier ranges.  The offset table has one
-    row per range partition, so broadcasting it is bounded by the partition
-    count, not the data.  ``order_cols`` must form a total order.
+    Rows are range-partitioned and sorted on the order; each row's position in
+    its range comes from ``monotonically_increasing_id`` and is shifted by the
+    row count of all earlier ranges.  The offset table has one row per range
+    partition, so broadcasting it is bounded by the partition count, not the
+    data.  ``order_cols`` must form a total order (ties would be numbered in
+    an arbitrary order).
     """
     cols = list(order_cols)
     ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
               else df.repartitionByRange(*cols))
-    tagged = ranged.withColumn(_PID, F.spark_partition_id())
-    local = tagged.withColumn("_local_rn", F.row_number().over(
-        Window.partitionBy(_PID).orderBy(*cols)))
-    offsets = (tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(
-                   Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .drop("_n"))
+    local = (ranged.sortWithinPartitions(*cols)
+                   .withColumn("_mid", F.monotonically_increasing_id())
+                   .withColumn(_PID, F.shiftright("_mid", _ROW_BITS).cast("int"))
+                   .withColumn("_local_rn", F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1) + 1)
+                   .drop("_mid"))
+    offsets = (ranged.groupBy(F.spark_partition_id().alias(_PID))
+                     .agg(F.count(F.lit(1)).alias("_n"))
+                     .withColumn("_offset", F.coalesce(F.sum("_n").over(
+                         Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                     .drop("_n"))
     return (local.join(F.broadcast(offsets), _PID)
                  .withColumn(out_col, (F.col("_offset") + F.col("_local_rn")).cast("bigint"))
                  .drop(_PID, "_local_rn", "_offset"))

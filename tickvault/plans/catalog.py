@@ -159,3 +159,7 @@ def q_dim_ticker(spark, d):
 @register("fact_prices", O.sql("SELECT * FROM fact", "fact"))
 def q_fact_prices(spark, d):
     return fact_rows(spark, d)
+
+
+# Register the remaining query groups.
+from tickvault.plans import catalog_raw  # noqa: E402,F401

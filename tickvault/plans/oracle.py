@@ -17,23 +17,38 @@ RULE_CASE = """CASE
   WHEN high < low OR high < open OR high < close THEN 'ohlc_inconsistency'
 END"""
 
+def chain(src: str = "quotes", p: str = "", processed_at: str = f"'{RUN_TS_ISO}'") -> dict[str, str]:
+    """The clean-layer CTE chain over the raw rows in ``src``, names prefixed by ``p``."""
+    return {
+        f"{p}flagged": f"SELECT *, {RULE_CASE} AS failure_reason FROM {src}",
+        f"{p}clean": f"SELECT * EXCLUDE (failure_reason) FROM {p}flagged WHERE failure_reason IS NULL",
+        f"{p}dedup": f"""SELECT * EXCLUDE (rn) FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, date ORDER BY ingested_at DESC, src_id) AS rn
+            FROM {p}clean) WHERE rn = 1""",
+        f"{p}enriched": f"""SELECT d.*, COALESCE(m.company_name, '') AS company_name,
+            COALESCE(m.sector, '') AS sector, COALESCE(m.exchange, '') AS exchange
+            FROM {p}dedup d LEFT JOIN meta m ON d.ticker = m.ticker""",
+        f"{p}silver": f"""SELECT * EXCLUDE (prev_close),
+            ROUND((close - prev_close) / prev_close, 6) AS daily_return,
+            ROUND(high - low, 4) AS price_range,
+            {processed_at} AS processed_at, 'silver' AS layer
+            FROM (SELECT *, LAG(close) OVER (PARTITION BY ticker ORDER BY date, src_id) AS prev_close
+                  FROM {p}enriched)""",
+    }
+
+
+def fact_sql(silver: str, created_at: str = RUN_TS) -> str:
+    return f"""SELECT dd.date_key, dt.ticker_key, s.open AS open_price, s.high AS high_price,
+        s.low AS low_price, s.close AS close_price, s.adj_close AS adj_close_price, s.volume,
+        s.daily_return, s.price_range, TIMESTAMP '{created_at}' AS created_at
+        FROM {silver} s JOIN dim_date dd ON dd.full_date = s.date
+        JOIN dim_ticker dt ON dt.ticker_symbol = s.ticker"""
+
+
 CTES: dict[str, str] = {
     "quotes": QUOTES_SQL,
     "meta": META_SQL,
-    "flagged": f"SELECT *, {RULE_CASE} AS failure_reason FROM quotes",
-    "clean": "SELECT * EXCLUDE (failure_reason) FROM flagged WHERE failure_reason IS NULL",
-    "dedup": """SELECT * EXCLUDE (rn) FROM (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, date ORDER BY ingested_at DESC, src_id) AS rn
-        FROM clean) WHERE rn = 1""",
-    "enriched": """SELECT d.*, COALESCE(m.company_name, '') AS company_name,
-        COALESCE(m.sector, '') AS sector, COALESCE(m.exchange, '') AS exchange
-        FROM dedup d LEFT JOIN meta m ON d.ticker = m.ticker""",
-    "silver": f"""SELECT * EXCLUDE (prev_close),
-        ROUND((close - prev_close) / prev_close, 6) AS daily_return,
-        ROUND(high - low, 4) AS price_range,
-        '{RUN_TS_ISO}' AS processed_at, 'silver' AS layer
-        FROM (SELECT *, LAG(close) OVER (PARTITION BY ticker ORDER BY date, src_id) AS prev_close
-              FROM enriched)""",
+    **chain(),
     "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
         CAST(year(d) AS SMALLINT) AS year, CAST(quarter(d) AS SMALLINT) AS quarter,
         CAST(month(d) AS SMALLINT) AS month, rpad(monthname(d), 9, ' ') AS month_name,
@@ -48,11 +63,7 @@ CTES: dict[str, str] = {
         ticker AS ticker_symbol, company_name, sector, CAST(NULL AS VARCHAR) AS industry, exchange,
         'USD' AS currency, TIMESTAMP '{RUN_TS}' AS created_at, TIMESTAMP '{RUN_TS}' AS updated_at
         FROM (SELECT DISTINCT ticker, company_name, sector, exchange FROM silver WHERE ticker IS NOT NULL)""",
-    "fact": f"""SELECT dd.date_key, dt.ticker_key, s.open AS open_price, s.high AS high_price,
-        s.low AS low_price, s.close AS close_price, s.adj_close AS adj_close_price, s.volume,
-        s.daily_return, s.price_range, TIMESTAMP '{RUN_TS}' AS created_at
-        FROM silver s JOIN dim_date dd ON dd.full_date = s.date
-        JOIN dim_ticker dt ON dt.ticker_symbol = s.ticker""",
+    "fact": fact_sql("silver"),
 }
 
 # Which CTEs each CTE needs (so a query includes only what it reads).
@@ -79,7 +90,9 @@ def _closure(names: list[str]) -> list[str]:
 
 
 def sql(body: str, *uses: str, extra: dict[str, str] | None = None) -> str:
-    """``WITH`` the needed CTEs (plus ``extra`` ones, in order) then ``body``."""
+    """``WITH`` the needed CTEs (plus ``extra`` ones, in order) then ``body``.
+
+    ``extra`` CTEs may read the shared ones listed in ``uses``."""
     parts = [f"{n} AS ({CTES[n]})" for n in _closure(list(uses))]
     parts += [f"{n} AS ({q})" for n, q in (extra or {}).items()]
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body

@@ -99,3 +99,20 @@ def wide_frame(rows: DataFrame, tickers: list[str], index: str = "Date") -> Data
         aggs.append(F.struct(*[F.max(F.when(is_t, F.col(c))).alias(f)
                                for f, c in src.items()]).alias(t))
     return rows.groupBy(F.col("date").alias(index)).agg(*aggs)
+
+
+def quotes_schema():
+    """Schema of ``quotes`` as landed files (raw columns plus ``src_id``)."""
+    from pyspark.sql import types as T
+    return T.StructType([
+        T.StructField("date", T.DateType()), T.StructField("open", T.DoubleType()),
+        T.StructField("high", T.DoubleType()), T.StructField("low", T.DoubleType()),
+        T.StructField("close", T.DoubleType()), T.StructField("adj_close", T.DoubleType()),
+        T.StructField("volume", T.LongType()), T.StructField("ticker", T.StringType()),
+        T.StructField("ingested_at", T.StringType()), T.StructField("source", T.StringType()),
+        T.StructField("src_id", T.LongType()),
+    ])
+
+
+QUOTE_COLUMNS = ["date", "open", "high", "low", "close", "adj_close", "volume", "ticker",
+                 "ingested_at", "source", "src_id"]
