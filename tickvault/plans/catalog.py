@@ -50,9 +50,15 @@ def deduped(spark: SparkSession, d: str) -> DataFrame:
     return quality.dedup_latest(clean(spark, d))
 
 
+def silver_from(raw: DataFrame, spark: SparkSession, d: str,
+                processed_at: str = RUN_TS_ISO) -> DataFrame:
+    """Raw rows -> clean -> dedup -> reference lookup -> daily return, range, lineage."""
+    enriched = lookup_metadata(quality.dedup_latest(quality.clean_rows(raw)), fixtures.meta(spark, d))
+    return enrich.enrich_silver(enriched, processed_at, tiebreak=["src_id"])
+
+
 def silver(spark: SparkSession, d: str) -> DataFrame:
-    enriched = lookup_metadata(deduped(spark, d), fixtures.meta(spark, d))
-    return enrich.enrich_silver(enriched, RUN_TS_ISO, tiebreak=["src_id"])
+    return silver_from(quotes(spark, d), spark, d)
 
 
 def dim_ticker(spark: SparkSession, d: str) -> DataFrame:
@@ -163,3 +169,4 @@ def q_fact_prices(spark, d):
 
 # Register the remaining query groups.
 from tickvault.plans import catalog_raw  # noqa: E402,F401
+from tickvault.plans import catalog_gold, catalog_io  # noqa: E402,F401
