@@ -1,0 +1,62 @@
+import datetime as dt
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tickvault.operators import dims
+from tickvault.operators.keys import global_row_number
+
+
+def test_global_row_number_matches_window(spark):
+    df = spark.range(0, 5000).select(F.format_string("k%05d", (F.col("id") * 7919) % 5000).alias("k"))
+    ours = global_row_number(df, ["k"], "rn", num_partitions=6)
+    plain = df.select("k", F.row_number().over(Window.orderBy("k")).cast("bigint").alias("rn"))
+    assert ours.exceptAll(plain).count() == 0 and ours.count() == 5000
+
+
+def test_dim_date_default_range(spark):
+    d = dims.dim_date(spark)
+    assert d.count() == 5844
+    row = d.where(F.col("full_date") == dt.date(2024, 2, 29)).first()
+    assert row["date_key"] == 20240229 and row["quarter"] == 1 and row["month"] == 2
+    assert row["month_name"] == "February " and row["day_name"] == "Thursday "
+    assert row["day_of_week"] == 4 and not row["is_weekend"] and row["is_month_end"]
+    assert not row["is_quarter_end"]
+    q = d.where(F.col("full_date") == dt.date(2024, 3, 31)).first()
+    assert q["is_quarter_end"] and q["is_weekend"] and q["day_of_week"] == 0
+    assert d.where(F.col("full_date") == dt.date(2021, 1, 3)).first()["week_of_year"] == 53
+    assert d.agg(F.min("full_date"), F.max("full_date")).first() == (dt.date(2015, 1, 1),
+                                                                     dt.date(2030, 12, 31))
+
+
+def _silver(spark, rows):
+    return spark.createDataFrame(rows, "ticker string, company_name string, sector string, "
+                                       "exchange string, ingested_at string")
+
+
+def test_dim_ticker_distinct_and_keys(spark):
+    s = _silver(spark, [("MSFT", "M", "Tech", "NASDAQ", "1"), ("AAPL", "A", "Tech", "NASDAQ", "1"),
+                        ("AAPL", "A", "Tech", "NASDAQ", "2"), (None, "X", "", "", "1")])
+    out = {r["ticker_symbol"]: r for r in dims.dim_ticker(s).collect()}
+    assert set(out) == {"AAPL", "MSFT"}
+    assert out["AAPL"]["ticker_key"] == 1 and out["MSFT"]["ticker_key"] == 2
+    assert out["AAPL"]["currency"] == "USD" and out["AAPL"]["industry"] is None
+
+
+def test_dim_ticker_changed_attributes_give_two_rows(spark):
+    s = _silver(spark, [("AAPL", "Apple", "Tech", "NASDAQ", "1"),
+                        ("AAPL", "Apple Inc.", "Tech", "NASDAQ", "2")])
+    assert dims.dim_ticker(s).count() == 2
+    t1 = dims.dim_ticker_type1(s).collect()
+    assert len(t1) == 1 and t1[0]["company_name"] == "Apple Inc."
+
+
+def test_type1_keys_are_stable(spark, tmp_dir):
+    first = dims.dim_ticker_type1(_silver(spark, [("MSFT", "M", "T", "N", "1")]))
+    first.write.parquet(f"{tmp_dir}/d")
+    existing = spark.read.parquet(f"{tmp_dir}/d")
+    s = _silver(spark, [("MSFT", "M2", "T", "N", "2"), ("AAPL", "A", "T", "N", "2"),
+                        ("ZZZ", "Z", "T", "N", "2")])
+    out = {r["ticker_symbol"]: r for r in dims.dim_ticker_type1(s, existing).collect()}
+    assert out["MSFT"]["ticker_key"] == 1 and out["MSFT"]["company_name"] == "M2"
+    assert out["AAPL"]["ticker_key"] == 2 and out["ZZZ"]["ticker_key"] == 3

@@ -84,9 +84,9 @@ def dedup_latest(df: DataFrame, keys: Sequence[str] = ("ticker", "date"),
         order.append(F.col(newest))
     if tiebreak:
         order.append(-F.col(tiebreak))
-    if not order:
-        order = [row]
-    pick = F.max_by(row, F.struct(*order)) if order[0] is not row else F.min(row)
+    # The whole row breaks any remaining tie, so the pick never depends on
+    # the order rows arrive in (a retried task picks the same row).
+    pick = F.max_by(row, F.struct(*order, row))
     return df.groupBy(*keys).agg(pick.alias("_keep")).select("_keep.*")
 
 

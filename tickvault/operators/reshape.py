@@ -16,7 +16,8 @@ def wide_to_long(wide: DataFrame, index: str = "Date", tickers: Sequence[str] |
                  ticker: str | None = None) -> DataFrame:
     """One row per (index, ticker) from a frame with one struct column per ticker
     (the (ticker, field) column MultiIndex).  A flat frame (fields as plain
-    columns) is one ticker's data and needs ``ticker`` (P1).
+    columns) is one ticker's data and needs ``ticker`` (P1).  Requested tickers
+    missing from the frame yield no rows (they are reported as failed).
 
     Done with ``inline(array(struct ...))`` in a single projection: no shuffle.
     """
@@ -25,7 +26,8 @@ def wide_to_long(wide: DataFrame, index: str = "Date", tickers: Sequence[str] |
         if ticker is None:
             raise ValueError("a flat single-ticker frame needs the ticker name")
         return wide.withColumn("ticker", F.lit(ticker))
-    names = list(tickers) if tickers is not None else [f.name for f in structs]
+    available = [f.name for f in structs]
+    names = [t for t in tickers if t in available] if tickers is not None else available
     fields = [f.name for f in structs[0].dataType.fields]
     entries = [F.struct(*[F.col(f"`{t}`")[f].alias(f) for f in fields],
                         F.lit(t).alias("ticker")) for t in names]

@@ -101,11 +101,13 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
             cond = [batch[k].eqNullSafe(stored[k]) for k in keys]
             batch = batch.join(stored, cond, "left_anti")
     obs = Observation("append_idempotent")
-    out = batch.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     # Range-partition on the folder columns plus the keys: a hot folder is
-    # spread over several tasks, each writing one file into it.
-    (out.repartitionByRange(*parts, *[k for k in keys if k not in parts])
-        .write.mode("append").partitionBy(*parts).parquet(root))
+    # spread over several tasks, each writing one file into it.  The count is
+    # observed after the exchange: below it, the range sampling job would
+    # count the rows a second time.
+    ranged = batch.repartitionByRange(*parts, *[k for k in keys if k not in parts])
+    (ranged.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+           .write.mode("append").partitionBy(*parts).parquet(root))
     return obs
 
 
