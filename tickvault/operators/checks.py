@@ -55,35 +55,80 @@ class DataTest:
         return f"{self.kind}_{self.table}_{self.column}"
 
 
+def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+    """not_null and relationships tests of one table in a single scan.
+
+    Each parent's distinct keys are left-joined with a marker column (a key
+    set, broadcast after a size check), so an orphan is a non-NULL child key
+    with no marker; no child row is duplicated."""
+    from tickvault.operators.lookup import broadcast_if_bounded
+
+    counts = []
+    for i, t in enumerate(tests):
+        if t.kind == "not_null":
+            counts.append(F.count_if(F.col(t.column).isNull()).alias(f"_f{i}"))
+        else:
+            keys = (tables[t.to_table].select(F.col(t.to_column).alias(f"_pk{i}")).distinct()
+                    .withColumn(f"_hit{i}", F.lit(True)))
+            keys = broadcast_if_bounded(keys)
+            df = df.join(keys, df[t.column] == keys[f"_pk{i}"], "left")
+            counts.append(F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit{i}").isNull())
+                          .alias(f"_f{i}"))
+    pairs = ", ".join(f"{i}, `_f{i}`" for i in range(len(tests)))
+    return df.agg(*counts).selectExpr(f"stack({len(tests)}, {pairs}) AS (_i, failures)")
+
+
+def _unique_tests(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """All unique tests of one table in one aggregation over grouping sets."""
+    cols = [t.column for t in tests]
+    if len(cols) == 1:
+        per_value = (df.where(F.col(cols[0]).isNotNull()).groupBy(cols[0])
+                       .agg(F.count(F.lit(1)).alias("_n"), F.lit(0).alias("_i")))
+    else:
+        sets = [[c] for c in cols]
+        gid = F.grouping_id(*cols)
+        per_value = (df.groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("_n"),
+                                                      gid.alias("_gid")))
+        # grouping_id has bit (k-1-i) set when column i is not grouped.
+        which = F.lit(None).cast("int")
+        for i in range(len(cols)):
+            mask = ((1 << len(cols)) - 1) ^ (1 << (len(cols) - 1 - i))
+            which = F.when(F.col("_gid") == mask, F.lit(i)).otherwise(which)
+        per_value = per_value.withColumn("_i", which)
+        nonnull = F.lit(False)
+        for i, c in enumerate(cols):
+            nonnull = nonnull | ((F.col("_i") == i) & F.col(c).isNotNull())
+        per_value = per_value.where(nonnull)
+    found = per_value.where(F.col("_n") > 1).groupBy("_i").agg(F.count(F.lit(1)).alias("failures"))
+    ids = df.sparkSession.range(len(cols)).select(F.col("id").cast("int").alias("_i"))
+    # ``ids`` holds one row per test (a handful); every test gets a row.
+    return (F.broadcast(ids).join(found, "_i", "left")
+             .select("_i", F.coalesce("failures", F.lit(0)).alias("failures")))
+
+
 def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """One row per test: test_name, kind, table_name, column_name, failures, status.
 
-    All not_null tests of a table share one aggregation pass; the result is a
-    union of small aggregates evaluated as one job.
+    Per table: one scan for its not_null and relationships tests and one
+    grouping-sets aggregation for its unique tests; the per-table results are
+    unioned into one job.
     """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[DataTest]] = {}
-    for t in tests:
-        if t.kind == "not_null":
-            by_table.setdefault(t.table, []).append(t)
-    for table, ts in by_table.items():
-        counts = not_null_counts(tables[table], [t.column for t in ts])
-        parts.append(counts.select(
-            F.concat(F.lit(f"not_null_{table}_"), "column_name").alias("test_name"),
-            F.lit("not_null").alias("kind"), F.lit(table).alias("table_name"),
-            "column_name", F.col("failures").cast("bigint").alias("failures")))
+    by_table: dict[str, dict[str, list[DataTest]]] = {}
     for t in tests:
-        if t.kind == "unique":
-            failing = unique_failures(tables[t.table], [t.column])
-        elif t.kind == "relationships":
-            failing = relationship_failures(tables[t.table], t.column,
-                                            tables[t.to_table], t.to_column)
-        else:
-            continue
-        parts.append(failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(t.name).alias("test_name"), F.lit(t.kind).alias("kind"),
-            F.lit(t.table).alias("table_name"), F.lit(t.column).alias("column_name"),
-            F.col("failures").cast("bigint").alias("failures")))
+        group = "unique" if t.kind == "unique" else "row"
+        by_table.setdefault(t.table, {}).setdefault(group, []).append(t)
+    for table, groups in by_table.items():
+        for group, ts in groups.items():
+            res = (_unique_tests(tables[table], ts) if group == "unique"
+                   else _row_tests(tables[table], ts, tables))
+            labels = F.create_map(*[x for i, t in enumerate(ts)
+                                    for x in (F.lit(i), F.array(F.lit(t.name), F.lit(t.kind),
+                                                                F.lit(t.column)))])
+            lab = labels[F.col("_i")]
+            parts.append(res.select(lab[0].alias("test_name"), lab[1].alias("kind"),
+                                    F.lit(table).alias("table_name"), lab[2].alias("column_name"),
+                                    F.col("failures").cast("bigint").alias("failures")))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 

@@ -154,11 +154,19 @@ def _suite_sql() -> str:
 
 
 def gold_tables(spark, d):
+    """Build the clean table and the star schema once, as stored tables: the
+    tests then read files instead of re-deriving them in every branch."""
+    root = work_path(spark, "gold")
     s = silver(spark, d)
-    dtk = dims.dim_ticker(s, run_ts())
-    dd = dims.dim_date(spark)
+    s.write.parquet(f"{root}/silver")
+    s = spark.read.parquet(f"{root}/silver")
+    dims.dim_date(spark).write.parquet(f"{root}/dim_date")
+    dd = spark.read.parquet(f"{root}/dim_date")
+    dims.dim_ticker(s, run_ts()).write.parquet(f"{root}/dim_ticker")
+    dtk = spark.read.parquet(f"{root}/dim_ticker")
+    fact.fact_prices(s, dd, dtk, run_ts()).write.parquet(f"{root}/fact")
     return {"dim_date": dd, "dim_ticker": dtk, "silver_stock_prices": s,
-            "fact_stock_prices": fact.fact_prices(s, dd, dtk, run_ts())}
+            "fact_stock_prices": spark.read.parquet(f"{root}/fact")}
 
 
 @register("test_suite", O.sql(_suite_sql(), "fact"))
