@@ -16,6 +16,7 @@ from tickvault.operators import dims, enrich, fact, quality
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.plans import oracle as O
 from tickvault.plans.constants import RUN_TS, RUN_TS_ISO
+from tickvault.session import work_path
 from tickvault.sources import fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -61,13 +62,28 @@ def silver(spark: SparkSession, d: str) -> DataFrame:
     return silver_from(quotes(spark, d), spark, d)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back: later
+    steps read the stored rows instead of recomputing (and the lineage is cut)."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def stored_gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Clean table and dimensions stored once, as the pipeline keeps them."""
+    s = store(silver(spark, d), "silver")
+    return {"silver": s, "dim_date": store(dims.dim_date(spark), "dim_date"),
+            "dim_ticker": store(dims.dim_ticker(s, run_ts()), "dim_ticker")}
+
+
 def dim_ticker(spark: SparkSession, d: str) -> DataFrame:
     return dims.dim_ticker(silver(spark, d), run_ts())
 
 
 def fact_rows(spark: SparkSession, d: str) -> DataFrame:
-    s = silver(spark, d)
-    return fact.fact_prices(s, dims.dim_date(spark), dims.dim_ticker(s, run_ts()), run_ts())
+    g = stored_gold(spark, d)
+    return fact.fact_prices(g["silver"], g["dim_date"], g["dim_ticker"], run_ts())
 
 
 # ---- quality ------------------------------------------------------------------

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from tickvault.operators import checks, dims, fact, incremental, quality, tally
 from tickvault.plans import oracle as O
-from tickvault.plans.catalog import (dim_ticker, fact_rows, quotes, register, run_ts, silver,
-                                     silver_from)
+from tickvault.plans.catalog import (quotes, register, run_ts, silver, silver_from, store,
+                                     stored_gold)
 from tickvault.plans.catalog_raw import raw_rows, requested, _RAW_EXTRA, _TICKER_VALUES
 from tickvault.plans.constants import RUN_DATE, RUN_ID, RUN_TS
 from tickvault.session import work_path
@@ -49,7 +49,7 @@ def ts(value: str):
 def q_dim_ticker_type1(spark, d):
     """Existing dimension from the non-NASDAQ tickers, then a reload with all:
     known tickers keep their keys, new ones are numbered after them."""
-    s = silver(spark, d)
+    s = store(silver(spark, d), "silver")
     path = work_path(spark, "dim_ticker")
     first = dims.dim_ticker_type1(s.where(F.col("exchange") != "NASDAQ"), None, ts(EARLIER_TS))
     first.write.parquet(path)
@@ -71,12 +71,12 @@ _S2_FIRST = "SELECT * FROM s2 WHERE processed_at = '2024-01-02T06:00:00'"
 def q_incremental_filter(spark, d):
     """Clean rows stamped by two runs; the fact was loaded after the first, so
     only rows of the second pass the high-water filter."""
-    s = silver(spark, d)
-    s2 = s.withColumn("processed_at", F.when(F.col("src_id") % 2 == 0, "2024-01-02T06:00:00")
-                      .otherwise(NEXT_RUN_ISO))
+    g = stored_gold(spark, d)
+    s2 = g["silver"].withColumn("processed_at", F.when(F.col("src_id") % 2 == 0, "2024-01-02T06:00:00")
+                                .otherwise(NEXT_RUN_ISO))
     path = work_path(spark, "fact")
     first = fact.fact_prices(s2.where(F.col("processed_at") == "2024-01-02T06:00:00"),
-                             dims.dim_date(spark), dims.dim_ticker(s, run_ts()), ts(FIRST_LOAD_TS))
+                             g["dim_date"], g["dim_ticker"], ts(FIRST_LOAD_TS))
     first.write.parquet(path)
     return incremental.incremental_source(s2, spark.read.parquet(path))
 
@@ -95,14 +95,15 @@ _UPD = {"upd_quotes": "SELECT * REPLACE (close + 1 AS close) FROM quotes WHERE s
 def q_fact_upsert(spark, d):
     """Full load, then an upsert of a re-run over the even rows with changed
     closes: their keys are replaced whole, all other rows stay."""
-    s = silver(spark, d)
-    dd, dtk = dims.dim_date(spark), dims.dim_ticker(s, run_ts())
+    g = stored_gold(spark, d)
+    s, dd, dtk = g["silver"], g["dim_date"], g["dim_ticker"]
     path = work_path(spark, "fact")
     staging = work_path(spark, "staging")
     tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts()), path, fact.FACT_KEYS, staging)
     q = quotes(spark, d)
     upd_raw = q.where(F.col("src_id") % 2 == 0).withColumn("close", F.col("close") + 1)
-    upd = fact.fact_prices(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), dd, dtk, ts(NEXT_RUN_TS))
+    upd_silver = store(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), "silver")
+    upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS))
     tables.upsert_table(upd, path, fact.FACT_KEYS, staging)
     return tables.read_table(spark, path)
 
@@ -154,19 +155,12 @@ def _suite_sql() -> str:
 
 
 def gold_tables(spark, d):
-    """Build the clean table and the star schema once, as stored tables: the
-    tests then read files instead of re-deriving them in every branch."""
-    root = work_path(spark, "gold")
-    s = silver(spark, d)
-    s.write.parquet(f"{root}/silver")
-    s = spark.read.parquet(f"{root}/silver")
-    dims.dim_date(spark).write.parquet(f"{root}/dim_date")
-    dd = spark.read.parquet(f"{root}/dim_date")
-    dims.dim_ticker(s, run_ts()).write.parquet(f"{root}/dim_ticker")
-    dtk = spark.read.parquet(f"{root}/dim_ticker")
-    fact.fact_prices(s, dd, dtk, run_ts()).write.parquet(f"{root}/fact")
-    return {"dim_date": dd, "dim_ticker": dtk, "silver_stock_prices": s,
-            "fact_stock_prices": spark.read.parquet(f"{root}/fact")}
+    """The clean table and the star schema as stored tables: the tests read
+    files instead of re-deriving them in every branch."""
+    g = stored_gold(spark, d)
+    f = store(fact.fact_prices(g["silver"], g["dim_date"], g["dim_ticker"], run_ts()), "fact")
+    return {"dim_date": g["dim_date"], "dim_ticker": g["dim_ticker"],
+            "silver_stock_prices": g["silver"], "fact_stock_prices": f}
 
 
 @register("test_suite", O.sql(_suite_sql(), "fact"))
@@ -221,5 +215,3 @@ def q_audit_log(spark, d):
     files.append_rows(spark.createDataFrame([row], AUDIT_SCHEMA), path)
     return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
-
-del fact_rows, dim_ticker

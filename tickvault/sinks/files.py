@@ -114,12 +114,19 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
 # ---- clean layer ----------------------------------------------------------------------
 
 def overwrite_partitions(df: DataFrame, root: str, partition_cols: Sequence[str] = ("ticker",),
-                         dynamic: bool = True) -> None:
+                         dynamic: bool = True, max_records_per_file: int | None = None) -> None:
     """Partitioned overwrite (K4).  Dynamic mode replaces only the partitions
-    present in ``df``; ``dynamic=False`` rebuilds the whole table."""
-    (df.repartition(*partition_cols).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-       .partitionBy(*partition_cols).parquet(root))
+    present in ``df``; ``dynamic=False`` rebuilds the whole table.
+
+    No repartition before the write: the clean table arrives partitioned by
+    (ticker, month) from the return window, so a hot ticker is already spread
+    over many tasks, each adding one file to its folder; a hash repartition by
+    ticker would add a full shuffle and send a hot ticker to a single task."""
+    writer = (df.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    writer.partitionBy(*partition_cols).parquet(root)
 
 
 def write_quarantine(rejected: DataFrame, root: str, run_label: str) -> int:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickvault.operators.incremental import upsert
 from tickvault.schemas import assert_same_schema
-from tickvault.sinks.files import path_exists
+from tickvault.sinks.files import delete_path, path_exists, swap_in
 
 
 def month_of_date_key(date_key: str = "date_key") -> Column:
@@ -24,17 +24,19 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], staging_root
     """Upsert ``source`` into the table at ``path`` by ``keys``.
 
     First run: plain create.  Later runs: fail on a schema change (K10), then
-    rewrite only the partitions the source touches: the kept target rows of
-    those partitions plus all source rows are staged in the shared folder and
-    moved in with a dynamic partition overwrite, so the table is never read
-    and overwritten by the same plan.  The touched partition values are a
-    calendar-bounded list (one per month).
+    rebuild only the partitions the source touches - the kept target rows of
+    those partitions plus all source rows - into a staging folder of the shared
+    file system, and swap each rebuilt partition folder in.  The table is never
+    read and overwritten by the same plan, and the rows are written once.  The
+    touched partition values are a calendar-bounded list (one per month).
+    Re-running after a failure is safe: delete+insert by key is idempotent.
     """
     spark = source.sparkSession
     expr = partition_expr if partition_expr is not None else month_of_date_key()
     src = source.withColumn(partition_col, expr)
+    order = [partition_col, *keys]
     if not path_exists(spark, path):
-        src.repartition(partition_col).write.partitionBy(partition_col).parquet(path)
+        src.repartition(*order).write.partitionBy(partition_col).parquet(path)
         return
     target = spark.read.parquet(path)
     assert_same_schema(source.schema, target.drop(partition_col).schema)
@@ -44,10 +46,12 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], staging_root
     current = target.where(F.col(partition_col).isin(touched))
     merged = upsert(current, src.select(*current.columns), [*keys])
     staging = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
-    merged.repartition(partition_col).write.partitionBy(partition_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_col).parquet(path))
+    # Hash on (month, keys): the keys are unique, so a hot month is spread
+    # evenly over tasks; AQE coalesces the partitions to the data size.
+    merged.repartition(*order).write.partitionBy(partition_col).parquet(staging)
+    for value in touched:
+        swap_in(spark, f"{staging}/{partition_col}={value}", f"{path}/{partition_col}={value}")
+    delete_path(spark, staging)
 
 
 def read_table(spark, path: str, partition_col: str = "month_key") -> DataFrame:
