@@ -88,17 +88,17 @@ def wide_frame(rows: DataFrame, tickers: list[str], index: str = "Date") -> Data
     """Download-shaped wide frame: one row per date, one struct per ticker
     holding the six source fields (the (ticker, field) column MultiIndex).
 
-    Built with a single ``pivot`` aggregation over ``rows`` (one row per
-    (ticker, date)); tickers without rows get an all-NULL struct.
+    ``rows`` must be unique per (ticker, date).  Each date's rows become one
+    ticker -> fields map, so a date's group holds at most one entry per ticker
+    (bounded by the ticker universe, not by the row count); tickers without
+    rows get NULL.
     """
     src = {"Open": "open", "High": "high", "Low": "low", "Close": "close",
            "Adj Close": "adj_close", "Volume": "volume"}
-    aggs = []
-    for t in tickers:
-        is_t = F.col("ticker") == t
-        aggs.append(F.struct(*[F.max(F.when(is_t, F.col(c))).alias(f)
-                               for f, c in src.items()]).alias(t))
-    return rows.groupBy(F.col("date").alias(index)).agg(*aggs)
+    fields = F.struct(*[F.col(c).alias(f) for f, c in src.items()])
+    per_date = (rows.groupBy(F.col("date").alias(index))
+                    .agg(F.map_from_entries(F.collect_list(F.struct("ticker", fields))).alias("_m")))
+    return per_date.select(index, *[F.col("_m")[t].alias(t) for t in tickers])
 
 
 def quotes_schema():
