@@ -11,11 +11,11 @@ import datetime as dt
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.functions.naming import run_stamp
-from tickvault.operators import checks, dims, enrich, fact, incremental, quality, reshape, tally
+from tickvault.operators import checks, dims, enrich, fact, incremental, quality, reshape
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.schemas import AUDIT_SCHEMA, RAW_SCHEMA, enforce_schema
 from tickvault.session import ensure_checkpoint_dir
@@ -66,11 +66,14 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
     rows = reshape.to_raw_rows(download, run.iso, source, tickers=tickers)
     rows = lookup_metadata(rows, meta if meta is not None else ticker_metadata(spark))
     rows = enforce_schema(rows, RAW_SCHEMA, keep_extra=False)
+    # Tickers that produced rows, observed during the write (a set bounded by
+    # the requested list), instead of recomputing the batch afterwards.
+    seen = Observation("ingested_tickers")
+    rows = rows.observe(seen, F.collect_set("ticker").alias("tickers"))
     obs = files.append_idempotent(rows, paths.raw, run.raw_layout)
     run.metrics["raw_rows_written"] = obs.get["rows_written"]
-    requested = spark.createDataFrame([(t,) for t in tickers], "ticker string")
-    # The failed list is at most the requested list.
-    failed = [r[0] for r in tally.failed_tickers(requested, rows).collect()]
+    ingested = set(seen.get["tickers"] or [])
+    failed = [t for t in tickers if t not in ingested]
     run.metrics["failed_tickers"] = failed
     return failed
 
