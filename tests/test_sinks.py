@@ -166,3 +166,14 @@ def test_schema_change_fails(spark, tmp_dir):
     with pytest.raises(SchemaChangeError):
         tables.upsert_table(first.withColumn("extra", F.lit(1)), path,
                             ["date_key", "ticker_key"], staging)
+
+
+def test_scan_day_and_views(spark, tmp_dir):
+    df = spark.createDataFrame([raw_row(dt.date(2024, 1, d)) for d in (1, 2, 3)], RAW)
+    assert [r["date"] for r in landing.scan_day(df, "2024-01-02").collect()] == [dt.date(2024, 1, 2)]
+    assert landing.next_day("2024-02-28") == "2024-02-29"
+    df.write.parquet(f"{tmp_dir}/t")
+    landing.register_views(spark, {"prices_view": f"{tmp_dir}/t"})
+    assert spark.sql("SELECT COUNT(*) FROM prices_view").first()[0] == 3
+    assert landing.sample_row(df) is not None
+    assert landing.sample_row(df.limit(0)) is None

@@ -18,3 +18,10 @@ def ingest_tally(requested: DataFrame, ingested: DataFrame, key: str = "ticker")
 def failed_tickers(requested: DataFrame, ingested: DataFrame, key: str = "ticker") -> DataFrame:
     """Requested tickers that produced no rows (requested minus ingested)."""
     return requested.select(key).distinct().join(ingested.select(key), key, "left_anti")
+
+
+def rows_per_day(df: DataFrame, key: str = "ticker", date_col: str = "date") -> DataFrame:
+    """Rows of a batch per (ticker, trading day): the per-day groups a daily
+    layout writes as one folder each (A6, A7)."""
+    return (df.groupBy(key, F.to_date(F.col(date_col)).alias(date_col))
+              .agg(F.count(F.lit(1)).alias("rows")))

@@ -89,6 +89,12 @@ def q_tally(spark, d):
     return tally.ingest_tally(requested(spark), raw_rows(spark, d))
 
 
+@register("rows_per_day", O.sql(
+    "SELECT ticker, date, COUNT(*) AS rows FROM quotes GROUP BY ticker, date", "quotes"))
+def q_rows_per_day(spark, d):
+    return tally.rows_per_day(quotes(spark, d))
+
+
 @register("metadata_lookup", O.sql(
     """SELECT q.*, COALESCE(m.company_name, '') AS company_name, COALESCE(m.sector, '') AS sector,
        COALESCE(m.exchange, '') AS exchange FROM quotes q LEFT JOIN meta m ON q.ticker = m.ticker""",

@@ -122,6 +122,14 @@ def build_gold(spark: SparkSession, paths: Paths, run: Run) -> None:
     tables.upsert_table(rows, paths.fact, fact.FACT_KEYS, staging)
 
 
+def register_views(spark: SparkSession, paths: Paths) -> None:
+    """Temporary views over the stored layers, for SQL queries."""
+    views = {"silver_stock_prices": paths.silver, "dim_date": paths.dim_date,
+             "dim_ticker": paths.dim_ticker, "fact_stock_prices": paths.fact,
+             "pipeline_audit_log": paths.audit}
+    landing.register_views(spark, {k: v for k, v in views.items() if files.path_exists(spark, v)})
+
+
 def run_data_tests(spark: SparkSession, paths: Paths) -> DataFrame:
     gold = {"dim_date": spark.read.parquet(paths.dim_date),
             "dim_ticker": spark.read.parquet(paths.dim_ticker),

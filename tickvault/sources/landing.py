@@ -65,6 +65,17 @@ def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
     return out
 
 
+def next_day(ds: str) -> str:
+    """The day after an ISO date string."""
+    return (dt.date.fromisoformat(ds) + dt.timedelta(days=1)).isoformat()
+
+
+def scan_day(df: DataFrame, ds: str, tickers: Sequence[str] | DataFrame | None = None,
+             date_col: str = "date") -> DataFrame:
+    """One scheduled day: the half-open window [ds, ds + 1 day)."""
+    return scan_range(df, ds, next_day(ds), tickers, date_col)
+
+
 def read_files_with_path_key(spark: SparkSession, root: str, key: str = "ticker",
                              glob: str = "*.parquet") -> DataFrame:
     """Every matching file under ``root`` as one table (S4, U1), with ``key``
@@ -85,5 +96,17 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
-__all__ = ["LAYOUTS", "NoInputError", "read_raw", "read_partition", "scan_range",
-           "read_files_with_path_key", "require_rows"]
+def sample_row(df: DataFrame):
+    """One row for a log line, or None (O2); reads at most one row."""
+    rows = df.limit(1).collect()
+    return rows[0] if rows else None
+
+
+def register_views(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> None:
+    """Named tables for SQL users: one temporary view per stored table."""
+    for name, path in tables.items():
+        spark.read.format(fmt).load(path).createOrReplaceTempView(name)
+
+
+__all__ = ["LAYOUTS", "NoInputError", "read_raw", "read_partition", "scan_range", "scan_day",
+           "next_day", "read_files_with_path_key", "require_rows", "sample_row", "register_views"]
