@@ -67,6 +67,5 @@ def failure_reason(columns: Sequence[str], rules: Sequence[Rule] = DEFAULT_RULES
 
 
 def any_rule_fails(columns: Sequence[str], rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
-    """TRUE when some rule fires.  Built only from comparisons and IS NULL, so
-    a Parquet scan receives it as pushed filters and skips row groups."""
+    """TRUE when some rule fires (NULL when none fires but one is unknown)."""
     return reduce(lambda a, b: a | b, [build(columns) for _, build in rules])

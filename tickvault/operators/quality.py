@@ -27,8 +27,10 @@ def rejected_rows(df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES,
                   reason_col: str = REASON) -> DataFrame:
     """Rows some rule fires on, with the first failing rule as reason.
 
-    The filter is an OR of comparisons / IS NULL tests, which the Parquet scan
-    receives as pushed filters, so row groups without faults are skipped.
+    Selected with the OR of the rule predicates before the reason is built,
+    so the CASE expression is evaluated only for rejected rows.  (The OHLC
+    rule compares columns with each other, which a Parquet scan cannot
+    evaluate, so this filter stays in Spark.)
     """
     return (df.where(any_rule_fails(df.columns, rules))
               .withColumn(reason_col, failure_reason(df.columns, rules)))

@@ -59,26 +59,31 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
-def _coerce(c: Column, dtype: T.DataType) -> Column:
-    """Cast without failing on bad text; NaN becomes NULL for doubles."""
-    out = c.try_cast(dtype)
-    if isinstance(dtype, T.DoubleType):
+def _coerce(c: Column, current: T.DataType | None, dtype: T.DataType, nan_to_null: bool) -> Column:
+    """Cast without failing on bad text; NaN becomes NULL for doubles.
+
+    A column already of the target type is left as is (no expression), so
+    filters on it still reach the Parquet scan."""
+    out = c if current == dtype else c.try_cast(dtype)
+    if nan_to_null and isinstance(dtype, T.DoubleType):
         out = F.nanvl(out, F.lit(None).cast("double"))
     return out
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType = RAW_SCHEMA,
-                   keep_extra: bool = True) -> DataFrame:
+                   keep_extra: bool = True, nan_to_null: bool = True) -> DataFrame:
     """Cast every declared column to its type; absent columns become typed NULLs.
 
     A timestamp ``date`` becomes a DATE, a DOUBLE ``volume`` a BIGINT, and NaN a
     NULL, so the quality rules see one shape whatever the writer inferred.
+    ``nan_to_null=False`` is for data already normalised on write: predicates
+    on untouched columns are then pushed to the scan.
     """
-    present = set(df.columns)
+    present = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
         if f.name in present:
-            cols.append(_coerce(F.col(f.name), f.dataType).alias(f.name))
+            cols.append(_coerce(F.col(f.name), present[f.name], f.dataType, nan_to_null).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     if keep_extra:

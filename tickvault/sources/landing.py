@@ -20,14 +20,15 @@ class NoInputError(RuntimeError):
 
 
 def read_raw(spark: SparkSession, root: str, layout: str = "monthly",
-             schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+             schema: T.StructType = RAW_SCHEMA, nan_to_null: bool = True) -> DataFrame:
     """Partitioned raw dataset with a declared schema: partition columns get
-    fixed types and file columns are cast / NaN-cleaned (S2, C2)."""
+    fixed types and file columns are cast / NaN-cleaned (S2, C2).  Pass
+    ``nan_to_null=False`` for data normalised on write, to keep pushdown."""
     try:
         df = spark.read.schema(raw_read_schema(schema, layout)).parquet(root)
     except AnalysisException as exc:
         raise NoInputError(f"no input under {root}") from exc
-    return enforce_schema(df, schema)
+    return enforce_schema(df, schema, nan_to_null=nan_to_null)
 
 
 def read_partition(spark: SparkSession, root: str, partition_filter: str,
@@ -49,15 +50,26 @@ def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
     pruned.  A ticker list becomes ``IN``; a DataFrame of tickers a semi join
     (broadcast, so a partitioned ticker column gets dynamic pruning)."""
     out = df
+    has_year, has_month = "year" in df.columns, "month" in df.columns
+
+    def folder(d: dt.date):
+        # Partition-column bound: (year, month) when both exist, else year.
+        if has_month:
+            return F.col("year") * 100 + F.col("month"), d.year * 100 + d.month
+        return F.col("year"), d.year
+
     if start is not None:
-        out = out.where(F.col(date_col) >= F.lit(dt.date.fromisoformat(start)))
-        if "year" in df.columns:
-            out = out.where(F.col("year") >= dt.date.fromisoformat(start).year)
+        lo = dt.date.fromisoformat(start)
+        out = out.where(F.col(date_col) >= F.lit(lo))
+        if has_year:
+            c, v = folder(lo)
+            out = out.where(c >= v)
     if end is not None:
         hi = dt.date.fromisoformat(end)
         out = out.where(F.col(date_col) < F.lit(hi))
-        if "year" in df.columns:
-            out = out.where(F.col("year") <= (hi - dt.timedelta(days=1)).year)
+        if has_year:
+            c, v = folder(hi - dt.timedelta(days=1))
+            out = out.where(c <= v)
     if isinstance(tickers, DataFrame):
         out = out.join(F.broadcast(tickers.select("ticker").distinct()), "ticker", "left_semi")
     elif tickers is not None:

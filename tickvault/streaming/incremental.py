@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from typing import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +60,10 @@ def silver_batch(root: str, enrich_fn: Callable[[DataFrame], DataFrame],
         spark = batch.sparkSession
         clean, rejected = quality.split(batch)
         rejected.write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
-        rows = quality.dedup_latest(clean)
+        # A micro-batch is bounded by maxFilesPerTrigger; its de-duplicated rows
+        # feed the seeds, the window and the next state, so they are kept for
+        # the epoch (memory and disk; recomputed from the files if lost).
+        rows = quality.dedup_latest(clean).persist(StorageLevel.MEMORY_AND_DISK)
         prev_state = _state_path(root, batch_id - 1)
         seeded = rows.withColumn("_seed", F.lit(False))
         state = None
@@ -80,6 +84,7 @@ def silver_batch(root: str, enrich_fn: Callable[[DataFrame], DataFrame],
                                        F.struct(*[F.col(c) for c in order])).alias("_s"))
                          .select(key, *[F.col(f"_s.{c}").alias(c) for c in STATE_COLUMNS[1:]]))
         new_state.write.mode("overwrite").parquet(_state_path(root, batch_id))
+        rows.unpersist()
 
     return run
 
