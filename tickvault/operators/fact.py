@@ -18,12 +18,13 @@ def fact_prices(silver: DataFrame, dim_date: DataFrame, dim_ticker: DataFrame,
                 created_at: Column | None = None) -> DataFrame:
     """Inner joins on full_date = date and ticker_symbol = ticker.
 
-    ``dim_date`` is a calendar (bounded by its date range) and is broadcast;
-    ``dim_ticker`` is broadcast only after a row-count check.  Rows outside the
-    calendar or without a ticker row are dropped, as an inner join does.
+    Both dimensions are broadcast only after a row-count check (a calendar
+    has one row per day of its range, the ticker dimension one per ticker).
+    Rows outside the calendar or without a ticker row are dropped, as an
+    inner join does.
     """
     ts = created_at if created_at is not None else F.current_timestamp()
-    dd = F.broadcast(dim_date.select("date_key", "full_date"))
+    dd = broadcast_if_bounded(dim_date.select("date_key", "full_date"))
     dt = broadcast_if_bounded(dim_ticker.select("ticker_key", "ticker_symbol"))
     s = silver.select("date", "ticker", *[src for src, _ in RENAMES])
     joined = (s.join(dd, s["date"] == dd["full_date"], "inner")

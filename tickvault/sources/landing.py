@@ -47,8 +47,9 @@ def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
 
     The date bounds are literals (pushed to the Parquet scan); when a ``year``
     partition column exists its bounds are added too, so whole years are
-    pruned.  A ticker list becomes ``IN``; a DataFrame of tickers a semi join
-    (broadcast, so a partitioned ticker column gets dynamic pruning)."""
+    pruned.  A ticker list becomes ``IN``; a DataFrame of tickers a semi join,
+    broadcast after a size check (so a partitioned ticker column gets dynamic
+    partition pruning)."""
     out = df
     has_year, has_month = "year" in df.columns, "month" in df.columns
 
@@ -71,7 +72,8 @@ def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
             c, v = folder(hi - dt.timedelta(days=1))
             out = out.where(c <= v)
     if isinstance(tickers, DataFrame):
-        out = out.join(F.broadcast(tickers.select("ticker").distinct()), "ticker", "left_semi")
+        from tickvault.operators.lookup import broadcast_if_bounded
+        out = out.join(broadcast_if_bounded(tickers.select("ticker").distinct()), "ticker", "left_semi")
     elif tickers is not None:
         out = out.where(F.col("ticker").isin(list(tickers)))
     return out
