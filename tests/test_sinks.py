@@ -177,3 +177,13 @@ def test_scan_day_and_views(spark, tmp_dir):
     assert spark.sql("SELECT COUNT(*) FROM prices_view").first()[0] == 3
     assert landing.sample_row(df) is not None
     assert landing.sample_row(df.limit(0)) is None
+
+
+def test_raw_batch_defaults(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    today = dt.date.today()
+    rows = [raw_row(dt.date(2019, 12, 31), ticker="AAPL"), raw_row(dt.date(2020, 1, 2), ticker="AAPL"),
+            raw_row(dt.date(2020, 1, 2), ticker="ZZZZ"), raw_row(today, ticker="MSFT")]
+    files.append_idempotent(spark.createDataFrame(rows, RAW), root)
+    got = [(r["ticker"], r["date"]) for r in landing.raw_batch(spark, root).collect()]
+    assert got == [("AAPL", dt.date(2020, 1, 2))]

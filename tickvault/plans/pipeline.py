@@ -93,6 +93,9 @@ def build_silver(spark: SparkSession, paths: Paths, run: Run,
     silver = enrich.enrich_silver(clean, run.iso)
     files.overwrite_partitions(silver, paths.silver, ["ticker"], dynamic=not full_rebuild)
     run.metrics.update(obs.get)
+    # clean + rejected = total (A1): every input row lands in exactly one set.
+    run.metrics["balanced"] = (run.metrics["clean_rows"] + run.metrics["rejected_rows"]
+                               == run.metrics["total_rows"])
     rejected = quality.rejected_rows(raw)
     run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
 

@@ -79,6 +79,23 @@ def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
     return out
 
 
+# Fixed value: default start of the history window.
+DEFAULT_START = "2020-01-01"
+
+
+def raw_batch(spark: SparkSession, root: str, tickers: Sequence[str] | None = None,
+              start: str = DEFAULT_START, end: str | None = None,
+              layout: str = "monthly") -> DataFrame:
+    """Raw OHLCV rows for a ticker list and a half-open window [start, end).
+
+    Defaults: the ten default tickers, from 2020-01-01 up to, but excluding,
+    today."""
+    from tickvault.sources.reference import DEFAULT_TICKERS
+    end = end or dt.date.today().isoformat()
+    return scan_range(read_raw(spark, root, layout), start, end,
+                      list(tickers) if tickers is not None else DEFAULT_TICKERS)
+
+
 def next_day(ds: str) -> str:
     """The day after an ISO date string."""
     return (dt.date.fromisoformat(ds) + dt.timedelta(days=1)).isoformat()
@@ -122,5 +139,5 @@ def register_views(spark: SparkSession, tables: dict[str, str], fmt: str = "parq
         spark.read.format(fmt).load(path).createOrReplaceTempView(name)
 
 
-__all__ = ["LAYOUTS", "NoInputError", "read_raw", "read_partition", "scan_range", "scan_day",
+__all__ = ["LAYOUTS", "NoInputError", "read_raw", "raw_batch", "read_partition", "scan_range", "scan_day",
            "next_day", "read_files_with_path_key", "require_rows", "sample_row", "register_views"]
