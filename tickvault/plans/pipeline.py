@@ -146,9 +146,18 @@ def write_audit(spark: SparkSession, paths: Paths, run: Run, status: str) -> Non
     files.append_rows(spark.createDataFrame([row], AUDIT_SCHEMA), paths.audit)
 
 
+class PipelineFailed(RuntimeError):
+    pass
+
+
 def run_pipeline(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
-                 tickers: Sequence[str] | None = None, meta: DataFrame | None = None) -> dict:
-    """The whole chain; the audit row records the true outcome even on failure."""
+                 tickers: Sequence[str] | None = None, meta: DataFrame | None = None,
+                 strict: bool = False) -> dict:
+    """The whole chain; the audit row records the true outcome even on failure.
+
+    ``strict=True`` raises ``PipelineFailed`` (after the audit row is written)
+    when the run is not a full success: a requested ticker produced no rows or
+    a data test failed."""
     status = "failed"
     try:
         failed = ingest_raw(spark, download, paths, run, tickers, meta)
@@ -161,8 +170,12 @@ def run_pipeline(spark: SparkSession, download: DataFrame, paths: Paths, run: Ru
     finally:
         write_audit(spark, paths, run, status)
     run.metrics["status"] = status
+    if strict and status != "success":
+        raise PipelineFailed(f"run {run.run_id} ended {status}: failed tickers "
+                             f"{run.metrics.get('failed_tickers')}, failing tests "
+                             f"{run.metrics.get('failing_tests')}")
     return run.metrics
 
 
-__all__ = ["Paths", "Run", "ingest_raw", "build_silver", "build_gold", "run_data_tests",
+__all__ = ["Paths", "Run", "PipelineFailed", "ingest_raw", "build_silver", "build_gold", "run_data_tests",
            "write_audit", "run_pipeline", "run_stamp"]
