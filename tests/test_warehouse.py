@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tickvault.operators import checks, quality
-from tickvault.plans import pipeline as P
+from tickvault.plans import warehouse as P
 from tickvault.sinks import tables
 from tickvault.sources import fixtures
 
