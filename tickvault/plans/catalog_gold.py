@@ -14,6 +14,7 @@ from tickvault.plans.catalog import (quotes, register, run_ts, silver, silver_fr
                                      stored_gold)
 from tickvault.plans.catalog_raw import raw_rows, requested, _RAW_EXTRA, _TICKER_VALUES
 from tickvault.plans.constants import RUN_DATE, RUN_ID, RUN_TS
+from tickvault.schemas import SchemaChangeError
 from tickvault.session import work_path
 from tickvault.sinks import files, tables
 from tickvault.sources import fixtures
@@ -108,6 +109,32 @@ def q_fact_upsert(spark, d):
     return tables.read_table(spark, path)
 
 
+@register("schema_guard", O.sql(
+    """SELECT * FROM fact t WHERE NOT EXISTS (
+         SELECT 1 FROM s_new s WHERE s.date_key = t.date_key AND s.ticker_key = t.ticker_key)
+       UNION ALL SELECT * FROM s_new""", "fact", extra=_UPD))
+def q_schema_guard(spark, d):
+    """The re-run batch first arrives with ``volume`` as DOUBLE: the upsert is
+    refused and the table is left as it was; the conforming batch then goes in."""
+    g = stored_gold(spark, d)
+    s, dd, dtk = g["silver"], g["dim_date"], g["dim_ticker"]
+    path, staging = work_path(spark, "fact"), work_path(spark, "staging")
+    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts()), path, fact.FACT_KEYS, staging)
+    q = quotes(spark, d)
+    upd_raw = q.where(F.col("src_id") % 2 == 0).withColumn("close", F.col("close") + 1)
+    upd_silver = store(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), "silver")
+    upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS))
+    try:
+        tables.upsert_table(upd.withColumn("volume", F.col("volume").cast("double")),
+                            path, fact.FACT_KEYS, staging)
+    except SchemaChangeError:
+        pass
+    else:
+        raise AssertionError("a changed column type was not refused")
+    tables.upsert_table(upd, path, fact.FACT_KEYS, staging)
+    return tables.read_table(spark, path)
+
+
 # ---- data tests ----------------------------------------------------------------------------
 
 @register("test_not_null", O.sql(

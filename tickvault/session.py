@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,11 +54,3 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder for tables we stage."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([root, "tickvault", *parts, uuid.uuid4().hex])
-
-
-def run_path(spark: SparkSession) -> str:
-    return work_path(spark, "runs")
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("TICKVAULT_SF_DIR", default)
