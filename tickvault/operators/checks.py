@@ -55,7 +55,8 @@ class DataTest:
         return f"{self.kind}_{self.table}_{self.column}"
 
 
-def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataFrame],
+               known_rows: dict[str, int]) -> DataFrame:
     """not_null and relationships tests of one table in a single scan.
 
     Each parent's distinct keys are left-joined with a marker column (a key
@@ -70,7 +71,7 @@ def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataF
         else:
             keys = (tables[t.to_table].select(F.col(t.to_column).alias(f"_pk{i}")).distinct()
                     .withColumn(f"_hit{i}", F.lit(True)))
-            keys = broadcast_if_bounded(keys)
+            keys = broadcast_if_bounded(keys, known_rows=known_rows.get(t.to_table))
             df = df.join(keys, df[t.column] == keys[f"_pk{i}"], "left")
             counts.append(F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit{i}").isNull())
                           .alias(f"_f{i}"))
@@ -106,9 +107,13 @@ def _unique_tests(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
              .select("_i", F.coalesce("failures", F.lit(0)).alias("failures")))
 
 
-def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
+def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest],
+              known_rows: dict[str, int] | None = None) -> DataFrame:
     """One row per test: test_name, kind, table_name, column_name, failures, status.
 
+    ``known_rows`` (table -> row count) lets parent key sets be broadcast
+    without a size check.
+
     Per table: one scan for its not_null and relationships tests and one
     grouping-sets aggregation for its unique tests; the per-table results are
     unioned into one job.
@@ -121,7 +126,7 @@ def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFr
     for table, groups in by_table.items():
         for group, ts in groups.items():
             res = (_unique_tests(tables[table], ts) if group == "unique"
-                   else _row_tests(tables[table], ts, tables))
+                   else _row_tests(tables[table], ts, tables, known_rows or {}))
             labels = F.create_map(*[x for i, t in enumerate(ts)
                                     for x in (F.lit(i), F.array(F.lit(t.name), F.lit(t.kind),
                                                                 F.lit(t.column)))])

@@ -26,6 +26,12 @@ def dim_date(spark: SparkSession, start: str = DIM_DATE_START, end: str = DIM_DA
     return calendar(date_series(spark, start, end), padded_names=padded_names)
 
 
+def dim_date_rows(start: str = DIM_DATE_START, end: str = DIM_DATE_END) -> int:
+    """Row count of ``dim_date(start, end)``: one per day."""
+    import datetime as dt
+    return (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days + 1
+
+
 def dim_date_spanning(df: DataFrame, date_col: str = "date", padded_names: bool = True) -> DataFrame:
     """The date dimension over the span [min(date), max(date)] of a table."""
     bounds = df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))

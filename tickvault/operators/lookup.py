@@ -16,10 +16,14 @@ def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                         known_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a row-count check; otherwise the planner
-    (AQE, with its own runtime size threshold) picks the join."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+    (AQE, with its own runtime size threshold) picks the join.  A caller that
+    already knows the row count (observed when the table was written, or a
+    calendar's day count) passes ``known_rows`` and saves the check."""
+    small = known_rows <= max_rows if known_rows is not None else is_bounded(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def lookup_metadata(df: DataFrame, meta: DataFrame, key: str = "ticker",

@@ -105,26 +105,38 @@ def read_silver(spark: SparkSession, paths: Paths) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, paths: Paths, run: Run) -> None:
-    """dim_date (full refresh), dim_ticker (type 1, stable keys), fact (incremental upsert)."""
+    """dim_date (full refresh), dim_ticker (type 1, stable keys), fact (incremental upsert).
+
+    Dimension sizes are known without extra jobs (the calendar's day count,
+    the ticker dimension's count observed while it is written), so the star
+    join decides its broadcasts without counting."""
     staging = ensure_checkpoint_dir(spark).rstrip("/") + "/tickvault/staging"
     ts = F.lit(run.run_ts)
     if not files.path_exists(spark, paths.dim_date):
         dims.dim_date(spark).write.parquet(paths.dim_date)
+    run.metrics["dim_date_rows"] = dims.dim_date_rows()
     silver = read_silver(spark, paths)
     existing = (spark.read.parquet(paths.dim_ticker)
                 if files.path_exists(spark, paths.dim_ticker) else None)
-    new_dim = dims.dim_ticker_type1(silver, existing, ts)
+    dim_obs = Observation("dim_ticker")
+    new_dim = dims.dim_ticker_type1(silver, existing, ts).observe(dim_obs, F.count(F.lit(1)).alias("n"))
     tmp = f"{staging}/dim_ticker-{run.label}"
     new_dim.write.mode("overwrite").parquet(tmp)
+    run.metrics["dim_ticker_rows"] = dim_obs.get["n"]
     files.swap_in(spark, tmp, paths.dim_ticker)
     target = (tables.read_table(spark, paths.fact)
               if files.path_exists(spark, paths.fact) else None)
     changed = incremental.incremental_source(silver, target)
     rows = fact.fact_prices(changed, spark.read.parquet(paths.dim_date),
-                            spark.read.parquet(paths.dim_ticker), ts)
+                            spark.read.parquet(paths.dim_ticker), ts, _dim_rows(run))
     tables.upsert_table(rows, paths.fact, fact.FACT_KEYS, staging)
 
 
+def _dim_rows(run: Run) -> dict[str, int]:
+    m = run.metrics
+    return {k: m[f"{k}_rows"] for k in ("dim_date", "dim_ticker") if f"{k}_rows" in m}
+
+
 def register_views(spark: SparkSession, paths: Paths) -> None:
     """Temporary views over the stored layers, for SQL queries."""
     views = {"silver_stock_prices": paths.silver, "dim_date": paths.dim_date,
@@ -133,12 +145,12 @@ def register_views(spark: SparkSession, paths: Paths) -> None:
     landing.register_views(spark, {k: v for k, v in views.items() if files.path_exists(spark, v)})
 
 
-def run_data_tests(spark: SparkSession, paths: Paths) -> DataFrame:
+def run_data_tests(spark: SparkSession, paths: Paths, run: Run | None = None) -> DataFrame:
     gold = {"dim_date": spark.read.parquet(paths.dim_date),
             "dim_ticker": spark.read.parquet(paths.dim_ticker),
             "fact_stock_prices": tables.read_table(spark, paths.fact),
             "silver_stock_prices": read_silver(spark, paths)}
-    return checks.run_suite(gold, checks.GOLD_TESTS)
+    return checks.run_suite(gold, checks.GOLD_TESTS, _dim_rows(run) if run else None)
 
 
 def write_audit(spark: SparkSession, paths: Paths, run: Run, status: str) -> None:
@@ -163,7 +175,7 @@ def run_pipeline(spark: SparkSession, download: DataFrame, paths: Paths, run: Ru
         failed = ingest_raw(spark, download, paths, run, tickers, meta)
         build_silver(spark, paths, run)
         build_gold(spark, paths, run)
-        results = run_data_tests(spark, paths).collect()  # one row per declared test
+        results = run_data_tests(spark, paths, run).collect()  # one row per declared test
         failing = [r["test_name"] for r in results if r["status"] == "fail"]
         run.metrics["failing_tests"] = failing
         status = "failed" if failing else ("partial" if failed else "success")
