@@ -56,3 +56,12 @@ def test_rule_reason_only_for_rejected_rows(spark):
     p = plan(quality.rejected_rows(fixtures.quotes(spark, SF)))
     # One filter, then the CASE for the reason: no shuffle, no join.
     assert "Filter" in p and "CASE WHEN" in p and "Exchange" not in p and "Join" not in p
+
+
+def test_ticker_table_restriction_prunes_partitions_at_runtime(spark, tmp_dir):
+    root = f"{tmp_dir}/silver"
+    q = quality.clean_rows(fixtures.quotes(spark, SF))
+    files.overwrite_partitions(q, root, ["ticker"])
+    wanted = fixtures.meta(spark, SF).where(F.col("exchange") == "NYSE")
+    p = plan(landing.scan_range(spark.read.parquet(root), tickers=wanted))
+    assert "dynamicpruningexpression(ticker" in p

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.operators import dims, enrich, fact, quality
@@ -62,21 +62,30 @@ def silver(spark: SparkSession, d: str) -> DataFrame:
     return silver_from(quotes(spark, d), spark, d)
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, counts: dict | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: later
-    steps read the stored rows instead of recomputing (and the lineage is cut)."""
+    steps read the stored rows instead of recomputing (and the lineage is cut).
+    With ``counts``, the written row count is observed into ``counts[name]``."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    if counts is None:
+        df.write.parquet(path)
+    else:
+        obs = Observation(name)
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        counts[name] = obs.get["n"]
     return df.sparkSession.read.parquet(path)
 
 
-def stored_gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Clean table and dimensions stored once, as the pipeline keeps them."""
+def stored_gold(spark: SparkSession, d: str) -> dict:
+    """Clean table and dimensions stored once, as the pipeline keeps them,
+    with the dimension sizes (for broadcast decisions without counting)."""
+    sizes: dict[str, int] = {"dim_date": dims.dim_date_rows()}
     s = store(silver(spark, d), "silver")
     # The calendar is generated in parallel from its date range: cheaper to
     # regenerate than to store and read.
     return {"silver": s, "dim_date": dims.dim_date(spark),
-            "dim_ticker": store(dims.dim_ticker(s, run_ts()), "dim_ticker")}
+            "dim_ticker": store(dims.dim_ticker(s, run_ts()), "dim_ticker", sizes),
+            "sizes": sizes}
 
 
 def dim_ticker(spark: SparkSession, d: str) -> DataFrame:
@@ -85,7 +94,7 @@ def dim_ticker(spark: SparkSession, d: str) -> DataFrame:
 
 def fact_rows(spark: SparkSession, d: str) -> DataFrame:
     g = stored_gold(spark, d)
-    return fact.fact_prices(g["silver"], g["dim_date"], g["dim_ticker"], run_ts())
+    return fact.fact_prices(g["silver"], g["dim_date"], g["dim_ticker"], run_ts(), g["sizes"])
 
 
 # ---- quality ------------------------------------------------------------------

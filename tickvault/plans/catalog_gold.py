@@ -77,7 +77,7 @@ def q_incremental_filter(spark, d):
                                 .otherwise(NEXT_RUN_ISO))
     path = work_path(spark, "fact")
     first = fact.fact_prices(s2.where(F.col("processed_at") == "2024-01-02T06:00:00"),
-                             g["dim_date"], g["dim_ticker"], ts(FIRST_LOAD_TS))
+                             g["dim_date"], g["dim_ticker"], ts(FIRST_LOAD_TS), g["sizes"])
     first.write.parquet(path)
     return incremental.incremental_source(s2, spark.read.parquet(path))
 
@@ -97,14 +97,14 @@ def q_fact_upsert(spark, d):
     """Full load, then an upsert of a re-run over the even rows with changed
     closes: their keys are replaced whole, all other rows stay."""
     g = stored_gold(spark, d)
-    s, dd, dtk = g["silver"], g["dim_date"], g["dim_ticker"]
+    s, dd, dtk, sizes = g["silver"], g["dim_date"], g["dim_ticker"], g["sizes"]
     path = work_path(spark, "fact")
     staging = work_path(spark, "staging")
-    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts()), path, fact.FACT_KEYS, staging)
+    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts(), sizes), path, fact.FACT_KEYS, staging)
     q = quotes(spark, d)
     upd_raw = q.where(F.col("src_id") % 2 == 0).withColumn("close", F.col("close") + 1)
     upd_silver = store(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), "silver")
-    upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS))
+    upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS), sizes)
     tables.upsert_table(upd, path, fact.FACT_KEYS, staging)
     return tables.read_table(spark, path)
 
@@ -117,13 +117,13 @@ def q_schema_guard(spark, d):
     """The re-run batch first arrives with ``volume`` as DOUBLE: the upsert is
     refused and the table is left as it was; the conforming batch then goes in."""
     g = stored_gold(spark, d)
-    s, dd, dtk = g["silver"], g["dim_date"], g["dim_ticker"]
+    s, dd, dtk, sizes = g["silver"], g["dim_date"], g["dim_ticker"], g["sizes"]
     path, staging = work_path(spark, "fact"), work_path(spark, "staging")
-    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts()), path, fact.FACT_KEYS, staging)
+    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts(), sizes), path, fact.FACT_KEYS, staging)
     q = quotes(spark, d)
     upd_raw = q.where(F.col("src_id") % 2 == 0).withColumn("close", F.col("close") + 1)
     upd_silver = store(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), "silver")
-    upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS))
+    upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS), sizes)
     try:
         tables.upsert_table(upd.withColumn("volume", F.col("volume").cast("double")),
                             path, fact.FACT_KEYS, staging)
@@ -185,14 +185,16 @@ def gold_tables(spark, d):
     """The clean table and the star schema as stored tables: the tests read
     files instead of re-deriving them in every branch."""
     g = stored_gold(spark, d)
-    f = store(fact.fact_prices(g["silver"], g["dim_date"], g["dim_ticker"], run_ts()), "fact")
+    f = store(fact.fact_prices(g["silver"], g["dim_date"], g["dim_ticker"], run_ts(), g["sizes"]),
+              "fact")
     return {"dim_date": g["dim_date"], "dim_ticker": g["dim_ticker"],
-            "silver_stock_prices": g["silver"], "fact_stock_prices": f}
+            "silver_stock_prices": g["silver"], "fact_stock_prices": f}, g["sizes"]
 
 
 @register("test_suite", O.sql(_suite_sql(), "fact"))
 def q_test_suite(spark, d):
-    return checks.run_suite(gold_tables(spark, d), checks.GOLD_TESTS)
+    gold, sizes = gold_tables(spark, d)
+    return checks.run_suite(gold, checks.GOLD_TESTS, sizes)
 
 
 # ---- audit -------------------------------------------------------------------------------
@@ -230,8 +232,8 @@ def q_audit_log(spark, d):
     """One audit row with the run's true status and counts, appended to the
     audit table and read back."""
     m = quality.metrics(quality.flag(quotes(spark, d))).first()
-    gold = gold_tables(spark, d)
-    suite = checks.run_suite(gold, checks.GOLD_TESTS)
+    gold, sizes = gold_tables(spark, d)
+    suite = checks.run_suite(gold, checks.GOLD_TESTS, sizes)
     failed_tests = suite.where(F.col("status") == "fail").count()
     fact_count = gold["fact_stock_prices"].count()
     failed_tk = tally.failed_tickers(requested(spark), raw_rows(spark, d)).count()
