@@ -67,3 +67,29 @@ def test_strict_run_raises_after_audit(spark, tmp_dir):
                        fixtures.meta(spark, SF), strict=True)
     audit = spark.read.parquet(paths.audit).collect()
     assert [(r["run_id"], r["status"]) for r in audit] == [("s1", "partial")]
+
+
+def test_month_layout_incremental_equals_full(spark, tmp_dir):
+    wide, tickers = download(spark)
+    meta = fixtures.meta(spark, SF)
+    split = dt.date(2018, 1, 1)
+    full = P.Paths(f"{tmp_dir}/full")
+    P.run_pipeline(spark, wide, full, P.Run("f", dt.datetime(2024, 1, 2, 6), silver_layout="month"),
+                   tickers, meta)
+    inc = P.Paths(f"{tmp_dir}/inc")
+    P.run_pipeline(spark, wide.where(F.col("Date") < F.lit(split)), inc,
+                   P.Run("i1", dt.datetime(2024, 1, 2, 6), silver_layout="month"), tickers, meta)
+    m2 = P.run_pipeline(spark, wide, inc, P.Run("i2", dt.datetime(2024, 1, 3, 6), silver_layout="month",
+                                                since=split.isoformat()), tickers, meta)
+    assert m2["failing_tests"] == [] and m2["balanced"]
+    cols = ["date_key", "ticker_key", "close_price", "volume", "daily_return", "price_range"]
+    a = tables.read_table(spark, full.fact).select(cols)
+    b = tables.read_table(spark, inc.fact).select(cols)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # Only the rebuilt months carry the second run's stamp.
+    s = spark.read.parquet(inc.silver)
+    stamps = {r[0] for r in s.where(F.col("date") >= F.lit(split)).select("processed_at").distinct().collect()}
+    assert stamps == {"2024-01-03T06:00:00"}
+    old = {r[0] for r in s.where(F.col("date") < F.lit(split)).select("processed_at").distinct().collect()}
+    assert old == {"2024-01-02T06:00:00"}
