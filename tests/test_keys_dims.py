@@ -60,3 +60,10 @@ def test_type1_keys_are_stable(spark, tmp_dir):
     out = {r["ticker_symbol"]: r for r in dims.dim_ticker_type1(s, existing).collect()}
     assert out["MSFT"]["ticker_key"] == 1 and out["MSFT"]["company_name"] == "M2"
     assert out["AAPL"]["ticker_key"] == 2 and out["ZZZ"]["ticker_key"] == 3
+
+
+def test_global_row_number_default_partitions(spark):
+    df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000).alias("k"))
+    ours = global_row_number(df, ["k"], "rn")
+    assert ours.where(F.col("rn") != F.col("k") + 1).count() == 0
+    assert ours.count() == 20000

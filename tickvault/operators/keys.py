@@ -25,8 +25,11 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], out_col: str,
     an arbitrary order).
     """
     cols = list(order_cols)
-    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
-              else df.repartitionByRange(*cols))
+    # An explicit partition count: AQE never coalesces it, so the positions
+    # and the offsets (two stages reading the same exchange) always agree on
+    # which range a partition id stands for.
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *cols)
     local = (ranged.sortWithinPartitions(*cols)
                    .withColumn("_mid", F.monotonically_increasing_id())
                    .withColumn(_PID, F.shiftright("_mid", _ROW_BITS).cast("int"))

@@ -93,7 +93,9 @@ def build_silver(spark: SparkSession, paths: Paths, run: Run,
     if run.silver_layout == "month":
         run.metrics.update(months.build_months(raw, paths.silver, paths.silver_state, run.iso,
                                                since=run.since, dedup=run.dedup))
-        recent = raw if run.since is None else landing.scan_range(raw, run.since)
+        # The same range as the rebuild: whole months from the one holding ``since``.
+        recent = (raw if run.since is None
+                  else landing.scan_range(raw, months.month_start(run.since).isoformat()))
         rejected = quality.rejected_rows(recent.select(*RAW_SCHEMA.fieldNames()))
         run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
         _balance(run)
