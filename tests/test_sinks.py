@@ -187,3 +187,31 @@ def test_raw_batch_defaults(spark, tmp_dir):
     files.append_idempotent(spark.createDataFrame(rows, RAW), root)
     got = [(r["ticker"], r["date"]) for r in landing.raw_batch(spark, root).collect()]
     assert got == [("AAPL", dt.date(2020, 1, 2))]
+
+
+def test_compaction_keeps_rows_and_merges_files(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    for d in (2, 3, 4):
+        files.append_idempotent(spark.createDataFrame([raw_row(dt.date(2024, 1, d)),
+                                                       raw_row(dt.date(2024, 2, d))], RAW), root)
+
+    def n_files(folder):
+        return len([f for f in os.listdir(folder) if f.endswith(".parquet")])
+
+    assert n_files(f"{root}/year=2024/month=01") == 3
+    before = sorted(tuple(r) for r in landing.read_raw(spark, root).collect())
+    schema = files.raw_read_schema(landing.read_raw(spark, root).drop("year", "month").schema, "monthly")
+    n = files.compact_partitions(spark, root, ["year", "month"], f"{tmp_dir}/staging",
+                                 where="year = 2024 AND month = 1", schema=schema)
+    assert n == 1
+    assert n_files(f"{root}/year=2024/month=01") == 1 and n_files(f"{root}/year=2024/month=02") == 3
+    after = sorted(tuple(r) for r in landing.read_raw(spark, root).collect())
+    assert after == before
+
+
+def test_path_values_keep_special_characters(spark, tmp_dir):
+    root = f"{tmp_dir}/silver"
+    df = spark.createDataFrame([raw_row(dt.date(2024, 1, 2), ticker=t) for t in ("BRK+B", "A:B", "X%Y")], RAW)
+    files.overwrite_partitions(df, root, ["ticker"])
+    got = sorted(r["ticker"] for r in landing.read_files_with_path_key(spark, root, "ticker").collect())
+    assert got == ["A:B", "BRK+B", "X%Y"]

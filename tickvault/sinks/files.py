@@ -176,3 +176,46 @@ def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str])
 def append_rows(df: DataFrame, path: str) -> None:
     """Append-only table (audit log, K11)."""
     df.coalesce(1).write.mode("append").parquet(path)
+
+
+def compact_partitions(spark: SparkSession, root: str, partition_cols: Sequence[str],
+                       staging_root: str, where: str | None = None,
+                       rows_per_file: int | None = None,
+                       schema: T.StructType | None = None) -> int:
+    """Rewrite the folders of a partitioned table into fewer, larger files.
+
+    Daily appends leave one small file per run in each folder; this reads the
+    chosen folders (``where`` is a predicate on the partition columns, so only
+    they are listed and read), writes them to a staging folder range-partitioned
+    on the partition columns (one file per folder, several for a large one when
+    ``rows_per_file`` is given) and swaps each rewritten folder in.  Rows are
+    unchanged.  Returns the number of folders rewritten.
+    """
+    from tickvault.functions.naming import partition_value_from_path
+
+    cols = list(partition_cols)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(root)
+    if where:
+        df = df.where(where)
+    # Folder values exactly as written (``month=01`` stays ``01``, not the
+    # integer a read infers), so each folder is rewritten under its own name.
+    path = F.col("_metadata.file_path")
+    df = df.withColumns({c: partition_value_from_path(path, c) for c in cols})
+    folders = [tuple(r) for r in df.select(*cols).distinct().collect()]  # one per folder
+    if not folders:
+        return 0
+    staging = f"{staging_root.rstrip('/')}/compact-{uuid.uuid4().hex}"
+    writer = df.repartitionByRange(*cols).write
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", str(rows_per_file))
+    writer.partitionBy(*cols).parquet(staging)
+    for values in folders:
+        sub = "/".join(f"{c}={_path_value(v)}" for c, v in zip(cols, values))
+        swap_in(spark, f"{staging}/{sub}", f"{root.rstrip('/')}/{sub}")
+    delete_path(spark, staging)
+    return len(folders)
+
+
+def _path_value(v) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
