@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickvault.operators import enrich, quality
@@ -49,7 +49,7 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
     """Rebuild the clean table for the months from ``since`` on (all months
     when ``since`` is None).  ``raw`` should be a scan of the raw layer; the
     date bound reaches it as a pushed / partition filter.  Returns the
-    observed counts of the rebuilt range."""
+    number of clean-table rows written."""
     spark = raw.sparkSession
     order = [date_col, *tiebreak]
     start = month_start(since) if since else None
@@ -59,8 +59,7 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
             raw = raw.where(F.col("year") * 100 + F.col("month") >= start.year * 100 + start.month)
     # The raw layout's folder columns are derivable from the date.
     raw = raw.drop("year", "month", "day")
-    flagged, obs = quality.observe_metrics(quality.flag(raw), "months_quality")
-    clean = flagged.where(F.col(quality.REASON).isNull()).drop(quality.REASON)
+    clean = quality.clean_rows(raw)
     if dedup:
         clean = quality.dedup_latest(clean, tiebreak=tiebreak[0] if tiebreak else None)
     rows = prepare(clean) if prepare else clean
@@ -74,7 +73,11 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
                     .drop("prev_close", "_seed"))
     out = enrich.with_price_range(out).withColumns(
         {"processed_at": F.lit(processed_at), "layer": F.lit("silver"), MONTH_KEY: month_key(date_col)})
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Observed in the writing stage (result tasks), so the count is exact even
+    # when lost executors make Spark re-run earlier stages.
+    written = Observation("months_written")
+    (out.observe(written, F.count(F.lit(1)).alias("silver_rows"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH_KEY).parquet(silver_root))
     # Per (ticker, month): the last accepted row, for seeding later runs.
     stored = spark.read.parquet(silver_root)
@@ -86,7 +89,7 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
                    .select(key, MONTH_KEY, *[F.col(f"_s.{c}").alias(c) for c in cols]))
     (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(MONTH_KEY).parquet(state_root))
-    return dict(obs.get)
+    return dict(written.get)
 
 
 __all__ = ["MONTH_KEY", "build_months", "month_key", "seeds_before"]

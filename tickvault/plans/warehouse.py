@@ -88,7 +88,11 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
 def build_silver(spark: SparkSession, paths: Paths, run: Run,
                  tickers: Sequence[str] | None = None, full_rebuild: bool = False) -> None:
     """Raw -> rules -> clean (+ optional dedup) -> daily return -> clean table;
-    rejected rows to quarantine.  Two write jobs; the counts are observed."""
+    rejected rows to quarantine.  Two write jobs.
+
+    The quality counts (total, clean, rejected, per rule) are observed in the
+    quarantine write, whose single stage scans, flags and writes: observations
+    in a writing stage count each row once even when tasks are retried."""
     raw = landing.read_raw(spark, paths.raw, run.raw_layout, RAW_SCHEMA)
     if run.silver_layout == "month":
         run.metrics.update(months.build_months(raw, paths.silver, paths.silver_state, run.iso,
@@ -96,23 +100,25 @@ def build_silver(spark: SparkSession, paths: Paths, run: Run,
         # The same range as the rebuild: whole months from the one holding ``since``.
         recent = (raw if run.since is None
                   else landing.scan_range(raw, months.month_start(run.since).isoformat()))
-        rejected = quality.rejected_rows(recent.select(*RAW_SCHEMA.fieldNames()))
-        run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
-        _balance(run)
+        _quarantine(recent.select(*RAW_SCHEMA.fieldNames()), paths, run)
         return
     raw = raw.select(*RAW_SCHEMA.fieldNames())
     if tickers:
         raw = landing.scan_range(raw, tickers=tickers)
-    flagged, obs = quality.observe_metrics(quality.flag(raw), "silver_quality")
-    clean = flagged.where(F.col(quality.REASON).isNull()).drop(quality.REASON)
+    clean = quality.clean_rows(raw)
     if run.dedup:
         clean = quality.dedup_latest(clean, tiebreak=None)
     silver = enrich.enrich_silver(clean, run.iso)
     files.overwrite_partitions(silver, paths.silver, ["ticker"], dynamic=not full_rebuild)
+    _quarantine(raw, paths, run)
+
+
+def _quarantine(raw: DataFrame, paths: Paths, run: Run) -> None:
+    flagged, obs = quality.observe_metrics(quality.flag(raw), "silver_quality")
+    rejected = flagged.where(F.col(quality.REASON).isNotNull())
+    run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
     run.metrics.update(obs.get)
     _balance(run)
-    rejected = quality.rejected_rows(raw)
-    run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
 
 
 def _balance(run: Run) -> None:
