@@ -15,8 +15,10 @@ from tickvault.streaming import incremental as S
 
 
 def land_by_year(spark, d) -> str:
-    """The raw quotes as one file per year, written oldest first, so a file
-    stream with one file per trigger sees the history in date order."""
+    """The raw quotes arriving one year at a time: one file per year, written
+    oldest first (seven separate landing events), so a file stream with one
+    file per trigger sees the history in date order.  The year list is a
+    handful of values bounded by the calendar."""
     root = work_path(spark, "landing")
     q = quotes(spark, d)
     years = [r[0] for r in q.select(F.year("date")).distinct().orderBy(1).collect()]
