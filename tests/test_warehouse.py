@@ -93,3 +93,21 @@ def test_month_layout_incremental_equals_full(spark, tmp_dir):
     assert stamps == {"2024-01-03T06:00:00"}
     old = {r[0] for r in s.where(F.col("date") < F.lit(split)).select("processed_at").distinct().collect()}
     assert old == {"2024-01-02T06:00:00"}
+
+
+def test_dedup_run_quarantines_duplicates(spark, tmp_dir):
+    from tickvault.schemas import RAW_SCHEMA
+    from tickvault.sinks import files as F_
+    paths = P.Paths(tmp_dir)
+    d = dt.date(2024, 1, 2)
+    base = (150.0, 155.0, 149.0, 152.0, 151.5, 10, "AAPL", "2024-01-02T00:00:00", "s", "", "", "")
+    rows = [(d, *base), (d, *base), (dt.date(2024, 1, 3), *base), (d, -1.0, *base[1:])]
+    F_.append_idempotent(spark.createDataFrame(rows, RAW_SCHEMA), paths.raw)
+    run = P.Run("d", dt.datetime(2024, 1, 4, 6), dedup=True)
+    P.build_silver(spark, paths, run)
+    silver = spark.read.parquet(paths.silver)
+    assert silver.count() == 2 and silver.groupBy("ticker", "date").count().where("count > 1").count() == 0
+    q = {r["failure_reason"] for r in spark.read.parquet(paths.rejected).collect()}
+    assert q == {"duplicate_key", "non_positive_price"}
+    assert run.metrics["duplicate_rows"] == 1 and run.metrics["quarantined"] == 2
+    assert run.metrics["balanced"]

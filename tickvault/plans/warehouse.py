@@ -106,18 +106,34 @@ def build_silver(spark: SparkSession, paths: Paths, run: Run,
     if tickers:
         raw = landing.scan_range(raw, tickers=tickers)
     clean = quality.clean_rows(raw)
+    duplicates = None
     if run.dedup:
-        clean = quality.dedup_latest(clean, tiebreak=None)
+        # A row id from the scan (partition index + position: the same on
+        # every re-run of the same files) breaks ties and names the removed
+        # rows, which go to quarantine as ``duplicate_key``.
+        clean = clean.withColumn(_ROW_ID, F.monotonically_increasing_id())
+        kept = quality.dedup_latest(clean, tiebreak=_ROW_ID)
+        duplicates = quality.duplicate_rows(clean, kept, _ROW_ID).drop(_ROW_ID)
+        clean = kept.drop(_ROW_ID)
     silver = enrich.enrich_silver(clean, run.iso)
     files.overwrite_partitions(silver, paths.silver, ["ticker"], dynamic=not full_rebuild)
-    _quarantine(raw, paths, run)
+    _quarantine(raw, paths, run, duplicates)
 
 
-def _quarantine(raw: DataFrame, paths: Paths, run: Run) -> None:
+_ROW_ID = "_row_id"
+
+
+def _quarantine(raw: DataFrame, paths: Paths, run: Run, duplicates: DataFrame | None = None) -> None:
     flagged, obs = quality.observe_metrics(quality.flag(raw), "silver_quality")
     rejected = flagged.where(F.col(quality.REASON).isNotNull())
+    if duplicates is not None:
+        dup_obs = Observation("duplicates")
+        rejected = rejected.unionByName(
+            duplicates.observe(dup_obs, F.count(F.lit(1)).alias("duplicate_rows")))
     run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
     run.metrics.update(obs.get)
+    if duplicates is not None:
+        run.metrics.update(dup_obs.get)
     _balance(run)
 
 
