@@ -215,3 +215,13 @@ def test_path_values_keep_special_characters(spark, tmp_dir):
     files.overwrite_partitions(df, root, ["ticker"])
     got = sorted(r["ticker"] for r in landing.read_files_with_path_key(spark, root, "ticker").collect())
     assert got == ["A:B", "BRK+B", "X%Y"]
+
+
+def test_upsert_after_empty_first_load(spark, tmp_dir):
+    path, staging = f"{tmp_dir}/fact", f"{tmp_dir}/staging"
+    t1 = dt.datetime(2024, 1, 2, 6)
+    tables.upsert_table(spark.createDataFrame([], FACT), path, ["date_key", "ticker_key"], staging)
+    assert tables.read_table(spark, path) is None or tables.read_table(spark, path).count() == 0
+    tables.upsert_table(spark.createDataFrame([fact_row(20240102, 1, 1.0, t1)], FACT), path,
+                        ["date_key", "ticker_key"], staging)
+    assert tables.read_table(spark, path).count() == 1

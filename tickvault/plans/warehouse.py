@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tickvault.functions.naming import run_stamp
 from tickvault.operators import checks, dims, enrich, fact, incremental, months, quality, reshape
 from tickvault.operators.lookup import lookup_metadata
-from tickvault.schemas import AUDIT_SCHEMA, RAW_SCHEMA, enforce_schema
+from tickvault.schemas import AUDIT_SCHEMA, FACT_SCHEMA, RAW_SCHEMA, enforce_schema
 from tickvault.session import ensure_checkpoint_dir
 from tickvault.sinks import files, tables
 from tickvault.sources import landing
@@ -169,8 +169,7 @@ def build_gold(spark: SparkSession, paths: Paths, run: Run) -> None:
     new_dim.write.mode("overwrite").parquet(tmp)
     run.metrics["dim_ticker_rows"] = dim_obs.get["n"]
     files.swap_in(spark, tmp, paths.dim_ticker)
-    target = (tables.read_table(spark, paths.fact)
-              if files.path_exists(spark, paths.fact) else None)
+    target = tables.read_table(spark, paths.fact)
     source = silver
     if run.silver_layout == "month" and run.since:
         # Only the rebuilt months can hold rows newer than the fact: prune
@@ -201,7 +200,8 @@ def register_views(spark: SparkSession, paths: Paths) -> None:
 def run_data_tests(spark: SparkSession, paths: Paths, run: Run | None = None) -> DataFrame:
     gold = {"dim_date": spark.read.parquet(paths.dim_date),
             "dim_ticker": spark.read.parquet(paths.dim_ticker),
-            "fact_stock_prices": tables.read_table(spark, paths.fact),
+            "fact_stock_prices": (tables.read_table(spark, paths.fact)
+                                  or spark.createDataFrame([], FACT_SCHEMA)),
             "silver_stock_prices": read_silver(spark, paths)}
     return checks.run_suite(gold, checks.GOLD_TESTS, _dim_rows(run) if run else None)
 

@@ -35,10 +35,10 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], staging_root
     expr = partition_expr if partition_expr is not None else month_of_date_key()
     src = source.withColumn(partition_col, expr)
     order = [partition_col, *keys]
-    if not path_exists(spark, path):
-        src.repartition(*order).write.partitionBy(partition_col).parquet(path)
+    target = read_table(spark, path, partition_col=None)
+    if target is None:
+        src.repartition(*order).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return
-    target = spark.read.parquet(path)
     assert_same_schema(source.schema, target.drop(partition_col).schema)
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
     if not touched:
@@ -54,6 +54,15 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], staging_root
     delete_path(spark, staging)
 
 
-def read_table(spark, path: str, partition_col: str = "month_key") -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.drop(partition_col) if partition_col in df.columns else df
+def read_table(spark, path: str, partition_col: str | None = "month_key") -> DataFrame | None:
+    """The table at ``path`` (without its partition column), or None when there
+    is none yet - no folder, or a folder without data files (an empty first load)."""
+    from pyspark.errors import AnalysisException
+
+    if not path_exists(spark, path):
+        return None
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    return df.drop(partition_col) if partition_col and partition_col in df.columns else df
