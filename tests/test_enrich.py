@@ -54,3 +54,16 @@ def test_zero_previous_close_gives_null(spark):
     df = spark.createDataFrame(rows, "ticker string, date date, src_id long, close double")
     out = enrich.with_daily_return(df).where("src_id = 2").first()
     assert out["daily_return"] is None
+
+
+def test_bucketed_lag_carries_null_previous_values(spark):
+    rows = [("A", dt.date(2024, 1, 30), 1, 10.0), ("A", dt.date(2024, 1, 31), 2, None),
+            ("A", dt.date(2024, 2, 1), 3, 12.0), ("A", dt.date(2024, 4, 1), 4, 13.0),
+            ("B", dt.date(2024, 1, 31), 5, None), ("B", dt.date(2024, 3, 1), 6, 7.0)]
+    df = spark.createDataFrame(rows, "ticker string, date date, src_id long, close double")
+    ours = enrich.with_prev_close(df, tiebreak=["src_id"]).select("src_id", "prev_close")
+    w = Window.partitionBy("ticker").orderBy("date", "src_id")
+    plain = df.select("src_id", F.lag("close").over(w).alias("prev_close"))
+    got = {r["src_id"]: r["prev_close"] for r in ours.collect()}
+    assert got == {r["src_id"]: r["prev_close"] for r in plain.collect()}
+    assert got[3] is None and got[4] == 12.0 and got[6] is None
