@@ -225,3 +225,27 @@ def test_upsert_after_empty_first_load(spark, tmp_dir):
     tables.upsert_table(spark.createDataFrame([fact_row(20240102, 1, 1.0, t1)], FACT), path,
                         ["date_key", "ticker_key"], staging)
     assert tables.read_table(spark, path).count() == 1
+
+
+def test_raw_file_from_another_writer_is_normalised(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from tickvault.operators import quality
+    folder = f"{tmp_dir}/raw/year=2024/month=1"
+    os.makedirs(folder)
+    table = pa.table({
+        "date": pa.array([dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)], pa.timestamp("us")),
+        "open": [150.0, float("nan")], "high": [155.0, 155.0], "low": [149.0, 149.0],
+        "close": [152.0, 152.0], "adj_close": [float("nan"), 151.5],
+        "volume": [5000000.0, 7.0],  # padded download: inferred as DOUBLE
+        "ticker": ["AAPL", "AAPL"],
+    })
+    pq.write_table(table, f"{folder}/data.parquet", coerce_timestamps="us")
+    df = landing.read_raw(spark, f"{tmp_dir}/raw", foreign=True)
+    types = dict(df.dtypes)
+    assert types["date"] == "date" and types["volume"] == "bigint" and types["company_name"] == "string"
+    rows = {r["date"]: r for r in quality.flag(df).collect()}
+    first, second = rows[dt.date(2024, 1, 2)], rows[dt.date(2024, 1, 3)]
+    assert first["adj_close"] is None and first["failure_reason"] is None
+    assert second["open"] is None and second["failure_reason"] == "null_in_critical_column"
+    assert first["volume"] == 5000000

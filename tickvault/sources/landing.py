@@ -20,65 +20,30 @@ class NoInputError(RuntimeError):
 
 
 def read_raw(spark: SparkSession, root: str, layout: str = "monthly",
-             schema: T.StructType = RAW_SCHEMA, nan_to_null: bool = True) -> DataFrame:
+             schema: T.StructType = RAW_SCHEMA, nan_to_null: bool = True,
+             foreign: bool = False) -> DataFrame:
     """Partitioned raw dataset with a declared schema: partition columns get
-    fixed types and file columns are cast / NaN-cleaned (S2, C2).  Pass
-    ``nan_to_null=False`` for data normalised on write, to keep pushdown."""
+    fixed types and file columns are cast / NaN-cleaned (S2, C2).
+
+    Files written by ``ingest_raw`` already hold the declared types and are
+    read with them directly.  ``foreign=True`` is for files from other writers
+    (a timestamp ``date``, a DOUBLE ``volume``): their columns are read as
+    stored - only the partition columns take declared types, so no value is
+    re-inferred - and then cast.  ``nan_to_null=False`` is for data
+    normalised on write, to keep pushdown."""
     try:
-        df = spark.read.schema(raw_read_schema(schema, layout)).parquet(root)
+        if foreign:
+            stored = spark.read.parquet(root).schema
+            parts = set(LAYOUTS[layout])
+            file_schema = T.StructType([f for f in stored.fields if f.name not in parts])
+            df = spark.read.schema(raw_read_schema(file_schema, layout)).parquet(root)
+        else:
+            df = spark.read.schema(raw_read_schema(schema, layout)).parquet(root)
     except AnalysisException as exc:
         raise NoInputError(f"no input under {root}") from exc
     return enforce_schema(df, schema, nan_to_null=nan_to_null)
 
 
-def read_partition(spark: SparkSession, root: str, partition_filter: str,
-                   schema: T.StructType | None = None) -> DataFrame:
-    """Only the folder ``root/partition_filter`` (e.g. ``ticker=T07``), keeping the
-    partition columns of the path (S3)."""
-    reader = spark.read.option("basePath", root)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(f"{root.rstrip('/')}/{partition_filter}")
-
-
-def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
-               tickers: Sequence[str] | DataFrame | None = None, date_col: str = "date") -> DataFrame:
-    """Half-open date window [start, end) and a ticker restriction.
-
-    The date bounds are literals (pushed to the Parquet scan); when a ``year``
-    partition column exists its bounds are added too, so whole years are
-    pruned.  A ticker list becomes ``IN``; a DataFrame of tickers a semi join,
-    broadcast after a size check (so a partitioned ticker column gets dynamic
-    partition pruning)."""
-    out = df
-    has_year, has_month = "year" in df.columns, "month" in df.columns
-
-    def folder(d: dt.date):
-        # Partition-column bound: (year, month) when both exist, else year.
-        if has_month:
-            return F.col("year") * 100 + F.col("month"), d.year * 100 + d.month
-        return F.col("year"), d.year
-
-    if start is not None:
-        lo = dt.date.fromisoformat(start)
-        out = out.where(F.col(date_col) >= F.lit(lo))
-        if has_year:
-            c, v = folder(lo)
-            out = out.where(c >= v)
-    if end is not None:
-        hi = dt.date.fromisoformat(end)
-        out = out.where(F.col(date_col) < F.lit(hi))
-        if has_year:
-            c, v = folder(hi - dt.timedelta(days=1))
-            out = out.where(c <= v)
-    if isinstance(tickers, DataFrame):
-        from tickvault.operators.lookup import broadcast_if_bounded
-        out = out.join(broadcast_if_bounded(tickers.select("ticker").distinct()), "ticker", "left_semi")
-    elif tickers is not None:
-        out = out.where(F.col("ticker").isin(list(tickers)))
-    return out
-
-
 # Fixed value: default start of the history window.
 DEFAULT_START = "2020-01-01"
 
