@@ -87,7 +87,7 @@ def learnable(doc_id: str = "doc_id") -> Column:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; sizes sketches, never results."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 # ---- words and windows -------------------------------------------------------
