@@ -63,11 +63,19 @@ def record_batch(out: dict, target: pa.Schema) -> pa.RecordBatch:
          for f in target], schema=target)
 
 
-def columns(batch: pa.RecordBatch) -> dict:
+class Columns(dict):
+    """Columns of a batch; ``batch`` has them as Arrow arrays."""
+
+    batch: pa.RecordBatch
+
+
+def columns(batch: pa.RecordBatch) -> Columns:
     """Strings as lists of UTF-8 bytes, everything else as Arrow arrays."""
-    return {name: (col.cast(pa.large_binary()).to_pylist()
+    out = Columns((name, col.cast(pa.large_binary()).to_pylist()
                    if pa.types.is_string(col.type) or pa.types.is_large_string(col.type) else col)
-            for name, col in zip(batch.schema.names, batch.columns)}
+                  for name, col in zip(batch.schema.names, batch.columns))
+    out.batch = batch
+    return out
 
 
 def row_key(*cols: str) -> Column:
@@ -156,20 +164,19 @@ def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
 
 
 def leftmost_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost smallest of ``values[i:i+width]`` for every i."""
-    n = len(values) - width + 1
-    if n <= 0:
+    """Position of the leftmost smallest of ``values[i:i+width]`` for every i.
+
+    Values are compared by their upper 32 bits; the lower ones hold the position meanwhile.
+    """
+    if len(values) < width:
         return np.empty(0, np.int64)
-    at = np.arange(len(values))
-    best, span = values, 1
+    best = (values & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(values), dtype=np.uint64)
+    span = 1
     while span < width:
         step = min(span, width - span)
-        other, other_at = best[step:], at[step:]
-        take = other < best[:-step]
-        at = np.where(take, other_at, at[:-step])
-        best = np.where(take, other, best[:-step])
+        best = np.minimum(best[:-step], best[step:])
         span += step
-    return at[:n]
+    return (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickvault.llm import repeat_sketch
-from tickvault.llm.common import (estimated_bytes, map_batches, mix, signed, stage, use_small_batches, window_hashes,
+from tickvault.llm.common import (estimated_bytes, map_batches, mix, row_key, signed, stage, use_small_batches, window_hashes,
                                   window_starts, word_hashes)
 from tickvault.llm.components import components
 
@@ -57,10 +57,11 @@ def shingle_hashes(texts: list[bytes | None], size: int = SIZE) -> tuple[np.ndar
 
 
 def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n (set size), and for documents that may be linked: class and shingles."""
+    """key, doc_id, n (set size), and for documents that may be linked: class and shingles."""
     spark = docs.sparkSession
     use_small_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"),
+                       F.col(text).alias("text"))
     sketch = repeat_sketch.build(rows.select("text"), lambda cols: shingle_hashes(cols["text"])[0],
                                  repeat_sketch.slots_for(docs, 1.0), rows=1)
     shared = spark.sparkContext.broadcast(sketch)
@@ -81,10 +82,10 @@ def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             names.append(name)
             sets.append(None if name in seen else signed(own))
             seen.add(name)
-        yield {"doc_id": cols["doc_id"], "n": n, "class": pa.array(names, pa.binary()),
+        yield {"key": cols["key"], "doc_id": cols["doc_id"], "n": n, "class": pa.array(names, pa.binary()),
                "shingles": pa.array(sets, pa.list_(pa.int64()))}
 
-    return map_batches(rows, run, "doc_id long, n long, class binary, shingles array<long>")
+    return map_batches(rows, run, "key long, doc_id long, n long, class binary, shingles array<long>")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -229,7 +230,7 @@ def links(classes: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """key, doc_id, n_shingles, component_id and component (null: alone) of every document."""
     sets = stage(shingle_sets(docs, doc_id, text), "jaccard-sets")
     copies = sets.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
     classes = stage(sets.where(F.col("shingles").isNotNull()).groupBy("class")
@@ -240,13 +241,26 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         .join(label, F.col("cid") == F.col("node"), "left").withColumn("label", F.coalesce("label", "cid"))
     named = stage(named.select("class", "label", "least"), "jaccard-named")
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    known = named.join(smallest, "label").select(F.col("class").alias("_class"), "component_id")
-    return sets.select("doc_id", "n", "class").join(known, F.col("class") == F.col("_class"), "left") \
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    known = named.join(smallest, "label").select(F.col("class").alias("_class"), "component_id", F.col("label").alias("component"))
+    return sets.select("key", "doc_id", "n", "class").join(known, F.col("class") == F.col("_class"), "left") \
+        .select("key", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                "component")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the smallest id, nulls last."""
+    found = join(docs, doc_id, text).where(F.col("component").isNotNull())
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    first = found.groupBy("component").agg(F.min(rank).alias("r")).select("component", F.col("r.key").alias("_first"))
+    fate = found.join(first, "component").groupBy("key").agg(F.first(F.col("key") == F.col("_first")).alias("_stays"))
+    rows = docs.withColumn("_row_key", row_key(doc_id, text))
+    rows = rows.join(fate.withColumnRenamed("key", "_fate_key"), F.col("_row_key") == F.col("_fate_key"), "left").drop("_fate_key")
+    alone = rows.where(F.col("_stays").isNull())
+    return alone.unionAll(rows.where("_stays").dropDuplicates(["_row_key"])).select(*docs.columns)
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return join(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
 
 
 OP7_SQL = r"""

@@ -104,9 +104,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text",
             best = int(np.argmax(logs))
             langs.append(names[best])
             scores.append(float(1.0 / np.exp(logs - logs[best]).sum()))
-        yield {**{k: cols[k] if not isinstance(cols[k], list) else
-                  pa.array([x.decode() if x is not None else None for x in cols[k]])
-                  for k in kept}, "lang_pred": langs, "score": scores}
+        yield {**{k: cols.batch.column(k) for k in kept}, "lang_pred": langs, "score": scores}
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     out = map_batches(rows, score, ", ".join(f"{k} {types[k]}" for k in kept) +

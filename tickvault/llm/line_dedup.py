@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -195,7 +196,7 @@ def drop_lists(docs: DataFrame, dups: DataFrame, filters: DataFrame | None, shar
 def _split(text: bytes | None, lose, min_chars: int) -> tuple[int, list[bytes]]:
     """Number of lines, and the lines that stay."""
     lines = (text or b"").split(b"\n")
-    if not lose:
+    if lose is None or not len(lose):
         return len(lines), lines
     gone = {((x["h1"] & _MASK) << 64) | (x["h2"] & _MASK) for x in lose}
     return len(lines), [line for line, k in zip(lines, line_keys(text, min_chars)) if k not in gone]
@@ -238,8 +239,6 @@ def dedup_lines(docs: DataFrame, lists: DataFrame, min_chars: int = MIN_CHARS, d
 
 
 def _clean_series(min_chars: int):
-    import pandas as pd
-
     def clean(text: pd.Series, lose: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or x is None or not len(x) else
                           b"\n".join(_split(t.encode(), x, min_chars)[1]).decode() for t, x in zip(text, lose)], dtype=object)
