@@ -91,7 +91,7 @@ def fences(measured: DataFrame, spread: float = 3.0) -> dict[str, DataFrame]:
 
     def merged(*keys: str) -> DataFrame:
         return by_group.groupBy(*keys).agg(
-            F.sum("n").alias("n"), *[F.kll_merge_agg_double(r).alias(r) for r in RATIOS])
+            F.sum("n").alias("n"), *[F.kll_merge_agg_double(r).alias(r) for r in RATIOS]).where("n > 0")
 
     def fence(df: DataFrame, keys: list[str], mark: str) -> DataFrame:
         q = lambda r, p: F.kll_sketch_get_quantile_double(F.col(r), F.lit(p))
