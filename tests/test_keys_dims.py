@@ -14,6 +14,29 @@ def test_global_row_number_matches_window(spark):
     assert ours.exceptAll(plain).count() == 0 and ours.count() == 5000
 
 
+def test_row_numbers_with_payload_columns_are_dense(spark):
+    n = 120_000
+    df = spark.range(n).select(F.format_string("k%07d", (F.col("id") * 7919) % n).alias("k"),
+                               F.rand(3).alias("x"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    out = global_row_number(df, ["k"], "rn", num_partitions=9)
+    got = out.agg(F.count("*"), F.count_distinct("rn"), F.min("rn"), F.max("rn")).first()
+    assert tuple(got) == (n, n, 1, n) and out.columns == ["k", "x", "payload", "rn"]
+    assert out.where(F.substring("k", 2, 9).cast("int") != F.col("rn") - 1).count() == 0
+
+
+def test_type1_keys_are_unique_at_size(spark, tmp_dir):
+    n = 100_000
+    def load(m, stamp):
+        return spark.range(m).select(F.format_string("K%06d", "id").alias("ticker"), F.lit("c").alias("company_name"),
+                                     F.lit(stamp).alias("sector"), F.lit("X").alias("exchange"), F.lit(stamp).alias("ingested_at"))
+    first = dims.dim_ticker_type1(load(n // 2, "1"))
+    first.write.parquet(f"{tmp_dir}/d")
+    again = dims.dim_ticker_type1(load(n, "2"), spark.read.parquet(f"{tmp_dir}/d"))
+    for out, m in ((spark.read.parquet(f"{tmp_dir}/d"), n // 2), (again, n)):
+        assert tuple(out.agg(F.count("*"), F.count_distinct("ticker_key"), F.max("ticker_key")).first()) == (m, m, m)
+    assert again.where("sector = '2'").count() == n
+
+
 def test_dim_date_default_range(spark):
     d = dims.dim_date(spark)
     assert d.count() == 5844

@@ -41,7 +41,7 @@ def test_bucketed_lag_shuffles_big_input_once(spark, tmp_dir):
 
 def test_dedup_combines_map_side(spark):
     p = plan(quality.dedup_latest(fixtures.quotes(spark, SF)))
-    assert "partial_max_by" in p
+    assert "partial_max(" in p
 
 
 def test_day_scan_prunes_month_folders_and_pushes_dates(spark, tmp_dir):

@@ -91,13 +91,17 @@ def test_quarantine_writes_only_when_rejects(spark, tmp_dir):
 
 
 def test_truncate_load_replaces_and_projects(spark, tmp_dir):
-    path, staging = f"{tmp_dir}/export", f"{tmp_dir}/staging"
+    path = f"{tmp_dir}/export"
     df = spark.createDataFrame([raw_row(dt.date(2024, 1, 2))], RAW).withColumn("extra", F.lit(1))
-    files.truncate_load(df, path, SILVER_SCHEMA, staging)
-    files.truncate_load(df.union(df), path, SILVER_SCHEMA, staging)
+    files.truncate_load(df, path, SILVER_SCHEMA)
+    files.truncate_load(df.union(df), path, SILVER_SCHEMA)
     back = spark.read.parquet(path)
     assert back.count() == 2 and "extra" not in back.columns
-    assert back.columns == [c for c in SILVER_SCHEMA.fieldNames() if c in df.columns]
+    assert back.columns == SILVER_SCHEMA.fieldNames()
+    assert back.where("daily_return IS NOT NULL OR layer IS NOT NULL").count() == 0
+    with pytest.raises(files.EmptyLoadError):
+        files.truncate_load(df.limit(0), path, SILVER_SCHEMA)
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_path_key_from_folder(spark, tmp_dir):
@@ -145,27 +149,107 @@ def fact_row(dk, tk, close, ts):
 
 
 def test_upsert_replaces_by_key_and_is_idempotent(spark, tmp_dir):
-    path, staging = f"{tmp_dir}/fact", f"{tmp_dir}/staging"
+    path = f"{tmp_dir}/fact"
     t1, t2 = dt.datetime(2024, 1, 2, 6), dt.datetime(2024, 1, 3, 6)
     first = spark.createDataFrame([fact_row(20240102, 1, 1.0, t1), fact_row(20240102, 2, 2.0, t1),
                                    fact_row(20240301, 1, 3.0, t1)], FACT)
-    tables.upsert_table(first, path, ["date_key", "ticker_key"], staging)
+    tables.upsert_table(first, path, ["date_key", "ticker_key"])
     upd = spark.createDataFrame([fact_row(20240102, 2, 20.0, t2), fact_row(20240103, 2, 5.0, t2)], FACT)
-    tables.upsert_table(upd, path, ["date_key", "ticker_key"], staging)
-    tables.upsert_table(upd, path, ["date_key", "ticker_key"], staging)
+    tables.upsert_table(upd, path, ["date_key", "ticker_key"])
+    tables.upsert_table(upd, path, ["date_key", "ticker_key"])
     got = {(r["date_key"], r["ticker_key"]): r["close_price"]
            for r in tables.read_table(spark, path).collect()}
     assert got == {(20240102, 1): 1.0, (20240102, 2): 20.0, (20240301, 1): 3.0, (20240103, 2): 5.0}
 
 
+def month_fact(spark, months, close, ts):
+    return spark.createDataFrame([fact_row(20240002 + m * 100, 1, close, ts) for m in months], FACT)
+
+
+@pytest.mark.parametrize("after", [0, 1, 2, 3])
+def test_upsert_survives_a_crash_between_folder_swaps(spark, tmp_dir, monkeypatch, after):
+    """The driver dies after some folders were swapped; the retry ends with all rows."""
+    path, keys = f"{tmp_dir}/fact", ["date_key", "ticker_key"]
+    t1, t2 = dt.datetime(2024, 1, 2, 6), dt.datetime(2024, 1, 3, 6)
+    tables.upsert_table(month_fact(spark, (1, 2, 3), 1.0, t1), path, keys)
+    real, done = files.swap_in, []
+
+    def dying(spark_, staging, target, trash=None):
+        if "/month_key=" in target:
+            if len(done) == after:
+                raise KeyboardInterrupt
+            done.append(target)
+        real(spark_, staging, target, trash)
+
+    monkeypatch.setattr(tables, "swap_in", dying)
+    if after < 3:
+        with pytest.raises(KeyboardInterrupt):
+            tables.upsert_table(month_fact(spark, (1, 2, 3), 9.0, t2), path, keys)
+    else:       # dies before the cleanup
+        monkeypatch.setattr(tables, "delete_path", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            tables.upsert_table(month_fact(spark, (1, 2, 3), 9.0, t2), path, keys)
+    monkeypatch.undo()
+    back = tables.read_table(spark, path)
+    # Either the whole upsert is in, or none of it is.
+    stamps = {r["created_at"] for r in back.collect()}
+    assert len(stamps) == 1 and back.count() == 3
+    tables.upsert_table(month_fact(spark, (1, 2, 3), 9.0, t2), path, keys)
+    assert sorted((r["date_key"], r["close_price"]) for r in tables.read_table(spark, path).collect()) == [
+        (20240102, 9.0), (20240202, 9.0), (20240302, 9.0)]
+
+
+def test_crash_while_a_month_is_out_loses_nothing(spark, tmp_dir):
+    path, keys = f"{tmp_dir}/fact", ["date_key", "ticker_key"]
+    t1 = dt.datetime(2024, 1, 2, 6)
+    tables.upsert_table(month_fact(spark, (1, 2), 1.0, t1), path, keys)
+    os.makedirs(f"{path}.staging/_trash")
+    os.makedirs(f"{path}.staging/ready-x")
+    month_fact(spark, (1,), 5.0, t1).write.parquet(f"{path}.staging/ready-x/month_key=202401")
+    open(f"{path}.staging/ready-x/_READY", "w").close()
+    os.rename(f"{path}/month_key=202401", f"{path}.staging/_trash/old")     # first of the two renames
+    assert sorted(r["close_price"] for r in tables.read_table(spark, path).collect()) == [1.0, 5.0]
+
+
+def test_unreadable_table_is_not_replaced(spark, tmp_dir):
+    path = f"{tmp_dir}/fact"
+    os.makedirs(f"{path}/month_key=202401")
+    with open(f"{path}/month_key=202401/part-0.parquet", "w") as fh:
+        fh.write("not parquet")
+    with pytest.raises(Exception):
+        tables.upsert_table(month_fact(spark, (1,), 1.0, dt.datetime(2024, 1, 2)), path, ["date_key", "ticker_key"])
+    assert os.path.exists(f"{path}/month_key=202401/part-0.parquet")
+
+
+def test_key_held_twice_is_refused(spark, tmp_dir):
+    rows = month_fact(spark, (1, 1), 1.0, dt.datetime(2024, 1, 2))
+    with pytest.raises(tables.DuplicateKeyError):
+        tables.upsert_table(rows, f"{tmp_dir}/fact", ["date_key", "ticker_key"])
+
+
+@pytest.mark.parametrize("layout", ["monthly", "daily"])
+def test_rows_without_a_date_are_appended_once(spark, tmp_dir, layout):
+    root = f"{tmp_dir}/raw"
+    undated = spark.createDataFrame([raw_row(None)], RAW)
+    both = spark.createDataFrame([raw_row(None), raw_row(dt.date(2024, 1, 2))], RAW)
+    assert files.append_idempotent(undated, root, layout).get["rows_written"] == 1
+    assert files.append_idempotent(undated, root, layout).get["rows_written"] == 0
+    assert files.append_idempotent(both, root, layout).get["rows_written"] == 1
+    assert files.append_idempotent(both, root, layout).get["rows_written"] == 0
+    assert landing.read_raw(spark, root, layout).count() == 2
+    other = spark.createDataFrame([raw_row(dt.date(2024, 5, 2))], RAW)
+    files.append_idempotent(other, f"{root}2", layout)
+    assert files.append_idempotent(undated, f"{root}2", layout).get["rows_written"] == 1
+
+
 def test_schema_change_fails(spark, tmp_dir):
-    path, staging = f"{tmp_dir}/fact", f"{tmp_dir}/staging"
+    path = f"{tmp_dir}/fact"
     t1 = dt.datetime(2024, 1, 2, 6)
     first = spark.createDataFrame([fact_row(20240102, 1, 1.0, t1)], FACT)
-    tables.upsert_table(first, path, ["date_key", "ticker_key"], staging)
+    tables.upsert_table(first, path, ["date_key", "ticker_key"])
     with pytest.raises(SchemaChangeError):
         tables.upsert_table(first.withColumn("extra", F.lit(1)), path,
-                            ["date_key", "ticker_key"], staging)
+                            ["date_key", "ticker_key"])
 
 
 def test_scan_day_and_views(spark, tmp_dir):
@@ -218,12 +302,12 @@ def test_path_values_keep_special_characters(spark, tmp_dir):
 
 
 def test_upsert_after_empty_first_load(spark, tmp_dir):
-    path, staging = f"{tmp_dir}/fact", f"{tmp_dir}/staging"
+    path = f"{tmp_dir}/fact"
     t1 = dt.datetime(2024, 1, 2, 6)
-    tables.upsert_table(spark.createDataFrame([], FACT), path, ["date_key", "ticker_key"], staging)
+    tables.upsert_table(spark.createDataFrame([], FACT), path, ["date_key", "ticker_key"])
     assert tables.read_table(spark, path) is None or tables.read_table(spark, path).count() == 0
     tables.upsert_table(spark.createDataFrame([fact_row(20240102, 1, 1.0, t1)], FACT), path,
-                        ["date_key", "ticker_key"], staging)
+                        ["date_key", "ticker_key"])
     assert tables.read_table(spark, path).count() == 1
 
 

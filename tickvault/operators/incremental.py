@@ -8,8 +8,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickvault.schemas import assert_same_schema
-
 EPOCH = dt.datetime(1970, 1, 1)
 
 
@@ -34,13 +32,9 @@ def incremental_source(source: DataFrame, target: DataFrame | None,
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep target rows whose key is not in the source, then add all source rows:
-    delete+insert by key (K9).  The source should be unique per key."""
+    delete+insert by key (K9).  The source must be unique per key; the table
+    upsert checks that."""
     keys = list(keys)
     kept = target.join(source.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
-
-def guarded_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``upsert`` after failing on any column or type change."""
-    assert_same_schema(source.schema, target.schema)
-    return upsert(target, source, keys)

@@ -7,31 +7,38 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast after counting it.
-BROADCAST_MAX_ROWS = 1_000_000
+# Largest side we broadcast, in bytes.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def is_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame, known_rows: int | None = None) -> int:
+    """Size of ``df``: a known row count times the schema's row width, else the
+    optimizer's estimate from file sizes (an upper bound for filters and
+    projections).  Runs no job."""
+    if known_rows is not None:
+        return known_rows * int(df._jdf.schema().defaultSize())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def is_bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES, known_rows: int | None = None) -> bool:
+    return estimated_bytes(df, known_rows) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
                          known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise the planner
-    (AQE, with its own runtime size threshold) picks the join.  A caller that
-    already knows the row count (observed when the table was written, or a
-    calendar's day count) passes ``known_rows`` and saves the check."""
-    small = known_rows <= max_rows if known_rows is not None else is_bounded(df, max_rows)
-    return F.broadcast(df) if small else df
+    """Broadcast hint only behind a check of the size in bytes; otherwise the
+    planner (AQE, with its own runtime threshold) picks the join.  A caller
+    that knows the row count (observed when the table was written, or a
+    calendar's day count) passes ``known_rows``."""
+    return F.broadcast(df) if is_bounded(df, max_bytes, known_rows) else df
 
 
 def lookup_metadata(df: DataFrame, meta: DataFrame, key: str = "ticker",
                     fields: Sequence[str] = ("company_name", "sector", "exchange"),
-                    default: str = "", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    default: str = "", max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Left join to the reference table; unknown keys get ``default`` ('' not NULL)."""
     m = meta.select(F.col(key).alias("_mkey"), *[F.col(f).alias(f"_m_{f}") for f in fields])
-    m = broadcast_if_bounded(m, max_broadcast_rows)
+    m = broadcast_if_bounded(m, max_broadcast_bytes)
     base = df.drop(*[f for f in fields if f in df.columns])
     joined = base.join(m, base[key] == m["_mkey"], "left")
     return joined.select(*base.columns,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickvault.operators import enrich, quality
-from tickvault.sinks.files import path_exists
+from tickvault.sinks.files import delete_path, has_data_files, list_folders
 
 MONTH_KEY = "month_key"
 
@@ -44,12 +44,14 @@ def seeds_before(state: DataFrame, start_key: int, key: str, order: Sequence[str
 
 def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at: str,
                  since: str | None = None, key: str = "ticker", date_col: str = "date",
-                 tiebreak: Sequence[str] = (), dedup: bool = True,
+                 tiebreak: Sequence[str] = (), dedup: bool = True, row_id: str | None = None,
                  prepare: Callable[[DataFrame], DataFrame] | None = None) -> dict:
     """Rebuild the clean table for the months from ``since`` on (all months
     when ``since`` is None).  ``raw`` should be a scan of the raw layer; the
-    date bound reaches it as a pushed / partition filter.  Returns the
-    number of clean-table rows written."""
+    date bound reaches it as a pushed / partition filter.  Rows without a date
+    fail the rules, so they are the quarantine's.  A month of the rebuilt
+    range that has no rows any more is removed.  Returns the number of
+    clean-table rows written and the months."""
     spark = raw.sparkSession
     order = [date_col, *tiebreak]
     start = month_start(since) if since else None
@@ -62,9 +64,11 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
     clean = quality.clean_rows(raw)
     if dedup:
         clean = quality.dedup_latest(clean, tiebreak=tiebreak[0] if tiebreak else None)
+    if row_id:
+        clean = clean.drop(row_id)
     rows = prepare(clean) if prepare else clean
     rows = rows.withColumn("_seed", F.lit(False))
-    if start is not None and path_exists(spark, state_root):
+    if start is not None and has_data_files(spark, state_root):
         seeds = seeds_before(spark.read.parquet(state_root), start.year * 100 + start.month,
                              key, order, "close").withColumn("_seed", F.lit(True))
         rows = rows.unionByName(seeds, allowMissingColumns=True)
@@ -76,9 +80,19 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
     # Observed in the writing stage (result tasks), so the count is exact even
     # when lost executors make Spark re-run earlier stages.
     written = Observation("months_written")
-    (out.observe(written, F.count(F.lit(1)).alias("silver_rows"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = out.observe(written, F.count(F.lit(1)).alias("silver_rows"),
+                      F.collect_set(MONTH_KEY).alias("months"))      # one value per month
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH_KEY).parquet(silver_root))
+    months = set(written.get["months"])
+    first = start.year * 100 + start.month if start is not None else 0
+    for root in (silver_root, state_root):
+        for name in list_folders(spark, root):
+            value = name.partition(f"{MONTH_KEY}=")[2]
+            if value.isdigit() and int(value) >= first and int(value) not in months:
+                delete_path(spark, f"{root}/{name}")
+    if not months:
+        return {"silver_rows": 0, "months": []}
     # Per (ticker, month): the last accepted row, for seeding later runs.
     stored = spark.read.parquet(silver_root)
     if start is not None:
@@ -89,7 +103,7 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
                    .select(key, MONTH_KEY, *[F.col(f"_s.{c}").alias(c) for c in cols]))
     (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(MONTH_KEY).parquet(state_root))
-    return dict(written.get)
+    return {"silver_rows": written.get["silver_rows"], "months": sorted(months)}
 
 
 __all__ = ["MONTH_KEY", "build_months", "month_key", "seeds_before"]

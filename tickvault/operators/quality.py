@@ -75,21 +75,20 @@ def dedup_latest(df: DataFrame, keys: Sequence[str] = ("ticker", "date"),
                  newest: str | None = "ingested_at", tiebreak: str | None = "src_id") -> DataFrame:
     """One row per key: newest ``newest`` wins, then the smallest numeric ``tiebreak``.
 
-    Expressed as a grouped ``max_by`` so the choice is combined map-side:
-    a key holding a third of all rows is reduced before the shuffle instead
-    of being sorted in one task, as a ``row_number`` window would be.
+    Expressed as a grouped maximum of one struct that begins with the order,
+    so the choice is combined map-side: a key holding a third of all rows is
+    reduced before the shuffle instead of being sorted in one task, as a
+    ``row_number`` window would be, and each row travels once.  The rest of
+    the row breaks any remaining tie, so the pick never depends on the order
+    rows arrive in (a retried task picks the same row).
     """
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    order = []
-    if newest:
-        order.append(F.col(newest))
+    rest = [c for c in df.columns if c not in (*keys, newest)]
+    order = [F.col(newest).alias(newest)] if newest else []
     if tiebreak:
-        order.append(-F.col(tiebreak))
-    # The whole row breaks any remaining tie, so the pick never depends on
-    # the order rows arrive in (a retried task picks the same row).
-    pick = F.max_by(row, F.struct(*order, row))
-    return df.groupBy(*keys).agg(pick.alias("_keep")).select("_keep.*")
+        order.append((-F.col(tiebreak)).alias("_tiebreak"))
+    pick = F.max(F.struct(*order, *[F.col(c) for c in rest]))
+    back = {c: F.col(c) if c in keys else F.col(f"_keep.{c}") for c in df.columns}
+    return df.groupBy(*keys).agg(pick.alias("_keep")).select(*[x.alias(c) for c, x in back.items()])
 
 
 def duplicate_rows(df: DataFrame, kept: DataFrame, row_id: str = "src_id",

@@ -17,7 +17,7 @@ def ingest_tally(requested: DataFrame, ingested: DataFrame, key: str = "ticker")
 
 def failed_tickers(requested: DataFrame, ingested: DataFrame, key: str = "ticker") -> DataFrame:
     """Requested tickers that produced no rows (requested minus ingested)."""
-    return requested.select(key).distinct().join(ingested.select(key), key, "left_anti")
+    return requested.select(key).distinct().join(ingested.select(key).distinct(), key, "left_anti")
 
 
 def rows_per_day(df: DataFrame, key: str = "ticker", date_col: str = "date") -> DataFrame:

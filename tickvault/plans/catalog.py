@@ -62,6 +62,12 @@ def silver(spark: SparkSession, d: str) -> DataFrame:
     return silver_from(quotes(spark, d), spark, d)
 
 
+def wide_silver(spark: SparkSession, d: str) -> DataFrame:
+    """The clean layer over fifty tickers, for tables with a folder per ticker."""
+    rows = quality.dedup_latest(quality.clean_rows(fixtures.wide_quotes(spark, d)))
+    return enrich.enrich_silver(lookup_metadata(rows, fixtures.wide_meta(spark, d)), RUN_TS_ISO, tiebreak=["src_id"])
+
+
 def store(df: DataFrame, name: str, counts: dict | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: later
     steps read the stored rows instead of recomputing (and the lineage is cut).

@@ -6,17 +6,17 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickvault.operators import checks, dims, fact, incremental, quality, tally
+from tickvault.operators import checks, dims, fact, incremental, quality
 from tickvault.plans import oracle as O
+from tickvault.plans import warehouse
 from tickvault.plans.catalog import (quotes, register, run_ts, silver, silver_from, store,
                                      stored_gold)
-from tickvault.plans.catalog_raw import raw_rows, requested, _RAW_EXTRA, _TICKER_VALUES
+from tickvault.plans.catalog_raw import WIDE_TICKERS, _RAW_EXTRA, _TICKER_VALUES, wide
 from tickvault.plans.constants import RUN_DATE, RUN_ID, RUN_TS
-from tickvault.schemas import SchemaChangeError
+from tickvault.schemas import AUDIT_SCHEMA, SchemaChangeError
 from tickvault.session import work_path
-from tickvault.sinks import files, tables
+from tickvault.sinks import tables
 from tickvault.sources import fixtures
 
 # Timestamps of the simulated earlier and later runs.
@@ -37,7 +37,9 @@ def ts(value: str):
         CAST(NULL AS VARCHAR) AS industry, a.exchange, 'USD' AS currency,
         k.created_at, TIMESTAMP '{RUN_TS}' AS updated_at
         FROM attrs a JOIN keys k ON k.ticker = a.ticker""", "silver", extra={
-        "attrs": "SELECT DISTINCT ticker, company_name, sector, exchange FROM silver",
+        "attrs": """SELECT ticker, company_name, exchange, MAX(CASE
+                   WHEN ingested_at = '2024-01-03T00:00:00' THEN sector || ' II' ELSE sector END) AS sector
+                   FROM silver GROUP BY ticker, company_name, exchange""",
         "old": f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY ticker) AS BIGINT) AS ticker_key, ticker,
                    TIMESTAMP '{EARLIER_TS}' AS created_at
                    FROM (SELECT DISTINCT ticker FROM silver WHERE exchange <> 'NASDAQ')""",
@@ -49,8 +51,11 @@ def ts(value: str):
     }))
 def q_dim_ticker_type1(spark, d):
     """Existing dimension from the non-NASDAQ tickers, then a reload with all:
-    known tickers keep their keys, new ones are numbered after them."""
-    s = store(silver(spark, d), "silver")
+    known tickers keep their keys, new ones are numbered after them, and the
+    sector of the newest ingest wins."""
+    renamed = F.when(F.col("ingested_at") == fixtures.LATER_INGESTED_AT, F.concat("sector", F.lit(" II"))) \
+        .otherwise(F.col("sector"))
+    s = store(silver(spark, d).withColumn("sector", renamed), "silver")
     path = work_path(spark, "dim_ticker")
     first = dims.dim_ticker_type1(s.where(F.col("exchange") != "NASDAQ"), None, ts(EARLIER_TS))
     first.write.parquet(path)
@@ -99,13 +104,12 @@ def q_fact_upsert(spark, d):
     g = stored_gold(spark, d)
     s, dd, dtk, sizes = g["silver"], g["dim_date"], g["dim_ticker"], g["sizes"]
     path = work_path(spark, "fact")
-    staging = work_path(spark, "staging")
-    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts(), sizes), path, fact.FACT_KEYS, staging)
+    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts(), sizes), path, fact.FACT_KEYS)
     q = quotes(spark, d)
     upd_raw = q.where(F.col("src_id") % 2 == 0).withColumn("close", F.col("close") + 1)
     upd_silver = store(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), "silver")
     upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS), sizes)
-    tables.upsert_table(upd, path, fact.FACT_KEYS, staging)
+    tables.upsert_table(upd, path, fact.FACT_KEYS)
     return tables.read_table(spark, path)
 
 
@@ -118,20 +122,20 @@ def q_schema_guard(spark, d):
     refused and the table is left as it was; the conforming batch then goes in."""
     g = stored_gold(spark, d)
     s, dd, dtk, sizes = g["silver"], g["dim_date"], g["dim_ticker"], g["sizes"]
-    path, staging = work_path(spark, "fact"), work_path(spark, "staging")
-    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts(), sizes), path, fact.FACT_KEYS, staging)
+    path = work_path(spark, "fact")
+    tables.upsert_table(fact.fact_prices(s, dd, dtk, run_ts(), sizes), path, fact.FACT_KEYS)
     q = quotes(spark, d)
     upd_raw = q.where(F.col("src_id") % 2 == 0).withColumn("close", F.col("close") + 1)
     upd_silver = store(silver_from(upd_raw, spark, d, NEXT_RUN_ISO), "silver")
     upd = fact.fact_prices(upd_silver, dd, dtk, ts(NEXT_RUN_TS), sizes)
     try:
         tables.upsert_table(upd.withColumn("volume", F.col("volume").cast("double")),
-                            path, fact.FACT_KEYS, staging)
+                            path, fact.FACT_KEYS)
     except SchemaChangeError:
         pass
     else:
         raise AssertionError("a changed column type was not refused")
-    tables.upsert_table(upd, path, fact.FACT_KEYS, staging)
+    tables.upsert_table(upd, path, fact.FACT_KEYS)
     return tables.read_table(spark, path)
 
 
@@ -199,48 +203,15 @@ def q_test_suite(spark, d):
 
 # ---- audit -------------------------------------------------------------------------------
 
-AUDIT_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()), T.StructField("layer", T.StringType()),
-    T.StructField("run_date", T.DateType()), T.StructField("status", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
-    T.StructField("rows_in", T.LongType()), T.StructField("rows_clean", T.LongType()),
-    T.StructField("rows_rejected", T.LongType()), T.StructField("fact_rows", T.LongType()),
-    T.StructField("failed_tests", T.LongType()), T.StructField("failed_tickers", T.LongType()),
-])
-
-
-def run_status(failed_tests: int, failed_tickers: int) -> str:
-    if failed_tests:
-        return "failed"
-    return "partial" if failed_tickers else "success"
-
-
 @register("audit_log", O.sql(
     f"""SELECT '{RUN_ID}' AS run_id, 'all_layers' AS layer, DATE '{RUN_DATE}' AS run_date,
-        CASE WHEN ft > 0 THEN 'failed' WHEN fk > 0 THEN 'partial' ELSE 'success' END AS status,
-        TIMESTAMP '{RUN_TS}' AS created_at, rows_in, rows_clean, rows_rejected, fact_rows,
-        ft AS failed_tests, fk AS failed_tickers
-        FROM (SELECT (SELECT COUNT(*) FROM flagged) AS rows_in,
-                     (SELECT COUNT(*) FROM flagged WHERE failure_reason IS NULL) AS rows_clean,
-                     (SELECT COUNT(*) FROM flagged WHERE failure_reason IS NOT NULL) AS rows_rejected,
-                     (SELECT COUNT(*) FROM fact) AS fact_rows,
-                     (SELECT COUNT(*) FROM suite WHERE status = 'fail') AS ft,
-                     (SELECT COUNT(*) FROM (VALUES {_TICKER_VALUES}) v(ticker)
-                      WHERE ticker NOT IN (SELECT ticker FROM kept_rows)) AS fk)""",
-    "fact", "flagged", extra={**_RAW_EXTRA, "suite": _suite_sql()}))
+        CASE WHEN (SELECT COUNT(*) FROM w_silver WHERE ticker IS NULL OR date IS NULL) > 0 THEN 'failed'
+             WHEN (SELECT COUNT(*) FROM (VALUES {_TICKER_VALUES}) v(ticker)
+                   WHERE ticker NOT IN (SELECT ticker FROM kept_rows)) > 0 THEN 'partial' ELSE 'success' END AS status,
+        TIMESTAMP '{RUN_TS}' AS created_at""", "w_silver", extra=_RAW_EXTRA))
 def q_audit_log(spark, d):
-    """One audit row with the run's true status and counts, appended to the
-    audit table and read back."""
-    m = quality.metrics(quality.flag(quotes(spark, d))).first()
-    gold, sizes = gold_tables(spark, d)
-    suite = checks.run_suite(gold, checks.GOLD_TESTS, sizes)
-    failed_tests = suite.where(F.col("status") == "fail").count()
-    fact_count = gold["fact_stock_prices"].count()
-    failed_tk = tally.failed_tickers(requested(spark), raw_rows(spark, d)).count()
-    row = (RUN_ID, "all_layers", dt.date.fromisoformat(RUN_DATE),
-           run_status(failed_tests, failed_tk), dt.datetime.fromisoformat(RUN_TS),
-           m["total_rows"], m["clean_rows"], m["rejected_rows"], fact_count, failed_tests, failed_tk)
-    path = work_path(spark, "audit")
-    files.append_rows(spark.createDataFrame([row], AUDIT_SCHEMA), path)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
-
+    """The whole pipeline over the download frame; the audit row that it wrote."""
+    paths = warehouse.Paths(work_path(spark, "warehouse"))
+    run = warehouse.Run(RUN_ID, dt.datetime.fromisoformat(RUN_TS))
+    warehouse.run_pipeline(spark, wide(spark, d), paths, run, WIDE_TICKERS, fixtures.wide_meta(spark, d))
+    return spark.read.schema(AUDIT_SCHEMA).parquet(paths.audit)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tickvault.functions.naming import run_stamp
 from tickvault.operators import quality
 from tickvault.plans import oracle as O
-from tickvault.plans.catalog import quotes, register, silver
+from tickvault.plans.catalog import quotes, register, silver, store, wide_silver
 from tickvault.plans.constants import RUN_TS
 from tickvault.schemas import SILVER_EXPORT_COLUMNS, SILVER_SCHEMA
 from tickvault.session import work_path
@@ -20,18 +20,29 @@ RUN_LABEL = "20240102_060000"
 
 
 @register("overwrite_partitions", O.sql(
-    f"""SELECT * REPLACE ('{STALE_ISO}' AS processed_at) FROM silver WHERE exchange <> 'NYSE'
-        UNION ALL SELECT * FROM silver WHERE exchange = 'NYSE'""", "silver"))
+    f"""SELECT * REPLACE ('{STALE_ISO}' AS processed_at) FROM w_silver WHERE exchange <> 'NYSE'
+        UNION ALL SELECT * FROM w_silver WHERE exchange = 'NYSE'""", "w_silver"))
 def q_overwrite_partitions(spark, d):
     """Full write of an older version, then a re-run for the NYSE tickers only:
     their partitions are replaced, every other ticker is kept."""
     root = work_path(spark, "silver")
-    s = silver(spark, d)
+    s = store(wide_silver(spark, d), "silver")
     files.overwrite_partitions(s.withColumn("processed_at", F.lit(STALE_ISO)), root, ["ticker"])
     files.overwrite_partitions(s.where(F.col("exchange") == "NYSE"), root, ["ticker"])
     return spark.read.schema(s.schema).parquet(root).select(*s.columns)
 
 
+@register("overwrite_full", O.sql("SELECT * FROM w_silver WHERE exchange <> 'NYSE'", "w_silver"))
+def q_overwrite_full(spark, d):
+    """A rebuild of the whole table from which the NYSE tickers have gone:
+    their partitions go too."""
+    root = work_path(spark, "silver")
+    s = store(wide_silver(spark, d), "silver")
+    files.overwrite_partitions(s, root, ["ticker"])
+    files.overwrite_partitions(s.where(F.col("exchange") != "NYSE"), root, ["ticker"], dynamic=False)
+    return spark.read.schema(s.schema).parquet(root).select(*s.columns)
+
+
 @register("quarantine_write", O.sql(
     f"SELECT *, '{RUN_LABEL}' AS run_ts FROM flagged WHERE failure_reason IS NOT NULL", "flagged"))
 def q_quarantine(spark, d):
@@ -44,13 +55,20 @@ def q_quarantine(spark, d):
 
 
 @register("truncate_load", O.sql(
-    f"SELECT {', '.join(SILVER_EXPORT_COLUMNS)} FROM silver", "silver"))
+    f"SELECT {', '.join(SILVER_EXPORT_COLUMNS)} FROM "
+    "(SELECT * REPLACE (CAST(NULL AS DOUBLE) AS adj_close) FROM silver)", "silver"))
 def q_truncate_load(spark, d):
     """Load the clean table into a fixed 17-column table twice (the second
-    load replaces the first); extra columns are dropped, missing ones skipped."""
+    load replaces the first); extra columns are dropped, a missing one is
+    NULL, and a load without rows is refused."""
     path = work_path(spark, "export")
-    staging = work_path(spark, "staging")
-    s = silver(spark, d)
-    files.truncate_load(s.where(F.col("src_id") % 2 == 0).drop("layer"), path, SILVER_SCHEMA, staging)
-    files.truncate_load(s, path, SILVER_SCHEMA, staging)
+    s = store(silver(spark, d), "silver")
+    files.truncate_load(s.where(F.col("src_id") % 2 == 0), path, SILVER_SCHEMA)
+    files.truncate_load(s.drop("adj_close"), path, SILVER_SCHEMA)
+    try:
+        files.truncate_load(s.limit(0), path, SILVER_SCHEMA)
+    except files.EmptyLoadError:
+        pass
+    else:
+        raise AssertionError("an empty load was not refused")
     return spark.read.schema(SILVER_SCHEMA).parquet(path)

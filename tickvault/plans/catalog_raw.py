@@ -8,7 +8,8 @@ from tickvault.functions.naming import normalize_columns
 from tickvault.operators import reshape, tally
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.plans import oracle as O
-from tickvault.plans.catalog import deduped, quotes, register, silver
+from tickvault.plans.catalog import quotes, register, store, wide_silver
+from tickvault.operators import quality
 from tickvault.plans.constants import RUN_TS_ISO
 from tickvault.session import work_path
 from tickvault.sinks import files
@@ -21,7 +22,9 @@ FIELDS = fixtures.WIDE_FIELDS
 
 
 def wide(spark, d):
-    return fixtures.wide_frame(deduped(spark, d), WIDE_TICKERS)
+    """The download frame, stored as a download is."""
+    rows = quality.dedup_latest(quality.clean_rows(fixtures.wide_quotes(spark, d)))
+    return store(fixtures.wide_frame(rows, WIDE_TICKERS), "wide")
 
 
 def long_rows(spark, d):
@@ -39,9 +42,9 @@ def requested(spark):
 _TICKER_VALUES = ", ".join(f"('{t}')" for t in WIDE_TICKERS)
 _LONG = f"""SELECT dd.date AS "Date", tl.ticker, x.open AS "Open", x.high AS "High", x.low AS "Low",
     x.close AS "Close", x.adj_close AS "Adj Close", x.volume AS "Volume"
-    FROM (SELECT DISTINCT date FROM dedup) dd
+    FROM (SELECT DISTINCT date FROM w_dedup) dd
     CROSS JOIN (SELECT * FROM (VALUES {_TICKER_VALUES}) v(ticker)) tl
-    LEFT JOIN dedup x ON x.date = dd.date AND x.ticker = tl.ticker"""
+    LEFT JOIN w_dedup x ON x.date = dd.date AND x.ticker = tl.ticker"""
 _NORM = """SELECT "Date" AS date, ticker, "Open" AS open, "High" AS high, "Low" AS low,
     "Close" AS close, "Adj Close" AS adj_close, "Volume" AS volume FROM long_rows"""
 _KEPT = """SELECT * FROM norm_rows WHERE ticker IN (
@@ -50,32 +53,32 @@ _KEPT = """SELECT * FROM norm_rows WHERE ticker IN (
 _RAW_EXTRA = {"long_rows": _LONG, "norm_rows": _NORM, "kept_rows": _KEPT}
 
 
-@register("reshape_wide_to_long", O.sql("SELECT * FROM long_rows", "dedup", extra={"long_rows": _LONG}))
+@register("reshape_wide_to_long", O.sql("SELECT * FROM long_rows", "w_dedup", extra={"long_rows": _LONG}))
 def q_reshape(spark, d):
     return long_rows(spark, d)
 
 
-@register("normalize_columns", O.sql("SELECT * FROM norm_rows", "dedup",
+@register("normalize_columns", O.sql("SELECT * FROM norm_rows", "w_dedup",
                                      extra={"long_rows": _LONG, "norm_rows": _NORM}))
 def q_normalize(spark, d):
     return normalize_columns(long_rows(spark, d))
 
 
-@register("drop_all_null_groups", O.sql("SELECT * FROM kept_rows", "dedup", extra=_RAW_EXTRA))
+@register("drop_all_null_groups", O.sql("SELECT * FROM kept_rows", "w_dedup", extra=_RAW_EXTRA))
 def q_drop_all_null(spark, d):
     return reshape.drop_all_null_groups(normalize_columns(long_rows(spark, d)), "ticker", ("date",))
 
 
 @register("lineage_columns", O.sql(
     f"SELECT *, '{RUN_TS_ISO}' AS ingested_at, '{SOURCE_LABEL}' AS source FROM kept_rows",
-    "dedup", extra=_RAW_EXTRA))
+    "w_dedup", extra=_RAW_EXTRA))
 def q_lineage(spark, d):
     return raw_rows(spark, d)
 
 
 @register("failed_tickers", O.sql(
     f"SELECT ticker FROM (VALUES {_TICKER_VALUES}) v(ticker) "
-    "WHERE ticker NOT IN (SELECT ticker FROM kept_rows)", "dedup", extra=_RAW_EXTRA))
+    "WHERE ticker NOT IN (SELECT ticker FROM kept_rows)", "w_dedup", extra=_RAW_EXTRA))
 def q_failed(spark, d):
     return tally.failed_tickers(requested(spark), raw_rows(spark, d))
 
@@ -84,7 +87,7 @@ def q_failed(spark, d):
     f"""SELECT v.ticker, CAST(COUNT(k.ticker) AS BIGINT) AS rows_ingested,
         CASE WHEN COUNT(k.ticker) > 0 THEN 'success' ELSE 'failed' END AS status
         FROM (VALUES {_TICKER_VALUES}) v(ticker) LEFT JOIN kept_rows k ON k.ticker = v.ticker
-        GROUP BY v.ticker""", "dedup", extra=_RAW_EXTRA))
+        GROUP BY v.ticker""", "w_dedup", extra=_RAW_EXTRA))
 def q_tally(spark, d):
     return tally.ingest_tally(requested(spark), raw_rows(spark, d))
 
@@ -130,7 +133,8 @@ def q_date_range(spark, d):
        UNION ALL
        SELECT * REPLACE (close + 1 AS close) FROM quotes b
        WHERE NOT EXISTS (SELECT 1 FROM quotes a WHERE a.src_id % 2 = 0
-                         AND a.ticker IS NOT DISTINCT FROM b.ticker AND a.date = b.date)""",
+                         AND a.ticker IS NOT DISTINCT FROM b.ticker
+                         AND a.date IS NOT DISTINCT FROM b.date)""",
     "quotes"))
 def q_append(spark, d):
     """First batch: even rows.  Then all rows with a changed close, twice: only
@@ -157,31 +161,67 @@ def q_union_files(spark, d):
 
 
 @register("path_partition_column", O.sql(
-    "SELECT src_id, ticker, date, close FROM silver", "silver"))
+    "SELECT src_id, ticker, date, close FROM w_silver", "w_silver"))
 def q_path_partition(spark, d):
     """Clean table written partitioned by ticker (files lack the column); the
     ticker is recovered from each file's path."""
     root = work_path(spark, "silver")
-    files.overwrite_partitions(silver(spark, d), root, ["ticker"])
+    files.overwrite_partitions(wide_silver(spark, d), root, ["ticker"])
     df = landing.read_files_with_path_key(spark, root, "ticker")
     return df.select("src_id", "ticker", "date", "close")
 
 
 @register("partition_scan", O.sql(
-    "SELECT * FROM silver WHERE ticker IN (SELECT ticker FROM meta WHERE exchange = 'NYSE')",
-    "silver"))
+    "SELECT * FROM w_silver WHERE ticker IN (SELECT ticker FROM w_meta WHERE exchange = 'NYSE')",
+    "w_silver"))
 def q_partition_scan(spark, d):
     """Clean table partitioned by ticker, restricted to the NYSE tickers of the
     reference table: a broadcast semi join, so only those folders are read."""
     root = work_path(spark, "silver")
-    s = silver(spark, d)
+    s = wide_silver(spark, d)
     files.overwrite_partitions(s, root, ["ticker"])
     df = spark.read.schema(s.schema).parquet(root)
-    nyse = fixtures.meta(spark, d).where(F.col("exchange") == "NYSE")
+    nyse = fixtures.wide_meta(spark, d).where(F.col("exchange") == "NYSE")
     return landing.scan_range(df, tickers=nyse).select(*s.columns)
 
 
 
+@register("read_partition", O.sql("SELECT * FROM w_silver WHERE ticker = 'T07'", "w_silver"))
+def q_read_partition(spark, d):
+    """One folder of the clean table, read alone; its ticker comes from the path."""
+    root = work_path(spark, "silver")
+    s = wide_silver(spark, d)
+    files.overwrite_partitions(s, root, ["ticker"])
+    return landing.read_partition(spark, root, "ticker=T07", s.schema).select(*s.columns)
+
+
+@register("daily_layout", O.sql("SELECT * FROM w_quotes WHERE date >= DATE '2017-06-01' AND date < DATE '2017-07-01'", "w_quotes"))
+def q_daily_layout(spark, d):
+    """A month landed in the layout with a folder for each ticker and day, twice."""
+    root = work_path(spark, "raw")
+    rows = landing.scan_range(fixtures.wide_quotes(spark, d), "2017-06-01", "2017-07-01")
+    for _ in range(2):
+        files.append_idempotent(rows, root, "daily")
+    return read_quotes(spark, root, "daily").select(*fixtures.QUOTE_COLUMNS)
+
+
+@register("schema_enforced", O.sql("SELECT * FROM quotes", "quotes"))
+def q_schema_enforced(spark, d):
+    """Files of another writer (timestamp dates, DOUBLE volumes, NaN for no
+    price) read as stored and then cast to the declared schema."""
+    root = work_path(spark, "raw")
+    (with_month(quotes(spark, d))
+     .withColumns({"date": F.col("date").cast("timestamp"), "volume": F.col("volume").cast("double"),
+                   "close": F.coalesce("close", F.lit(float("nan")))})
+     .write.partitionBy("year", "month").parquet(root))
+    back = landing.read_raw(spark, root, schema=fixtures.quotes_schema(), foreign=True)
+    return back.select(*fixtures.QUOTE_COLUMNS)
+
+
+def with_month(df):
+    return files.with_partition_columns(df, "monthly")
+
+
 # ---- month-partitioned clean table, rebuilt incrementally ------------------------
 
 _SPLIT = "2018-01-01"

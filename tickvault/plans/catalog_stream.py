@@ -4,53 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickvault.operators import enrich
+from tickvault.operators import dims
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.plans import oracle as O
-from tickvault.plans.catalog import quotes, register
+from tickvault.plans.catalog import quotes, register, run_ts, silver, store
 from tickvault.plans.constants import RUN_TS_ISO
 from tickvault.session import work_path
+from tickvault.sinks import tables
 from tickvault.sources import fixtures
 from tickvault.streaming import incremental as S
 
 
-def land_by_year(spark, d) -> str:
-    """The raw quotes arriving one year at a time: one file per year, written
-    oldest first (seven separate landing events), so a file stream with one
-    file per trigger sees the history in date order.  The year list is a
-    handful of values bounded by the calendar."""
-    root = work_path(spark, "landing")
+def arrivals(spark, d):
+    """Two deliveries, each a folder of files: the odd rows, then the even ones,
+    with dates all over the history and some (ticker, date) in both."""
     q = quotes(spark, d)
-    years = [r[0] for r in q.select(F.year("date")).distinct().orderBy(1).collect()]
-    for y in years:
-        q.where(F.year("date") == y).coalesce(1).write.parquet(f"{root}/year={y}")
-    return root
+    return [q.where(F.col("src_id") % 2 != 0), q.where(F.col("src_id") % 2 == 0)]
 
 
 @register("stream_clean", O.sql("SELECT * FROM clean", "clean"))
 def q_stream_clean(spark, d):
-    src = work_path(spark, "landing")
-    q = quotes(spark, d)
-    q.where(F.col("src_id") % 2 == 0).write.parquet(f"{src}/part=0")
-    q.where(F.col("src_id") % 2 != 0).write.parquet(f"{src}/part=1")
-    sink, ckpt = work_path(spark, "clean"), work_path(spark, "checkpoint")
-    query = S.clean_stream(spark, src, fixtures.quotes_schema(), sink, ckpt)
-    query.awaitTermination()
-    return spark.read.schema(fixtures.quotes_schema()).parquet(sink)
+    src, sink, ckpt = (work_path(spark, x) for x in ("landing", "clean", "checkpoint"))
+    for k, rows in enumerate(arrivals(spark, d)):
+        rows.write.parquet(f"{src}/part={k}")
+        S.clean_stream(spark, src, fixtures.quotes_schema(), sink, ckpt).awaitTermination()
+    return S.read_batches(spark, sink, fixtures.quotes_schema())
+
+
+def run_silver(spark, d, after=None) -> str:
+    src, root, ckpt = (work_path(spark, x) for x in ("landing", "stream", "checkpoint"))
+    meta = store(fixtures.meta(spark, d), "meta")
+    for k, rows in enumerate(arrivals(spark, d)):
+        rows.write.parquet(f"{src}/part={k}")
+        S.silver_stream(spark, src, fixtures.quotes_schema(), root, ckpt, RUN_TS_ISO,
+                        lambda clean: lookup_metadata(clean, meta), after).awaitTermination()
+    return root
 
 
 @register("stream_silver", O.sql("SELECT * FROM silver", "silver"))
 def q_stream_silver(spark, d):
-    src = land_by_year(spark, d)
-    root, ckpt = work_path(spark, "stream"), work_path(spark, "checkpoint")
-    meta = fixtures.meta(spark, d)
-
-    def enrich_fn(rows):
-        looked = lookup_metadata(rows, meta)
-        out = enrich.with_price_range(looked.withColumn(
-            "daily_return", enrich.daily_return("close", "prev_close")).drop("prev_close"))
-        return out.withColumns({"processed_at": F.lit(RUN_TS_ISO), "layer": F.lit("silver")})
-
-    query = S.silver_stream(spark, src, fixtures.quotes_schema(), root, ckpt, enrich_fn)
-    query.awaitTermination()
-    return S.read_batches(spark, f"{root}/silver")
+    return S.read_silver(spark, run_silver(spark, d))
+
+
+@register("stream_quarantine", O.sql(
+    "SELECT src_id, failure_reason FROM flagged WHERE failure_reason IS NOT NULL UNION ALL "
+    "SELECT src_id, 'duplicate_key' FROM clean WHERE src_id NOT IN (SELECT src_id FROM dedup)", "dedup"))
+def q_stream_quarantine(spark, d):
+    """Rejected and duplicate rows of both deliveries, each once."""
+    root = run_silver(spark, d)
+    rejected, duplicates = (S.read_batches(spark, f"{root}/{x}") for x in ("rejected", "duplicates"))
+    return rejected.select("src_id", "failure_reason").unionAll(duplicates.select("src_id", "failure_reason"))
+
+
+@register("stream_fact", O.sql("SELECT * FROM fact", "fact"))
+def q_stream_fact(spark, d):
+    path = work_path(spark, "fact")
+    tickers = store(dims.dim_ticker(silver(spark, d), run_ts()), "dim_ticker")
+    run_silver(spark, d, S.fact_updates(path, dims.dim_date(spark), tickers, run_ts()))
+    return tables.read_table(spark, path)

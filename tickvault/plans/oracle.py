@@ -7,7 +7,7 @@ definitions in FIXTURES.md and the reference's SQL/DataFrame semantics.
 from __future__ import annotations
 
 from tickvault.plans.constants import RUN_TS, RUN_TS_ISO
-from tickvault.sources.fixtures import META_SQL, QUOTES_SQL
+from tickvault.sources.fixtures import META_SQL, QUOTES_SQL, WIDE_META_SQL, WIDE_QUOTES_SQL
 
 RULE_CASE = """CASE
   WHEN date IS NULL OR ticker IS NULL OR open IS NULL OR high IS NULL OR low IS NULL
@@ -17,7 +17,8 @@ RULE_CASE = """CASE
   WHEN high < low OR high < open OR high < close THEN 'ohlc_inconsistency'
 END"""
 
-def chain(src: str = "quotes", p: str = "", processed_at: str = f"'{RUN_TS_ISO}'") -> dict[str, str]:
+def chain(src: str = "quotes", p: str = "", processed_at: str = f"'{RUN_TS_ISO}'",
+          meta: str = "meta") -> dict[str, str]:
     """The clean-layer CTE chain over the raw rows in ``src``, names prefixed by ``p``."""
     return {
         f"{p}flagged": f"SELECT *, {RULE_CASE} AS failure_reason FROM {src}",
@@ -27,7 +28,7 @@ def chain(src: str = "quotes", p: str = "", processed_at: str = f"'{RUN_TS_ISO}'
             FROM {p}clean) WHERE rn = 1""",
         f"{p}enriched": f"""SELECT d.*, COALESCE(m.company_name, '') AS company_name,
             COALESCE(m.sector, '') AS sector, COALESCE(m.exchange, '') AS exchange
-            FROM {p}dedup d LEFT JOIN meta m ON d.ticker = m.ticker""",
+            FROM {p}dedup d LEFT JOIN {meta} m ON d.ticker = m.ticker""",
         f"{p}silver": f"""SELECT * EXCLUDE (prev_close),
             ROUND((close - prev_close) / prev_close, 6) AS daily_return,
             ROUND(high - low, 4) AS price_range,
@@ -49,6 +50,9 @@ CTES: dict[str, str] = {
     "quotes": QUOTES_SQL,
     "meta": META_SQL,
     **chain(),
+    "w_quotes": WIDE_QUOTES_SQL,
+    "w_meta": WIDE_META_SQL,
+    **chain("w_quotes", "w_", meta="w_meta"),
     "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
         CAST(year(d) AS SMALLINT) AS year, CAST(quarter(d) AS SMALLINT) AS quarter,
         CAST(month(d) AS SMALLINT) AS month, rpad(monthname(d), 9, ' ') AS month_name,
@@ -69,6 +73,8 @@ CTES: dict[str, str] = {
 # Which CTEs each CTE needs (so a query includes only what it reads).
 DEPS = {
     "flagged": ["quotes"], "clean": ["flagged"], "dedup": ["clean"],
+    "w_quotes": ["quotes"], "w_meta": ["meta"], "w_flagged": ["w_quotes"], "w_clean": ["w_flagged"],
+    "w_dedup": ["w_clean"], "w_enriched": ["w_dedup", "w_meta"], "w_silver": ["w_enriched"],
     "enriched": ["dedup", "meta"], "silver": ["enriched"], "dim_ticker": ["silver"],
     "fact": ["silver", "dim_date", "dim_ticker"],
 }

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from tickvault.functions.naming import run_stamp
 from tickvault.operators import checks, dims, enrich, fact, incremental, months, quality, reshape
 from tickvault.operators.lookup import lookup_metadata
-from tickvault.schemas import AUDIT_SCHEMA, FACT_SCHEMA, RAW_SCHEMA, enforce_schema
-from tickvault.session import ensure_checkpoint_dir
+from tickvault.schemas import AUDIT_SCHEMA, FACT_SCHEMA, RAW_SCHEMA, SILVER_SCHEMA, enforce_schema
 from tickvault.sinks import files, tables
 from tickvault.sources import landing
 from tickvault.sources.reference import DEFAULT_TICKERS, ticker_metadata
@@ -43,15 +42,21 @@ class Paths:
 @dataclass
 class Run:
     """One run.  ``silver_layout="ticker"`` rebuilds the clean table from the
-    whole history (folders per ticker, as the reference does); ``"month"``
-    keeps it in month folders and rebuilds only the months from ``since`` on,
-    seeding returns from the per-month state."""
+    whole history (folders per ticker, as the reference does), or only the
+    folders of ``tickers``; ``"month"`` keeps it in month folders and rebuilds
+    only the months from ``since`` on, seeding returns from the per-month
+    state.  ``dedup`` leaves one row per ticker and day (the fact is keyed by
+    them); without it, rows are ordered by their place in the raw files.
+    ``ticker_versions`` rebuilds the ticker dimension with a row for every
+    version of a ticker's attributes instead of the latest one."""
     run_id: str
     run_ts: dt.datetime
     raw_layout: str = "monthly"
-    dedup: bool = False
+    dedup: bool = True
     silver_layout: str = "ticker"
     since: str | None = None
+    tickers: Sequence[str] | None = None
+    ticker_versions: bool = False
     metrics: dict = field(default_factory=dict)
 
     @property
@@ -85,103 +90,125 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
     return failed
 
 
+_ROW_ID = "_row_id"
+
+
 def build_silver(spark: SparkSession, paths: Paths, run: Run,
-                 tickers: Sequence[str] | None = None, full_rebuild: bool = False) -> None:
-    """Raw -> rules -> clean (+ optional dedup) -> daily return -> clean table;
-    rejected rows to quarantine.  Two write jobs.
-
-    The quality counts (total, clean, rejected, per rule) are observed in the
-    quarantine write, whose single stage scans, flags and writes: observations
-    in a writing stage count each row once even when tasks are retried."""
-    raw = landing.read_raw(spark, paths.raw, run.raw_layout, RAW_SCHEMA)
+                 tickers: Sequence[str] | None = None) -> None:
+    """Raw -> rules -> clean -> dedup -> daily return -> clean table; rejected
+    and duplicate rows to quarantine.  Two write jobs.
+
+    Without a ticker restriction the table is replaced whole, so a ticker
+    whose rows no longer pass goes.  The quality counts (total, clean,
+    rejected, per rule) are observed in the quarantine write, whose single
+    stage scans, flags and writes: observations in a writing stage count each
+    row once even when tasks are retried.  A run whose counts don't add up
+    fails."""
+    tickers = tickers or run.tickers
+    raw = landing.read_raw(spark, paths.raw, run.raw_layout, RAW_SCHEMA, row_id=_ROW_ID)
     if run.silver_layout == "month":
+        if not run.dedup:
+            raise ValueError("the month layout keeps one row per ticker and day: it needs dedup")
         run.metrics.update(months.build_months(raw, paths.silver, paths.silver_state, run.iso,
-                                               since=run.since, dedup=run.dedup))
-        # The same range as the rebuild: whole months from the one holding ``since``.
-        recent = (raw if run.since is None
-                  else landing.scan_range(raw, months.month_start(run.since).isoformat()))
-        _quarantine(recent.select(*RAW_SCHEMA.fieldNames()), paths, run)
+                                               since=run.since, row_id=_ROW_ID))
+        # The same range as the rebuild: whole months from the one holding
+        # ``since``, and the rows without a date, which no month holds.
+        if run.since is not None:
+            raw = landing.since_with_undated(raw, months.month_start(run.since))
+        raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
+        _quarantine(raw, paths, run)
         return
-    raw = raw.select(*RAW_SCHEMA.fieldNames())
+    raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
     if tickers:
         raw = landing.scan_range(raw, tickers=tickers)
     clean = quality.clean_rows(raw)
-    duplicates = None
-    if run.dedup:
-        # A row id from the scan (partition index + position: the same on
-        # every re-run of the same files) breaks ties and names the removed
-        # rows, which go to quarantine as ``duplicate_key``.
-        clean = clean.withColumn(_ROW_ID, F.monotonically_increasing_id())
-        kept = quality.dedup_latest(clean, tiebreak=_ROW_ID)
-        duplicates = quality.duplicate_rows(clean, kept, _ROW_ID).drop(_ROW_ID)
-        clean = kept.drop(_ROW_ID)
-    silver = enrich.enrich_silver(clean, run.iso)
-    files.overwrite_partitions(silver, paths.silver, ["ticker"], dynamic=not full_rebuild)
-    _quarantine(raw, paths, run, duplicates)
+    rows = quality.dedup_latest(clean, tiebreak=None) if run.dedup else clean
+    silver = enrich.enrich_silver(rows, run.iso, tiebreak=[] if run.dedup else [_ROW_ID]).drop(_ROW_ID)
+    written = files.overwrite_partitions(silver, paths.silver, ["ticker"], dynamic=bool(tickers))
+    run.metrics["silver_rows"] = written.get["written"]
+    _quarantine(raw, paths, run)
 
 
-_ROW_ID = "_row_id"
+class UnbalancedRun(RuntimeError):
+    pass
 
 
-def _quarantine(raw: DataFrame, paths: Paths, run: Run, duplicates: DataFrame | None = None) -> None:
+def _quarantine(raw: DataFrame, paths: Paths, run: Run) -> None:
+    """Rows that a rule rejects and rows that dedup removed, with the reason.
+
+    A row is named by its place in the raw files, so the clean build and this
+    scan mean the same rows."""
     flagged, obs = quality.observe_metrics(quality.flag(raw), "silver_quality")
-    rejected = flagged.where(F.col(quality.REASON).isNotNull())
-    if duplicates is not None:
+    rejected = flagged.where(F.col(quality.REASON).isNotNull()).drop(_ROW_ID)
+    if run.dedup:
+        clean = quality.clean_rows(raw)
+        duplicates = quality.duplicate_rows(clean, quality.dedup_latest(clean, tiebreak=None), _ROW_ID).drop(_ROW_ID)
         dup_obs = Observation("duplicates")
         rejected = rejected.unionByName(
             duplicates.observe(dup_obs, F.count(F.lit(1)).alias("duplicate_rows")))
     run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
     run.metrics.update(obs.get)
-    if duplicates is not None:
-        run.metrics.update(dup_obs.get)
+    run.metrics["duplicate_rows"] = dup_obs.get["duplicate_rows"] if run.dedup else 0
     _balance(run)
 
 
 def _balance(run: Run) -> None:
-    # clean + rejected = total (A1): every input row lands in exactly one set.
+    # Every input row lands in exactly one set (A1): clean table or quarantine.
     m = run.metrics
-    m["balanced"] = m["clean_rows"] + m["rejected_rows"] == m["total_rows"]
+    m["balanced"] = (m["clean_rows"] + m["rejected_rows"] == m["total_rows"]
+                     and m["silver_rows"] + m["duplicate_rows"] == m["clean_rows"]
+                     and m["quarantined"] == m["rejected_rows"] + m["duplicate_rows"])
+    if not m["balanced"]:
+        raise UnbalancedRun(f"run {run.run_id}: {m}")
+
+
+def load_export(spark: SparkSession, paths: Paths) -> None:
+    """Replace the export table by the clean table; an empty one is refused."""
+    files.truncate_load(read_silver(spark, paths), paths.export, SILVER_SCHEMA)
 
 
 def read_silver(spark: SparkSession, paths: Paths) -> DataFrame:
     return spark.read.parquet(paths.silver)
 
 
+def _replace_table(df: DataFrame, path: str, run: Run) -> None:
+    staging = f"{path}.staging/{run.label}"
+    df.write.mode("overwrite").parquet(staging)
+    files.swap_in(df.sparkSession, staging, path)
+
+
 def build_gold(spark: SparkSession, paths: Paths, run: Run) -> None:
-    """dim_date (full refresh), dim_ticker (type 1, stable keys), fact (incremental upsert).
+    """dim_date (full refresh), dim_ticker (type 1 with stable keys, or versions), fact
+    (incremental upsert).
 
     Dimension sizes are known without extra jobs (the calendar's day count,
     the ticker dimension's count observed while it is written), so the star
     join decides its broadcasts without counting."""
-    staging = ensure_checkpoint_dir(spark).rstrip("/") + "/tickvault/staging"
     ts = F.lit(run.run_ts)
-    if not files.path_exists(spark, paths.dim_date):
-        dims.dim_date(spark).write.parquet(paths.dim_date)
+    _replace_table(dims.dim_date(spark), paths.dim_date, run)
     run.metrics["dim_date_rows"] = dims.dim_date_rows()
     silver = read_silver(spark, paths)
     if run.silver_layout == "month":
+        if run.since:
+            # Only the rebuilt months can hold rows newer than the fact, or
+            # newer attributes than the dimension: prune the other folders.
+            start = months.month_start(run.since)
+            silver = silver.where(F.col(months.MONTH_KEY) >= start.year * 100 + start.month)
         silver = silver.drop(months.MONTH_KEY)
-    existing = (spark.read.parquet(paths.dim_ticker)
-                if files.path_exists(spark, paths.dim_ticker) else None)
+    if run.ticker_versions:
+        new_dim = dims.dim_ticker(silver, ts)
+    else:
+        existing = (spark.read.parquet(paths.dim_ticker)
+                    if files.has_data_files(spark, paths.dim_ticker) else None)
+        new_dim = dims.dim_ticker_type1(silver, existing, ts)
     dim_obs = Observation("dim_ticker")
-    new_dim = dims.dim_ticker_type1(silver, existing, ts).observe(dim_obs, F.count(F.lit(1)).alias("n"))
-    tmp = f"{staging}/dim_ticker-{run.label}"
-    new_dim.write.mode("overwrite").parquet(tmp)
+    _replace_table(new_dim.observe(dim_obs, F.count(F.lit(1)).alias("n")), paths.dim_ticker, run)
     run.metrics["dim_ticker_rows"] = dim_obs.get["n"]
-    files.swap_in(spark, tmp, paths.dim_ticker)
     target = tables.read_table(spark, paths.fact)
-    source = silver
-    if run.silver_layout == "month" and run.since:
-        # Only the rebuilt months can hold rows newer than the fact: prune
-        # the other month folders before the high-water filter.
-        start = months.month_start(run.since)
-        source = (read_silver(spark, paths)
-                  .where(F.col(months.MONTH_KEY) >= start.year * 100 + start.month)
-                  .drop(months.MONTH_KEY))
-    changed = incremental.incremental_source(source, target)
+    changed = incremental.incremental_source(silver, target)
     rows = fact.fact_prices(changed, spark.read.parquet(paths.dim_date),
                             spark.read.parquet(paths.dim_ticker), ts, _dim_rows(run))
-    tables.upsert_table(rows, paths.fact, fact.FACT_KEYS, staging)
+    tables.upsert_table(rows, paths.fact, fact.FACT_KEYS)
 
 
 def _dim_rows(run: Run) -> dict[str, int]:
@@ -227,6 +254,7 @@ def run_pipeline(spark: SparkSession, download: DataFrame, paths: Paths, run: Ru
     try:
         failed = ingest_raw(spark, download, paths, run, tickers, meta)
         build_silver(spark, paths, run)
+        load_export(spark, paths)
         build_gold(spark, paths, run)
         results = run_data_tests(spark, paths, run).collect()  # one row per declared test
         failing = [r["test_name"] for r in results if r["status"] == "fail"]

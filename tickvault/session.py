@@ -36,8 +36,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder
-    and is used as given.  Only when it is unset (tests, local runs) a fresh
-    folder is created here.
+    and is used as given; without it a cluster session is an error, since
+    executors can't share a folder of the driver's machine.  Only a local
+    session gets a fresh temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tickvault-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

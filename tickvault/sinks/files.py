@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickvault.session import work_path
+
 # Layouts of the raw table.  "daily" is the one-folder-per-ticker-day layout
 # ticker=/year=/month=MM/day=DD; "monthly" keeps ticker and day as columns and
 # writes one folder per month, which keeps files large at scale.  Both give the
@@ -41,17 +43,47 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def swap_in(spark: SparkSession, staging: str, target: str) -> None:
-    """Replace ``target`` by the fully written ``staging`` folder (two renames)."""
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
+
+
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """Is there a Parquet file anywhere below ``path``?"""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def swap_in(spark: SparkSession, staging: str, target: str, trash: str | None = None) -> None:
+    """Replace ``target`` by the fully written ``staging`` folder (two renames).
+
+    Both must be on one file system.  The old folder waits in ``trash`` (by
+    default beside the target, under a name that readers of the parent skip)
+    until the new one is in place."""
     fs, t = _fs(spark, target)
     _, s = _fs(spark, staging)
-    old = None
-    if fs.exists(t):
-        _, old = _fs(spark, f"{target}.replaced-{uuid.uuid4().hex}")
-        fs.rename(t, old)
     parent = t.getParent()
-    if parent is not None and not fs.exists(parent):
+    if not fs.exists(parent):
         fs.mkdirs(parent)
+    old = None
+    if fs.exists(t):
+        _, bin_ = _fs(spark, trash or f"{parent.toString()}/_replaced")
+        fs.mkdirs(bin_)
+        _, old = _fs(spark, f"{bin_.toString()}/{uuid.uuid4().hex}")
+        if not fs.rename(t, old):
+            raise RuntimeError(f"could not move {target} away")
     if not fs.rename(s, t):
         if old is not None:
             fs.rename(old, t)
@@ -82,24 +114,29 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
     """Append only (ticker, date) groups not yet stored; existing ones are skipped,
     so re-running a batch writes nothing and the first write wins (K1, J4).
 
-    The existing keys are read only from the months the batch touches
-    (partition pruning on year/month), and matched with a NULL-safe anti join.
+    The batch is stored once in the shared folder; the months it touches (a
+    calendar-bounded list, the folder of NULL dates included) prune the read
+    of existing keys, which are matched with a NULL-safe anti join: rows
+    without a date are appended once like any others.
     Returns an Observation holding the number of rows written.
     """
     spark = df.sparkSession
     parts = LAYOUTS[layout]
     batch = with_partition_columns(df, layout, date_col)
-    if path_exists(spark, root):
-        span = batch.agg(F.min(date_col), F.max(date_col)).first()
-        if span[0] is None:
-            batch = batch.limit(0)
-        else:
-            lo, hi = span[0].year * 100 + span[0].month, span[1].year * 100 + span[1].month
-            stored = (spark.read.schema(raw_read_schema(df.schema, layout)).parquet(root)
-                      .where((F.col("year") * 100 + F.col("month")).between(lo, hi))
-                      .select(*keys).distinct())
-            cond = [batch[k].eqNullSafe(stored[k]) for k in keys]
-            batch = batch.join(stored, cond, "left_anti")
+    if has_data_files(spark, root):
+        staged = work_path(spark, "batch")
+        batch.write.parquet(staged)
+        batch = spark.read.schema(batch.schema).parquet(staged)
+        month = F.year(date_col) * 100 + F.month(date_col)
+        touched = [r[0] for r in batch.select(month).distinct().collect()]
+        folder = F.col("year") * 100 + F.col("month")
+        wanted = folder.isin([m for m in touched if m is not None])
+        if None in touched:
+            wanted = wanted | F.col("year").isNull()
+        stored = (spark.read.schema(raw_read_schema(df.schema, layout)).parquet(root)
+                  .where(wanted).select(*keys).distinct())
+        cond = [batch[k].eqNullSafe(stored[k]) for k in keys]
+        batch = batch.join(stored, cond, "left_anti")
     obs = Observation("append_idempotent")
     # Range-partition on the folder columns plus the keys: a hot folder is
     # spread over several tasks, each writing one file into it.  The count is
@@ -114,19 +151,22 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
 # ---- clean layer ----------------------------------------------------------------------
 
 def overwrite_partitions(df: DataFrame, root: str, partition_cols: Sequence[str] = ("ticker",),
-                         dynamic: bool = True, max_records_per_file: int | None = None) -> None:
+                         dynamic: bool = True, max_records_per_file: int | None = None) -> Observation:
     """Partitioned overwrite (K4).  Dynamic mode replaces only the partitions
-    present in ``df``; ``dynamic=False`` rebuilds the whole table.
-
-    No repartition before the write: the clean table arrives partitioned by
-    (ticker, month) from the return window, so a hot ticker is already spread
-    over many tasks, each adding one file to its folder; a hash repartition by
-    ticker would add a full shuffle and send a hot ticker to a single task."""
-    writer = (df.write.mode("overwrite")
+    present in ``df``; ``dynamic=False`` rebuilds the whole table, so a
+    partition without rows goes.  The observation has the rows ``written``.
+
+    Rows are rebalanced on the folder columns before the write: AQE gathers
+    small folders and splits a hot one by size, so a folder gets few files of
+    even size instead of one from every task."""
+    obs = Observation("overwrite_partitions")
+    balanced = df.hint("rebalance", *[F.col(c) for c in partition_cols])
+    writer = (balanced.observe(obs, F.count(F.lit(1)).alias("written")).write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.partitionBy(*partition_cols).parquet(root)
+    return obs
 
 
 def write_quarantine(rejected: DataFrame, root: str, run_label: str) -> int:
@@ -150,20 +190,29 @@ def create_table_if_absent(spark: SparkSession, path: str, schema: T.StructType)
         spark.createDataFrame([], schema).write.parquet(path)
 
 
-def truncate_load(df: DataFrame, path: str, schema: T.StructType, staging_root: str) -> None:
+class EmptyLoadError(RuntimeError):
+    pass
+
+
+def truncate_load(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Replace the table's content with ``df`` as one unit (K6).
 
-    Columns are taken in the table's order, skipping ones ``df`` lacks (P6),
-    and cast to the table types.  The rows are written to a staging folder
-    first and swapped in, so readers see the old or the new table, never a
-    half-written one."""
+    Columns are taken in the table's order and cast to the table types; ones
+    that ``df`` lacks are NULL, so the table keeps its columns.  The rows are
+    written to a staging folder beside the table and swapped in, so readers
+    see the old or the new table, never a half-written one.  An empty ``df``
+    is refused and the table left as it was (S9)."""
     spark = df.sparkSession
     create_table_if_absent(spark, path, schema)
     present = set(df.columns)
-    out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                      for f in schema.fields if f.name in present])
-    staging = f"{staging_root.rstrip('/')}/load-{uuid.uuid4().hex}"
-    out.write.parquet(staging)
+    out = df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in schema.fields])
+    staging = f"{path.rstrip('/')}.staging/load-{uuid.uuid4().hex}"
+    rows = Observation("truncate_load")
+    out.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(staging)
+    if not rows.get["n"]:
+        delete_path(spark, staging)
+        raise EmptyLoadError(f"nothing to load into {path}")
     swap_in(spark, staging, path)
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tickvault.operators.incremental import upsert
 from tickvault.schemas import assert_same_schema
-from tickvault.sinks.files import delete_path, path_exists, swap_in
+from tickvault.sinks.files import (delete_path, has_data_files, list_folders, path_exists,
+                                   swap_in, touch)
 
 
 def month_of_date_key(date_key: str = "date_key") -> Column:
@@ -18,51 +19,78 @@ def month_of_date_key(date_key: str = "date_key") -> Column:
     return (F.col(date_key) / 100).cast("int")
 
 
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], staging_root: str,
+class DuplicateKeyError(ValueError):
+    pass
+
+
+def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                  partition_col: str = "month_key",
                  partition_expr: Column | None = None) -> None:
     """Upsert ``source`` into the table at ``path`` by ``keys``.
 
-    First run: plain create.  Later runs: fail on a schema change (K10), then
-    rebuild only the partitions the source touches - the kept target rows of
-    those partitions plus all source rows - into a staging folder of the shared
-    file system, and swap each rebuilt partition folder in.  The table is never
-    read and overwritten by the same plan, and the rows are written once.  The
-    touched partition values are a calendar-bounded list (one per month).
-    Re-running after a failure is safe: delete+insert by key is idempotent.
+    The source is stored once.  Then: fail on a schema change (K10) or on a
+    key that the source holds twice, rebuild only the partitions it touches -
+    the kept target rows of those partitions plus all source rows - and swap
+    each rebuilt folder in.  The table is never read and overwritten by the
+    same plan.  The touched partition values are a calendar-bounded list.
+
+    Safe to re-run after a failure at any point: rebuilt folders lie beside
+    the table (``<path>.staging``, the same file system) and are marked ready
+    once all are written.  ``recover``, which every read and upsert begins
+    with, moves the folders of a ready set that are not in place yet, so the
+    high-water mark of a table never stands for folders that are missing.
     """
     spark = source.sparkSession
     expr = partition_expr if partition_expr is not None else month_of_date_key()
-    src = source.withColumn(partition_col, expr)
-    order = [partition_col, *keys]
     target = read_table(spark, path, partition_col=None)
-    if target is None:
-        src.repartition(*order).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return
-    assert_same_schema(source.schema, target.drop(partition_col).schema)
+    if target is not None:
+        assert_same_schema(source.schema, target.drop(partition_col).schema)
+    work = f"{path.rstrip('/')}.staging/_upsert-{uuid.uuid4().hex}"
+    source.withColumn(partition_col, expr).write.parquet(f"{work}/source")
+    src = spark.read.parquet(f"{work}/source")
+    twice = src.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        delete_path(spark, work)
+        raise DuplicateKeyError(f"the source of {path} holds a key twice: {twice[0].asDict()}")
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
-    if not touched:
-        return
-    current = target.where(F.col(partition_col).isin(touched))
-    merged = upsert(current, src.select(*current.columns), [*keys])
-    staging = f"{staging_root.rstrip('/')}/upsert-{uuid.uuid4().hex}"
-    # Hash on (month, keys): the keys are unique, so a hot month is spread
-    # evenly over tasks; AQE coalesces the partitions to the data size.
-    merged.repartition(*order).write.partitionBy(partition_col).parquet(staging)
-    for value in touched:
-        swap_in(spark, f"{staging}/{partition_col}={value}", f"{path}/{partition_col}={value}")
-    delete_path(spark, staging)
+    if touched:
+        order = [partition_col, *keys]
+        merged = src
+        if target is not None:
+            nulls = F.col(partition_col).isNull() if None in touched else F.lit(False)
+            current = target.where(F.col(partition_col).isin([t for t in touched if t is not None]) | nulls)
+            merged = upsert(current, src.select(*current.columns), [*keys])
+        # A range on (month, keys): a month lies in few tasks, so it gets few
+        # files, and a hot month is split by its keys.
+        merged.repartitionByRange(*order).write.partitionBy(partition_col).parquet(f"{work}/rebuilt")
+        ready = f"{path.rstrip('/')}.staging/ready-{uuid.uuid4().hex}"
+        swap_in(spark, f"{work}/rebuilt", ready)
+        touch(spark, f"{ready}/_READY")
+    delete_path(spark, work)
+    recover(spark, path)
+
+
+def recover(spark, path: str) -> None:
+    """Move in what a finished rebuild of ``path`` has not moved yet.
+
+    A set without its mark was not complete: it is dropped, and its run, which
+    has failed, is to be repeated.  One writer at a time per table."""
+    root = f"{path.rstrip('/')}.staging"
+    for name in list_folders(spark, root):
+        if not name.startswith("ready-"):
+            continue
+        if path_exists(spark, f"{root}/{name}/_READY"):
+            for folder in list_folders(spark, f"{root}/{name}"):
+                swap_in(spark, f"{root}/{name}/{folder}", f"{path.rstrip('/')}/{folder}", trash=f"{root}/_trash")
+        delete_path(spark, f"{root}/{name}")
 
 
 def read_table(spark, path: str, partition_col: str | None = "month_key") -> DataFrame | None:
     """The table at ``path`` (without its partition column), or None when there
-    is none yet - no folder, or a folder without data files (an empty first load)."""
-    from pyspark.errors import AnalysisException
-
-    if not path_exists(spark, path):
-        return None
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
+    is none yet - no folder, or a folder without data files (an empty first
+    load).  Any failure to read existing files is raised."""
+    recover(spark, path)
+    if not has_data_files(spark, path):
         return None
+    df = spark.read.parquet(path)
     return df.drop(partition_col) if partition_col and partition_col in df.columns else df

@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 # Fixture parameters from FIXTURES.md.
 DATE_SHIFT_DAYS = 7000
-TICKER_BUCKETS = 50
+CUSTOMERS_PER_TICKER = 4        # so the number of tickers grows with the tables
+WIDE_TICKERS = 50               # of the download frame, which has a column for each
 META_BUCKETS = 40
 NASDAQ_BUCKETS = 35
-FIXTURE_INGESTED_AT = "2024-01-02T00:00:00"
+FIRST_INGESTED_AT = "2024-01-02T00:00:00"
+LATER_INGESTED_AT = "2024-01-03T00:00:00"
 FIXTURE_SOURCE = "synthetic"
 MISSING_TICKER = "T99"
 WIDE_FIELDS = ["Open", "High", "Low", "Close", "Adj Close", "Volume"]
 
 QUOTES_SQL = """
-SELECT CAST(o_orderdate + INTERVAL '7000' DAY AS DATE) AS date,
+SELECT CASE WHEN o_orderkey % 127 = 0 THEN NULL
+            ELSE CAST(o_orderdate + INTERVAL '7000' DAY AS DATE) END AS date,
        o_totalprice * (CASE WHEN o_orderkey % 107 = 0 THEN -1 ELSE 1 END) AS open,
        CASE WHEN o_orderkey % 113 = 0 THEN o_totalprice - 50 ELSE o_totalprice + 5 END AS high,
        o_totalprice - 5 AS low,
@@ -29,26 +32,48 @@ SELECT CAST(o_orderdate + INTERVAL '7000' DAY AS DATE) AS date,
        CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_totalprice + (o_orderkey % 7 - 3) - 0.5 END AS adj_close,
        CAST(CASE WHEN o_orderkey % 109 = 0 THEN -1 ELSE 1000 + o_orderkey % 9000 END AS BIGINT) AS volume,
        CASE WHEN o_orderkey % 101 = 0 THEN NULL
-            ELSE CONCAT('T', LPAD(CAST(o_custkey % 50 AS VARCHAR(10)), 2, '0')) END AS ticker,
-       '2024-01-02T00:00:00' AS ingested_at, 'synthetic' AS source, o_orderkey AS src_id
+            ELSE CONCAT('T', LPAD(CAST(CAST(FLOOR(o_custkey / 4.0) AS BIGINT) AS VARCHAR(20)), 9, '0')) END AS ticker,
+       CASE WHEN o_orderkey % 3 = 0 THEN '2024-01-03T00:00:00' ELSE '2024-01-02T00:00:00' END AS ingested_at,
+       'synthetic' AS source, o_orderkey AS src_id
 FROM orders
 """
 
 META_SQL = """
-SELECT CONCAT('T', LPAD(CAST(c_custkey % 50 AS VARCHAR(10)), 2, '0')) AS ticker,
+SELECT CONCAT('T', LPAD(CAST(b AS VARCHAR(20)), 9, '0')) AS ticker,
        MIN(c_name) AS company_name, MIN(c_mktsegment) AS sector,
-       CASE WHEN c_custkey % 50 < 35 THEN 'NASDAQ' ELSE 'NYSE' END AS exchange
-FROM customer WHERE c_custkey % 50 < 40 GROUP BY c_custkey % 50
+       CASE WHEN b % 50 < 35 THEN 'NASDAQ' ELSE 'NYSE' END AS exchange
+FROM (SELECT *, CAST(FLOOR(c_custkey / 4.0) AS BIGINT) AS b FROM customer)
+WHERE b % 50 < 40 GROUP BY b
 """
 
+#: ``quotes`` and ``meta`` folded into fifty tickers, for wide frames and ticker folders.
+WIDE_QUOTES_SQL = """
+SELECT * REPLACE (CASE WHEN ticker IS NOT NULL THEN CONCAT('T', LPAD(CAST(
+       CAST(SUBSTR(ticker, 2) AS BIGINT) % 50 AS VARCHAR(10)), 2, '0')) END AS ticker) FROM quotes
+"""
+
+WIDE_META_SQL = """
+SELECT CONCAT('T', LPAD(CAST(b AS VARCHAR(20)), 2, '0')) AS ticker, MIN(company_name) AS company_name,
+       MIN(sector) AS sector, MIN(exchange) AS exchange
+FROM (SELECT *, CAST(SUBSTR(ticker, 2) AS BIGINT) % 50 AS b FROM meta) GROUP BY b
+"""
+
+
+def _label(number, width: int):
+    return F.concat(F.lit("T"), F.lpad(number.cast("string"), width, "0"))
+
 
-def _ticker_label(bucket):
-    return F.concat(F.lit("T"), F.lpad(bucket.cast("string"), 2, "0"))
+def _number(custkey: str):
+    return F.floor(F.col(custkey) / CUSTOMERS_PER_TICKER).cast("bigint")
+
+
+def _fold(df: DataFrame) -> DataFrame:
+    return df.withColumn("ticker", _label(F.substring("ticker", 2, 20).cast("bigint") % WIDE_TICKERS, 2))
 
 
 def fixture_tickers() -> list[str]:
-    """All ticker labels the fixture rule can produce (T00..T49)."""
-    return [f"T{i:02d}" for i in range(TICKER_BUCKETS)]
+    """All ticker labels of the folded fixture (T00..T49)."""
+    return [f"T{i:02d}" for i in range(WIDE_TICKERS)]
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,34 +81,41 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, p = F.col("o_orderkey"), F.col("o_totalprice")
     drift = k % 7 - 3
     return o.select(
-        F.date_add(F.to_date("o_orderdate"), DATE_SHIFT_DAYS).alias("date"),
+        F.when(k % 127 != 0, F.date_add(F.to_date("o_orderdate"), DATE_SHIFT_DAYS)).alias("date"),
         (p * F.when(k % 107 == 0, -1).otherwise(1)).alias("open"),
         F.when(k % 113 == 0, p - 50).otherwise(p + 5).alias("high"),
         (p - 5).alias("low"),
         F.when(k % 103 == 0, F.lit(None)).otherwise(p + drift).cast("double").alias("close"),
         F.when(k % 17 == 0, F.lit(None)).otherwise(p + drift - 0.5).cast("double").alias("adj_close"),
         F.when(k % 109 == 0, -1).otherwise(1000 + k % 9000).cast("bigint").alias("volume"),
-        F.when(k % 101 == 0, F.lit(None))
-         .otherwise(_ticker_label(F.col("o_custkey") % TICKER_BUCKETS)).alias("ticker"),
-        F.lit(FIXTURE_INGESTED_AT).alias("ingested_at"),
+        F.when(k % 101 != 0, _label(_number("o_custkey"), 9)).alias("ticker"),
+        F.when(k % 3 == 0, LATER_INGESTED_AT).otherwise(FIRST_INGESTED_AT).alias("ingested_at"),
         F.lit(FIXTURE_SOURCE).alias("source"),
         k.alias("src_id"),
     )
 
 
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    bucket = F.col("c_custkey") % TICKER_BUCKETS
-    return (c.where(bucket < META_BUCKETS)
-             .groupBy(bucket.alias("bucket"))
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").withColumn("b", _number("c_custkey"))
+    return (c.where(F.col("b") % 50 < META_BUCKETS)
+             .groupBy("b")
              .agg(F.min("c_name").alias("company_name"),
                   F.min("c_mktsegment").alias("sector"))
-             .select(_ticker_label(F.col("bucket")).alias("ticker"),
+             .select(_label(F.col("b"), 9).alias("ticker"),
                      "company_name", "sector",
-                     F.when(F.col("bucket") < NASDAQ_BUCKETS, "NASDAQ")
+                     F.when(F.col("b") % 50 < NASDAQ_BUCKETS, "NASDAQ")
                       .otherwise("NYSE").alias("exchange")))
 
 
+def wide_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fold(quotes(spark, sf_dir))
+
+
+def wide_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fold(meta(spark, sf_dir)).groupBy("ticker").agg(
+        *[F.min(c).alias(c) for c in ("company_name", "sector", "exchange")])
+
+
 def wide_frame(rows: DataFrame, tickers: list[str], index: str = "Date") -> DataFrame:
     """Download-shaped wide frame: one row per date, one struct per ticker
     holding the six source fields (the (ticker, field) column MultiIndex).

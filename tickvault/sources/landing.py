@@ -5,14 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickvault.functions.naming import partition_value_from_path
 from tickvault.schemas import RAW_SCHEMA, enforce_schema
-from tickvault.sinks.files import LAYOUTS, raw_read_schema
+from tickvault.sinks.files import LAYOUTS, has_data_files, raw_read_schema
 
 
 class NoInputError(RuntimeError):
@@ -21,7 +20,7 @@ class NoInputError(RuntimeError):
 
 def read_raw(spark: SparkSession, root: str, layout: str = "monthly",
              schema: T.StructType = RAW_SCHEMA, nan_to_null: bool = True,
-             foreign: bool = False) -> DataFrame:
+             foreign: bool = False, row_id: str | None = None) -> DataFrame:
     """Partitioned raw dataset with a declared schema: partition columns get
     fixed types and file columns are cast / NaN-cleaned (S2, C2).
 
@@ -30,20 +29,24 @@ def read_raw(spark: SparkSession, root: str, layout: str = "monthly",
     (a timestamp ``date``, a DOUBLE ``volume``): their columns are read as
     stored - only the partition columns take declared types, so no value is
     re-inferred - and then cast.  ``nan_to_null=False`` is for data
-    normalised on write, to keep pushdown."""
-    try:
-        if foreign:
-            stored = spark.read.parquet(root).schema
-            parts = set(LAYOUTS[layout])
-            file_schema = T.StructType([f for f in stored.fields if f.name not in parts])
-            df = spark.read.schema(raw_read_schema(file_schema, layout)).parquet(root)
-        else:
-            df = spark.read.schema(raw_read_schema(schema, layout)).parquet(root)
-    except AnalysisException as exc:
-        raise NoInputError(f"no input under {root}") from exc
+    normalised on write, to keep pushdown.  ``row_id`` names a column that
+    tells stored rows apart: the file's path and the row's place in it, which
+    any later scan of the same files gives again."""
+    if not has_data_files(spark, root):
+        raise NoInputError(f"no input under {root}")
+    if foreign:
+        stored = spark.read.parquet(root).schema
+        parts = set(LAYOUTS[layout])
+        schema_read = T.StructType([f for f in stored.fields if f.name not in parts])
+    else:
+        schema_read = schema
+    df = spark.read.schema(raw_read_schema(schema_read, layout)).parquet(root)
+    if row_id:
+        df = df.withColumn(row_id, F.concat_ws("#", "_metadata.file_path", F.format_string("%012d", "_metadata.row_index")))
     return enforce_schema(df, schema, nan_to_null=nan_to_null)
 
 
+
 def read_partition(spark: SparkSession, root: str, partition_filter: str,
                    schema: T.StructType | None = None) -> DataFrame:
     """Only the folder ``root/partition_filter`` (e.g. ``ticker=T07``), keeping the
@@ -109,6 +112,15 @@ def raw_batch(spark: SparkSession, root: str, tickers: Sequence[str] | None = No
                       list(tickers) if tickers is not None else DEFAULT_TICKERS)
 
 
+def since_with_undated(df: DataFrame, start: dt.date, date_col: str = "date") -> DataFrame:
+    """Rows from ``start`` on and rows without a date, which belong to no month
+    but must not escape a run; other months' folders are pruned."""
+    out = df.where((F.col(date_col) >= F.lit(start)) | F.col(date_col).isNull())
+    if "year" in df.columns and "month" in df.columns:
+        out = out.where((F.col("year") * 100 + F.col("month") >= start.year * 100 + start.month) | F.col("year").isNull())
+    return out
+
+
 def next_day(ds: str) -> str:
     """The day after an ISO date string."""
     return (dt.date.fromisoformat(ds) + dt.timedelta(days=1)).isoformat()

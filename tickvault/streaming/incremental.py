@@ -1,30 +1,33 @@
-"""Incremental raw -> clean -> silver with Structured Streaming (C4).
+"""Incremental raw -> clean -> silver -> fact with Structured Streaming (C4).
 
-``clean_stream``: stateless quality rules on a file stream, written by the
-Parquet file sink (exactly-once through its commit log).
+``clean_stream`` splits every micro-batch by the rules into clean and rejected rows.
 
-``silver_stream``: ``foreachBatch`` that cleans, de-duplicates and enriches each
-micro-batch.  The previous close of a ticker's first row in a batch comes from
-a small state table (last accepted row per ticker) kept per epoch, so a batch
-that holds only new days still gets its daily return.  Every output of epoch
-N goes to ``batch_id=N`` folders written in overwrite mode: re-running an epoch
-after a failure replaces its own output instead of duplicating it.
+``silver_stream`` keeps the month-partitioned clean table up to date: a
+micro-batch's accepted rows are stored, and the months from the earliest one it
+touches are rebuilt from all rows stored so far.  So the same (ticker, date) in
+two files leaves one row, a late date changes the return of the day after it,
+and files may arrive in any order and number.  In-order arrivals rebuild only
+the newest month; a late row costs the months after it.
+
+``fact_updates`` carries the rebuilt months on into the fact by keyed upsert.
+
+Every output of epoch N goes to ``batch_id=N`` folders in overwrite mode, and
+rebuilding a month replaces it: re-running an epoch after a failure gives the
+same tables again.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+from typing import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickvault.operators import enrich, quality
-from tickvault.sinks.files import path_exists
-
-STATE_COLUMNS = ["ticker", "date", "src_id", "close"]
+from tickvault.operators import fact, months, quality
+from tickvault.sinks import tables
+from tickvault.sinks.files import has_data_files
 
 
 def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -38,67 +41,93 @@ def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 
 def clean_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
-                 checkpoint_dir: str, available_now: bool = True) -> StreamingQuery:
-    """Clean rows of every new raw file, appended to ``sink_dir``."""
-    clean = quality.clean_rows(file_stream(spark, source_dir, schema))
-    writer = (clean.writeStream.format("parquet").outputMode("append")
-              .option("path", sink_dir).option("checkpointLocation", checkpoint_dir))
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+                 checkpoint_dir: str, available_now: bool = True,
+                 rejected_dir: str | None = None) -> StreamingQuery:
+    """Clean rows of every new raw file to ``sink_dir``, rejected ones with their
+    reason to ``rejected_dir`` (default: beside it)."""
+    rejected_dir = rejected_dir or f"{sink_dir.rstrip('/')}_rejected"
 
+    def run(batch: DataFrame, batch_id: int) -> None:
+        clean, rejected = quality.split(batch)
+        clean.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        rejected.write.mode("overwrite").parquet(f"{rejected_dir}/batch_id={batch_id}")
 
-def _state_path(root: str, batch_id: int) -> str:
-    return f"{root}/_state/batch_id={batch_id}"
+    writer = (file_stream(spark, source_dir, schema).writeStream.foreachBatch(run)
+              .option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    return writer.start()
 
 
-def silver_batch(root: str, enrich_fn: Callable[[DataFrame], DataFrame],
-                 key: str = "ticker", order: Sequence[str] = ("date", "src_id")):
-    """The foreachBatch function: clean -> dedup -> seeded daily return."""
-    order = list(order)
+def silver_batch(root: str, schema: T.StructType, processed_at: str,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None,
+                 after: Callable[[SparkSession, str, list[int]], None] | None = None,
+                 row_id: str = "src_id"):
+    """The foreachBatch function.  ``row_id`` is a unique number of every raw row;
+    ``after(spark, silver_root, rebuilt_months)`` runs once the months are in."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         clean, rejected = quality.split(batch)
         rejected.write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
-        # A micro-batch is bounded by maxFilesPerTrigger; its de-duplicated rows
-        # feed the seeds, the window and the next state, so they are kept for
-        # the epoch (memory and disk; recomputed from the files if lost).
-        rows = quality.dedup_latest(clean).persist(StorageLevel.MEMORY_AND_DISK)
-        prev_state = _state_path(root, batch_id - 1)
-        seeded = rows.withColumn("_seed", F.lit(False))
-        state = None
-        if batch_id > 0 and path_exists(spark, prev_state):
-            state = spark.read.parquet(prev_state)
-            seeds = (state.join(rows.select(key).distinct(), key, "left_semi")
-                          .withColumn("_seed", F.lit(True)))
-            seeded = seeded.unionByName(seeds, allowMissingColumns=True)
-        with_prev = enrich.with_prev_close(seeded, key, order[0], order[1:])
-        out = enrich_fn(with_prev.where(~F.col("_seed")).drop("_seed"))
-        out.write.mode("overwrite").parquet(f"{root}/silver/batch_id={batch_id}")
-        # Last accepted row per ticker after this epoch (one row per ticker).
-        last = rows.select(*STATE_COLUMNS)
-        if state is not None:
-            last = last.unionByName(state.select(*STATE_COLUMNS))
-        new_state = (last.groupBy(key)
-                         .agg(F.max_by(F.struct(*STATE_COLUMNS[1:]),
-                                       F.struct(*[F.col(c) for c in order])).alias("_s"))
-                         .select(key, *[F.col(f"_s.{c}").alias(c) for c in STATE_COLUMNS[1:]]))
-        new_state.write.mode("overwrite").parquet(_state_path(root, batch_id))
-        rows.unpersist()
+        accepted = f"{root}/accepted/batch_id={batch_id}"
+        (clean.withColumn(months.MONTH_KEY, months.month_key()).write.mode("overwrite")
+              .partitionBy(months.MONTH_KEY).parquet(accepted))
+        if not has_data_files(spark, accepted):
+            return
+        new = spark.read.schema(_with(schema, months.MONTH_KEY)).parquet(accepted)
+        first = new.agg(F.min(months.MONTH_KEY)).first()[0]
+        stored = (spark.read.schema(_with(schema, "batch_id", months.MONTH_KEY)).parquet(f"{root}/accepted")
+                  .where((F.col(months.MONTH_KEY) >= first) & (F.col("batch_id") <= batch_id))
+                  .select(*schema.fieldNames()))
+        # Rows that lost against another row of their key, now or to this batch.
+        rivals = stored.join(new.select("ticker", "date").distinct(), ["ticker", "date"], "left_semi") \
+            .select(*schema.fieldNames())
+        losers = quality.duplicate_rows(rivals, quality.dedup_latest(rivals, tiebreak=row_id), row_id)
+        if has_data_files(spark, f"{root}/duplicates"):
+            earlier = spark.read.schema(_with(schema, "batch_id")).parquet(f"{root}/duplicates") \
+                .where(F.col("batch_id") < batch_id).select(row_id)
+            losers = losers.join(earlier, row_id, "left_anti")
+        losers.write.mode("overwrite").parquet(f"{root}/duplicates/batch_id={batch_id}")
+        since = f"{first // 100:04d}-{first % 100:02d}-01"
+        built = months.build_months(stored, f"{root}/silver", f"{root}/state", processed_at, since=since,
+                                    tiebreak=[row_id], prepare=prepare)
+        if after:
+            after(spark, f"{root}/silver", built["months"])
+
+    return run
+
+
+def _with(schema: T.StructType, *partitions: str) -> T.StructType:
+    kinds = {months.MONTH_KEY: T.IntegerType(), "batch_id": T.LongType()}
+    return T.StructType([*schema.fields, *[T.StructField(p, kinds[p]) for p in partitions]])
+
+
+def fact_updates(fact_path: str, dim_date: DataFrame, dim_ticker: DataFrame, created_at: Column):
+    """``after`` for ``silver_batch``: upsert the rebuilt months into the fact."""
+
+    def run(spark: SparkSession, silver_root: str, rebuilt: list[int]) -> None:
+        rows = spark.read.parquet(silver_root).where(F.col(months.MONTH_KEY).isin(rebuilt))
+        tables.upsert_table(fact.fact_prices(rows, dim_date, dim_ticker, created_at), fact_path, fact.FACT_KEYS)
 
     return run
 
 
 def silver_stream(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
-                  checkpoint_dir: str, enrich_fn: Callable[[DataFrame], DataFrame],
-                  max_files_per_trigger: int | None = 1) -> StreamingQuery:
-    """Micro-batch silver build over a raw file stream (files arrive in date order)."""
+                  checkpoint_dir: str, processed_at: str,
+                  prepare: Callable[[DataFrame], DataFrame] | None = None,
+                  after: Callable[[SparkSession, str, list[int]], None] | None = None,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Clean-table updates over a raw file stream; ``read_silver`` reads the table."""
     stream = file_stream(spark, source_dir, schema, max_files_per_trigger)
-    return (stream.writeStream.foreachBatch(silver_batch(root, enrich_fn))
+    return (stream.writeStream.foreachBatch(silver_batch(root, schema, processed_at, prepare, after))
             .option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())
 
 
+def read_silver(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/silver").drop(months.MONTH_KEY)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """All ``batch_id=N`` folders of an output as one table, without the folder column."""
     reader = spark.read if schema is None else spark.read.schema(
