@@ -1,7 +1,7 @@
 """DuckDB SQL for every registered query, built from shared CTEs.
 
 These are written independently of the Spark code: they follow the
-definitions in FIXTURES.md and the reference's SQL/DataFrame semantics.
+definitions in FIXTURES.md.
 """
 
 from __future__ import annotations

@@ -42,7 +42,7 @@ class Paths:
 @dataclass
 class Run:
     """One run.  ``silver_layout="ticker"`` rebuilds the clean table from the
-    whole history (folders per ticker, as the reference does), or only the
+    whole history (folders per ticker), or only the
     folders of ``tickers``; ``"month"`` keeps it in month folders and rebuilds
     only the months from ``since`` on, seeding returns from the per-month
     state.  ``dedup`` leaves one row per ticker and day (the fact is keyed by
