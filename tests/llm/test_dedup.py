@@ -207,15 +207,21 @@ def test_chain_of_near_copies_and_small_blocks(spark, monkeypatch):
 
 def test_count_tree_never_loses():
     rng = np.random.default_rng(2)
-    points = rng.poisson(3, (300, jaccard_join.DIMS)).astype(np.uint16)
-    points[5, 3] = jaccard_join.FULL
+    points = rng.poisson(3, (300, jaccard_join.DIMS)).astype(np.uint8)
+    points[5, 3] = points[12, 3] = points[14, 9] = jaccard_join.FULL
+    points[100:140] = points[100] + rng.integers(0, 2, (40, jaccard_join.DIMS)).astype(np.uint8)
     sizes = points.astype(np.int64).sum(axis=1)
-    tree = jaccard_join.CountTree(points, sizes)
-    wide = jaccard_join._open(points)
-    for i in range(0, 300, 7):
-        bound = np.minimum(wide, wide[i]).sum(axis=1)
-        want = (7 * bound >= 3 * (sizes + sizes[i])) & (4 * sizes >= 3 * sizes[i]) & (3 * sizes <= 4 * sizes[i])
-        assert sorted(tree.near(wide[i], sizes[i])) == np.flatnonzero(want).tolist()
+    reach = sizes - rng.integers(0, 60, 300)
+    tree = jaccard_join.CountTree(points, sizes, reach)
+    found = 0
+    for i in range(300):
+        bound = np.minimum(points, points[i]).astype(np.int64).sum(axis=1)
+        full = (points == 255).any(axis=1) & (points[i] == 255).any()
+        want = ((7 * bound >= 3 * (sizes + sizes[i])) | full) & (4 * sizes >= 3 * sizes[i]) & (3 * sizes <= 4 * sizes[i])
+        want &= 7 * np.minimum(reach, reach[i]) >= 3 * (sizes + sizes[i])
+        assert sorted(tree.near(points[i], sizes[i], reach[i])) == np.flatnonzero(want).tolist()
+        found += want.sum()
+    assert found > 1000
 
 
 def test_components(spark):

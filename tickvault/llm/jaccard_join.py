@@ -7,13 +7,15 @@ collapse into one class first, so copies are never paired.  Then:
    else: they can't be linked.  (Estimates are never too low, so none is lost.)
 2. Shingles are ordered by estimated rarity; two linked classes share one of the first
    ``n - ceil(0.75 n) + 1`` of each, so classes meet in the groups of those shingles.
-3. In every group all classes are tried against the one that shares the largest part of
-   its shingles; verified links are turned into components.  That settles large groups of
-   near copies with as many pairs as members.
+3. A group's hub is the class that shares the largest part of its shingles.  Every class
+   is tried against the best hub of its groups, and then against the best one outside the
+   hub's component; verified links are turned into components.  That settles large groups
+   of near copies with as many pairs as members.
 4. Where a group still holds several components, its classes are indexed in a count-vector
    R-tree: shingles are hashed into ``DIMS`` groups, the counts are a point, and the sum of
-   coordinate minima bounds the overlap, for a node by its largest counts.  Only pairs of
-   different components that the bound can't rule out are verified on the whole sets.
+   coordinate minima bounds the overlap, for a node by its largest counts; so does what
+   follows the common shingle in both orders.  Only pairs of different components that the
+   bounds can't rule out are verified on the whole sets.
    Groups of more than ``TREE_ROWS`` classes are split into blocks that meet pairwise.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with nothing;
@@ -35,8 +37,8 @@ from tickvault.llm.common import (estimated_bytes, map_batches, mix, row_key, si
 from tickvault.llm.components import components
 
 SIZE = 5
-DIMS, TREE_ROWS, LEAF = 32, 2048, 32
-FULL = np.uint16(65535)         # a count that may be larger
+DIMS, TREE_ROWS, LEAF = 256, 2048, 32
+FULL = np.uint8(255)            # a count that may be larger
 
 
 def shingle_hashes(texts: list[bytes | None], size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +65,7 @@ def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"),
                        F.col(text).alias("text"))
     sketch = repeat_sketch.build(rows.select("text"), lambda cols: shingle_hashes(cols["text"])[0],
-                                 repeat_sketch.slots_for(docs, 1.0), rows=1)
+                                 repeat_sketch.slots_for(docs, 0.5), rows=1)
     shared = spark.sparkContext.broadcast(sketch)
 
     def run(cols):
@@ -89,7 +91,8 @@ def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """cid, n, shared (per mille of shingles that may recur), point, and the prefix's shingles."""
+    """cid, n, shared (per mille of shingles that may recur), point, and the prefix's shingles
+    that may recur, from position ``skip`` of the order on."""
     spark = classes.sparkSession
     rows = classes.select("cid", "shingles")
     flat = lambda cols: cols["shingles"].flatten().to_numpy(zero_copy_only=False).view(np.uint64)
@@ -97,7 +100,7 @@ def prefixes(classes: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(repeat_sketch.build(rows.select("shingles"), flat, slots, counts=True))
 
     def run(cols):
-        out = {"cid": [], "n": [], "shared": [], "point": [], "prefix": []}
+        out = {"cid": [], "n": [], "shared": [], "point": [], "skip": [], "prefix": []}
         for cid, one in zip(cols["cid"].to_pylist(), cols["shingles"]):
             own = one.values.to_numpy(zero_copy_only=False).view(np.uint64)
             count, n = repeat_sketch.estimates(shared.value, own), len(own)
@@ -109,53 +112,57 @@ def prefixes(classes: DataFrame) -> DataFrame:
             out["n"].append(n)
             out["shared"].append(1000 * again // n)
             out["point"].append(np.minimum(np.bincount((mix(own) % np.uint64(DIMS)).astype(np.int64), minlength=DIMS),
-                                           FULL).astype("<u2").tobytes())
+                                           FULL).astype(np.uint8).tobytes())
+            out["skip"].append(int((count[first] == 1).sum()))
             out["prefix"].append(signed(own[first][count[first] > 1]))
         yield out | {"prefix": pa.array(out["prefix"], pa.list_(pa.int64())), "point": pa.array(out["point"], pa.binary())}
 
-    return map_batches(rows, run, "cid long, n long, shared int, point binary, prefix array<long>")
+    return map_batches(rows, run, "cid long, n long, shared int, point binary, skip int, prefix array<long>")
 
 
 class CountTree:
     """R-tree over count vectors, packed by size and then by the most spread coordinates."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, reach: np.ndarray):
         wide = np.argsort(-points.astype(np.float64).var(axis=0))[:2]
         slabs = np.argsort(sizes, kind="stable")
         step = max(LEAF, int(np.ceil(len(sizes) / max(1.0, np.sqrt(len(sizes) / LEAF)))))
         order = [s[np.lexsort((points[s, wide[1]], points[s, wide[0]]))] for s in
                  (slabs[i:i + step] for i in range(0, len(slabs), step))]
         self.order = np.concatenate(order)
-        self.points, self.sizes = _open(points)[self.order], sizes[self.order]
+        self.points, self.sizes, self.reach = points[self.order], sizes[self.order], reach[self.order]
+        self.open = (self.points == FULL).any(axis=1)
         self.cuts = np.arange(0, len(sizes), LEAF)
         self.high = np.maximum.reduceat(self.points, self.cuts, axis=0)
+        self.node_open = np.maximum.reduceat(self.open, self.cuts)
+        self.node_reach = np.maximum.reduceat(self.reach, self.cuts)
         self.least, self.most = np.minimum.reduceat(self.sizes, self.cuts), np.maximum.reduceat(self.sizes, self.cuts)
 
-    def near(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Indexes of points whose set can overlap by 75 % of the union."""
-        bound = np.minimum(self.high, point).sum(axis=1)
-        nodes = np.flatnonzero((7 * bound >= 3 * (size + self.least)) & (4 * self.most >= 3 * size) & (3 * self.least <= 4 * size))
+    def near(self, point: np.ndarray, size: int, reach: int) -> np.ndarray:
+        """Indexes of points whose set can overlap by 75 % of the union.
+
+        ``reach``: how much of a set is left from the common shingle on, in the order."""
+        open_ = bool((point == FULL).any())     # with a full counter on both sides there is no bound
+        nodes = np.flatnonzero((4 * self.most >= 3 * size) & (3 * self.least <= 4 * size) &
+                               (7 * np.minimum(self.node_reach, reach) >= 3 * (size + self.least)))
+        if len(nodes):
+            bound = np.minimum(self.high[nodes], point).sum(axis=1, dtype=np.int64)
+            nodes = nodes[(7 * bound >= 3 * (size + self.least[nodes])) | (self.node_open[nodes] & open_)]
         if not len(nodes):
             return nodes
         at = (self.cuts[nodes][:, None] + np.arange(LEAF)).ravel()
         at = at[at < len(self.sizes)]
         own = self.sizes[at]
-        good = (7 * np.minimum(self.points[at], point).sum(axis=1) >= 3 * (size + own)) & (4 * own >= 3 * size) & (3 * own <= 4 * size)
-        return self.order[at[good]]
-
-
-def _open(points: np.ndarray) -> np.ndarray:
-    """Counts as numbers; a full counter has no upper bound."""
-    wide = points.astype(np.int64)
-    wide[points == FULL] = 1 << 40
-    return wide
+        at = at[(4 * own >= 3 * size) & (3 * own <= 4 * size) & (7 * np.minimum(self.reach[at], reach) >= 3 * (size + own))]
+        bound = np.minimum(self.points[at], point).sum(axis=1, dtype=np.int64)
+        return self.order[at[(7 * bound >= 3 * (size + self.sizes[at])) | (self.open[at] & open_)]]
 
 
 def _tree_pairs(table: pa.Table) -> pa.Table:
     """a, b: pairs of one bucket of groups that the bounds can't rule out."""
     group = np.stack([table.column(c).to_numpy() for c in ("t", "left", "right")], axis=1)
-    cid, n, label, side = (table.column(c).to_numpy() for c in ("cid", "n", "label", "side"))
-    points = np.frombuffer(b"".join(table.column("point").to_pylist()), "<u2").reshape(-1, DIMS)
+    cid, n, label, side, reach = (table.column(c).to_numpy() for c in ("cid", "n", "label", "side", "reach"))
+    points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.uint8).reshape(-1, DIMS)
     order = np.lexsort((group[:, 2], group[:, 1], group[:, 0]))
     ends = np.flatnonzero(np.any(np.diff(group[order], axis=0) != 0, axis=1)) + 1
     a, b = [], []
@@ -166,10 +173,9 @@ def _tree_pairs(table: pa.Table) -> pa.Table:
         left, right = (own, own) if one_block else (own[side[own] == 0], own[side[own] == 1])
         if not len(left) or not len(right):
             continue
-        tree = CountTree(points[left], n[left])
-        wide = _open(points[right])
-        for k, i in enumerate(right):
-            near = left[tree.near(wide[k], n[i])]
+        tree = CountTree(points[left], n[left], reach[left])
+        for i in right:
+            near = left[tree.near(points[i], n[i], reach[i])]
             near = near[(label[near] != label[i]) & ((cid[near] < cid[i]) | (not one_block))]
             a.append(cid[near])
             b.append(np.full(len(near), cid[i]))
@@ -212,17 +218,20 @@ def links(classes: DataFrame) -> DataFrame:
                 .groupBy("t").agg(F.min(best).alias("hub"))
         pairs = rows.join(groups, "t").where(
             (F.col("label") != F.col("hub.label")) & (4 * F.col("n") >= 3 * F.col("hub.n")) & (4 * F.col("hub.n") >= 3 * F.col("n"))) \
+            .groupBy("cid").agg(F.min("hub").alias("hub")) \
             .select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
         found = verified(pairs, classes)
         edges = stage(found if edges is None else edges.unionAll(found), "jaccard-edges")
-    rows = stage(_labelled(heads, edges).select("cid", "n", "point", "label", F.explode("prefix").alias("t")), "jaccard-rows")
+    # A component that is in no group with another one is settled.
+    rows = stage(_labelled(heads, edges).select("cid", "n", "point", "label", "skip", F.posexplode("prefix").alias("at", "t"))
+                 .withColumn("reach", F.col("n") - F.col("skip") - F.col("at")).drop("skip", "at"), "jaccard-rows")
     size = rows.groupBy("t").agg(F.count("*").alias("g"), F.min("label").alias("low"), F.max("label").alias("high")) \
         .where("low <> high").select("t", F.ceil(F.col("g") / TREE_ROWS).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    rows = rows.join(size, "t").select("t", "cid", "n", "point", "label", own.alias("own"), other) \
+    rows = rows.join(size, "t").select("t", "cid", "n", "point", "label", "reach", own.alias("own"), other) \
         .select("t", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"),
-                (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "n", "point", "label")
+                (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "n", "point", "label", "reach")
     buckets = max(64, estimated_bytes(rows) >> 24 if estimated_bytes(rows) < 1 << 50 else 64)
     pairs = rows.withColumn("bucket", F.pmod(F.xxhash64("t", "left", "right"), F.lit(buckets))) \
         .groupBy("bucket").applyInArrow(_tree_pairs, "a long, b long").distinct()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 from tickvault.llm.common import columns, estimated_bytes, mix
 
-MIN_SLOTS, MAX_SLOTS = 1 << 20, 1 << 30
+MIN_SLOTS, MAX_SLOTS = 1 << 20, 1 << 29
 BLOCK = 1 << 20
 FLUSH = 1 << 22
 
@@ -45,8 +45,14 @@ def maybe_repeated(sketch: dict, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts up to 127 as they are, larger ones by eighths of their logarithm, in a byte."""
+    high = 128 + 8 * np.log2(np.maximum(counts, 128) / 128)
+    return np.where(counts < 128, counts, np.minimum(high, 255)).astype(np.uint8)
+
+
 def estimates(sketch: dict, hashes: np.ndarray) -> np.ndarray:
-    """Counts, saturated at 255 and never too low, of a sketch built with ``counts``."""
+    """Levels of the counts, never too low, of a sketch built with ``counts``."""
     out = np.full(len(hashes), 255, np.uint8)
     for row, counts in enumerate(sketch["rows"]):
         out = np.minimum(out, counts[places(hashes, sketch["slots"], row)])
@@ -56,9 +62,10 @@ def estimates(sketch: dict, hashes: np.ndarray) -> np.ndarray:
 def build(docs: DataFrame, hashes: Callable[[dict], np.ndarray], slots: int, rows: int = 2, counts: bool = False) -> dict:
     """Sketch of all hashes that ``hashes`` returns for the Arrow batches of ``docs``.
 
-    A dict of plain arrays, ready for a broadcast: bitmaps, or bytes with ``counts``.
+    A dict of plain arrays, ready for a broadcast: bitmaps, or with ``counts`` a byte a slot.
     """
     block = min(BLOCK, slots)
+    most, width = (2 ** 32 - 1, "<u4") if counts else (2, "u1")
 
     def partial(batches):
         held: list[np.ndarray] = []
@@ -74,7 +81,7 @@ def build(docs: DataFrame, hashes: Callable[[dict], np.ndarray], slots: int, row
                 yield pa.RecordBatch.from_pydict({
                     "row": pa.array([row] * len(full), pa.int32()), "block": pa.array(full, pa.int32()),
                     "gaps": pa.array(gaps, pa.binary()),
-                    "n": pa.array([np.minimum(n[cuts[b]:cuts[b + 1]], 255).astype(np.uint8).tobytes() for b in full], pa.binary())})
+                    "n": pa.array([np.minimum(n[cuts[b]:cuts[b + 1]], most).astype(width).tobytes() for b in full], pa.binary())})
 
         for batch in batches:
             held.append(hashes(columns(batch)))
@@ -84,11 +91,11 @@ def build(docs: DataFrame, hashes: Callable[[dict], np.ndarray], slots: int, row
             yield from emit()
 
     def merge(table: pa.Table) -> pa.Table:
-        total = np.zeros(block, np.uint8)
+        total = np.zeros(block, np.int64)
         for gaps, n in zip(table.column("gaps").to_pylist(), table.column("n").to_pylist()):
             at = np.cumsum(np.frombuffer(gaps, "<u4").astype(np.int64))
-            total[at] = np.minimum(total[at].astype(np.int64) + np.frombuffer(n, np.uint8), 255)
-        out = total if counts else np.packbits(total > 1, bitorder="little")
+            total[at] += np.frombuffer(n, width)
+        out = _levels(total) if counts else np.packbits(total > 1, bitorder="little")
         return pa.table({"row": table.column("row")[:1], "block": table.column("block")[:1],
                          "data": pa.array([out.tobytes()], pa.binary())})
 
