@@ -287,7 +287,13 @@ def test_extraction(spark, empty):
         rows.append((k, f"http://B.example.com:80/{k}", page(k, f"<div class=\"text\"><p>Story {k}</p>" + "<p>again</p>" * (k % 3) + "</div>",
                                                             "<div>Our motto</div>" * (k % 2))))
     rows += [(30, None, "<p>x &amp; y"), (31, "nonsense", ""), (32, "http://c.example.com", None), (33, "http://c.example.com/2", "plain <text"),
-             (0, rows[0][1], rows[0][2]), (34, "http://d.example.com/", "<article>" + "<p>word</p>" * 3000)]
+             (0, rows[0][1], rows[0][2]),
+             (40, "https://a.example.com/x", page(40, "<div><p>No article here</p></div>")),
+             (41, "https://e.example.com/", page(41, '<div class="page-wrap"><header><p>Logo</p></header><div id="main-content"><h2>Head</h2>'
+                                                     '<div class="post-body">Body<ul><li>one<li>two</ul></div><div class="related">more</div></div>'
+                                                     '<div>Loose</div></div>')),
+             (42, "https://e.example.com/2", '<main><header><h1>Kept</h1></header><p>A<script>x</script>B <span class="ad">C</span></p></main><p>D</p>'),
+             (34, "http://d.example.com/", "<article>" + "<p>word</p>" * 3000)]
     pages = spark.createDataFrame([r + ("x", "y") for r in rows], "page_id long, url string, html string, host string, text string")
     wrappers = html_extraction.infer(pages).cache()
     found = html_extraction.extract(pages, wrappers).collect()
@@ -300,6 +306,7 @@ def test_extraction(spark, empty):
         assert texts[k] == "\n".join([f"Story {k}"] + ["again"] * (k % 3))
     assert texts[30] == "x & y" and texts[31] == texts[32] == "" and texts[33] == "plain <text"
     assert texts[34] == "\n".join(["word"] * 3000)
+    assert texts[40] == "No article here" and texts[41] == "Head\nBody\none\ntwo" and texts[42] == "Kept\nAB"
     same = html_extraction.extract(pages, wrappers, max_wrapper_mb=-1)
     assert got(same) == got(html_extraction.extract(pages, wrappers))
     none = spark.createDataFrame([], pages.schema)
@@ -307,13 +314,15 @@ def test_extraction(spark, empty):
 
 
 def test_expression_has_optional_and_repeated_parts():
-    one = [[g, t, False] for g, t in html_extraction.summary("<h1>a</h1><p>x</p><p>y</p><div>same</div>")]
-    two = [[g, t, False] for g, t in html_extraction.summary("<h1>b</h1><div>same</div><h2>new</h2>")]
+    one = [[g, t, False, 3] for g, t in html_extraction.summary("<h1>a</h1><p>x</p><p>y</p><div>same</div>")]
+    two = [[g, t, False, 1] for g, t in html_extraction.summary("<h1>b</h1><div>same</div><h2>new</h2>")]
     merged = html_extraction.align(one, two)
-    assert [(tuple(g), t, o) for g, t, o in merged] == [
+    assert [(tuple(g), t, o) for g, t, o, _ in merged] == [
         (("h1",), None, False), (("p",), ["x", "y"], True), (("div",), ["same"], False), (("h2",), ["new"], True)]
     assert html_extraction.fold(["dt", "dd", "dt", "dd", "p"]) == [("dt", "dd"), ("p",)]
-    assert json.loads(json.dumps(html_extraction.wrapper(merged, 5)))["drop"] == [["p", "x"], ["p", "y"], ["div", "same"], ["h2", "new"]]
+    made = json.loads(json.dumps(html_extraction.wrapper(merged, 4)))
+    assert made["drop"] == [["p", "x"], ["p", "y"], ["div", "same"]] and made["ranks"] == {"div": 0, "h1": 0, "h2": 0, "p": 0}
+    assert html_extraction.wrapper(merged, 40)["drop"] == []
 
 
 # ---- pipeline ----------------------------------------------------------------

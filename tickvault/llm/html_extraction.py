@@ -9,9 +9,10 @@ that all pages share is template text.  Equal streams are summed map-side first,
 expressions of a host are inferred in ``SALTS`` groups and then merged, so a host with a
 third of all pages costs no single task its pages.
 
-The wrapper keeps the slots inside ``article`` or ``main`` elements, if the host has any,
-else all slots outside menus, headers, footers, side bars, notices, adverts, forms and
-comments that aren't template text.  Wrappers are broadcast while they fit
+The wrapper gives every slot that isn't part of a menu, header, footer, side bar, notice,
+advert, form or comment a rank: inside an ``article`` or ``main`` element, inside one that
+is named like it, or elsewhere, where template text is left out.  A page's text is what it
+has of the highest rank.  Wrappers are broadcast while they fit
 ``max_wrapper_mb``, else pages are joined with them by host.
 
 Defined cases: null or empty html has no text (empty string, 0 characters); a null url or
@@ -51,9 +52,10 @@ JUNK_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices alert popup modal overlay newsletter subscribe signup login nav navbar navigation menu breadcrumb "
     "breadcrumbs sidebar aside widget widgets related recommended share sharing social toolbar pagination pager comment "
-    "comments respond reply replies footer copyright disclaimer complementary contentinfo search".split())
-HEAD_WORDS = frozenset(("header", "masthead"))
-MAIN_WORDS = frozenset("article main".split())
+    "comments commentlist disqus respond reply replies footer copyright disclaimer complementary contentinfo search".split())
+HEAD_WORDS = frozenset("header masthead topbar".split())
+MAIN_TAGS = frozenset(("article", "main"))
+MAIN_WORDS = frozenset("article main content post entry story".split())
 WORDS = re.compile(r"[a-z]+")
 
 
@@ -137,47 +139,54 @@ def summary(page: str) -> list[list]:
 
 
 def align(one: list[list], other: list[list]) -> list[list]:
-    """Merge two expressions: items are [group, texts or None if they vary, optional]."""
+    """Merge two expressions: items are [group, texts or None if they vary, optional, pages]."""
     a, b = ([tuple(x[0]) for x in side] for side in (one, other))
     out: list[list] = []
     for kind, a0, a1, b0, b1 in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if kind == "equal":
             for x, y in zip(one[a0:a1], other[b0:b1]):
-                out.append([x[0], x[1] if x[1] == y[1] else None, x[2] or y[2]])
+                out.append([x[0], x[1] if x[1] == y[1] else None, x[2] or y[2], x[3] + y[3]])
         else:
-            out += [[g, t, True] for g, t, _ in one[a0:a1] + other[b0:b1]]
+            out += [[g, t, True, n] for g, t, _, n in one[a0:a1] + other[b0:b1]]
     return out
 
 
 def expression(items: list[list]) -> str:
     """The inferred expression, for people to read."""
     return " ".join("(" + " ".join(g) + ")+" + "?" * bool(o) if t is None else "(" + " ".join(g) + " = template)" + "?" * bool(o)
-                    for g, t, o in items)
+                    for g, t, o, _ in items)
 
 
-def _kind(path: str) -> tuple[bool, bool]:
-    """Is a slot inside an article, and is it something else than main text?"""
-    inside = junk = False
+def rank(path: str) -> int:
+    """2 inside an article, 1 inside what is named like one, 0 elsewhere, -1 for what is no main text."""
+    level = 0
     for element in path.split(">"):
         tag, *words = element.split(".")
-        if tag in MAIN_WORDS or "main" in words or "articlebody" in words:
-            inside = True
-        if tag in JUNK_TAGS or JUNK_WORDS & set(words):
-            junk = True
-        if not inside and (tag == "header" or HEAD_WORDS & set(words)):
-            junk = True
-    return inside, junk
+        named = set(words)
+        if tag in JUNK_TAGS or JUNK_WORDS & named or (level < 2 and (tag == "header" or HEAD_WORDS & named)):
+            return -1
+        if tag in MAIN_TAGS:
+            level = 2
+        elif MAIN_WORDS & named:
+            level = max(level, 1)
+    return level
 
 
 def wrapper(items: list[list], pages: int) -> dict:
-    """Paths to keep, and template texts to leave out, by an expression."""
-    kinds = {p: _kind(p) for g, _, _ in items for p in g}
-    has_article = any(inside and not junk for inside, junk in kinds.values())
-    keep = sorted(p for p, (inside, junk) in kinds.items() if not junk and (inside or not has_article))
-    drop = [] if has_article or pages < 3 else [
-        [p, t] for g, texts, _ in items if texts is not None for p, t in zip(g * (len(texts) // len(g)), texts)]
-    # A host whose pages are all alike has no template to tell apart.
-    return {"keep": keep, "drop": drop if any(t is None for _, t, _ in items) else [], "expression": expression(items)}
+    """Rank of each path with main text, and template texts to leave out, by an expression."""
+    ranks = {p: rank(p) for g, *_ in items for p in g}
+    # Template text is the same on three pages and a quarter of all at least; pages that
+    # are alike in all texts have none to tell apart.
+    template = any(t is None for _, t, _, _ in items)
+    drop = [[p, t] for g, texts, _, n in items if template and texts is not None and n >= max(3, pages / 4)
+            for p, t in zip(g * (len(texts) // len(g)), texts) if ranks[p] in (0, 1)]
+    return {"ranks": {p: r for p, r in sorted(ranks.items()) if r >= 0}, "drop": drop, "expression": expression(items)}
+
+
+def main_text(page: str, ranks: dict[str, int], drop: frozenset) -> str:
+    found = [(ranks[p], t) for p, t in slots(page) if p in ranks and (p, t) not in drop]
+    best = max((r for r, _ in found), default=0)
+    return "\n".join(t for r, t in found if r == best)
 
 
 def host_of(url: str) -> Column:
@@ -198,11 +207,11 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     def summarise(cols):
         found: dict[tuple, list] = {}
         for host, page in zip(cols["host"], cols["html"]):
-            items = [[g, t, False] for g, t in summary((page or b"").decode("utf-8", "replace"))]
-            key = (host, json.dumps([g for g, _, _ in items]))
+            items = [[g, t, False, 1] for g, t in summary((page or b"").decode("utf-8", "replace"))]
+            key = (host, json.dumps([g for g, *_ in items]))
             if key in found:
                 found[key][0] += 1
-                found[key][1] = [[g, t if t == u else None, False] for (g, t, _), (_, u, _) in zip(found[key][1], items)]
+                found[key][1] = [[g, t if t == u else None, False, n + 1] for (g, t, _, n), (_, u, _, _) in zip(found[key][1], items)]
             else:
                 found[key] = [1, items]
         yield {"host": [h.decode() for h, _ in found], "pages": [n for n, _ in found.values()],
@@ -243,9 +252,8 @@ def extract(pages: DataFrame, wrappers: DataFrame, page_id: str = "page_id", url
                 continue
             if made not in known:
                 w = json.loads(made)
-                known[made] = (frozenset(w["keep"]), frozenset(map(tuple, w["drop"])))
-            keep, drop = known[made]
-            texts.append("\n".join(t for p, t in slots(page.decode("utf-8", "replace")) if p in keep and (p, t) not in drop))
+                known[made] = (w["ranks"], frozenset(map(tuple, w["drop"])))
+            texts.append(main_text(page.decode("utf-8", "replace"), *known[made]))
         yield {"page_id": cols["page_id"], "url": [u.decode() if u is not None else None for u in cols["url"]],
                "text": texts, "n_chars": [len(t) for t in texts]}
 
