@@ -29,7 +29,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import stage
+from tickvault.llm.common import row_key, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 32
@@ -102,10 +102,13 @@ class Mix:
                  block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 1,
                  max_sources: int = 10_000, doc_id: str = "doc_id", text: str = "text", source: str = "source"):
         self.length, self.seed, self.with_text = block_words, seed, with_text
-        text_col = [F.col(text).alias("text")] if with_text else []
+        # Only keys and sizes are stored and ordered; texts join their place once it is known.
+        key = row_key(doc_id, text).alias("key")
+        self.text = docs.select(key, F.col(text).alias("text"))
+        key_col = [key] if with_text else []
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
                            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                           *text_col)
+                           *key_col)
         self.rows = stage(rows, "mix-rows")
         stats = self.rows.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("words")) \
             .limit(max_sources + 1).collect()
@@ -121,7 +124,7 @@ class Mix:
         """Rows with their source's number and the offset of their first word in its stream."""
         # The plan has at most max_sources rows.
         info = F.broadcast(self.info.select("k", F.col("source").alias("_s"), "buckets"))
-        tie = [F.xxhash64("text")] if self.with_text else []
+        tie = ["key"] if self.with_text else []
         rows = self.rows.join(info, F.col("source").eqNullSafe(F.col("_s"))).drop("_s") \
             .withColumn("bucket", F.pmod(F.xxhash64(F.lit(self.seed), "doc_id", "size"), F.col("buckets")))
         ahead = rows.groupBy("k", "bucket").agg(F.sum("size").alias("n"))
@@ -147,7 +150,8 @@ class Mix:
 
         rows = self.placed.where(F.col("size") > 0)
         if self.with_text:
-            rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
+            # Equal rows have equal texts: one of them for each key.
+            rows = rows.join(self.text.dropDuplicates(["key"]), "key").withColumn("words", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
         return rows.select("k", "doc_id", "start", F.inline(F.transform(span, piece)))
 
     def counts(self) -> DataFrame:
