@@ -187,7 +187,8 @@ class Mix:
 
     def pieces(self) -> DataFrame:
         """Every piece of every filled slot."""
-        return self.slots().join(self.blocks(), ["k", "block"])
+        # Slots come from a few counts, by which a planner would take them for small: no broadcast.
+        return self.slots().hint("merge").join(self.blocks(), ["k", "block"])
 
     def texts(self) -> DataFrame:
         """shard, source, slot, block, doc_ids, n_words and text of every filled slot."""
@@ -196,7 +197,7 @@ class Mix:
         whole = whole.select("k", "block", F.col("p.doc_id").alias("doc_ids"), F.array_join("p.text", " ").alias("text"),
                              F.aggregate("p.n", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_words"))
         names = F.broadcast(self.info.select("k", "source"))        # at most max_sources rows
-        return self.slots().join(whole, ["k", "block"]).join(names, "k") \
+        return self.slots().hint("merge").join(whole, ["k", "block"]).join(names, "k") \
             .select("shard", "source", "slot", "block", "doc_ids", "n_words", "text")
 
     def taken(self) -> DataFrame:
