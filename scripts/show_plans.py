@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query.
+"""Summarise the physical plan of every registered warehouse query.
 
 Usage: python scripts/show_plans.py [sf_dir] > PLANS.md
 Counts, per query, the shuffles by kind, broadcast and sort-merge joins,
@@ -13,7 +13,7 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-import __spark_entry__ as E  # noqa: E402
+from tickvault.plans import catalog  # noqa: E402
 from tickvault.session import build_session  # noqa: E402
 
 
@@ -37,7 +37,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
-    print("# PLANS — physical plan shape of every registered query\n")
+    print("# PLANS — physical plan shape of the warehouse queries\n")
     print(f"Generated by `python scripts/show_plans.py {sf_dir}`. Columns: hash / range / "
           "single-partition exchanges, broadcast-hash and sort-merge joins, whole-stage "
           "codegen stages, file scans, scans with pushed filters, scans with partition "
@@ -46,7 +46,7 @@ def main() -> None:
           "the final read.\n")
     print("| query | hash | range | single | BHJ | SMJ | codegen | scans | pushed | pruned | reused |")
     print("|---|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(catalog.QUERIES.items()):
         df = fn(spark, sf_dir)
         df.collect()  # run it: the adaptive plan is then final (runtime joins, codegen)
         s = summary(df._jdf.queryExecution().executedPlan().toString())
