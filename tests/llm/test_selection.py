@@ -325,6 +325,22 @@ def test_expression_has_optional_and_repeated_parts():
     assert html_extraction.wrapper(merged, 40)["drop"] == []
 
 
+def texts_of(spark, pages):
+    """Texts by page number of pages of one host."""
+    table = spark.createDataFrame([(k, f"https://copies.example.com/{k}", html) for k, html in pages], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_extraction.extract(table, html_extraction.infer(table)).collect()}
+
+
+def test_copies_are_no_template(spark):
+    motto = "<div>Our motto is long enough to be hashed</div>"
+    copy = "<nav>Menu {}</nav>" + motto + "<h2>Copied title</h2><p>A copied text, longer than its mark.</p><p>end</p>"
+    pages = [(k, copy.format(k)) for k in range(6)]
+    pages += [(k, f"{motto}<p>Story {k}</p>") for k in range(6, 12)]
+    found = texts_of(spark, pages)
+    assert all(found[k] == "Copied title\nA copied text, longer than its mark.\nend" for k in range(6))
+    assert all(found[k] == f"Story {k}" for k in range(6, 12))
+
+
 # ---- pipeline ----------------------------------------------------------------
 
 def test_pipeline_stages(spark, rows, tmp_dir):

@@ -5,9 +5,11 @@ A page becomes a stream of text slots, each named by the path of block elements
 streams of a host are aligned one after another into one expression without alternation:
 a slot that a page lacks becomes optional, a group that repeats on one page and stands
 alone on another becomes repeated, and a text that differs becomes a text slot, while one
-that all pages share is template text.  Equal streams are summed map-side first, partial
-expressions of a host are inferred in ``SALTS`` groups and then merged, so a host with a
-third of all pages costs no single task its pages.
+that unlike pages share is template text: pages alike in every text outside of menus,
+adverts and the like count once, so that copies of an article don't make its text a
+template.  Only the hashes of long texts are kept for this.  Equal streams are summed
+map-side first, partial expressions of a host are inferred in ``SALTS`` groups and then
+merged, so a host with a third of all pages costs no single task its pages.
 
 The wrapper gives every slot that isn't part of a menu, header, footer, side bar, notice,
 advert, form or comment a rank: inside an ``article`` or ``main`` element, inside one that
@@ -22,10 +24,14 @@ element; repeated rows each get a row; other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import difflib
+import functools
+import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -125,9 +131,20 @@ def fold(stream: list[str]) -> list[tuple[str, ...]]:
     return out + [(back[c],) for c in text[at:]]
 
 
-def summary(page: str) -> list[list]:
-    """The folded stream of one page: [group, text] with the text under a group as a whole."""
-    found = slots(page)
+def mark(text: str) -> str:
+    """What stands for a text in an expression: itself if short, else 120 bits of its hash."""
+    return text if len(text) <= 20 else "=" + base64.b64encode(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=15).digest()).decode()
+
+
+def content(page: str) -> list[list]:
+    """The summary of what may be main text, with marks for texts; one for all of a group that is never left out."""
+    out = summary([(p, t) for p, t in slots(page) if rank(p) >= 0])
+    return [[g, list(map(mark, texts)) if any(rank(p) < 2 for p in g) else [mark("\n".join(texts))]] for g, texts in out]
+
+
+def summary(page: str | list[tuple[str, str]]) -> list[list]:
+    """The folded stream of one page or its slots: [group, text] with the text under a group as a whole."""
+    found = slots(page) if isinstance(page, str) else page
     out, at = [], 0
     for group in fold([p for p, _ in found]):
         end = at + len(group)
@@ -139,7 +156,7 @@ def summary(page: str) -> list[list]:
 
 
 def align(one: list[list], other: list[list]) -> list[list]:
-    """Merge two expressions: items are [group, texts or None if they vary, optional, pages]."""
+    """Merge two expressions: items are [group, texts or None if they vary, optional, unlike pages]."""
     a, b = ([tuple(x[0]) for x in side] for side in (one, other))
     out: list[list] = []
     for kind, a0, a1, b0, b1 in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
@@ -157,6 +174,7 @@ def expression(items: list[list]) -> str:
                     for g, t, o, _ in items)
 
 
+@functools.lru_cache(1 << 16)
 def rank(path: str) -> int:
     """2 inside an article, 1 inside what is named like one, 0 elsewhere, -1 for what is no main text."""
     level = 0
@@ -173,10 +191,10 @@ def rank(path: str) -> int:
 
 
 def wrapper(items: list[list], pages: int) -> dict:
-    """Rank of each path with main text, and template texts to leave out, by an expression."""
+    """Rank of each path with main text, and template texts to leave out, by an expression of unlike pages."""
     ranks = {p: rank(p) for g, *_ in items for p in g}
-    # Template text is the same on three pages and a quarter of all at least; pages that
-    # are alike in all texts have none to tell apart.
+    # Template text is the same on three unlike pages and a quarter of all at least; pages
+    # that are alike in all texts have none to tell apart.
     template = any(t is None for _, t, _, _ in items)
     drop = [[p, t] for g, texts, _, n in items if template and texts is not None and n >= max(3, pages / 4)
             for p, t in zip(g * (len(texts) // len(g)), texts) if ranks[p] in (0, 1)]
@@ -184,7 +202,7 @@ def wrapper(items: list[list], pages: int) -> dict:
 
 
 def main_text(page: str, ranks: dict[str, int], drop: frozenset) -> str:
-    found = [(ranks[p], t) for p, t in slots(page) if p in ranks and (p, t) not in drop]
+    found = [(ranks[p], t) for p, t in slots(page) if p in ranks and (p, mark(t)) not in drop]
     best = max((r for r, _ in found), default=0)
     return "\n".join(t for r, t in found if r == best)
 
@@ -205,31 +223,37 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     use_small_batches(pages.sparkSession)
 
     def summarise(cols):
+        found = Counter((host, json.dumps(content((page or b"").decode("utf-8", "replace")))) for host, page in zip(cols["host"], cols["html"]))
+        yield {"host": [h.decode() for h, _ in found], "pages": list(found.values()), "items": [x for _, x in found]}
+
+    def collect(cols):
         found: dict[tuple, list] = {}
-        for host, page in zip(cols["host"], cols["html"]):
-            items = [[g, t, False, 1] for g, t in summary((page or b"").decode("utf-8", "replace"))]
+        for host, pages, text in zip(cols["host"], cols["pages"].to_pylist(), cols["items"]):
+            items = [[g, t, False, 1] for g, t in json.loads(text)]
             key = (host, json.dumps([g for g, *_ in items]))
             if key in found:
-                found[key][0] += 1
-                found[key][1] = [[g, t if t == u else None, False, n + 1] for (g, t, _, n), (_, u, _, _) in zip(found[key][1], items)]
+                own = found[key]
+                found[key] = [own[0] + pages, own[1] + 1,
+                              [[g, t if t == u else None, False, n + 1] for (g, t, _, n), (_, u, _, _) in zip(own[2], items)]]
             else:
-                found[key] = [1, items]
-        yield {"host": [h.decode() for h, _ in found], "pages": [n for n, _ in found.values()],
-               "items": [json.dumps(x) for _, x in found.values()]}
+                found[key] = [pages, 1, items]
+        yield {"host": [h.decode() for h, _ in found], "pages": [x[0] for x in found.values()],
+               "unlike": [x[1] for x in found.values()], "items": [json.dumps(x[2]) for x in found.values()]}
 
     def merge(table: pa.Table) -> pa.Table:
         items = _merge_all([json.loads(x) for x in sorted(table.column("items").to_pylist())])
-        return pa.table({"host": table.column("host")[:1], "pages": pa.array([sum(table.column("pages").to_pylist())], pa.int64()),
-                         "items": pa.array([json.dumps(items)], pa.string())})
+        return pa.table({"host": table.column("host")[:1], "items": pa.array([json.dumps(items)], pa.string())} | {
+            k: pa.array([sum(table.column(k).to_pylist())], pa.int64()) for k in ("pages", "unlike")}).select(["host", "pages", "unlike", "items"])
 
     def finish(table: pa.Table) -> pa.Table:
         one = merge(table)
-        made = wrapper(json.loads(one.column("items")[0].as_py()), one.column("pages")[0].as_py())
+        made = wrapper(json.loads(one.column("items")[0].as_py()), one.column("unlike")[0].as_py())
         return pa.table({"host": one.column("host"), "pages": one.column("pages"), "wrapper": pa.array([json.dumps(made)], pa.string())})
 
-    schema = "host string, pages long, items string"
-    rows = map_batches(pages.select(host_of(url).alias("host"), F.col(html).alias("html")), summarise, schema)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("items"), F.lit(SALTS)))
+    rows = map_batches(pages.select(host_of(url).alias("host"), F.col(html).alias("html")), summarise, "host string, pages long, items string")
+    unlike = rows.groupBy("host", "items").agg(F.sum("pages").alias("pages"))
+    schema = "host string, pages long, unlike long, items string"
+    salted = map_batches(unlike, collect, schema).withColumn("salt", F.pmod(F.xxhash64("items"), F.lit(SALTS)))
     return salted.groupBy("host", "salt").applyInArrow(merge, schema) \
         .groupBy("host").applyInArrow(finish, "host string, pages long, wrapper string")
 
