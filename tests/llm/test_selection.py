@@ -341,6 +341,16 @@ def test_copies_are_no_template(spark):
     assert all(found[k] == f"Story {k}" for k in range(6, 12))
 
 
+def test_layout_classes_are_no_junk(spark):
+    marks = ['<body class="has-sidebar search-open"><p>{}</p>', '<body class="no-sidebar sidebar"><div><p>{}</p></div>',
+             '<body><article class="post comments-open"><p>{}</p></article>', '<div class="content-with-sidebar"><p>{}</p></div>',
+             '<html class="with-cookie-banner"><main class="main sidebar-right header"><p>{}</p></main>',
+             '<body class="comments-closed"><div class="post type-post category-social tag-widget-5"><p>{}</p></div>']
+    junk = '<div class="ad-box">no</div><div id="sidebar-left"><p>no</p></div><div class="site-header">no</div><p>yes <span class="ad">no</span></p>'
+    assert texts_of(spark, enumerate(x.format(f"Text {k}") for k, x in enumerate(marks))) == {k: f"Text {k}" for k in range(len(marks))}
+    assert texts_of(spark, [(0, junk), (1, '<div class="category-menu">no</div>')]) == {0: "yes", 1: ""}
+
+
 # ---- pipeline ----------------------------------------------------------------
 
 def test_pipeline_stages(spark, rows, tmp_dir):

@@ -62,9 +62,34 @@ JUNK_WORDS = frozenset(
 HEAD_WORDS = frozenset("header masthead topbar".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset("article main content post entry story".split())
+#: Words by which a class tells of a state or layout of the page, not what the element is: anywhere in
+#: it (has-sidebar, content-with-sidebar), or as its last one (comments-open).
+STATE_WORDS = frozenset("has no with without".split())
+STATE_ENDS = frozenset("open closed enabled disabled".split())
+#: First words of a class that tells of a post's topic, beside a class that names the post.
+TOPIC_WORDS = frozenset("category tag type format status".split())
+#: Elements whose class says how the page looks; it doesn't make them a menu or an advert.
+PAGE_TAGS = frozenset(("html", "body", "main", "article"))
 WORDS = re.compile(r"[a-z]+")
 
 
+def names_of(marks) -> list[str]:
+    """Classes, ids and roles, each as its words joined by hyphens, so that numbers don't tell elements apart."""
+    return sorted({"-".join(WORDS.findall(name)) for a in marks for name in "".join(a[1:]).lower().split()} - {""})
+
+
+def marked(names: list[str], words: frozenset) -> bool:
+    """Does one of an element's classes, ids and roles say that it is one of the words?"""
+    for name in names:
+        own = name.split("-")
+        if words.isdisjoint(own) or own[-1] in STATE_ENDS or not STATE_WORDS.isdisjoint(own):
+            continue
+        if own[0] in TOPIC_WORDS and not MAIN_WORDS.isdisjoint(names):
+            continue
+        return True
+    return False
+
+
 def slots(page: str) -> list[tuple[str, str]]:
     """(path, text) of every block with text, in page order."""
     stack: list[tuple[str, str]] = []
@@ -99,8 +124,7 @@ def slots(page: str) -> list[tuple[str, str]]:
             continue
         marks = ATTRIBUTE.findall(m[4]) if m[4] else ()
         if tag in INLINE and not any(k == tag and "." in label for k, label in stack[-1:]):
-            words = {w for a in marks for w in WORDS.findall("".join(a[1:]).lower())}
-            if not words & JUNK_WORDS:
+            if not marked(names_of(marks), JUNK_WORDS):
                 continue
         if m[2]:
             close((tag,))
@@ -112,8 +136,7 @@ def slots(page: str) -> list[tuple[str, str]]:
             close(SAME_LEVEL[tag], ("ul", "ol", "dl", "table", "select", "menu"))
         flush()
         if tag not in VOID and not m[4].rstrip().endswith("/"):
-            names = sorted({w for a in marks for w in WORDS.findall("".join(a[1:]).lower())})
-            stack.append((tag, tag + "".join(f".{w}" for w in names)))
+            stack.append((tag, tag + "".join(f".{name}" for name in names_of(marks))))
     flush()
     return out
 
@@ -179,13 +202,14 @@ def rank(path: str) -> int:
     """2 inside an article, 1 inside what is named like one, 0 elsewhere, -1 for what is no main text."""
     level = 0
     for element in path.split(">"):
-        tag, *words = element.split(".")
-        named = set(words)
-        if tag in JUNK_TAGS or JUNK_WORDS & named or (level < 2 and (tag == "header" or HEAD_WORDS & named)):
+        tag, *names = element.split(".")
+        if tag in JUNK_TAGS or (level < 2 and tag == "header"):
+            return -1
+        if tag not in PAGE_TAGS and (marked(names, JUNK_WORDS) or (level < 2 and marked(names, HEAD_WORDS))):
             return -1
         if tag in MAIN_TAGS:
             level = 2
-        elif MAIN_WORDS & named:
+        elif MAIN_WORDS & {w for n in names for w in n.split("-")}:
             level = max(level, 1)
     return level
 
