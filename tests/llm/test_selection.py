@@ -258,6 +258,25 @@ def test_rules(docs, rows, judged, empty):
     assert quality_rules.judge(quality_rules.measure(empty)).count() == 0
 
 
+def test_fences_reject_junk_in_bulk(spark):
+    rng = np.random.default_rng(10)
+    own = lambda: " ".join(rng.choice(cases.WORDS, 40))
+    junk = " ".join(w + "##" for w in own().split())
+    repeats = lambda: " ".join((w := [f"w{x}" for x in rng.integers(0, 10**6, 88)])[:9] + w)
+    rows = [(k, junk if k % 3 == 0 else own(), "en", "third") for k in range(600)]
+    rows += [(1000 + k, junk, "en", "all") for k in range(250)]
+    rows += [(2000 + k, own(), "en", "good") for k in range(300)]
+    rows += [(3000 + k, repeats() if k < 20 else own(), "en", "repeats") for k in range(199)]
+    rows += [(4000 + k, " ".join("".join(rng.choice(list("日本語中文"), 25)) for _ in range(25)), "zh", "good") for k in range(250)]
+    measured = quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).cache()
+    found = {r["doc_id"]: r for r in quality_rules.judge(measured).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    bad = {k for k in found if k < 600 and k % 3 == 0 or 1000 <= k < 1250 or 3000 <= k < 3020}
+    assert {k for k, r in found.items() if not r["kept"]} == bad
+    small, large = ({r["doc_id"] for r in quality_rules.judge(measured, min_rows=n).where("kept").collect()} for n in (199, 200))
+    assert small == large
+
+
 def test_fences_against_exact_quantiles(judged):
     own, table, _ = judged
     measured = quality_rules.measure(table).cache()

@@ -1,12 +1,18 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Each document gets its counts in one pass.  KLL sketches of the derived ratios are
-built per (language, source) and merged per language and over all; a document is held
-against the fence of its own group, or of the next wider one where its group has fewer
-than ``min_rows`` documents.  A fence is the upper quartile plus ``spread`` times the
-larger of the interquartile range and a floor for that ratio, so that a group without
-spread doesn't reject ordinary documents.  Sketches hold a bounded number of values and
-merge map-side, so a group of a third of all rows costs no more than another.
+built per (language, source) and merged per language and over all.  A fence is the median
+plus ``1 + 2 * spread`` times the spread below it (median less lower quartile), or plus
+``spread`` times a floor for that ratio if that is more, so that a group without spread
+doesn't reject ordinary documents.  For a symmetric ratio that is the upper quartile plus
+``spread`` interquartile ranges, but junk in up to nearly half of a group can't raise it
+beyond the group's good documents.  A document is held against the strictest of the fences
+of its group, its language and all rows, so that a source of nothing but junk doesn't set
+its own measure; word length isn't held against other languages, of which some write no
+spaces.  The fence of fewer than ``min_rows`` documents goes over into the next wider one
+in proportion, so no verdict hangs on the row that reaches ``min_rows``.  Sketches hold a
+bounded number of values and merge map-side, so a group of a third of all rows costs no
+more than another.
 
 Defined cases: null or empty text has no words and fails the base rules; null ``lang``
 or ``source`` form groups of their own; repeated rows each get a row; other columns are
@@ -31,8 +37,10 @@ RATIOS = {
     "r_symbol": ("n_symbols", "n_words", 0.05),
     "r_upper": ("n_upper", "word_chars", 0.03),
     "r_dup_line": ("n_dup_lines", "n_lines", 0.2),
-    "r_repeat": ("n_repeat_words", "n_words", 0.1),
+    "r_repeat": ("n_repeat_words", "n_words", 0.05),
 }
+#: Ratios that differ with the script, not held against other languages.
+OWN_LANGUAGE = frozenset(("r_word",))
 
 
 def _repeat_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +104,7 @@ def fences(measured: DataFrame, spread: float = 3.0) -> dict[str, DataFrame]:
     def fence(df: DataFrame, keys: list[str], mark: str) -> DataFrame:
         q = lambda r, p: F.kll_sketch_get_quantile_double(F.col(r), F.lit(p))
         return df.select(*[F.col(k).alias(f"{mark}_{k}") for k in keys], F.col("n").alias(f"{mark}_n"), *[
-            (q(r, 0.75) + spread * F.greatest(q(r, 0.75) - q(r, 0.25), F.lit(floor))).alias(f"{mark}_{r}")
+            (q(r, 0.5) + F.greatest((1 + 2 * spread) * (q(r, 0.5) - q(r, 0.25)), F.lit(spread * floor))).alias(f"{mark}_{r}")
             for r, (_, _, floor) in RATIOS.items()])
 
     return {"g": fence(by_group, ["lang", "source"], "g"), "l": fence(merged("lang"), ["lang"], "l"),
@@ -111,10 +119,16 @@ def judge(measured: DataFrame, min_rows: int = 200, spread: float = 3.0) -> Data
                         F.col("source").eqNullSafe(F.col("g_source")), "left") \
         .join(by["l"], F.col("lang").eqNullSafe(F.col("l_lang")), "left")
     inside = F.lit(True)
+
+    def blend(own: str, n: str, wider):
+        part = F.least(F.col(n) / min_rows, F.lit(1.0))
+        return F.coalesce(part * F.col(own) + (1 - part) * wider, wider)
+
     for r, (n, d, _) in RATIOS.items():
-        top = F.when(F.col("g_n") >= min_rows, F.col(f"g_{r}")) \
-            .when(F.col("l_n") >= min_rows, F.col(f"l_{r}")).otherwise(F.lit(every[f"a_{r}"] if every else None))
-        inside = inside & (F.when(F.col(d) > 0, F.col(n) / F.col(d)).otherwise(0.0) <= top)
+        over_all = F.lit(every[f"a_{r}"] if every else None).cast("double")
+        by_lang = blend(f"l_{r}", "l_n", over_all)
+        tops = [blend(f"g_{r}", "g_n", by_lang), by_lang] + [over_all] * (r not in OWN_LANGUAGE)
+        inside = inside & (F.when(F.col(d) > 0, F.col(n) / F.col(d)).otherwise(0.0) <= F.least(*tops))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return out.select(*[measured[c] for c in measured.columns], failed.alias("base_failed"),
                       F.when(failed, False).otherwise(F.coalesce(inside, F.lit(True))).alias("kept"))
