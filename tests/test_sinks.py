@@ -34,6 +34,27 @@ def test_daily_layout_path(spark, tmp_dir):
     assert parquet_dirs(root) == {"ticker=AAPL/year=2024/month=01/day=02"}
 
 
+def test_daily_layout_query_lands_every_row(spark, monkeypatch):
+    from tickvault.plans import catalog, catalog_raw  # noqa: F401 (the registry imports its parts in order)
+    from tickvault.sources import fixtures
+
+    sf_dir, append, calls = "/root/testdata/sf0.001", files.append_idempotent, []
+
+    def noted(df, root, layout):
+        obs = append(df, root, layout)
+        calls.append((root, obs.get["rows_written"]))
+        return obs
+
+    monkeypatch.setattr(catalog_raw.files, "append_idempotent", noted)
+    catalog_raw.q_daily_layout(spark, sf_dir)
+    rows = fixtures.wide_quotes(spark, sf_dir)
+    (root, first), (again, second) = calls
+    assert root == again and (first, second) == (rows.count(), 0)
+    back = catalog_raw.read_quotes(spark, root, "daily").select(*rows.columns)
+    assert back.exceptAll(rows).isEmpty() and back.count() == first
+    assert not back.where("date IS NULL").isEmpty() and not back.where("ticker IS NULL").isEmpty()
+
+
 def test_existing_partition_is_skipped_first_write_wins(spark, tmp_dir):
     root = f"{tmp_dir}/stock_prices"
     files.append_idempotent(spark.createDataFrame([raw_row(dt.date(2024, 1, 2))], RAW), root, "daily")

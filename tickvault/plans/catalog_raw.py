@@ -197,12 +197,13 @@ def q_read_partition(spark, d):
 
 @register("daily_layout", O.sql("SELECT * FROM w_quotes WHERE date >= DATE '2017-06-01' AND date < DATE '2017-07-01'", "w_quotes"))
 def q_daily_layout(spark, d):
-    """A month landed in the layout with a folder for each ticker and day, twice."""
+    """All rows, undated ones too, landed twice in the layout with a folder for each ticker
+    and day; a month of them read back."""
     root = work_path(spark, "raw")
-    rows = landing.scan_range(fixtures.wide_quotes(spark, d), "2017-06-01", "2017-07-01")
+    rows = fixtures.wide_quotes(spark, d)
     for _ in range(2):
         files.append_idempotent(rows, root, "daily")
-    return read_quotes(spark, root, "daily").select(*fixtures.QUOTE_COLUMNS)
+    return landing.scan_range(read_quotes(spark, root, "daily"), "2017-06-01", "2017-07-01").select(*fixtures.QUOTE_COLUMNS)
 
 
 @register("schema_enforced", O.sql("SELECT * FROM quotes", "quotes"))
