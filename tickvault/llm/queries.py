@@ -10,10 +10,11 @@ from tickvault.llm.line_dedup import OP2_SQL, op2_line_dedup
 from tickvault.llm.mixing import op1_source_mixing
 from tickvault.llm.quality_classifier import op3_quality_classifier
 from tickvault.llm.quality_rules import op10_quality_rules
+from tickvault.llm.sentence_pieces import op13_sentence_pieces
 from tickvault.llm.substring_dedup import OP6_SQL, op6_substring_dedup
 from tickvault.llm.suffix_dedup import op4_suffix_dedup
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_line_dedup, op3_quality_classifier, op4_suffix_dedup, op5_html_extraction,
-    op6_substring_dedup, op7_jaccard_join, op8_decontamination, op9_language_id, op10_quality_rules)}
+    op6_substring_dedup, op7_jaccard_join, op8_decontamination, op9_language_id, op10_quality_rules, op13_sentence_pieces)}
 ORACLES = {"op2_line_dedup": OP2_SQL, "op6_substring_dedup": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op8_decontamination": OP8_SQL}
