@@ -30,6 +30,17 @@ def incremental_source(source: DataFrame, target: DataFrame | None,
     return source.where(F.to_timestamp(F.col(source_ts)) > F.lit(mark))
 
 
+def committed_after(source: DataFrame, mark: int | None, col: str = "commit_no") -> DataFrame:
+    """Source rows written by a commit after number ``mark`` (P15 by commit sequence).
+
+    Commit numbers only grow, in the order in which commits took effect, whatever
+    timestamps the runs carry: no run falls behind the mark, and none of equal stamp is
+    lost.  ``None``, or a source from before commits were numbered, gives all rows."""
+    if mark is None or col not in source.columns:
+        return source
+    return source.where(F.col(col) > mark)
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep target rows whose key is not in the source, then add all source rows:
     delete+insert by key (K9).  The source must be unique per key; the table

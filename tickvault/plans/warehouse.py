@@ -3,6 +3,14 @@
 Each step is a few Spark jobs over lazy plans; metrics come from
 ``Observation``s attached to the writes instead of extra ``count()`` actions.
 Run timestamps are parameters, so a re-run with the same inputs repeats.
+
+A step's tables take effect together, in one commit of the warehouse's redo
+journal: clean table, month state and quarantine; the export; dimensions and
+fact.  A run stopped anywhere is finished or undone by the next one, which
+finds either all of a step or nothing.  The journal also holds what the steps
+know of each other: which months have raw rows that no clean build has read,
+the number of the clean table's last commit, and that up to which the fact has
+read it.  Rows carry the number of the commit that wrote them.
 """
 
 from __future__ import annotations
@@ -19,6 +27,7 @@ from tickvault.operators import checks, dims, enrich, fact, incremental, months,
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.schemas import AUDIT_SCHEMA, FACT_SCHEMA, RAW_SCHEMA, SILVER_SCHEMA, enforce_schema
 from tickvault.sinks import files, tables
+from tickvault.sinks.journal import Commit, Journal
 from tickvault.sources import landing
 from tickvault.sources.reference import DEFAULT_TICKERS, ticker_metadata
 
@@ -44,8 +53,9 @@ class Run:
     """One run.  ``silver_layout="ticker"`` rebuilds the clean table from the
     whole history (folders per ticker), or only the
     folders of ``tickers``; ``"month"`` keeps it in month folders and rebuilds
-    only the months from ``since`` on, seeding returns from the per-month
-    state.  ``dedup`` leaves one row per ticker and day (the fact is keyed by
+    only the months from ``since`` on, or with ``changed_only`` just the months
+    that have raw rows no clean build has read (and the rows whose return they
+    change), seeding returns from the per-month state.  ``dedup`` leaves one row per ticker and day (the fact is keyed by
     them); without it, rows are ordered by their place in the raw files.
     ``ticker_versions`` rebuilds the ticker dimension with a row for every
     version of a ticker's attributes instead of the latest one."""
@@ -55,6 +65,7 @@ class Run:
     dedup: bool = True
     silver_layout: str = "ticker"
     since: str | None = None
+    changed_only: bool = False
     tickers: Sequence[str] | None = None
     ticker_versions: bool = False
     metrics: dict = field(default_factory=dict)
@@ -82,7 +93,20 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
     # the requested list), instead of recomputing the batch afterwards.
     seen = Observation("ingested_tickers")
     rows = rows.observe(seen, F.collect_set("ticker").alias("tickers"))
-    obs = files.append_idempotent(rows, paths.raw, run.raw_layout)
+    log = journal(spark, paths)
+    log.recover()
+
+    known = log.marks().get("pending_months", [])
+
+    def announce(found: list) -> None:
+        log.note(pending_months=known + [m for m in found if m not in known])
+
+    # The batch's months are noted before the append, so that a run that stops after it leaves
+    # them to the next build; then narrowed down to those that got rows.
+    by_month = run.silver_layout == "month"
+    obs = files.append_idempotent(rows, paths.raw, run.raw_layout, announce=announce if by_month else None)
+    if by_month:
+        announce(sorted(obs.get["months"]) + [None] * bool(obs.get["undated"]))
     run.metrics["raw_rows_written"] = obs.get["rows_written"]
     ingested = set(seen.get["tickers"] or [])
     failed = [t for t in tickers if t not in ingested]
@@ -93,47 +117,71 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
 _ROW_ID = "_row_id"
 
 
+def journal(spark: SparkSession, paths: Paths) -> Journal:
+    return Journal(spark, paths.root)
+
+
 def build_silver(spark: SparkSession, paths: Paths, run: Run,
                  tickers: Sequence[str] | None = None) -> None:
     """Raw -> rules -> clean -> dedup -> daily return -> clean table; rejected
-    and duplicate rows to quarantine.  Two write jobs.
+    and duplicate rows to quarantine.  Two write jobs, one commit.
 
     Without a ticker restriction the table is replaced whole, so a ticker
     whose rows no longer pass goes.  The quality counts (total, clean,
     rejected, per rule) are observed in the quarantine write, whose single
     stage scans, flags and writes: observations in a writing stage count each
     row once even when tasks are retried.  A run whose counts don't add up
-    fails."""
+    fails, and nothing of it takes effect."""
     tickers = tickers or run.tickers
+    commit = journal(spark, paths).begin()
     raw = landing.read_raw(spark, paths.raw, run.raw_layout, RAW_SCHEMA, row_id=_ROW_ID)
     if run.silver_layout == "month":
         if not run.dedup:
             raise ValueError("the month layout keeps one row per ticker and day: it needs dedup")
-        run.metrics.update(months.build_months(raw, paths.silver, paths.silver_state, run.iso,
-                                               since=run.since, row_id=_ROW_ID))
-        # The same range as the rebuild: whole months from the one holding
-        # ``since``, and the rows without a date, which no month holds.
+        if run.changed_only and run.since is not None:
+            raise ValueError("give since or changed_only, not both")
+        pending = commit.marks.get("pending_months", [])
+        chosen = sorted(m for m in pending if m is not None) if run.changed_only else None
+        built = months.build_months(raw, paths.silver, paths.silver_state, run.iso, since=run.since,
+                                    row_id=_ROW_ID, months=chosen, commit=commit)
+        run.metrics.update(built)
+        # The same range as the rebuild, and the rows without a date, which no month holds.
         if run.since is not None:
-            raw = landing.since_with_undated(raw, months.month_start(run.since))
+            start = months.month_start(run.since)
+            raw = landing.since_with_undated(raw, start)
+            commit.marks["pending_months"] = [m for m in pending if m is not None and m < start.year * 100 + start.month]
+        elif chosen is not None:
+            raw = landing.months_with_undated(raw, chosen)
+            commit.marks["pending_months"] = []
+        else:
+            commit.marks["pending_months"] = []
+        unread = set(commit.marks.get("unread_months", [])) | set(built["months"]) | set(built["repaired"])
+        commit.marks["unread_months"] = sorted(unread)
         raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
-        _quarantine(raw, paths, run)
-        return
-    raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
-    if tickers:
-        raw = landing.scan_range(raw, tickers=tickers)
-    clean = quality.clean_rows(raw)
-    rows = quality.dedup_latest(clean, tiebreak=None) if run.dedup else clean
-    silver = enrich.enrich_silver(rows, run.iso, tiebreak=[] if run.dedup else [_ROW_ID]).drop(_ROW_ID)
-    written = files.overwrite_partitions(silver, paths.silver, ["ticker"], dynamic=bool(tickers))
-    run.metrics["silver_rows"] = written.get["written"]
-    _quarantine(raw, paths, run)
+    else:
+        raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
+        if tickers:
+            raw = landing.scan_range(raw, tickers=tickers)
+        clean = quality.clean_rows(raw)
+        rows = quality.dedup_latest(clean, tiebreak=None) if run.dedup else clean
+        silver = enrich.enrich_silver(rows, run.iso, tiebreak=[] if run.dedup else [_ROW_ID]).drop(_ROW_ID) \
+            .withColumn(months.COMMIT_COL, F.lit(commit.number).cast("long"))
+        written = files.overwrite_partitions(silver, commit.folder("silver"), ["ticker"], dynamic=False)
+        run.metrics["silver_rows"] = written.get["written"]
+        if tickers:
+            commit.replace_parts(commit.folder("silver"), paths.silver)
+        else:
+            commit.replace(commit.folder("silver"), paths.silver)
+    _quarantine(raw, paths, run, commit)
+    commit.marks["silver"] = commit.number
+    commit.done()
 
 
 class UnbalancedRun(RuntimeError):
     pass
 
 
-def _quarantine(raw: DataFrame, paths: Paths, run: Run) -> None:
+def _quarantine(raw: DataFrame, paths: Paths, run: Run, commit: Commit) -> None:
     """Rows that a rule rejects and rows that dedup removed, with the reason.
 
     A row is named by its place in the raw files, so the clean build and this
@@ -146,7 +194,11 @@ def _quarantine(raw: DataFrame, paths: Paths, run: Run) -> None:
         dup_obs = Observation("duplicates")
         rejected = rejected.unionByName(
             duplicates.observe(dup_obs, F.count(F.lit(1)).alias("duplicate_rows")))
-    run.metrics["quarantined"] = files.write_quarantine(rejected, paths.rejected, run.label)
+    run.metrics["quarantined"] = files.write_quarantine(rejected, commit.folder("rejected"), run.label)
+    if run.metrics["quarantined"]:
+        commit.replace_parts(commit.folder("rejected"), paths.rejected)
+    else:
+        commit.remove(f"{paths.rejected}/run_ts={run.label}")
     run.metrics.update(obs.get)
     run.metrics["duplicate_rows"] = dup_obs.get["duplicate_rows"] if run.dedup else 0
     _balance(run)
@@ -164,17 +216,18 @@ def _balance(run: Run) -> None:
 
 def load_export(spark: SparkSession, paths: Paths) -> None:
     """Replace the export table by the clean table; an empty one is refused."""
-    files.truncate_load(read_silver(spark, paths), paths.export, SILVER_SCHEMA)
+    commit = journal(spark, paths).begin()
+    files.truncate_load(read_silver(spark, paths), paths.export, SILVER_SCHEMA, commit=commit)
+    commit.done()
 
 
 def read_silver(spark: SparkSession, paths: Paths) -> DataFrame:
+    journal(spark, paths).recover()
     return spark.read.parquet(paths.silver)
 
 
-def _replace_table(df: DataFrame, path: str, run: Run) -> None:
-    staging = f"{path}.staging/{run.label}"
-    df.write.mode("overwrite").parquet(staging)
-    files.swap_in(df.sparkSession, staging, path)
+class LostDimension(RuntimeError):
+    pass
 
 
 def build_gold(spark: SparkSession, paths: Paths, run: Run) -> None:
@@ -185,30 +238,36 @@ def build_gold(spark: SparkSession, paths: Paths, run: Run) -> None:
     the ticker dimension's count observed while it is written), so the star
     join decides its broadcasts without counting."""
     ts = F.lit(run.run_ts)
-    _replace_table(dims.dim_date(spark), paths.dim_date, run)
+    commit = journal(spark, paths).begin()
+    staged = {name: commit.folder(name) for name in ("dim_date", "dim_ticker")}
+    dims.dim_date(spark).write.parquet(staged["dim_date"])
     run.metrics["dim_date_rows"] = dims.dim_date_rows()
+    target = tables.read_table(spark, paths.fact)
     silver = read_silver(spark, paths)
+    changed = incremental.committed_after(silver, commit.marks.get("fact") if target is not None else None)
     if run.silver_layout == "month":
-        if run.since:
-            # Only the rebuilt months can hold rows newer than the fact, or
-            # newer attributes than the dimension: prune the other folders.
-            start = months.month_start(run.since)
-            silver = silver.where(F.col(months.MONTH_KEY) >= start.year * 100 + start.month)
-        silver = silver.drop(months.MONTH_KEY)
+        if target is not None and "fact" in commit.marks:
+            # Months rebuilt since the fact last read: the other folders hold no newer commit.
+            changed = changed.where(F.col(months.MONTH_KEY).isin(commit.marks.get("unread_months", [])))
+        changed, silver = changed.drop(months.MONTH_KEY), silver.drop(months.MONTH_KEY)
     if run.ticker_versions:
         new_dim = dims.dim_ticker(silver, ts)
     else:
         existing = (spark.read.parquet(paths.dim_ticker)
                     if files.has_data_files(spark, paths.dim_ticker) else None)
-        new_dim = dims.dim_ticker_type1(silver, existing, ts)
+        if existing is None and target is not None:
+            # Numbering from scratch would give the fact's keys to other tickers.
+            raise LostDimension(f"{paths.fact} has rows, but {paths.dim_ticker} is missing")
+        new_dim = dims.dim_ticker_type1(changed if existing is not None else silver, existing, ts)
     dim_obs = Observation("dim_ticker")
-    _replace_table(new_dim.observe(dim_obs, F.count(F.lit(1)).alias("n")), paths.dim_ticker, run)
+    new_dim.observe(dim_obs, F.count(F.lit(1)).alias("n")).write.parquet(staged["dim_ticker"])
     run.metrics["dim_ticker_rows"] = dim_obs.get["n"]
-    target = tables.read_table(spark, paths.fact)
-    changed = incremental.incremental_source(silver, target)
-    rows = fact.fact_prices(changed, spark.read.parquet(paths.dim_date),
-                            spark.read.parquet(paths.dim_ticker), ts, _dim_rows(run))
-    tables.upsert_table(rows, paths.fact, fact.FACT_KEYS)
+    rows = fact.fact_prices(changed, *[spark.read.parquet(p) for p in staged.values()], ts, _dim_rows(run))
+    tables.upsert_table(rows, paths.fact, fact.FACT_KEYS, commit=commit)
+    for name, folder in staged.items():
+        commit.replace(folder, getattr(paths, name))
+    commit.marks.update(fact=commit.marks.get("silver"), unread_months=[])
+    commit.done()
 
 
 def _dim_rows(run: Run) -> dict[str, int]:
@@ -218,6 +277,7 @@ def _dim_rows(run: Run) -> dict[str, int]:
 
 def register_views(spark: SparkSession, paths: Paths) -> None:
     """Temporary views over the stored layers, for SQL queries."""
+    journal(spark, paths).recover()
     views = {"silver_stock_prices": paths.silver, "dim_date": paths.dim_date,
              "dim_ticker": paths.dim_ticker, "fact_stock_prices": paths.fact,
              "pipeline_audit_log": paths.audit}
@@ -225,6 +285,7 @@ def register_views(spark: SparkSession, paths: Paths) -> None:
 
 
 def run_data_tests(spark: SparkSession, paths: Paths, run: Run | None = None) -> DataFrame:
+    journal(spark, paths).recover()
     gold = {"dim_date": spark.read.parquet(paths.dim_date),
             "dim_ticker": spark.read.parquet(paths.dim_ticker),
             "fact_stock_prices": (tables.read_table(spark, paths.fact)

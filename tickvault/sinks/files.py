@@ -4,7 +4,7 @@ audit append (K1-K8, K11), plus staging/swap helpers for atomic replacement."""
 from __future__ import annotations
 
 import uuid
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +49,38 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()) if fs.exists(p) else []
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``; none if it does not exist."""
+    fs, p = _fs(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p) if x.isFile()) if fs.exists(p) else []
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename ``source`` to ``target``, which must not exist."""
+    fs, s = _fs(spark, source)
+    _, t = _fs(spark, target)
+    if not fs.exists(t.getParent()):
+        fs.mkdirs(t.getParent())
+    if fs.exists(t) or not fs.rename(s, t):
+        raise RuntimeError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """Is there a Parquet file anywhere below ``path``?"""
     fs, p = _fs(spark, path)
@@ -110,7 +142,8 @@ def raw_read_schema(schema: T.StructType, layout: str) -> T.StructType:
 
 
 def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
-                      keys: Sequence[str] = ("ticker", "date"), date_col: str = "date") -> Observation:
+                      keys: Sequence[str] = ("ticker", "date"), date_col: str = "date",
+                      announce: Callable[[list], None] | None = None) -> Observation:
     """Append only (ticker, date) groups not yet stored; existing ones are skipped,
     so re-running a batch writes nothing and the first write wins (K1, J4).
 
@@ -118,17 +151,24 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
     calendar-bounded list, the folder of NULL dates included) prune the read
     of existing keys, which are matched with a NULL-safe anti join: rows
     without a date are appended once like any others.
-    Returns an Observation holding the number of rows written.
+    ``announce`` is called with the batch's months (yyyyMM, None for rows without
+    a date) before anything is written.
+    Returns an Observation holding the number of rows written, their months and
+    how many have no date.
     """
     spark = df.sparkSession
     parts = LAYOUTS[layout]
     batch = with_partition_columns(df, layout, date_col)
-    if has_data_files(spark, root):
+    stored_before = has_data_files(spark, root)
+    if stored_before or announce:
         staged = work_path(spark, "batch")
         batch.write.parquet(staged)
         batch = spark.read.schema(batch.schema).parquet(staged)
         month = F.year(date_col) * 100 + F.month(date_col)
         touched = [r[0] for r in batch.select(month).distinct().collect()]
+        if announce:
+            announce(touched)
+    if stored_before:
         folder = F.col("year") * 100 + F.col("month")
         wanted = folder.isin([m for m in touched if m is not None])
         if None in touched:
@@ -143,7 +183,9 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
     # observed after the exchange: below it, the range sampling job would
     # count the rows a second time.
     ranged = batch.repartitionByRange(*parts, *[k for k in keys if k not in parts])
-    (ranged.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+    (ranged.observe(obs, F.count(F.lit(1)).alias("rows_written"),
+                    F.collect_set(F.year(date_col) * 100 + F.month(date_col)).alias("months"),     # a calendar's months
+                    F.count(F.when(F.col(date_col).isNull(), 1)).alias("undated"))
            .write.mode("append").partitionBy(*parts).parquet(root))
     return obs
 
@@ -194,26 +236,38 @@ class EmptyLoadError(RuntimeError):
     pass
 
 
-def truncate_load(df: DataFrame, path: str, schema: T.StructType) -> None:
+def truncate_load(df: DataFrame, path: str, schema: T.StructType, commit=None) -> None:
     """Replace the table's content with ``df`` as one unit (K6).
 
     Columns are taken in the table's order and cast to the table types; ones
     that ``df`` lacks are NULL, so the table keeps its columns.  The rows are
-    written to a staging folder beside the table and swapped in, so readers
-    see the old or the new table, never a half-written one.  An empty ``df``
-    is refused and the table left as it was (S9)."""
+    staged and put in place by a commit of a redo journal (``commit``'s, which
+    its owner ends, or one of the table's own): whatever the load is stopped at,
+    the next one, or ``recover_load``, leaves the old or the new table.  An empty
+    ``df`` is refused and the table left as it was (S9)."""
+    from tickvault.sinks.journal import Journal
+
     spark = df.sparkSession
-    create_table_if_absent(spark, path, schema)
+    own = commit or Journal(spark, f"{path.rstrip('/')}.journal").begin()
+    if commit is None:
+        create_table_if_absent(spark, path, schema)
     present = set(df.columns)
     out = df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
                       for f in schema.fields])
-    staging = f"{path.rstrip('/')}.staging/load-{uuid.uuid4().hex}"
     rows = Observation("truncate_load")
-    out.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(staging)
-    if not rows.get["n"]:
-        delete_path(spark, staging)
+    out.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(own.folder("load"))
+    if not rows.get.get("n"):
         raise EmptyLoadError(f"nothing to load into {path}")
-    swap_in(spark, staging, path)
+    own.replace(own.folder("load"), path)
+    if commit is None:
+        own.done()
+
+
+def recover_load(spark: SparkSession, path: str) -> None:
+    """Finish a load of ``path`` that was stopped after its commit."""
+    from tickvault.sinks.journal import Journal
+
+    Journal(spark, f"{path.rstrip('/')}.journal").recover()
 
 
 def export_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

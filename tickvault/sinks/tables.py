@@ -12,6 +12,7 @@ from tickvault.operators.incremental import upsert
 from tickvault.schemas import assert_same_schema
 from tickvault.sinks.files import (delete_path, has_data_files, list_folders, path_exists,
                                    swap_in, touch)
+from tickvault.sinks.journal import Commit
 
 
 def month_of_date_key(date_key: str = "date_key") -> Column:
@@ -23,9 +24,36 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+def _rebuilt(source: DataFrame, target: DataFrame | None, path: str, work: str, keys: Sequence[str],
+             partition_col: str, expr: Column) -> str | None:
+    """Write the partitions that ``source`` touches anew below ``work``; None without rows."""
+    spark = source.sparkSession
+    if target is not None:
+        assert_same_schema(source.schema, target.drop(partition_col).schema)
+    source.withColumn(partition_col, expr).write.parquet(f"{work}/source")
+    src = spark.read.parquet(f"{work}/source")
+    twice = src.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        delete_path(spark, work)
+        raise DuplicateKeyError(f"the source of {path} holds a key twice: {twice[0].asDict()}")
+    touched = [r[0] for r in src.select(partition_col).distinct().collect()]
+    if not touched:
+        return None
+    order = [partition_col, *keys]
+    merged = src
+    if target is not None:
+        nulls = F.col(partition_col).isNull() if None in touched else F.lit(False)
+        current = target.where(F.col(partition_col).isin([t for t in touched if t is not None]) | nulls)
+        merged = upsert(current, src.select(*current.columns), [*keys])
+    # A range on (month, keys): a month lies in few tasks, so it gets few
+    # files, and a hot month is split by its keys.
+    merged.repartitionByRange(*order).write.partitionBy(partition_col).parquet(f"{work}/rebuilt")
+    return f"{work}/rebuilt"
+
+
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
                  partition_col: str = "month_key",
-                 partition_expr: Column | None = None) -> None:
+                 partition_expr: Column | None = None, commit: Commit | None = None) -> None:
     """Upsert ``source`` into the table at ``path`` by ``keys``.
 
     The source is stored once.  Then: fail on a schema change (K10) or on a
@@ -34,37 +62,26 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str],
     each rebuilt folder in.  The table is never read and overwritten by the
     same plan.  The touched partition values are a calendar-bounded list.
 
-    Safe to re-run after a failure at any point: rebuilt folders lie beside
-    the table (``<path>.staging``, the same file system) and are marked ready
-    once all are written.  ``recover``, which every read and upsert begins
+    Safe to re-run after a failure at any point.  With ``commit`` the rebuilt
+    folders join that unit of work, which its owner ends.  Otherwise they lie
+    beside the table (``<path>.staging``, the same file system) and are marked
+    ready once all are written; ``recover``, which every read and upsert begins
     with, moves the folders of a ready set that are not in place yet, so the
     high-water mark of a table never stands for folders that are missing.
     """
     spark = source.sparkSession
     expr = partition_expr if partition_expr is not None else month_of_date_key()
     target = read_table(spark, path, partition_col=None)
-    if target is not None:
-        assert_same_schema(source.schema, target.drop(partition_col).schema)
+    if commit is not None:
+        rebuilt = _rebuilt(source, target, path, commit.folder("upsert"), keys, partition_col, expr)
+        if rebuilt:
+            commit.replace_parts(rebuilt, path)
+        return
     work = f"{path.rstrip('/')}.staging/_upsert-{uuid.uuid4().hex}"
-    source.withColumn(partition_col, expr).write.parquet(f"{work}/source")
-    src = spark.read.parquet(f"{work}/source")
-    twice = src.groupBy(*keys).count().where("count > 1").limit(1).collect()
-    if twice:
-        delete_path(spark, work)
-        raise DuplicateKeyError(f"the source of {path} holds a key twice: {twice[0].asDict()}")
-    touched = [r[0] for r in src.select(partition_col).distinct().collect()]
-    if touched:
-        order = [partition_col, *keys]
-        merged = src
-        if target is not None:
-            nulls = F.col(partition_col).isNull() if None in touched else F.lit(False)
-            current = target.where(F.col(partition_col).isin([t for t in touched if t is not None]) | nulls)
-            merged = upsert(current, src.select(*current.columns), [*keys])
-        # A range on (month, keys): a month lies in few tasks, so it gets few
-        # files, and a hot month is split by its keys.
-        merged.repartitionByRange(*order).write.partitionBy(partition_col).parquet(f"{work}/rebuilt")
+    rebuilt = _rebuilt(source, target, path, work, keys, partition_col, expr)
+    if rebuilt:
         ready = f"{path.rstrip('/')}.staging/ready-{uuid.uuid4().hex}"
-        swap_in(spark, f"{work}/rebuilt", ready)
+        swap_in(spark, rebuilt, ready)
         touch(spark, f"{ready}/_READY")
     delete_path(spark, work)
     recover(spark, path)

@@ -121,6 +121,15 @@ def since_with_undated(df: DataFrame, start: dt.date, date_col: str = "date") ->
     return out
 
 
+def months_with_undated(df: DataFrame, months: Sequence[int], date_col: str = "date") -> DataFrame:
+    """Rows of the given months (yyyyMM) and rows without a date; other months' folders are pruned."""
+    chosen = list(months)
+    out = df.where((F.year(date_col) * 100 + F.month(date_col)).isin(chosen) | F.col(date_col).isNull())
+    if "year" in df.columns and "month" in df.columns:
+        out = out.where((F.col("year") * 100 + F.col("month")).isin(chosen) | F.col("year").isNull())
+    return out
+
+
 def next_day(ds: str) -> str:
     """The day after an ISO date string."""
     return (dt.date.fromisoformat(ds) + dt.timedelta(days=1)).isoformat()

@@ -3,11 +3,12 @@
 ``clean_stream`` splits every micro-batch by the rules into clean and rejected rows.
 
 ``silver_stream`` keeps the month-partitioned clean table up to date: a
-micro-batch's accepted rows are stored, and the months from the earliest one it
-touches are rebuilt from all rows stored so far.  So the same (ticker, date) in
-two files leaves one row, a late date changes the return of the day after it,
-and files may arrive in any order and number.  In-order arrivals rebuild only
-the newest month; a late row costs the months after it.
+micro-batch's accepted rows are stored, and the months it touches are rebuilt
+from all rows stored so far, together with the returns of the rows that follow
+them in later months.  So the same (ticker, date) in two files leaves one row, a
+late date changes the return of the day after it, and files may arrive in any
+order and number.  A late row costs its own month and the ones that follow it for
+the batch's tickers, not all months after it.
 
 ``fact_updates`` carries the rebuilt months on into the fact by keyed upsert.
 
@@ -75,9 +76,9 @@ def silver_batch(root: str, schema: T.StructType, processed_at: str,
         if not has_data_files(spark, accepted):
             return
         new = spark.read.schema(_with(schema, months.MONTH_KEY)).parquet(accepted)
-        first = new.agg(F.min(months.MONTH_KEY)).first()[0]
+        touched = sorted(r[0] for r in new.select(months.MONTH_KEY).distinct().collect())      # a calendar's months
         stored = (spark.read.schema(_with(schema, "batch_id", months.MONTH_KEY)).parquet(f"{root}/accepted")
-                  .where((F.col(months.MONTH_KEY) >= first) & (F.col("batch_id") <= batch_id))
+                  .where(F.col(months.MONTH_KEY).isin(touched) & (F.col("batch_id") <= batch_id))
                   .select(*schema.fieldNames()))
         # Rows that lost against another row of their key, now or to this batch.
         rivals = stored.join(new.select("ticker", "date").distinct(), ["ticker", "date"], "left_semi") \
@@ -88,11 +89,10 @@ def silver_batch(root: str, schema: T.StructType, processed_at: str,
                 .where(F.col("batch_id") < batch_id).select(row_id)
             losers = losers.join(earlier, row_id, "left_anti")
         losers.write.mode("overwrite").parquet(f"{root}/duplicates/batch_id={batch_id}")
-        since = f"{first // 100:04d}-{first % 100:02d}-01"
-        built = months.build_months(stored, f"{root}/silver", f"{root}/state", processed_at, since=since,
+        built = months.build_months(stored, f"{root}/silver", f"{root}/state", processed_at, months=touched,
                                     tiebreak=[row_id], prepare=prepare)
         if after:
-            after(spark, f"{root}/silver", built["months"])
+            after(spark, f"{root}/silver", sorted({*built["months"], *built["repaired"]}))
 
     return run
 
@@ -125,7 +125,7 @@ def silver_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ro
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/silver").drop(months.MONTH_KEY)
+    return months.read_months(spark, f"{root}/silver")
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
