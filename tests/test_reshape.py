@@ -16,48 +16,48 @@ def wide(spark, rows, tickers):
     return spark.createDataFrame(rows, schema)
 
 
-D = dt.datetime(2024, 1, 2)
-VALS = (150.0, 155.0, 149.0, 152.0, 151.5, 5000000)
+D = dt.datetime(2021, 7, 14)
+VALS = (31.25, 34.0, 30.5, 33.75, 33.5, 640000)
 
 
 def test_wide_to_long_normalised(spark):
-    w = wide(spark, [(D, VALS, VALS)], ["AAPL", "MSFT"])
+    w = wide(spark, [(D, VALS, VALS)], ["QRS", "TUV"])
     out = normalize_columns(reshape.wide_to_long(w))
     assert sorted(out.columns) == sorted(["date", "open", "high", "low", "close", "adj_close",
                                           "volume", "ticker"])
     rows = {r["ticker"]: r for r in out.collect()}
-    assert set(rows) == {"AAPL", "MSFT"} and rows["AAPL"]["adj_close"] == 151.5
-    assert rows["MSFT"]["volume"] == 5000000
+    assert set(rows) == {"QRS", "TUV"} and rows["QRS"]["adj_close"] == 33.5
+    assert rows["TUV"]["volume"] == 640000
 
 
 def test_all_null_ticker_yields_nothing(spark):
-    w = wide(spark, [(D, VALS, (None,) * 6)], ["AAPL", "GONE"])
+    w = wide(spark, [(D, VALS, (None,) * 6)], ["QRS", "GONE"])
     out = reshape.to_raw_rows(w, "2024-01-02T00:00:00", "yahoo_finance")
-    assert {r["ticker"] for r in out.collect()} == {"AAPL"}
+    assert {r["ticker"] for r in out.collect()} == {"QRS"}
     row = out.first()
     assert row["source"] == "yahoo_finance" and row["ingested_at"] == "2024-01-02T00:00:00"
 
 
 def test_ticker_with_some_data_keeps_null_rows(spark):
     d2 = dt.datetime(2024, 1, 3)
-    w = wide(spark, [(D, VALS), (d2, (None,) * 6)], ["AAPL"])
+    w = wide(spark, [(D, VALS), (d2, (None,) * 6)], ["QRS"])
     out = reshape.to_raw_rows(w, "x", "y")
     assert out.count() == 2
 
 
 def test_flat_single_ticker_frame(spark):
     df = spark.createDataFrame([(D, *VALS)], ["Date", *FIELDS])
-    out = normalize_columns(reshape.wide_to_long(df, ticker="AAPL"))
-    assert out.first()["ticker"] == "AAPL" and "adj_close" in out.columns
+    out = normalize_columns(reshape.wide_to_long(df, ticker="QRS"))
+    assert out.first()["ticker"] == "QRS" and "adj_close" in out.columns
 
 
 def test_missing_requested_ticker_is_failed(spark):
-    w = wide(spark, [(D, VALS)], ["AAPL"])
-    rows = reshape.to_raw_rows(w, "x", "y", tickers=["AAPL", "MSFT"])
-    req = spark.createDataFrame([("AAPL",), ("MSFT",)], "ticker string")
-    assert [r[0] for r in tally.failed_tickers(req, rows).collect()] == ["MSFT"]
+    w = wide(spark, [(D, VALS)], ["QRS"])
+    rows = reshape.to_raw_rows(w, "x", "y", tickers=["QRS", "TUV"])
+    req = spark.createDataFrame([("QRS",), ("TUV",)], "ticker string")
+    assert [r[0] for r in tally.failed_tickers(req, rows).collect()] == ["TUV"]
     t = {r["ticker"]: (r["rows_ingested"], r["status"]) for r in tally.ingest_tally(req, rows).collect()}
-    assert t == {"AAPL": (1, "success"), "MSFT": (0, "failed")}
+    assert t == {"QRS": (1, "success"), "TUV": (0, "failed")}
 
 
 def test_tolerant_select(spark):

@@ -14,9 +14,9 @@ RAW = ("date date, open double, high double, low double, close double, adj_close
        "sector string, exchange string")
 
 
-def raw_row(day, close=152.0, ticker="AAPL"):
-    return (day, 150.0, 155.0, 149.0, close, 151.5, 5000000, ticker, "2024-01-02T00:00:00",
-            "yahoo_finance", "Apple Inc.", "Technology", "NASDAQ")
+def raw_row(day, close=33.75, ticker="QRS"):
+    return (day, 31.25, 34.0, 30.5, close, 33.5, 640000, ticker, "2024-01-02T00:00:00",
+            "yahoo_finance", "Quarry Stone", "Materials", "NASDAQ")
 
 
 def parquet_dirs(root):
@@ -31,7 +31,7 @@ def test_daily_layout_path(spark, tmp_dir):
     root = f"{tmp_dir}/stock_prices"
     df = spark.createDataFrame([raw_row(dt.date(2024, 1, 2))], RAW)
     assert files.append_idempotent(df, root, "daily").get["rows_written"] == 1
-    assert parquet_dirs(root) == {"ticker=AAPL/year=2024/month=01/day=02"}
+    assert parquet_dirs(root) == {"ticker=QRS/year=2024/month=01/day=02"}
 
 
 def test_daily_layout_query_lands_every_row(spark, monkeypatch):
@@ -61,7 +61,7 @@ def test_existing_partition_is_skipped_first_write_wins(spark, tmp_dir):
     again = spark.createDataFrame([raw_row(dt.date(2024, 1, 2), close=999.0)], RAW)
     assert files.append_idempotent(again, root, "daily").get["rows_written"] == 0
     back = landing.read_raw(spark, root, "daily")
-    assert [r["close"] for r in back.collect()] == [152.0]
+    assert [r["close"] for r in back.collect()] == [33.75]
 
 
 def test_empty_batch_writes_nothing(spark, tmp_dir):
@@ -75,8 +75,8 @@ def test_two_dates_two_partitions(spark, tmp_dir):
     root = f"{tmp_dir}/stock_prices"
     df = spark.createDataFrame([raw_row(dt.date(2024, 1, 2)), raw_row(dt.date(2024, 1, 3))], RAW)
     files.append_idempotent(df, root, "daily")
-    assert parquet_dirs(root) == {"ticker=AAPL/year=2024/month=01/day=02",
-                                  "ticker=AAPL/year=2024/month=01/day=03"}
+    assert parquet_dirs(root) == {"ticker=QRS/year=2024/month=01/day=02",
+                                  "ticker=QRS/year=2024/month=01/day=03"}
 
 
 def test_monthly_layout_same_result(spark, tmp_dir):
@@ -85,7 +85,7 @@ def test_monthly_layout_same_result(spark, tmp_dir):
     files.append_idempotent(df, root)
     files.append_idempotent(df.withColumn("close", F.lit(1.0)), root)
     assert parquet_dirs(root) == {"year=2024/month=01", "year=2024/month=02"}
-    assert sorted(r["close"] for r in landing.read_raw(spark, root).collect()) == [152.0, 152.0]
+    assert sorted(r["close"] for r in landing.read_raw(spark, root).collect()) == [33.75, 33.75]
 
 
 def test_dynamic_overwrite_keeps_other_tickers(spark, tmp_dir):
@@ -127,12 +127,12 @@ def test_truncate_load_replaces_and_projects(spark, tmp_dir):
 
 def test_path_key_from_folder(spark, tmp_dir):
     root = f"{tmp_dir}/silver"
-    df = spark.createDataFrame([raw_row(dt.date(2024, 1, 2), ticker="MSFT")], RAW)
-    df.drop("ticker").write.parquet(f"{root}/ticker=MSFT")
+    df = spark.createDataFrame([raw_row(dt.date(2024, 1, 2), ticker="TUV")], RAW)
+    df.drop("ticker").write.parquet(f"{root}/ticker=TUV")
     with open(f"{root}/notes.txt", "w") as fh:
         fh.write("not data")
     out = landing.read_files_with_path_key(spark, root, "ticker")
-    assert [r["ticker"] for r in out.collect()] == ["MSFT"]
+    assert [r["ticker"] for r in out.collect()] == ["TUV"]
 
 
 def test_no_input_raises(spark, tmp_dir):
@@ -287,11 +287,11 @@ def test_scan_day_and_views(spark, tmp_dir):
 def test_raw_batch_defaults(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     today = dt.date.today()
-    rows = [raw_row(dt.date(2019, 12, 31), ticker="AAPL"), raw_row(dt.date(2020, 1, 2), ticker="AAPL"),
-            raw_row(dt.date(2020, 1, 2), ticker="ZZZZ"), raw_row(today, ticker="MSFT")]
+    rows = [raw_row(dt.date(2019, 12, 31), ticker="QRS"), raw_row(dt.date(2020, 1, 2), ticker="QRS"),
+            raw_row(dt.date(2020, 1, 2), ticker="ZZZZ"), raw_row(today, ticker="TUV")]
     files.append_idempotent(spark.createDataFrame(rows, RAW), root)
     got = [(r["ticker"], r["date"]) for r in landing.raw_batch(spark, root).collect()]
-    assert got == [("AAPL", dt.date(2020, 1, 2))]
+    assert got == [("QRS", dt.date(2020, 1, 2))]
 
 
 def test_compaction_keeps_rows_and_merges_files(spark, tmp_dir):
@@ -340,10 +340,10 @@ def test_raw_file_from_another_writer_is_normalised(spark, tmp_dir):
     os.makedirs(folder)
     table = pa.table({
         "date": pa.array([dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)], pa.timestamp("us")),
-        "open": [150.0, float("nan")], "high": [155.0, 155.0], "low": [149.0, 149.0],
-        "close": [152.0, 152.0], "adj_close": [float("nan"), 151.5],
-        "volume": [5000000.0, 7.0],  # padded download: inferred as DOUBLE
-        "ticker": ["AAPL", "AAPL"],
+        "open": [31.25, float("nan")], "high": [34.0, 34.0], "low": [30.5, 30.5],
+        "close": [33.75, 33.75], "adj_close": [float("nan"), 33.5],
+        "volume": [640000.0, 7.0],  # padded download: inferred as DOUBLE
+        "ticker": ["QRS", "QRS"],
     })
     pq.write_table(table, f"{folder}/data.parquet", coerce_timestamps="us")
     df = landing.read_raw(spark, f"{tmp_dir}/raw", foreign=True)
@@ -353,4 +353,4 @@ def test_raw_file_from_another_writer_is_normalised(spark, tmp_dir):
     first, second = rows[dt.date(2024, 1, 2)], rows[dt.date(2024, 1, 3)]
     assert first["adj_close"] is None and first["failure_reason"] is None
     assert second["open"] is None and second["failure_reason"] == "null_in_critical_column"
-    assert first["volume"] == 5000000
+    assert first["volume"] == 640000

@@ -138,6 +138,41 @@ def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest],
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
+# ---- incremental tests: results per folder, merged ------------------------------
+
+def is_additive(test: DataTest) -> bool:
+    """Do the failures of a table's folders add up to the table's?  Null counts do, and orphans,
+    as long as the parent loses no key; repeated values don't."""
+    return test.kind in ("not_null", "relationships")
+
+
+def folder_results(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataFrame], folder: str,
+                   known_rows: dict[str, int] | None = None) -> DataFrame:
+    """(folder, test_name, failures) of one table's additive tests, in one scan with a grouped sum."""
+    from tickvault.operators.lookup import broadcast_if_bounded
+
+    counts = []
+    for i, t in enumerate(tests):
+        if t.kind == "not_null":
+            counts.append(F.count_if(F.col(t.column).isNull()).alias(f"_f{i}"))
+        else:
+            keys = tables[t.to_table].select(F.col(t.to_column).alias(f"_pk{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+            keys = broadcast_if_bounded(keys, known_rows=(known_rows or {}).get(t.to_table))
+            df = df.join(keys, df[t.column] == keys[f"_pk{i}"], "left")
+            counts.append(F.count_if(F.col(t.column).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"_f{i}"))
+    pairs = ", ".join(f"'{t.name}', `_f{i}`" for i, t in enumerate(tests))
+    return df.groupBy(folder).agg(*counts).selectExpr(f"`{folder}`", f"stack({len(tests)}, {pairs}) AS (test_name, failures)")
+
+
+def merge_results(parts: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """The verdicts of additive tests from the results of all folders, as ``run_suite`` gives them."""
+    rows = [(t.name, t.kind, t.table, t.column) for t in tests]
+    declared = parts.sparkSession.createDataFrame(rows, "test_name string, kind string, table_name string, column_name string")
+    sums = parts.groupBy("test_name").agg(F.sum("failures").alias("failures"))
+    return declared.join(sums, "test_name", "left").withColumn("failures", F.coalesce("failures", F.lit(0)).cast("bigint")) \
+        .withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
 # The 18 declared data tests of the gold layer and its source.
 GOLD_TESTS = [
     DataTest("unique", "dim_date", "date_key"),

@@ -203,4 +203,4 @@ def q_fact_prices(spark, d):
 # Register the remaining query groups.
 from tickvault.plans import catalog_raw  # noqa: E402,F401
 from tickvault.plans import catalog_gold, catalog_io  # noqa: E402,F401
-from tickvault.plans import catalog_stream  # noqa: E402,F401
+from tickvault.plans import catalog_runs, catalog_stream  # noqa: E402,F401

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tickvault.functions.naming import run_stamp
 from tickvault.operators import quality
 from tickvault.plans import oracle as O
-from tickvault.plans.catalog import quotes, register, silver, store, wide_silver
+from tickvault.plans.catalog import quotes, register, silver, store
+from tickvault.plans.catalog_raw import BUCKET_SQL, bucketed_silver
 from tickvault.plans.constants import RUN_TS
 from tickvault.schemas import SILVER_EXPORT_COLUMNS, SILVER_SCHEMA
 from tickvault.session import work_path
@@ -20,26 +21,26 @@ RUN_LABEL = "20240102_060000"
 
 
 @register("overwrite_partitions", O.sql(
-    f"""SELECT * REPLACE ('{STALE_ISO}' AS processed_at) FROM w_silver WHERE exchange <> 'NYSE'
-        UNION ALL SELECT * FROM w_silver WHERE exchange = 'NYSE'""", "w_silver"))
+    f"""SELECT *, {BUCKET_SQL} AS bucket FROM (
+        SELECT * REPLACE ('{STALE_ISO}' AS processed_at) FROM silver WHERE {BUCKET_SQL} >= 'B10'
+        UNION ALL SELECT * FROM silver WHERE {BUCKET_SQL} < 'B10')""", "silver"))
 def q_overwrite_partitions(spark, d):
-    """Full write of an older version, then a re-run for the NYSE tickers only:
-    their partitions are replaced, every other ticker is kept."""
+    """Full write of an older version, then a re-run for some buckets of tickers only:
+    their partitions are replaced, every other one is kept."""
     root = work_path(spark, "silver")
-    s = store(wide_silver(spark, d), "silver")
-    files.overwrite_partitions(s.withColumn("processed_at", F.lit(STALE_ISO)), root, ["ticker"])
-    files.overwrite_partitions(s.where(F.col("exchange") == "NYSE"), root, ["ticker"])
+    s = store(bucketed_silver(spark, d), "silver")
+    files.overwrite_partitions(s.withColumn("processed_at", F.lit(STALE_ISO)), root, ["bucket"])
+    files.overwrite_partitions(s.where(F.col("bucket") < "B10"), root, ["bucket"])
     return spark.read.schema(s.schema).parquet(root).select(*s.columns)
 
 
-@register("overwrite_full", O.sql("SELECT * FROM w_silver WHERE exchange <> 'NYSE'", "w_silver"))
+@register("overwrite_full", O.sql(f"SELECT *, {BUCKET_SQL} AS bucket FROM silver WHERE {BUCKET_SQL} >= 'B10'", "silver"))
 def q_overwrite_full(spark, d):
-    """A rebuild of the whole table from which the NYSE tickers have gone:
-    their partitions go too."""
+    """A rebuild of the whole table from which some buckets have gone: their partitions go too."""
     root = work_path(spark, "silver")
-    s = store(wide_silver(spark, d), "silver")
-    files.overwrite_partitions(s, root, ["ticker"])
-    files.overwrite_partitions(s.where(F.col("exchange") != "NYSE"), root, ["ticker"], dynamic=False)
+    s = store(bucketed_silver(spark, d), "silver")
+    files.overwrite_partitions(s, root, ["bucket"])
+    files.overwrite_partitions(s.where(F.col("bucket") >= "B10"), root, ["bucket"], dynamic=False)
     return spark.read.schema(s.schema).parquet(root).select(*s.columns)
 
 

@@ -8,12 +8,13 @@ from tickvault.functions.naming import normalize_columns
 from tickvault.operators import reshape, tally
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.plans import oracle as O
-from tickvault.plans.catalog import quotes, register, store, wide_silver
+from tickvault.plans.catalog import quotes, register, silver, store
 from tickvault.operators import quality
 from tickvault.plans.constants import RUN_TS_ISO
 from tickvault.session import work_path
-from tickvault.sinks import files
-from tickvault.sources import fixtures, landing
+from tickvault.schemas import SchemaChangeError
+from tickvault.sinks import compaction, files
+from tickvault.sources import fixtures, footers, landing
 
 # Fixed value: the raw layer's source label.
 SOURCE_LABEL = "yahoo_finance"
@@ -106,6 +107,20 @@ def q_lookup(spark, d):
     return lookup_metadata(quotes(spark, d), fixtures.meta(spark, d))
 
 
+# ---- folders by bucket of tickers: few folders, whole tickers --------------------------
+
+BUCKET_SQL = "CONCAT('B', LPAD(CAST(CAST(SUBSTR(ticker, 2) AS BIGINT) % 50 AS VARCHAR(10)), 2, '0'))"
+
+
+def with_bucket(df):
+    number = F.substring("ticker", 2, 20).cast("bigint") % 50
+    return df.withColumn("bucket", F.concat(F.lit("B"), F.lpad(number.cast("string"), 2, "0")))
+
+
+def bucketed_silver(spark, d):
+    return with_bucket(silver(spark, d))
+
+
 # ---- landed files ------------------------------------------------------------------
 
 def land_quotes(spark, d, layout="monthly"):
@@ -160,50 +175,92 @@ def q_union_files(spark, d):
     return landing.read_files_with_path_key(spark, root, "batch")
 
 
+@register("union_files_drift", O.sql(
+    """SELECT * EXCLUDE (adj_close), CASE WHEN src_id % 3 <> 0 THEN adj_close END AS adj_close,
+       CASE WHEN src_id % 3 = 1 THEN 'late' END AS remark, CAST(src_id % 3 AS VARCHAR) AS batch FROM quotes""", "quotes"))
+def q_union_drift(spark, d):
+    """Three batches of unlike files: one lacks a column, one has a column more.  None is lost, and
+    a column that a batch lacks is NULL there; a declared schema refuses the column it doesn't know."""
+    root = work_path(spark, "files")
+    q = quotes(spark, d)
+    batches = {0: q.drop("adj_close"), 1: q.withColumn("remark", F.lit("late")), 2: q}
+    for k, df in batches.items():
+        df.where(F.col("src_id") % 3 == k).write.parquet(f"{root}/batch={k}")
+    try:
+        landing.read_files_with_path_key(spark, root, "batch", schema=fixtures.quotes_schema())
+    except SchemaChangeError:
+        return landing.read_files_with_path_key(spark, root, "batch")
+    raise AssertionError("an undeclared column was not refused")
+
+
 @register("path_partition_column", O.sql(
-    "SELECT src_id, ticker, date, close FROM w_silver", "w_silver"))
+    f"SELECT src_id, {BUCKET_SQL} AS bucket, ticker, date, close FROM silver", "silver"))
 def q_path_partition(spark, d):
-    """Clean table written partitioned by ticker (files lack the column); the
-    ticker is recovered from each file's path."""
+    """Clean table written in folders by bucket of tickers (files lack the column); the
+    bucket is recovered from each file's path."""
     root = work_path(spark, "silver")
-    files.overwrite_partitions(wide_silver(spark, d), root, ["ticker"])
-    df = landing.read_files_with_path_key(spark, root, "ticker")
-    return df.select("src_id", "ticker", "date", "close")
+    files.overwrite_partitions(bucketed_silver(spark, d), root, ["bucket"])
+    df = landing.read_files_with_path_key(spark, root, "bucket")
+    return df.select("src_id", "bucket", "ticker", "date", "close")
 
 
 @register("partition_scan", O.sql(
-    "SELECT * FROM w_silver WHERE ticker IN (SELECT ticker FROM w_meta WHERE exchange = 'NYSE')",
-    "w_silver"))
+    f"SELECT *, {BUCKET_SQL} AS bucket FROM silver WHERE exchange = 'NYSE'", "silver"))
 def q_partition_scan(spark, d):
-    """Clean table partitioned by ticker, restricted to the NYSE tickers of the
-    reference table: a broadcast semi join, so only those folders are read."""
+    """Clean table in folders by bucket, restricted to a table of buckets, the ones of the NYSE
+    tickers: a broadcast semi join, so only those folders are read."""
     root = work_path(spark, "silver")
-    s = wide_silver(spark, d)
-    files.overwrite_partitions(s, root, ["ticker"])
+    s = bucketed_silver(spark, d)
+    files.overwrite_partitions(s, root, ["bucket"])
     df = spark.read.schema(s.schema).parquet(root)
-    nyse = fixtures.wide_meta(spark, d).where(F.col("exchange") == "NYSE")
-    return landing.scan_range(df, tickers=nyse).select(*s.columns)
+    nyse = with_bucket(fixtures.meta(spark, d).where(F.col("exchange") == "NYSE"))
+    return landing.scan_range(df, tickers=nyse, ticker_col="bucket").where(F.col("exchange") == "NYSE").select(*s.columns)
 
 
 
-@register("read_partition", O.sql("SELECT * FROM w_silver WHERE ticker = 'T07'", "w_silver"))
+@register("read_partition", O.sql(f"SELECT *, {BUCKET_SQL} AS bucket FROM silver WHERE {BUCKET_SQL} = 'B07'", "silver"))
 def q_read_partition(spark, d):
-    """One folder of the clean table, read alone; its ticker comes from the path."""
+    """One folder of the clean table, read alone; its bucket comes from the path."""
     root = work_path(spark, "silver")
-    s = wide_silver(spark, d)
-    files.overwrite_partitions(s, root, ["ticker"])
-    return landing.read_partition(spark, root, "ticker=T07", s.schema).select(*s.columns)
+    s = bucketed_silver(spark, d)
+    files.overwrite_partitions(s, root, ["bucket"])
+    return landing.read_partition(spark, root, "bucket=B07", s.schema).select(*s.columns)
 
 
-@register("daily_layout", O.sql("SELECT * FROM w_quotes WHERE date >= DATE '2017-06-01' AND date < DATE '2017-07-01'", "w_quotes"))
+@register("daily_layout", O.sql("SELECT * FROM w_quotes", "w_quotes"))
 def q_daily_layout(spark, d):
     """All rows, undated ones too, landed twice in the layout with a folder for each ticker
-    and day; a month of them read back."""
+    and day, and read back."""
     root = work_path(spark, "raw")
     rows = fixtures.wide_quotes(spark, d)
     for _ in range(2):
         files.append_idempotent(rows, root, "daily")
-    return landing.scan_range(read_quotes(spark, root, "daily"), "2017-06-01", "2017-07-01").select(*fixtures.QUOTE_COLUMNS)
+    return read_quotes(spark, root, "daily").select(*fixtures.QUOTE_COLUMNS)
+
+
+@register("compacted_months", O.sql("SELECT * FROM quotes", "quotes"))
+def q_compacted(spark, d):
+    """Four appends leave four files or more in each month's folder; compaction by bytes packs them.  No
+    row changes."""
+    root = work_path(spark, "raw")
+    q = with_month(quotes(spark, d))
+    for k in range(4):
+        q.where(F.col("src_id") % 4 == k).write.mode("append").partitionBy("year", "month").parquet(root)
+    before = sum(map(len, compaction.list_data_files(spark, root).values()))
+    compaction.compact_by_bytes(spark, root, 1 << 20)
+    if sum(map(len, compaction.list_data_files(spark, root).values())) * 2 > before:
+        raise AssertionError("nothing was packed")
+    return read_quotes(spark, root).select(*fixtures.QUOTE_COLUMNS)
+
+
+@register("footer_stats", O.sql(
+    "SELECT COUNT(*) AS n, " + ", ".join(f"{f}({c}) AS {f.lower()}_{c}" for c in ("date", "volume", "close", "src_id") for f in ("MIN", "MAX"))
+    + " FROM silver", "silver"))
+def q_footer_stats(spark, d):
+    """Row count and extremes of the stored clean table, from its footers."""
+    path = work_path(spark, "silver")
+    silver(spark, d).write.parquet(path)
+    return footers.footer_stats(spark, path, ["date", "volume", "close", "src_id"])
 
 
 @register("schema_enforced", O.sql("SELECT * FROM quotes", "quotes"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +41,7 @@ class Paths:
         layout = {"raw": "raw/stock_prices", "silver": "silver/stock_prices",
                   "rejected": "rejected/stock_prices", "dim_date": "gold/dim_date",
                   "dim_ticker": "gold/dim_ticker", "fact": "gold/fact_stock_prices",
-                  "silver_state": "state/silver_last_close",
+                  "silver_state": "state/silver_last_close", "test_results": "state/test_results",
                   "audit": "gold/pipeline_audit_log", "export": "export/silver_stock_prices"}
         if name in layout:
             return f"{self.root.rstrip('/')}/{layout[name]}"
@@ -88,14 +88,21 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
     tickers = list(tickers or DEFAULT_TICKERS)
     rows = reshape.to_raw_rows(download, run.iso, source, tickers=tickers)
     rows = lookup_metadata(rows, meta if meta is not None else ticker_metadata(spark))
-    rows = enforce_schema(rows, RAW_SCHEMA, keep_extra=False)
     # Tickers that produced rows, observed during the write (a set bounded by
     # the requested list), instead of recomputing the batch afterwards.
     seen = Observation("ingested_tickers")
-    rows = rows.observe(seen, F.collect_set("ticker").alias("tickers"))
+    rows = enforce_schema(rows, RAW_SCHEMA, keep_extra=False)
+    ingest_rows(spark, rows.observe(seen, F.collect_set("ticker").alias("tickers")), paths, run)
+    ingested = set(seen.get["tickers"] or [])
+    failed = [t for t in tickers if t not in ingested]
+    run.metrics["failed_tickers"] = failed
+    return failed
+
+
+def ingest_rows(spark: SparkSession, rows: DataFrame, paths: Paths, run: Run) -> None:
+    """Idempotent append of rows that have the raw table's columns."""
     log = journal(spark, paths)
     log.recover()
-
     known = log.marks().get("pending_months", [])
 
     def announce(found: list) -> None:
@@ -108,10 +115,6 @@ def ingest_raw(spark: SparkSession, download: DataFrame, paths: Paths, run: Run,
     if by_month:
         announce(sorted(obs.get["months"]) + [None] * bool(obs.get["undated"]))
     run.metrics["raw_rows_written"] = obs.get["rows_written"]
-    ingested = set(seen.get["tickers"] or [])
-    failed = [t for t in tickers if t not in ingested]
-    run.metrics["failed_tickers"] = failed
-    return failed
 
 
 _ROW_ID = "_row_id"
@@ -157,6 +160,7 @@ def build_silver(spark: SparkSession, paths: Paths, run: Run,
             commit.marks["pending_months"] = []
         unread = set(commit.marks.get("unread_months", [])) | set(built["months"]) | set(built["repaired"])
         commit.marks["unread_months"] = sorted(unread)
+        commit.marks["untested_months"] = sorted(unread | set(commit.marks.get("untested_months", [])) | set(chosen or []))
         raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
     else:
         raw = raw.select(*RAW_SCHEMA.fieldNames(), _ROW_ID)
@@ -294,6 +298,46 @@ def run_data_tests(spark: SparkSession, paths: Paths, run: Run | None = None) ->
     return checks.run_suite(gold, checks.GOLD_TESTS, _dim_rows(run) if run else None)
 
 
+def run_changed_tests(spark: SparkSession, paths: Paths, run: Run) -> DataFrame:
+    """The same verdicts as ``run_data_tests`` in the month layout, from the months that changed.
+
+    Failures per (table, month) are stored.  Only months of commits after the last test run are
+    read; the fact's and the clean table's verdicts are sums over all months.  The dimensions are
+    small and tested whole.  If one has lost keys, every month is tested anew."""
+    log = journal(spark, paths)
+    commit = log.begin()
+    target = tables.read_table(spark, paths.fact, partition_col=None)
+    stored = {"dim_date": spark.read.parquet(paths.dim_date), "dim_ticker": spark.read.parquet(paths.dim_ticker),
+              "silver_stock_prices": spark.read.parquet(paths.silver)}
+    if target is not None:
+        stored["fact_stock_prices"] = target
+    sizes = {k: stored[k].count() for k in ("dim_date", "dim_ticker")}
+    before = commit.marks.get("tested", {})
+    whole = not before or any(sizes[k] < before["sizes"][k] for k in sizes)
+    changed = None if whole else commit.marks.get("untested_months", [])
+    run.metrics["months_tested"] = changed
+    for name in ("fact_stock_prices", "silver_stock_prices"):
+        df = stored.get(name)
+        tests = [t for t in checks.GOLD_TESTS if t.table == name and checks.is_additive(t)]
+        if df is None:
+            continue
+        if changed is not None:
+            df = df.where(F.col(months.MONTH_KEY).isin(changed))
+        part = checks.folder_results(df, tests, stored, months.MONTH_KEY, sizes)
+        part.write.partitionBy(months.MONTH_KEY).parquet(commit.folder(f"tests/{name}"))
+        written = commit.replace_parts(commit.folder(f"tests/{name}"), f"{paths.test_results}/table_name={name}")
+        present = {f"{months.MONTH_KEY}={m}" for m in changed} if changed is not None else set(files.list_folders(
+            spark, f"{paths.test_results}/table_name={name}"))
+        for folder in present - set(written):       # a month that has gone
+            commit.remove(f"{paths.test_results}/table_name={name}/{folder}")
+    commit.marks.update(tested={"sizes": sizes}, untested_months=[])
+    commit.done()
+    folded = [t for t in checks.GOLD_TESTS if t.table in ("fact_stock_prices", "silver_stock_prices") and checks.is_additive(t)]
+    rest = [t for t in checks.GOLD_TESTS if t not in folded]
+    results = spark.read.schema(f"test_name string, failures long, table_name string, {months.MONTH_KEY} int").parquet(paths.test_results)
+    return checks.merge_results(results, folded).unionByName(checks.run_suite(stored, rest, sizes))
+
+
 def write_audit(spark: SparkSession, paths: Paths, run: Run, status: str) -> None:
     row = (run.run_id, "all_layers", run.run_ts.date(), status, run.run_ts)
     files.append_rows(spark.createDataFrame([row], AUDIT_SCHEMA), paths.audit)
@@ -311,13 +355,23 @@ def run_pipeline(spark: SparkSession, download: DataFrame, paths: Paths, run: Ru
     ``strict=True`` raises ``PipelineFailed`` (after the audit row is written)
     when the run is not a full success: a requested ticker produced no rows or
     a data test failed."""
+    return _run(spark, lambda: ingest_raw(spark, download, paths, run, tickers, meta), paths, run, strict)
+
+
+def run_landed(spark: SparkSession, rows: DataFrame, paths: Paths, run: Run, strict: bool = False) -> dict:
+    """The whole chain for rows that come in the raw table's columns already."""
+    return _run(spark, lambda: ingest_rows(spark, rows, paths, run), paths, run, strict)
+
+
+def _run(spark: SparkSession, ingest: Callable[[], list[str] | None], paths: Paths, run: Run, strict: bool) -> dict:
     status = "failed"
     try:
-        failed = ingest_raw(spark, download, paths, run, tickers, meta)
+        failed = ingest()
         build_silver(spark, paths, run)
         load_export(spark, paths)
         build_gold(spark, paths, run)
-        results = run_data_tests(spark, paths, run).collect()  # one row per declared test
+        tests = run_changed_tests if run.changed_only else run_data_tests
+        results = tests(spark, paths, run).collect()  # one row per declared test
         failing = [r["test_name"] for r in results if r["status"] == "fail"]
         run.metrics["failing_tests"] = failing
         status = "failed" if failing else ("partial" if failed else "success")
@@ -332,4 +386,4 @@ def run_pipeline(spark: SparkSession, download: DataFrame, paths: Paths, run: Ru
 
 
 __all__ = ["Paths", "Run", "PipelineFailed", "ingest_raw", "build_silver", "build_gold", "run_data_tests",
-           "write_audit", "run_pipeline", "run_stamp"]
+           "write_audit", "run_landed", "run_pipeline", "run_stamp"]

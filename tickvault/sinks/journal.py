@@ -108,8 +108,8 @@ class Commit:
     def remove(self, target: str) -> None:
         self.removes.append(self._relative(target))
 
-    def done(self) -> int:
-        """Commit, then move; returns the commit's number."""
+    def seal(self) -> None:
+        """The commit itself: after it, ``recover`` will finish the moves, before it nothing has happened."""
         for _, target in self.moves:
             # A removal that is repeated after the move would take the new folder.
             if any(f"{target}/".startswith(f"{gone}/") or f"{gone}/".startswith(f"{target}/") for gone in self.removes):
@@ -118,6 +118,11 @@ class Commit:
         files.write_text(j.spark, f"{self.stage}/{name}", json.dumps(
             {"removes": self.removes, "moves": self.moves, "marks": self.marks}))
         files.move(j.spark, f"{self.stage}/{name}", f"{j.folder}/{name}")
+
+    def done(self) -> int:
+        """Commit, then move; returns the commit's number."""
+        self.seal()
+        j = self.journal
         j.recover()
         for old in j._numbers()[:-KEEP]:
             for end in ("done", "json"):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickvault.functions.naming import partition_value_from_path
-from tickvault.schemas import RAW_SCHEMA, enforce_schema
+from tickvault.schemas import RAW_SCHEMA, SchemaChangeError, enforce_schema
 from tickvault.sinks.files import LAYOUTS, has_data_files, raw_read_schema
 
 
@@ -58,7 +58,8 @@ def read_partition(spark: SparkSession, root: str, partition_filter: str,
 
 
 def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
-               tickers: Sequence[str] | DataFrame | None = None, date_col: str = "date") -> DataFrame:
+               tickers: Sequence[str] | DataFrame | None = None, date_col: str = "date",
+               ticker_col: str = "ticker") -> DataFrame:
     """Half-open date window [start, end) and a ticker restriction.
 
     The date bounds are literals (pushed to the Parquet scan); when a ``year``
@@ -89,9 +90,9 @@ def scan_range(df: DataFrame, start: str | None = None, end: str | None = None,
             out = out.where(c <= v)
     if isinstance(tickers, DataFrame):
         from tickvault.operators.lookup import broadcast_if_bounded
-        out = out.join(broadcast_if_bounded(tickers.select("ticker").distinct()), "ticker", "left_semi")
+        out = out.join(broadcast_if_bounded(tickers.select(ticker_col).distinct()), ticker_col, "left_semi")
     elif tickers is not None:
-        out = out.where(F.col("ticker").isin(list(tickers)))
+        out = out.where(F.col(ticker_col).isin(list(tickers)))
     return out
 
 
@@ -142,18 +143,49 @@ def scan_day(df: DataFrame, ds: str, tickers: Sequence[str] | DataFrame | None =
 
 
 def read_files_with_path_key(spark: SparkSession, root: str, key: str = "ticker",
-                             glob: str = "*.parquet") -> DataFrame:
+                             glob: str = "*.parquet", schema: T.StructType | None = None) -> DataFrame:
     """Every matching file under ``root`` as one table (S4, U1), with ``key``
     taken from the ``key=value`` folder of each file's path, replacing a column
-    of that name or adding it (S5)."""
-    df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-          .parquet(root))
+    of that name or adding it (S5).
+
+    Files need not agree.  Their footers are read in Spark tasks and united
+    first: a column that only some files hold is NULL in the others, and one
+    whose types can't be united is an error.  With a declared ``schema`` files may
+    also hold narrower types (they are widened on read) or lack columns, but a
+    column that isn't declared, or a type that would have to be cut, is refused."""
+    found = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    if schema is None:
+        df = found.option("mergeSchema", "true").parquet(root)
+    else:
+        df = found.schema(_checked(found, root, schema, key)).parquet(root)
     from_path = partition_value_from_path(F.col("_metadata.file_path"), key)
     if key in df.columns:
         return df.withColumn(key, F.coalesce(from_path, F.col(key)))
     return df.withColumn(key, from_path)
 
 
+#: Types that a file may hold for a declared one.
+NARROWER = {"bigint": {"int", "smallint", "tinyint"}, "int": {"smallint", "tinyint"}, "double": {"float", "int", "smallint", "tinyint"}}
+
+
+def _checked(found, root: str, schema: T.StructType, key: str) -> T.StructType:
+    """``schema`` after a check against the files' schemas.  Files of unequal types are looked at
+    one distinct type at a time: Spark names no more than the first conflict."""
+    declared = {f.name: f.dataType.simpleString() for f in schema.fields}
+    try:
+        kinds = {f.name: {f.dataType.simpleString()} for f in found.option("mergeSchema", "true").parquet(root).schema.fields}
+    except Exception as err:        # noqa: BLE001 - only a conflict of types is ours to settle
+        if "CANNOT_MERGE" not in str(err):
+            raise
+        kinds = {f.name: {f.dataType.simpleString()} for f in found.option("mergeSchema", "false").parquet(root).schema.fields}
+    bad = [f"new column {n} {min(k)}" for n, k in kinds.items() if n not in declared and n != key]
+    bad += [f"type change {n}: {declared[n]} -> {t}" for n, k in kinds.items() if n in declared
+            for t in k if t != declared[n] and t not in NARROWER.get(declared[n], ())]
+    if bad:
+        raise SchemaChangeError(f"files below {root}: " + "; ".join(sorted(bad)))
+    return schema
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Raise when there is nothing to load."""
     if df.isEmpty():
