@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.session import ensure_checkpoint_dir
@@ -39,6 +39,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stage``, and aggregates of the written rows without another job."""
+    seen = Observation()
+    out = stage(df.observe(seen, *[m.alias(k) for k, m in measures.items()]), name)
+    return out, seen.get
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict], Iterable[dict]], schema: str) -> DataFrame:
     """Apply ``fn`` (columns by name in, columns by name out) to each Arrow batch."""
     target = _arrow_schema(df.sparkSession, schema)
@@ -78,10 +85,22 @@ def columns(batch: pa.RecordBatch) -> Columns:
     return out
 
 
+def row_keys(*cols: str) -> tuple[Column, Column]:
+    """The halves of a 128-bit key of a row's columns; equal rows share it, nulls count as a value."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in cols] + [F.col(c).isNull() for c in cols]
+    # The first column of xxhash64 is the seed of the next: two independent halves.
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+
+
 def row_key(*cols: str) -> Column:
-    """A 64-bit key of a row's columns; equal rows share it, nulls count as a value."""
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in cols],
-                      *[F.col(c).isNull() for c in cols])
+    """``row_keys`` as 16 bytes."""
+    return F.concat(*[F.unhex(F.lpad(F.hex(half), 16, "0")) for half in row_keys(*cols)])
+
+
+def own_names(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns under names that clash with none of ours, and these names in order."""
+    inner = [f"_own{k}" for k in range(len(df.columns))]
+    return df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(df.columns, inner)]), inner
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -149,6 +168,23 @@ def window_hashes(items: np.ndarray, size: int, base: int = 0) -> np.ndarray:
     return mix((total[size:] - total[:-size]) * down[:n])
 
 
+class PrefixHashes:
+    """``window_hashes`` of several sizes, or at few places, from one pass over the items."""
+
+    def __init__(self, items: np.ndarray, base: int = 0):
+        self.n = len(items)
+        up, self.down = _powers(_BASES[base], self.n)
+        self.total = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(items * up[:self.n], out=self.total[1:])
+
+    def windows(self, size: int) -> np.ndarray:
+        n = self.n - size + 1
+        return mix((self.total[size:] - self.total[:-size]) * self.down[:n]) if n > 0 else np.empty(0, np.uint64)
+
+    def at(self, starts: np.ndarray, size: int) -> np.ndarray:
+        return mix((self.total[starts + size] - self.total[starts]) * self.down[starts])
+
+
 def window_starts(counts: np.ndarray, size: int) -> np.ndarray:
     """Positions in the concatenated items at which a window stays inside its text."""
     ends = np.repeat(np.cumsum(counts), counts)

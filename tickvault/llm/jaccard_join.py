@@ -32,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickvault.llm import repeat_sketch
-from tickvault.llm.common import (estimated_bytes, map_batches, mix, row_key, signed, stage, use_small_batches, window_hashes,
-                                  window_starts, word_hashes)
+from tickvault.llm.common import (map_batches, mix, own_names, row_key, signed, stage, stage_measured, use_small_batches,
+                                  window_hashes, window_starts, word_hashes)
 from tickvault.llm.components import components
 
 SIZE = 5
 DIMS, TREE_ROWS, LEAF = 256, 2048, 32
+BUCKET_ROWS = 1 << 15           # rows of groups that meet in a task, on average
 FULL = np.uint8(255)            # a count that may be larger
 
 
@@ -87,7 +88,7 @@ def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         yield {"key": cols["key"], "doc_id": cols["doc_id"], "n": n, "class": pa.array(names, pa.binary()),
                "shingles": pa.array(sets, pa.list_(pa.int64()))}
 
-    return map_batches(rows, run, "key long, doc_id long, n long, class binary, shingles array<long>")
+    return map_batches(rows, run, "key binary, doc_id long, n long, class binary, shingles array<long>")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -225,14 +226,17 @@ def links(classes: DataFrame) -> DataFrame:
     # A component that is in no group with another one is settled.
     rows = stage(_labelled(heads, edges).select("cid", "n", "point", "label", "skip", F.posexplode("prefix").alias("at", "t"))
                  .withColumn("reach", F.col("n") - F.col("skip") - F.col("at")).drop("skip", "at"), "jaccard-rows")
-    size = rows.groupBy("t").agg(F.count("*").alias("g"), F.min("label").alias("low"), F.max("label").alias("high")) \
-        .where("low <> high").select("t", F.ceil(F.col("g") / TREE_ROWS).cast("int").alias("blocks"))
+    size, made = stage_measured(
+        rows.groupBy("t").agg(F.count("*").alias("g"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high").select("t", "g", F.ceil(F.col("g") / TREE_ROWS).cast("int").alias("blocks")),
+        "jaccard-groups", rows=F.sum(F.col("g").cast("decimal(38,0)") * F.col("blocks")))
+    size = size.drop("g")
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
     rows = rows.join(size, "t").select("t", "cid", "n", "point", "label", "reach", own.alias("own"), other) \
         .select("t", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"),
                 (F.col("own") > F.col("other")).cast("int").alias("side"), "cid", "n", "point", "label", "reach")
-    buckets = max(64, estimated_bytes(rows) >> 24 if estimated_bytes(rows) < 1 << 50 else 64)
+    buckets = max(64, int(made.get("rows") or 0) // BUCKET_ROWS)
     pairs = rows.withColumn("bucket", F.pmod(F.xxhash64("t", "left", "right"), F.lit(buckets))) \
         .groupBy("bucket").applyInArrow(_tree_pairs, "a long, b long").distinct()
     return edges.unionAll(stage(verified(pairs, classes), "jaccard-edges"))
@@ -257,15 +261,19 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the smallest id, nulls last."""
+    """``docs`` with one document of each component: the smallest id, nulls last; of rows alike in id
+    and text the least by all columns."""
     found = join(docs, doc_id, text).where(F.col("component").isNotNull())
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    first = found.groupBy("component").agg(F.min(rank).alias("r")).select("component", F.col("r.key").alias("_first"))
-    fate = found.join(first, "component").groupBy("key").agg(F.first(F.col("key") == F.col("_first")).alias("_stays"))
-    rows = docs.withColumn("_row_key", row_key(doc_id, text))
-    rows = rows.join(fate.withColumnRenamed("key", "_fate_key"), F.col("_row_key") == F.col("_fate_key"), "left").drop("_fate_key")
-    alone = rows.where(F.col("_stays").isNull())
-    return alone.unionAll(rows.where("_stays").dropDuplicates(["_row_key"])).select(*docs.columns)
+    first = found.groupBy("component").agg(F.min(rank).alias("r")).select("component", F.col("r.key").alias("first"))
+    fate = found.join(first, "component").groupBy("key").agg(F.bool_or(F.col("key") == F.col("first")).alias("stays"))
+    rows, inner = own_names(docs)
+    place = dict(zip(docs.columns, inner))
+    rows = rows.withColumn("at", row_key(place[doc_id], place[text]))
+    rows = rows.join(fate, F.col("at") == F.col("key"), "left")
+    alone = rows.where(F.col("stays").isNull()).select(*inner)
+    same = rows.where("stays").groupBy("at").agg(F.min_by(F.struct(*inner), F.to_json(F.struct(*inner))).alias("r")).select("r.*")
+    return alone.unionAll(same).select(*[F.col(k).alias(c) for c, k in place.items()])
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -103,7 +103,8 @@ def build(docs: DataFrame, hashes: Callable[[dict], np.ndarray], slots: int, row
         .groupBy("row", "block").applyInArrow(merge, "row int, block int, data binary")
     per = 1 if counts else 8
     sketch = {"slots": slots, "rows": [np.zeros(slots // per, np.uint8) for _ in range(rows)]}
-    for r in merged.collect():      # rows * slots / per bytes in all, a bound fixed beforehand
-        data = np.frombuffer(bytes(r["data"]), np.uint8)
+    # rows * slots / per bytes in all, a bound fixed beforehand; one partition at a time.
+    for r in merged.toLocalIterator():
+        data = np.frombuffer(r["data"], np.uint8)
         sketch["rows"][r["row"]][r["block"] * len(data):(r["block"] + 1) * len(data)] = data
     return sketch

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickvault.llm import repeat_sketch
-from tickvault.llm.common import (covered, leftmost_min, map_batches, row_key, signed, use_small_batches,
+from tickvault.llm.common import (covered, leftmost_min, map_batches, row_keys, signed, use_small_batches,
                                   window_hashes, window_starts, word_hashes)
 
 WINDOW, GRAM = 35, 18
@@ -54,7 +54,7 @@ class RepeatedWindows:
     def __init__(self, docs: DataFrame, size: int = WINDOW, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text"):
         use_small_batches(docs.sparkSession)
         self.size, self.gram = size, gram
-        self.rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"),
+        self.rows = docs.select(*[k.alias(n) for k, n in zip(row_keys(doc_id, text), ("k1", "k2"))], F.col(doc_id).cast("long").alias("doc_id"),
                                 F.col(text).alias("text"))
 
         def sampled(cols):
@@ -66,7 +66,7 @@ class RepeatedWindows:
         self.sketch = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def false_alarms(self) -> DataFrame:
-        """key and the window starts (in the document) that were estimated repeated and aren't."""
+        """k1, k2 and the window starts (in the document) that were estimated repeated and aren't."""
         shared, size, gram = self.sketch, self.size, self.gram
 
         def run(cols):
@@ -76,12 +76,12 @@ class RepeatedWindows:
             owner = np.repeat(np.arange(len(counts)), counts)[starts]
             yield {"h1": signed(window_hashes(items, size)[starts]),
                    "h2": signed(window_hashes(items, size, 1)[starts]),
-                   "key": cols["key"].take(pa.array(owner)), "pos": (starts - begin[owner]).astype(np.int32)}
+                   **{k: cols[k].take(pa.array(owner)) for k in ("k1", "k2")}, "pos": (starts - begin[owner]).astype(np.int32)}
 
-        found = map_batches(self.rows.select("key", "text"), run, "h1 long, h2 long, key long, pos int")
-        once = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("pos").alias("pos")) \
-            .where("n = 1")
-        return once.groupBy("key").agg(F.collect_list("pos").alias("alarms"))
+        found = map_batches(self.rows.select("k1", "k2", "text"), run, "h1 long, h2 long, k1 long, k2 long, pos int")
+        first = [F.min(c).alias(c) for c in ("k1", "k2", "pos")]        # one row's, where n is 1
+        once = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), *first).where("n = 1")
+        return once.groupBy("k1", "k2").agg(F.collect_list("pos").alias("alarms"))
 
     def kept(self, what, schema: str) -> DataFrame:
         """``what(cols, words, mask, begin)`` for each batch; the mask marks removed words."""
@@ -96,7 +96,7 @@ class RepeatedWindows:
                 starts = np.setdiff1d(starts, np.concatenate(alarms), assume_unique=True)
             yield what(cols, covered(starts, size, len(items)), counts, begin)
 
-        return map_batches(self.rows.join(self.false_alarms(), "key", "left").select("doc_id", "text", "alarms"), run, schema)
+        return map_batches(self.rows.join(self.false_alarms(), ["k1", "k2"], "left").select("doc_id", "text", "alarms"), run, schema)
 
 
 def kept_words(text: bytes | None, mask: np.ndarray) -> bytes:
