@@ -19,6 +19,7 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from tickvault.llm.common import columns, mix, record_batch, stage, use_small_ba
 
 BREAK = b"\xff"                                     # never a byte of UTF-8
 _CLEAN = bytes(255 if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-FLUSH_BYTES = 12 << 20          # text counted at a time in a task
+FLUSH_BYTES = 8 << 20           # text counted at a time in a task
 BUCKET_CHARS = 4 << 20          # text whose cells meet in a bucket
 PACKED = "bucket int, lang string, size int, prefixes binary, lengths binary, nexts binary, counts binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("size", pa.int32()), ("prefixes", pa.binary()),
@@ -69,9 +70,8 @@ def stripes(parts: list[bytes], max_words: int) -> Iterator[tuple]:
     """
     numbers = _Numbers()
     numbers[BREAK]                                   # 0 ends a piece
-    words = BREAK.join(parts).replace(BREAK, b" \xff ").split()
-    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    del words
+    ids = np.concatenate([np.fromiter(map(numbers.__getitem__, (part + BREAK).replace(BREAK, b" \xff ").split()), np.int64)
+                          for part in parts])       # only one part's words lie in memory as such
     text = list(numbers)
     hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, text), np.uint64, len(text))
     gram = np.where(ids > 0, 0, -1)                  # number of the prefix that starts here
@@ -94,13 +94,22 @@ def stripes(parts: list[bytes], max_words: int) -> Iterator[tuple]:
         gram[at] = back.reshape(-1)
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest needs; ``_wide`` reads them back."""
+    return counts.astype("u1" if counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u8")
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, {1: "u1", 2: "<u2", 8: "<u8"}[len(data) // n]).astype(np.int64)
+
+
 def _pack(lang: str, parts: list[bytes], max_words: int, buckets: int) -> Iterator[dict]:
     """Packed stripe segments by bucket."""
     seed = np.uint64(xxhash.xxh3_64_intdigest(lang))
     for size, prefixes, prefix, nexts, counts, hashes in stripes(parts, max_words):
         bucket = (mix(hashes + seed) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
-        prefix, bucket, counts = prefix[order], bucket[order], counts[order].astype("<i8")
+        prefix, bucket, counts = prefix[order], bucket[order], _narrow(counts[order])
         nexts = [nexts[k] for k in order.tolist()]
         heads = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (prefix[1:] != prefix[:-1])]))
         lengths = np.diff(np.append(heads, len(prefix))).astype("<i4")
@@ -165,7 +174,7 @@ def merge_stripes(packed: DataFrame, min_count: int) -> DataFrame:
                 prefix = np.fromiter(map(names.__getitem__, b["prefixes"].split(b"\n")), np.int64)
                 word = np.fromiter(map(following.__getitem__, b["nexts"].split(b"\n")), np.int64)
                 cells.append(np.repeat(prefix, np.frombuffer(b["lengths"], "<i4")) << 32 | word)
-                counts.append(np.frombuffer(b["counts"], "<i8"))
+                counts.append(_wide(b["counts"], len(word)))
             cell, back = np.unique(np.concatenate(cells), return_inverse=True)
             total = np.zeros(len(cell), np.int64)
             np.add.at(total, back.reshape(-1), np.concatenate(counts))
@@ -216,10 +225,14 @@ def collocations(counted: DataFrame, top: int = 2000, subsumed_percent: int = 50
     cuts = total(total(cuts, "left", "l"), "right", "r").withColumn(
         "score", F.expr("(cast(1000000 as decimal(38)) * a * a) div (cast(l as decimal(19)) * cast(r as decimal(19)))"))
     best = cuts.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score") \
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).join(words, "lang") \
-        .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # First the best of each part of a language, so that no task ranks all phrases of a large one.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    parts = 1 + math.isqrt(phrases.where("size > 1").count() // max(1, top))
+    best = best.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.pmod(F.xxhash64("phrase"), F.lit(parts)).alias("part"))
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    best = best.withColumn("place", place).where(F.col("place") <= top)
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))) \
+        .where(F.col("rank") <= top).join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op12_collocations(spark, sf_dir: str) -> DataFrame:
