@@ -4,8 +4,10 @@ A document is UTF-8 bytes; a window is ``size`` of them.  Windows with the same
 ``GRAM``-byte hash (their anchor) lie side by side, and equal windows have equal anchors,
 so the text around one anchor, a context, is all that equal windows need to meet:
 
-1. A count-min sketch of the anchors rules out those that occur once; none that repeats is
-   lost.  The contexts of the others are counted, equal ones summed map-side.
+1. Of the 168 bytes around a window's anchor, 84 or more lie before or after it, so the
+   anchor with the 84 bytes before it, or with those after it, is inside the window.  A
+   count-min sketch of these strings rules out windows whose string occurs once; none that
+   repeats is lost.  What is left of the contexts is counted, equal ones summed map-side.
 2. Contexts found twice are repeated as a whole.  For the rest, the contexts of an anchor
    go to one bucket.  There, shards of contexts are suffix-sorted, each by itself, and
    their Burrows-Wheeler transforms are merged: an interleave, which starts as one shard
@@ -30,31 +32,60 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickvault.llm import repeat_sketch
-from tickvault.llm.common import (covered, leftmost_min, map_batches, mix, row_key, stage, use_small_batches, window_hashes)
+from tickvault.llm.common import (PrefixHashes, covered, leftmost_min, map_batches, mix, row_keys, stage, use_small_batches,
+                                  window_hashes)
 
 SIZE, GRAM = 200, 32
-STEP = 25                       # divides SIZE
+STEP = 10                       # divides SIZE
 SHARDS = 4
 BUCKET_BYTES = 2 << 20
-HOT_BYTES = 64 << 20
+HOT_BYTES = 4 << 20
+SIDE = (SIZE - GRAM) // 2       # bytes that any window has on one side of its anchor at least
 SLICE = 1 << 20                 # bytes hashed at a time
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+_BEFORE = np.uint64(0x5851F42D4C957F2D)
 
 
-def runs(texts: list[bytes | None]) -> Iterator[tuple[int, int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """For slices of texts: text, offset, bytes, starts and ends of runs of windows, anchor of each."""
+class Slice:
+    """A part of a text: its offset, bytes, runs of windows with the same anchor, the anchors and their places."""
+
+    def __init__(self, at: int, part: bytes):
+        self.at, self.part = at, part
+        self.sums = PrefixHashes(_BYTE[np.frombuffer(part, np.uint8)])
+        grams = self.sums.windows(GRAM)
+        low = leftmost_min(grams, SIZE - GRAM + 1)
+        self.first = np.flatnonzero(np.diff(low, prepend=-1))
+        self.end = np.append(self.first[1:], len(low))
+        self.place = low[self.first]
+        self.anchor = grams[self.place]
+
+    def sides(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which runs have windows with the bytes before, or after, their anchor; and the hashes of those strings."""
+        before, after = self.first <= self.place - SIDE, self.end - 1 >= self.place - SIDE
+        return before, after, mix(self.sums.at(self.place[before] - SIDE, SIDE + GRAM) ^ _BEFORE), self.sums.at(self.place[after], SIDE + GRAM)
+
+
+def runs(texts: list[bytes | None]) -> Iterator[tuple[int, Slice]]:
+    """The slices of all texts, with the text's number."""
     for i, text in enumerate(texts):
         for at in range(0, max(0, len(text or b"") - SIZE + 1), SLICE):
-            part = text[at:at + SLICE + SIZE - 1]
-            grams = window_hashes(_BYTE[np.frombuffer(part, np.uint8)], GRAM)
-            low = leftmost_min(grams, SIZE - GRAM + 1)
-            first = np.flatnonzero(np.diff(low, prepend=-1))
-            yield i, at, part, first, np.append(first[1:], len(low)), grams[low[first]]
+            yield i, Slice(at, text[at:at + SLICE + SIZE - 1])
+
+
+def possible(sketch: dict, s: Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows cut down to those that may repeat; empty where start and end are equal."""
+    first, end, place = s.first, s.end, s.place
+    before, after, hash_before, hash_after = s.sides()
+    before[before] = repeat_sketch.maybe_repeated(sketch, hash_before)
+    after[after] = repeat_sketch.maybe_repeated(sketch, hash_after)
+    # Windows up to place - SIDE hold the string before, those from there on the string after.
+    low = np.where(before, first, np.maximum(first, place - SIDE + np.where(after, 0, 1 << 40)))
+    high = np.where(after, end, np.minimum(end, place - SIDE + 1))
+    return low, np.maximum(low, high)
 
 
 # ---- one bucket --------------------------------------------------------------
@@ -176,23 +207,24 @@ def _ranges(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bucket(table: pa.Table) -> pa.Table:
-    """key, low, high: windows of a bucket's single contexts that don't repeat."""
-    anchor, n, key, start = (table.column(c).to_numpy() for c in ("anchor", "n", "key", "start"))
-    context = table.column("context").to_pylist()
+    """k1, k2, low, high: windows of a bucket's single contexts that don't repeat."""
+    anchor, n, start = (table.column(c).to_numpy() for c in ("anchor", "n", "start"))
+    context, k1, k2 = (table.column(c).to_pylist() for c in ("context", "k1", "k2"))
     order = np.argsort(anchor, kind="stable")
     cuts = np.flatnonzero(np.diff(anchor[order], prepend=anchor[order[0]] - 1))
     sizes = np.diff(cuts, append=len(order))
     least = np.minimum.reduceat(n[order], cuts)
     open_ = order[np.repeat((sizes > 1) & (least == 1), sizes)]
     masks = dict(zip(open_.tolist(), repeated_starts([context[i] for i in open_]))) if len(open_) else {}
-    keys, low, high = [], [], []
+    keys, low, high = ([], []), [], []
     for i in np.flatnonzero(n == 1).tolist():
         mask = masks.get(i)
         a, b = _ranges(~mask) if mask is not None else ([0], [len(context[i]) - SIZE + 1])
-        keys += [key[i]] * len(a)
+        for own, k in zip(keys, (k1[i], k2[i])):
+            own += [k] * len(a)
         low += [start[i] + x for x in a]
         high += [start[i] + x for x in b]
-    return pa.table({"key": pa.array(keys, pa.int64()), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+    return pa.table({"k1": pa.array(keys[0], pa.int64()), "k2": pa.array(keys[1], pa.int64()), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
 
 
 # ---- the whole table ---------------------------------------------------------
@@ -203,61 +235,65 @@ class RepeatedBytes:
     def __init__(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot_bytes: int = HOT_BYTES):
         use_small_batches(docs.sparkSession)
         self.hot_bytes = hot_bytes
-        self.rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"),
+        self.rows = docs.select(*[k.alias(n) for k, n in zip(row_keys(doc_id, text), ("k1", "k2"))], F.col(doc_id).cast("long").alias("doc_id"),
                                 F.col(text).alias("text"))
 
-        def anchors(cols):
-            return np.concatenate([np.empty(0, np.uint64), *[a for *_, a in runs(cols["text"])]])
+        def strings(cols):
+            found = [np.empty(0, np.uint64)]
+            for _, s in runs(cols["text"]):
+                found += s.sides()[2:]
+            return np.concatenate(found)
 
-        sketch = repeat_sketch.build(self.rows.select("text"), anchors, repeat_sketch.slots_for(docs, 0.25))
+        sketch = repeat_sketch.build(self.rows.select("text"), strings, repeat_sketch.slots_for(docs, 0.25))
         self.sketch = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def contexts(self) -> DataFrame:
-        """anchor, context, n, key, start: different contexts of anchors that may repeat."""
+        """anchor, context, n, k1, k2, start: different contexts, as far as their windows may repeat."""
         shared = self.sketch
 
         def run(cols):
-            key = cols["key"].to_numpy()
-            out = {"anchor": [], "context": [], "key": [], "start": []}
-            for i, at, part, first, end, anchor in runs(cols["text"]):
-                again = np.flatnonzero(repeat_sketch.maybe_repeated(shared.value, anchor))
-                out["anchor"].append(anchor[again].view(np.int64))
-                out["context"] += [part[a:b + SIZE - 1] for a, b in zip(first[again].tolist(), end[again].tolist())]
-                out["key"].append(np.full(len(again), key[i]))
-                out["start"].append(at + first[again])
-                if sum(map(len, out["key"])) > 1 << 15:
+            k1, k2 = (cols[k].to_numpy() for k in ("k1", "k2"))
+            out = {"anchor": [], "context": [], "k1": [], "k2": [], "start": []}
+            for i, s in runs(cols["text"]):
+                low, high = possible(shared.value, s)
+                again = np.flatnonzero(high > low)
+                out["anchor"].append(s.anchor[again].view(np.int64))
+                out["context"] += [s.part[a:b + SIZE - 1] for a, b in zip(low[again].tolist(), high[again].tolist())]
+                out["k1"].append(np.full(len(again), k1[i]))
+                out["k2"].append(np.full(len(again), k2[i]))
+                out["start"].append(s.at + low[again])
+                if sum(map(len, out["start"])) > 1 << 15:
                     yield _flat(out)
                     out = {k: [] for k in out}
             yield _flat(out)
 
-        return map_batches(self.rows.select("key", "text"), run, "anchor long, context binary, key long, start long") \
-            .groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min("start").alias("start"))
+        return map_batches(self.rows.select("k1", "k2", "text"), run, "anchor long, context binary, k1 long, k2 long, start long") \
+            .groupBy("anchor", "context").agg(F.count("*").alias("n"), *_first())
 
     def single_windows(self) -> DataFrame:
-        """key and the ranges (of window starts in the document) that were estimated to repeat and don't."""
+        """k1, k2 and the ranges (of window starts in the document) that were estimated to repeat and don't."""
         found = stage(self.contexts(), "contexts")
         by_anchor = found.groupBy("anchor").agg(F.sum(F.octet_length("context")).alias("size"))
         total = by_anchor.agg(F.sum("size")).first()[0] or 0
         hot = stage(by_anchor.where(F.col("size") > self.hot_bytes).select("anchor"), "hot-anchors")
         buckets = max(1, -(-total // BUCKET_BYTES))
         usual = found.join(hot, "anchor", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))) \
-            .groupBy("bucket").applyInArrow(_bucket, "key long, low long, high long")
+            .groupBy("bucket").applyInArrow(_bucket, "k1 long, k2 long, low long, high long")
         return usual.unionAll(self._hot(found.join(hot, "anchor", "left_semi"))) \
-            .groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("single"))
+            .groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("single"))
 
     @staticmethod
     def _hot(contexts: DataFrame) -> DataFrame:
         def windows(cols):
-            for context, n, key, start in zip(*[cols[c].to_pylist() for c in ("context", "n", "key", "start")]):
-                names = [xxhash.xxh3_128_intdigest(context[i:i + SIZE]) for i in range(len(context) - SIZE + 1)]
-                m = len(names)
-                yield {"h1": np.array([x >> 64 for x in names], np.uint64).view(np.int64),
-                       "h2": np.array([x & (1 << 64) - 1 for x in names], np.uint64).view(np.int64),
-                       "n": np.full(m, n), "key": np.full(m, key), "low": start + np.arange(m)}
+            for context, n, k1, k2, start in zip(*[cols[c].to_pylist() for c in ("context", "n", "k1", "k2", "start")]):
+                items = _BYTE[np.frombuffer(context, np.uint8)]
+                m = len(items) - SIZE + 1
+                yield {"h1": window_hashes(items, SIZE).view(np.int64), "h2": window_hashes(items, SIZE, 1).view(np.int64),
+                       "n": np.full(m, n), "k1": np.full(m, k1), "k2": np.full(m, k2), "start": start + np.arange(m)}
 
-        return map_batches(contexts, windows, "h1 long, h2 long, n long, key long, low long") \
-            .groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("key").alias("key"), F.min("low").alias("low")) \
-            .where("n = 1").select("key", "low", (F.col("low") + 1).alias("high"))
+        return map_batches(contexts, windows, "h1 long, h2 long, n long, k1 long, k2 long, start long") \
+            .groupBy("h1", "h2").agg(F.sum("n").alias("n"), *_first()) \
+            .where("n = 1").select("k1", "k2", F.col("start").alias("low"), (F.col("start") + 1).alias("high"))
 
     def kept(self, what, schema: str) -> DataFrame:
         """``what(cols, masks)`` for each batch; masks mark the removed bytes of each text."""
@@ -266,21 +302,28 @@ class RepeatedBytes:
         def run(cols):
             masks = [np.zeros(len(t or b""), bool) for t in cols["text"]]
             alarms = cols["single"].to_pylist()
-            for i, at, part, first, end, anchor in runs(cols["text"]):
-                again = repeat_sketch.maybe_repeated(shared.value, anchor)
-                starts = np.repeat(again, end - first)
+            for i, s in runs(cols["text"]):
+                low, high = possible(shared.value, s)
+                edge = np.zeros(s.end[-1] + 1, np.int32)        # runs don't overlap
+                edge[:] = np.bincount(low[high > low], minlength=len(edge)) - np.bincount(high[high > low], minlength=len(edge))
+                starts = np.cumsum(edge[:-1]) > 0
                 for x in alarms[i] or ():
-                    starts[max(0, x["low"] - at):max(0, x["high"] - at)] = False
-                masks[i][at:at + len(part)] |= covered(np.flatnonzero(starts), SIZE, len(part))
+                    starts[max(0, x["low"] - s.at):max(0, x["high"] - s.at)] = False
+                masks[i][s.at:s.at + len(s.part)] |= covered(np.flatnonzero(starts), SIZE, len(s.part))
             yield what(cols, masks)
 
-        return map_batches(self.rows.join(self.single_windows(), "key", "left").select("doc_id", "text", "single"), run, schema)
+        return map_batches(self.rows.join(self.single_windows(), ["k1", "k2"], "left").select("doc_id", "text", "single"), run, schema)
+
+
+def _first() -> list:
+    """The row's own key and place, where a group has one row."""
+    return [F.min(c).alias(c) for c in ("k1", "k2", "start")]
 
 
 def _flat(out: dict) -> dict:
     join = lambda xs: np.concatenate([np.empty(0, np.int64), *xs])
     return {"anchor": join(out["anchor"]), "context": pa.array(out["context"], pa.binary()),
-            "key": join(out["key"]), "start": join(out["start"])}
+            **{k: join(out[k]) for k in ("k1", "k2", "start")}}
 
 
 def digests(found: RepeatedBytes) -> DataFrame:
