@@ -77,23 +77,82 @@ def test_cuckoo_filter():
     assert made.contains(keys[1500:]).all() and made.contains(keys[:1500]).mean() < 0.02
 
 
+def members(store, dups):
+    """Every key to drop is in its shard's filter, and nothing else is."""
+    filters = line_dedup.load_filters(store.filters.collect())
+    assert all(filters[int(h % store.shards)].contains(np.array([h]))[0] for h in np.array([r[0] for r in dups], np.int64))
+    assert sum(int((f.slots > 0).sum()) for f in filters.values()) == len(dups)
+
+
 def test_line_store_is_reversible(spark, docs, tmp_dir):
-    store = line_dedup.LineStore(spark, tmp_dir, shards=3)
+    store = line_dedup.LineStore(spark, tmp_dir, shard_keys=30)
     first, second = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
     store.insert("one", first)
+    assert store.shards > 2
     before = got(store.dups())
     lists = got(line_dedup.digests(first, store.drop_lists(first)))
+    assert lists == got(line_dedup.digests(first, line_dedup.find(first)))
     store.insert("two", second)
     both = docs.where("doc_id is not null")
-    assert got(line_dedup.digests(both, store.drop_lists(both)))
-    assert len(got(store.dups())) >= len(before)
-    store.delete("two-out", second)
-    assert got(store.dups()) == before
-    assert got(line_dedup.digests(first, store.drop_lists(first))) == lists
-    probes = np.array([r[0] for r in before], np.int64)
-    filters = line_dedup.load_filters(store.filters.collect())
-    assert all(filters[int(h % 3)].contains(np.array([h]))[0] for h in probes)
-    assert sum(int((f.slots > 0).sum()) for f in filters.values()) == len(before)
+    assert got(line_dedup.digests(both, store.drop_lists(both))) == got(line_dedup.digests(both, line_dedup.find(both)))
+    members(store, got(store.dups()))
+    assert got(store.dups()) != before and len(got(store.dups())) >= len(before)
+    again = line_dedup.LineStore(spark, tmp_dir, shard_keys=30)         # opened anew
+    assert got(again.dups()) == got(store.dups())
+    again.delete("two-out", second)
+    assert got(again.dups()) == before
+    assert got(line_dedup.digests(first, again.drop_lists(first))) == lists
+    members(again, before)
+
+
+def test_line_store_names_and_repeats(spark, tmp_dir):
+    line = "a line that is long enough to count"
+    table = lambda ids: spark.createDataFrame([(k, f"{line}\nown line of document number {k}") for k in ids], "doc_id long, text string")
+    total = lambda s: s.refs().agg({"n": "sum"}).first()[0] or 0
+    holders = lambda s: {r["n_docs"] for r in s.dups().collect()}
+    store = line_dedup.LineStore(spark, tmp_dir)
+    store.insert("one", table(range(6)))
+    assert total(store) == 12
+    store.delete("one", table([0]))                 # a deletion may have an insertion's name
+    assert total(store) == 10 and holders(store) == {5}
+    store.delete("one", table([0]))
+    store.delete("other", table([0]))               # gone already
+    store.insert("more", table([0]))
+    assert total(store) == 12 and holders(store) == {6}
+    store.insert("more", table([0, 7]))             # replaces the batch
+    assert total(store) == 14 and holders(store) == {7}
+    store = line_dedup.LineStore(spark, tmp_dir)
+    assert total(store) == 14
+    store.delete("all", table(range(8)))
+    assert total(store) == 0 and store.dups().count() == 0
+    members(store, [])
+    store.insert("late", table(range(20, 24)))
+    assert holders(store) == {4}
+    members(store, got(store.dups()))
+
+
+def test_a_full_filter_is_built_anew(spark, tmp_dir):
+    store = line_dedup.LineStore(spark, tmp_dir)
+    lines = [f"line number {i} of a long list" for i in range(400)]
+    rows = [(k, "\n".join(lines[:20 if k < 3 else 400])) for k in range(6)]
+    table = lambda own: spark.createDataFrame(own, "doc_id long, text string")
+    store.insert("few", table(rows[:3]))
+    members(store, got(store.dups()))
+    store.insert("many", table(rows[3:]))
+    assert store.dups().count() == 400
+    members(store, got(store.dups()))
+
+
+def test_underscore_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six", "x", 7, "en"), (2, "one two three four five six", "y", 8, "fr"),
+                                  (2, "one two three four five six", "y", 8, "de"), (3, "quite another text of five words or more", "z", 9, "en")],
+                                 "doc_id long, text string, _row_key string, _stays long, _own0 string")
+    for _ in range(2):
+        kept = jaccard_join.keep_one(docs.repartition(3))
+        assert kept.columns == docs.columns
+        assert got(kept) == [(1, "one two three four five six", "x", 7, "en"), (3, "quite another text of five words or more", "z", 9, "en")]
+    twins = docs.where("doc_id = 2")
+    assert got(jaccard_join.keep_one(twins)) == [(2, "one two three four five six", "y", 8, "de")]
 
 
 def test_words_cut(docs, rows, empty):

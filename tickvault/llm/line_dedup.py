@@ -11,8 +11,11 @@ which decides.  Filters are broadcast while they fit ``max_filter_mb``; beyond t
 lines are joined with the exact table, with the same result.  Holders are summed map-side,
 so a line in a third of all documents is one row per task.
 
-``LineStore`` keeps this incrementally: references are appended as +1 or -1 rows, so
-inserting and then deleting documents gives back the former counts and filters.
+``LineStore`` keeps this incrementally.  Its tables, the references that are present, the
+counts per key and the filters, lie in folders by shard and change together, in one commit;
+a batch recounts only its own keys, and a filter takes those in that came to be repeated and
+gives up those that no longer are.  Inserting and then deleting documents gives back the
+former counts and filters.
 
 Defined cases: null or empty text is one empty line and never dropped; a null id is smaller
 than any other; each row is a document, so repeated rows count as several holders (and all
@@ -31,6 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickvault.llm.common import WORD_SPACE, map_batches, mix, row_key, stage, use_small_batches
+from tickvault.sinks.files import has_data_files
+from tickvault.sinks.journal import Commit, Journal
 
 MIN_CHARS, MIN_DOCS = 20, 3
 SHARD_KEYS = 500_000
@@ -178,7 +183,7 @@ def _probe(rows: DataFrame, filters: list | None, shards: int, min_chars: int) -
         at = pa.array(owner, pa.int64())
         yield {"key": cols["key"].take(at), "doc_id": cols["doc_id"].take(at), "h1": h1, "h2": h2}
 
-    return map_batches(rows, run, "key long, doc_id long, h1 long, h2 long")
+    return map_batches(rows, run, "key binary, doc_id long, h1 long, h2 long")
 
 
 def drop_lists(docs: DataFrame, dups: DataFrame, filters: DataFrame | None, shards: int,
@@ -247,65 +252,132 @@ def _clean_series(min_chars: int):
 
 
 class LineStore:
-    """References of many batches, in tables below ``root`` (a shared folder)."""
+    """References, counts and filters of many batches, in tables below ``root`` (a shared folder).
 
-    def __init__(self, spark: SparkSession, root: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int = 8):
-        self.spark, self.root, self.min_chars, self.min_docs, self.shards = spark, root.rstrip("/"), min_chars, min_docs, shards
-        self.batches: list[str] = []
-        self.filters: DataFrame | None = None
+    A store that is opened again on its root goes on where it was.  Inserting under a batch name
+    that was used before replaces that batch.  Deleting takes out documents as often as they are
+    present, never more; the name of a deletion makes it count once, however often it is called.
+    """
+
+    REFS, COUNTS = "h1 long, h2 long, doc_id long, n long", "h1 long, h2 long, n_docs long, keeper long"
+    FILTERS = "buckets long, slots binary"
+
+    def __init__(self, spark: SparkSession, root: str, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+                 shard_keys: int = SHARD_KEYS):
+        self.spark, self.root, self.min_chars, self.min_docs, self.shard_keys = spark, root.rstrip("/"), min_chars, min_docs, shard_keys
+        self.journal = Journal(spark, self.root)
+        self.journal.recover()
+
+    @property
+    def shards(self) -> int:
+        return self.journal.marks().get("shards", 1)
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        schema = schema if name.startswith("batches/") else f"{schema}, shard long"
+        if not has_data_files(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def refs(self) -> DataFrame:
-        """h1, h2, doc_id, n: references that are left."""
-        schema = "h1 long, h2 long, doc_id long, n long"
-        rows = self.spark.read.schema(schema).parquet(*self.batches) if self.batches else self.spark.createDataFrame([], schema)
-        return rows.groupBy("h1", "h2", "doc_id").agg(F.sum("n").alias("n")).where("n > 0")
+        """h1, h2, doc_id, n: the references that are present."""
+        return self._read("refs", self.REFS).drop("shard")
+
+    def counts(self) -> DataFrame:
+        """h1, h2, n_docs, keeper of every key that is present."""
+        return self._read("counts", self.COUNTS).drop("shard")
 
     def dups(self) -> DataFrame:
-        return self.refs().groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.max("doc_id").alias("keeper")) \
-            .where(F.col("n_docs") >= self.min_docs)
-
-    def _apply(self, batch: str, docs: DataFrame, sign: int) -> None:
-        before = stage(self.dups().select("h1", "h2"), "line-before")
-        path = f"{self.root}/refs-{batch}"
-        references(docs, self.min_chars).withColumn("n", F.lit(sign).cast("long")).write.mode("overwrite").parquet(path)
-        if path not in self.batches:
-            self.batches.append(path)
-        after = self.dups().select("h1", "h2")
-        change = after.join(before, ["h1", "h2"], "left_anti").withColumn("add", F.lit(True)).unionAll(
-            before.join(after, ["h1", "h2"], "left_anti").withColumn("add", F.lit(False))) \
-            .withColumn("shard", F.pmod("h1", F.lit(self.shards)))
-        if self.filters is None:
-            self.filters = stage(build_filters(after, self.shards), "line-filters")
-            return
-        whole = after.withColumn("shard", F.pmod("h1", F.lit(self.shards)))
+        return self.counts().where(F.col("n_docs") >= self.min_docs)
+
+    @property
+    def filters(self) -> DataFrame:
+        """shard, buckets, slots."""
+        return self._read("filters", self.FILTERS).select("shard", "buckets", "slots")
+
+    def insert(self, batch: str, docs: DataFrame) -> None:
+        """Add documents; inserting the same batch name again replaces it."""
+        commit = self.journal.begin()
+        name = f"batches/{hashlib.sha256(batch.encode()).hexdigest()}"
+        self._grouped(references(docs, self.min_chars).withColumn("n", F.lit(1))).write.parquet(commit.folder("batch"))
+        new = self.spark.read.schema(self.REFS).parquet(commit.folder("batch"))
+        old = self._read(name, self.REFS).withColumn("n", -F.col("n"))
+        self._apply(commit, new.unionAll(old))
+        commit.replace(commit.folder("batch"), f"{self.root}/{name}")
+        commit.done()
 
+    def delete(self, batch: str, docs: DataFrame) -> None:
+        """Take out documents that are present."""
+        commit = self.journal.begin()
+        done = commit.marks.setdefault("deletions", [])
+        if batch in done:
+            return
+        done.append(batch)
+        self._apply(commit, references(docs, self.min_chars).withColumn("n", F.lit(-1)))
+        commit.done()
+
+    @staticmethod
+    def _grouped(refs: DataFrame) -> DataFrame:
+        return refs.groupBy("h1", "h2", "doc_id").agg(F.sum("n").alias("n"))
+
+    def _apply(self, commit: Commit, change: DataFrame) -> None:
+        """Stage the tables as they are after ``change`` (references with signed numbers)."""
+        shards = commit.marks.get("shards")
+        change = stage(self._grouped(change).where("n <> 0"), "line-change")
+        if shards is None:
+            keys = change.select("h1", "h2").distinct().count()
+            shards = commit.marks["shards"] = 1 + keys // self.shard_keys
+        shard = F.pmod("h1", F.lit(shards)).alias("shard")
+        touched = [r[0] for r in change.select(shard).distinct().collect()]
+        here = F.col("shard").isin(touched)
+        stored = self._read("refs", self.REFS).where(here).drop("shard")
+        refs = self._grouped(stored.unionAll(change)).where("n > 0")        # never below nothing
+        refs.select("*", shard).write.partitionBy("shard").parquet(commit.folder("refs"))
+        refs = self.spark.read.schema(self.REFS).parquet(commit.folder("refs"))
+        # Only the batch's keys are counted anew.
+        own = stage(change.select("h1", "h2").distinct(), "line-keys")
+        before = self._read("counts", self.COUNTS).where(here).drop("shard")
+        after = refs.join(own, ["h1", "h2"], "left_semi").groupBy("h1", "h2") \
+            .agg(F.sum("n").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        after = stage(after, "line-counts")
+        before.join(own, ["h1", "h2"], "left_anti").unionByName(after) \
+            .select("*", shard).write.partitionBy("shard").parquet(commit.folder("counts"))
+        often = F.col("n_docs") >= self.min_docs
+        was = before.join(own, ["h1", "h2"], "left_semi").where(often).select("h1", "h2")
+        now = after.where(often).select("h1", "h2")
+        moves = now.join(was, ["h1", "h2"], "left_anti").select("h1", F.lit(True).alias("comes")).unionAll(
+            was.join(now, ["h1", "h2"], "left_anti").select("h1", F.lit(False))).select("*", shard)
+        self._filters(commit, moves, touched)
+        for name in ("refs", "counts", "filters"):
+            written = set(commit.replace_parts(commit.folder(name), f"{self.root}/{name}"))
+            for k in touched:       # a shard that has lost all its rows
+                if f"shard={k}" not in written and name != "filters":
+                    commit.remove(f"{self.root}/{name}/shard={k}")
+
+    def _filters(self, commit: Commit, moves: DataFrame, touched: list[int]) -> None:
         def update(old: pa.Table, new: pa.Table) -> pa.Table:
             one = CuckooFilter() if not old.num_rows else CuckooFilter(
                 old.column("buckets")[0].as_py(), np.frombuffer(old.column("slots")[0].as_py(), np.uint16)
                 .reshape(-1, CuckooFilter.SLOTS).copy())
-            keys, kind = new.column("h1").to_pylist(), new.column("kind").to_pylist()
-            for k, what in zip(keys, kind):
-                if what == "out":
+            keys, comes = new.column("h1").to_pylist(), new.column("comes").to_pylist()
+            for k, c in zip(keys, comes):
+                if not c:
                     one.delete(k)
-            if not all([one.insert(k) for k, what in zip(keys, kind) if what == "in"]):
-                one = CuckooFilter.build(np.array([k for k, what in zip(keys, kind) if what == "all"], np.int64))
+            fits = all([one.insert(k) for k, c in zip(keys, comes) if c])
             shard = (old if old.num_rows else new).column("shard")[:1]
             return pa.table({"shard": shard, "buckets": pa.array([one.buckets], pa.int64()),
-                             "slots": pa.array([one.slots.tobytes()], pa.binary())})
-
-        # The shard's whole key list is only used to rebuild a filter that is too full.
-        news = change.select("shard", "h1", F.when(F.col("add"), "in").otherwise("out").alias("kind")) \
-            .unionAll(whole.select("shard", "h1", F.lit("all").alias("kind")))
-        self.filters = stage(self.filters.groupBy("shard").cogroup(news.groupBy("shard"))
-                             .applyInArrow(update, "shard long, buckets long, slots binary"), "line-filters")
-
-    def insert(self, batch: str, docs: DataFrame) -> None:
-        """Add documents; writing the same batch name again replaces it."""
-        self._apply(batch, docs, 1)
-
-    def delete(self, batch: str, docs: DataFrame) -> None:
-        """Take documents out that were inserted before."""
-        self._apply(batch, docs, -1)
+                             "slots": pa.array([one.slots.tobytes() if fits else None], pa.binary())})
+
+        stored = self.filters.where(F.col("shard").isin(touched))
+        made = stage(stored.groupBy("shard").cogroup(moves.groupBy("shard"))
+                     .applyInArrow(update, "shard long, buckets long, slots binary"), "line-filters")
+        # A filter that is too full is built anew from its shard's counts.
+        full = [r["shard"] for r in made.where("slots is null").select("shard").collect()]
+        if full:
+            counts = self.spark.read.schema(f"{self.COUNTS}, shard long").parquet(commit.folder("counts")) \
+                .where(F.col("shard").isin(full) & (F.col("n_docs") >= self.min_docs))
+            made = made.where("slots is not null").unionByName(build_filters(counts, commit.marks["shards"]))
+        made.write.partitionBy("shard").parquet(commit.folder("filters"))
 
     def drop_lists(self, docs: DataFrame) -> DataFrame:
         return drop_lists(docs, self.dups(), self.filters, self.shards, self.min_chars)
