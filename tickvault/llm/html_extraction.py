@@ -4,34 +4,38 @@ A page becomes a stream of text slots, each named by the path of block elements
 (with classes, ids and roles).  Adjacent repeats fold into a group ``(...)+``.  The folded
 streams of a host are aligned one after another into one expression without alternation:
 a slot that a page lacks becomes optional, a group that repeats on one page and stands
-alone on another becomes repeated, and a text that differs becomes a text slot, while one
-that unlike pages share is template text: pages alike in every text outside of menus,
-adverts and the like count once, so that copies of an article don't make its text a
-template.  Only the hashes of long texts are kept for this.  Equal streams are summed
-map-side first, partial expressions of a host are inferred in ``SALTS`` groups and then
-merged, so a host with a third of all pages costs no single task its pages.
-
-The wrapper gives every slot that isn't part of a menu, header, footer, side bar, notice,
-advert, form or comment a rank: inside an ``article`` or ``main`` element, inside one that
-is named like it, or elsewhere, where template text is left out.  A page's text is what it
-has of the highest rank.  Wrappers are broadcast while they fit
-``max_wrapper_mb``, else pages are joined with them by host.
+alone on another becomes repeated, and a text that differs makes its item a text slot; the
+texts that every page has in an item are template texts.  Pages alike in every text outside
+of menus, adverts and the like count once, so that copies of an article don't make its text
+a template.  Only hashes of texts are kept for this.  Equal streams are summed map-side
+first; a host's partial expressions are merged in groups of at most ``MERGED`` at a time,
+again and again, so a host with a third of all pages costs no single task its pages.
+
+A page is read by matching its folded stream against its host's expression, in order: what
+stands in text slots is content, template texts are not, a heading that the template repeats
+over content excepted.  Slots of a menu, header, footer, side bar, notice, advert, form or
+comment are no content wherever they stand.  Among what is left, the text inside ``article``
+or ``main`` elements goes before the text of elements named like one, and that before the
+rest, as long as the preferred elements hold the larger part of such pages' text on the host.
+Wrappers are broadcast while they fit ``max_wrapper_mb``, else pages are joined with them by
+host.
 
 Defined cases: null or empty html has no text (empty string, 0 characters); a null url or
-one without a host belongs to the host ''; broken nesting closes at the nearest open
-element; repeated rows each get a row; other columns are ignored.
+one without a host belongs to the host ''; a host without unlike pages has no template;
+broken nesting closes at the nearest open element; repeated rows each get a row; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import difflib
 import functools
 import hashlib
 import html as entities
 import json
 import re
-from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,7 +43,10 @@ from pyspark.sql import functions as F
 
 from tickvault.llm.common import map_batches, stage, use_small_batches
 
-SALTS = 32
+MERGED = 256         # partial expressions that one task aligns
+#: Unlike pages that must share a text for it to be template, by rank of its slot.
+SUPPORT = {0: 3, 1: 3, 2: 5}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption legend summary".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S | re.I)
@@ -58,7 +65,7 @@ JUNK_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices alert popup modal overlay newsletter subscribe signup login nav navbar navigation menu breadcrumb "
     "breadcrumbs sidebar aside widget widgets related recommended share sharing social toolbar pagination pager comment "
-    "comments commentlist disqus respond reply replies footer copyright disclaimer complementary contentinfo search".split())
+    "teaser teasers comments commentlist disqus respond reply replies footer copyright disclaimer complementary contentinfo search".split())
 HEAD_WORDS = frozenset("header masthead topbar".split())
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_WORDS = frozenset("article main content post entry story".split())
@@ -155,14 +162,17 @@ def fold(stream: list[str]) -> list[tuple[str, ...]]:
 
 
 def mark(text: str) -> str:
-    """What stands for a text in an expression: itself if short, else 120 bits of its hash."""
-    return text if len(text) <= 20 else "=" + base64.b64encode(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=15).digest()).decode()
+    """What stands for a text in an expression: itself if short, else 72 bits of its hash."""
+    return text if len(text) <= 12 else "=" + base64.b64encode(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=9).digest()).decode()
 
 
-def content(page: str) -> list[list]:
-    """The summary of what may be main text, with marks for texts; one for all of a group that is never left out."""
-    out = summary([(p, t) for p, t in slots(page) if rank(p) >= 0])
-    return [[g, list(map(mark, texts)) if any(rank(p) < 2 for p in g) else [mark("\n".join(texts))]] for g, texts in out]
+def content(page: str) -> tuple[list[list], list[int]]:
+    """The folded stream of what may be main text, with marks for texts; and the characters by rank."""
+    found = [(p, t) for p, t in slots(page) if rank(p) >= 0]
+    size = [0, 0, 0]
+    for p, t in found:
+        size[rank(p)] += len(t)
+    return [[g, list(map(mark, texts))] for g, texts in summary(found)], size
 
 
 def summary(page: str | list[tuple[str, str]]) -> list[list]:
@@ -178,23 +188,32 @@ def summary(page: str | list[tuple[str, str]]) -> list[list]:
     return out
 
 
+def common(one: list[str], other: list[str]) -> list[str]:
+    """Texts of the first that the second has too."""
+    has = set(other)
+    return [t for t in one if t in has]
+
+
+def unite(x: list, y: list) -> list:
+    """Two items of the same group: [group, common texts, optional, unlike pages, do texts differ]."""
+    return [x[0], x[1] if x[1] == y[1] else common(x[1], y[1]), x[2] or y[2], x[3] + y[3], x[4] or y[4] or x[1] != y[1]]
+
+
 def align(one: list[list], other: list[list]) -> list[list]:
-    """Merge two expressions: items are [group, texts or None if they vary, optional, unlike pages]."""
+    """Merge two expressions: what only one of them has becomes optional."""
     a, b = ([tuple(x[0]) for x in side] for side in (one, other))
     out: list[list] = []
     for kind, a0, a1, b0, b1 in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if kind == "equal":
-            for x, y in zip(one[a0:a1], other[b0:b1]):
-                out.append([x[0], x[1] if x[1] == y[1] else None, x[2] or y[2], x[3] + y[3]])
+            out += map(unite, one[a0:a1], other[b0:b1])
         else:
-            out += [[g, t, True, n] for g, t, _, n in one[a0:a1] + other[b0:b1]]
+            out += [[g, t, True, n, d] for g, t, _, n, d in one[a0:a1] + other[b0:b1]]
     return out
 
 
 def expression(items: list[list]) -> str:
     """The inferred expression, for people to read."""
-    return " ".join("(" + " ".join(g) + ")+" + "?" * bool(o) if t is None else "(" + " ".join(g) + " = template)" + "?" * bool(o)
-                    for g, t, o, _ in items)
+    return " ".join("(" + " ".join(g) + ("" if varies else " = template") + ")" + "+" * varies + "?" * bool(o) for g, _, o, _, varies in items)
 
 
 @functools.lru_cache(1 << 16)
@@ -214,21 +233,56 @@ def rank(path: str) -> int:
     return level
 
 
-def wrapper(items: list[list], pages: int) -> dict:
-    """Rank of each path with main text, and template texts to leave out, by an expression of unlike pages."""
-    ranks = {p: rank(p) for g, *_ in items for p in g}
-    # Template text is the same on three unlike pages and a quarter of all at least; pages
-    # that are alike in all texts have none to tell apart.
-    template = any(t is None for _, t, _, _ in items)
-    drop = [[p, t] for g, texts, _, n in items if template and texts is not None and n >= max(3, pages / 4)
-            for p, t in zip(g * (len(texts) // len(g)), texts) if ranks[p] in (0, 1)]
-    return {"ranks": {p: r for p, r in sorted(ranks.items()) if r >= 0}, "drop": drop, "expression": expression(items)}
-
-
-def main_text(page: str, ranks: dict[str, int], drop: frozenset) -> str:
-    found = [(ranks[p], t) for p, t in slots(page) if p in ranks and (p, mark(t)) not in drop]
-    best = max((r for r, _ in found), default=0)
-    return "\n".join(t for r, t in found if r == best)
+def wrapper(items: list[list], pages: int, sizes: list[int]) -> dict:
+    """The expression as pages are matched with it: groups and the template texts of each; and up
+    to which rank preferred elements are trusted.  ``pages`` counts unlike ones; ``sizes`` are the
+    host's characters: in and beside articles, in and beside elements named so."""
+    varied = any(varies for *_, varies in items)
+
+    def template(group, texts, n):
+        level = max(rank(p) for p in group)
+        enough = n >= SUPPORT[level] and (n >= pages / 4 if level < 2 else n >= 0.8 * pages)
+        return sorted(set(texts)) if varied and enough else []
+
+    trusted = [r for r, (own, rest) in ((2, sizes[:2]), (1, sizes[2:])) if 2 * own >= rest]
+    return {"items": [[g, template(g, t, n)] for g, t, _, n, _ in items], "trusted": trusted, "expression": expression(items)}
+
+
+def _parent(path: str) -> str:
+    return path.rpartition(">")[0]
+
+
+def main_text(page: str, made: dict) -> str:
+    """The content of a page by its host's wrapper."""
+    found = [(p, t) for p, t in slots(page) if rank(p) >= 0]
+    places: dict[tuple, list[int]] = made["places"]
+    kept, at = [], 0        # (is template, path, text); the place reached in the expression
+    for group, texts in summary(found):
+        here = places.get(tuple(group), ())
+        k = bisect.bisect_left(here, at)
+        known = frozenset()
+        if k < len(here):
+            at, known = here[k] + 1, made["texts"][here[k]]
+        elif here:          # out of order: the item is known all the same
+            known = made["texts"][here[-1]]
+        kept += [(mark(t) in known, group[i % len(group)], t) for i, t in enumerate(texts)]
+    out = []
+    for k, (template, path, text) in enumerate(kept):
+        heads = template and path.rpartition(">")[2].partition(".")[0] in HEADINGS
+        if heads and k + 1 < len(kept) and not kept[k + 1][0] and _parent(kept[k + 1][1]).startswith(_parent(path)):
+            template = False
+        if not template:
+            out.append((rank(path), text))
+    best = max((r for r, _ in out if r in made["trusted"]), default=0)
+    return "\n".join(t for r, t in out if r >= best)
+
+
+def read_wrapper(text: str) -> dict:
+    made = json.loads(text)
+    places: dict[tuple, list[int]] = {}
+    for k, (group, _) in enumerate(made["items"]):
+        places.setdefault(tuple(group), []).append(k)
+    return {"places": places, "texts": [frozenset(t) for _, t in made["items"]], "trusted": frozenset(made["trusted"])}
 
 
 def host_of(url: str) -> Column:
@@ -242,44 +296,62 @@ def _merge_all(rows: list[list[list]]) -> list[list]:
     return out
 
 
+PARTIAL = "host string, pages long, unlike long, sizes array<long>, items string"
+
+
 def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """host, pages, wrapper (JSON) of every host."""
     use_small_batches(pages.sparkSession)
 
     def summarise(cols):
-        found = Counter((host, json.dumps(content((page or b"").decode("utf-8", "replace")))) for host, page in zip(cols["host"], cols["html"]))
-        yield {"host": [h.decode() for h, _ in found], "pages": list(found.values()), "items": [x for _, x in found]}
+        found: dict[tuple, list] = {}
+        for host, page in zip(cols["host"], cols["html"]):
+            items, (c0, c1, c2) = content((page or b"").decode("utf-8", "replace"))
+            own = found.setdefault((host.decode(), json.dumps(items)), [0, [0, 0, 0, 0]])
+            own[0] += 1
+            beside = [c2, c0 + c1, 0, 0] if c2 else [0, 0, c1, c0] if c1 else [0, 0, 0, 0]
+            own[1] = [x + y for x, y in zip(own[1], beside)]
+        yield {"host": [h for h, _ in found], "items": [x for _, x in found], "pages": [n for n, _ in found.values()],
+               **{f"c{k}": [c[k] for _, c in found.values()] for k in range(4)}}
 
     def collect(cols):
         found: dict[tuple, list] = {}
-        for host, pages, text in zip(cols["host"], cols["pages"].to_pylist(), cols["items"]):
-            items = [[g, t, False, 1] for g, t in json.loads(text)]
+        for host, pages, sizes, text in zip(cols["host"], cols["pages"].to_pylist(), cols["sizes"].to_pylist(), cols["items"]):
+            items = [[g, t, False, 1, False] for g, t in json.loads(text)]
             key = (host, json.dumps([g for g, *_ in items]))
             if key in found:
                 own = found[key]
-                found[key] = [own[0] + pages, own[1] + 1,
-                              [[g, t if t == u else None, False, n + 1] for (g, t, _, n), (_, u, _, _) in zip(own[2], items)]]
+                found[key] = [own[0] + pages, own[1] + 1, [x + y for x, y in zip(own[2], sizes)], list(map(unite, own[3], items))]
             else:
-                found[key] = [pages, 1, items]
-        yield {"host": [h.decode() for h, _ in found], "pages": [x[0] for x in found.values()],
-               "unlike": [x[1] for x in found.values()], "items": [json.dumps(x[2]) for x in found.values()]}
+                found[key] = [pages, 1, sizes, items]
+        yield {"host": [h.decode() for h, _ in found], "pages": [x[0] for x in found.values()], "unlike": [x[1] for x in found.values()],
+               "sizes": pa.array([x[2] for x in found.values()], pa.list_(pa.int64())), "items": [json.dumps(x[3]) for x in found.values()]}
 
     def merge(table: pa.Table) -> pa.Table:
         items = _merge_all([json.loads(x) for x in sorted(table.column("items").to_pylist())])
-        return pa.table({"host": table.column("host")[:1], "items": pa.array([json.dumps(items)], pa.string())} | {
-            k: pa.array([sum(table.column(k).to_pylist())], pa.int64()) for k in ("pages", "unlike")}).select(["host", "pages", "unlike", "items"])
-
-    def finish(table: pa.Table) -> pa.Table:
-        one = merge(table)
-        made = wrapper(json.loads(one.column("items")[0].as_py()), one.column("unlike")[0].as_py())
-        return pa.table({"host": one.column("host"), "pages": one.column("pages"), "wrapper": pa.array([json.dumps(made)], pa.string())})
-
-    rows = map_batches(pages.select(host_of(url).alias("host"), F.col(html).alias("html")), summarise, "host string, pages long, items string")
-    unlike = rows.groupBy("host", "items").agg(F.sum("pages").alias("pages"))
-    schema = "host string, pages long, unlike long, items string"
-    salted = map_batches(unlike, collect, schema).withColumn("salt", F.pmod(F.xxhash64("items"), F.lit(SALTS)))
-    return salted.groupBy("host", "salt").applyInArrow(merge, schema) \
-        .groupBy("host").applyInArrow(finish, "host string, pages long, wrapper string")
+        return pa.table({"host": table.column("host")[:1], **{
+            k: pa.array([sum(table.column(k).to_pylist())], pa.int64()) for k in ("pages", "unlike")},
+            "sizes": pa.array([[sum(x) for x in zip(*table.column("sizes").to_pylist())]], pa.list_(pa.int64())),
+            "items": pa.array([json.dumps(items)], pa.string())})
+
+    def finish(cols):
+        yield {"host": [h.decode() for h in cols["host"]], "pages": cols["pages"],
+               "wrapper": [json.dumps(wrapper(json.loads(x), n, sizes)) for x, n, sizes in
+                           zip(cols["items"], cols["unlike"].to_pylist(), cols["sizes"].to_pylist())]}
+
+    rows = map_batches(pages.select(host_of(url).alias("host"), F.col(html).alias("html")), summarise,
+                       "host string, items string, pages long, c0 long, c1 long, c2 long, c3 long")
+    unlike = rows.groupBy("host", "items").agg(F.sum("pages").alias("pages"), F.array(*[F.sum(f"c{k}") for k in range(4)]).alias("sizes"))
+    partial = map_batches(unlike.select("host", "pages", "sizes", "items"), collect, PARTIAL)
+    while True:
+        partial = stage(partial, "expressions")
+        most = partial.groupBy("host").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if most <= 1:
+            return map_batches(partial, finish, "host string, pages long, wrapper string")
+        groups = partial.groupBy("host").agg(F.ceil(F.count("*") / MERGED).alias("groups")).withColumnRenamed("host", "_host")
+        partial = partial.join(groups, F.col("host") == F.col("_host")) \
+            .withColumn("salt", F.pmod(F.xxhash64("items"), F.col("groups"))).drop("_host", "groups") \
+            .groupBy("host", "salt").applyInArrow(merge, PARTIAL)
 
 
 def extract(pages: DataFrame, wrappers: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
@@ -299,9 +371,8 @@ def extract(pages: DataFrame, wrappers: DataFrame, page_id: str = "page_id", url
                 texts.append("")
                 continue
             if made not in known:
-                w = json.loads(made)
-                known[made] = (w["ranks"], frozenset(map(tuple, w["drop"])))
-            texts.append(main_text(page.decode("utf-8", "replace"), *known[made]))
+                known[made] = read_wrapper(made)
+            texts.append(main_text(page.decode("utf-8", "replace"), known[made]))
         yield {"page_id": cols["page_id"], "url": [u.decode() if u is not None else None for u in cols["url"]],
                "text": texts, "n_chars": [len(t) for t in texts]}
 
