@@ -3,10 +3,11 @@
 Test items are normalised (A-Z lower-cased, runs of letters, digits and non-ASCII
 characters as words) and cut into windows of ``size`` words; an item of fewer words is one
 window.  The distinct window hashes, counted against ``set_size`` first, travel to every
-task as a hash set inside the scan's expression; a larger benchmark is held against the
-documents in blocks of that size.  A scan reads each text once, keeps only the windows
-whose hash is in the set, and an equality join on the windows' words verifies them, so a
-hash collision never counts.
+task as a hash set inside the scan's expression.  A scan reads each text once, keeps only
+the windows whose hash is in the set, and an equality join on the windows' words verifies
+them, so a hash collision never counts.  A benchmark of up to ``max_sets`` times that size is
+held against the documents in blocks; beyond it the hashes stay in their table, and the
+hashes of the documents' windows are joined with it.
 
 Defined cases: null and empty texts have no words, on either side; an item with a null id
 marks words but is not listed; repeated items and rows change nothing for others; overlapping
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickvault.llm.common import row_key, stage
+from tickvault.llm.common import own_names, row_key, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -53,25 +54,41 @@ def _scan(rows: DataFrame, hashes: dict[int, list[int]]) -> DataFrame:
     return rows.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
 
 
+def _join(rows: DataFrame, wins: DataFrame, lengths: list[int]) -> DataFrame:
+    """key, pos, len, win of the windows whose hash is in the table ``wins``."""
+    spots = F.concat(*[F.expr(f"""transform(
+        CASE WHEN size(words) >= {n} THEN sequence(1, size(words) - {n - 1}) ELSE array() END,
+        i -> named_struct('pos', i, 'len', {n}, 'h', xxhash64(slice(words, i, {n}))))""") for n in lengths])
+    found = rows.select("key", F.inline(spots)).join(wins.select("len", "h").distinct(), ["len", "h"], "left_semi")
+    at = found.groupBy("key").agg(F.collect_set(F.struct("pos", "len")).alias("at"))      # one document's
+    return rows.join(at, "key").select("key", F.inline(F.expr(
+        "transform(at, x -> named_struct('pos', x.pos, 'len', x.len, 'win', array_join(slice(words, x.pos, x.len), ' ')))")))
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, set_size: int = 50_000,
-         max_windows: int = 5_000_000, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+         max_sets: int = 4, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Every document (doc_id, key, n_words), and its verified hits (key, pos, len, item_id)."""
     wins = stage(windows(benchmark, size), "bench-windows")
-    hashes = [tuple(r) for r in wins.select("len", "h").distinct().orderBy("len", "h").limit(max_windows + 1).collect()]
-    if len(hashes) > max_windows:
-        raise ValueError(f"more than {max_windows} windows; split the benchmark")
-    rows = docs.withColumn("_key", row_key(doc_id, text)) \
-        .select(F.col(doc_id).alias("doc_id"), F.col("_key").alias("key"), normal_words(text).alias("words"))
-    parts = []
-    for at in range(0, max(1, len(hashes)), set_size):
-        own: dict[int, list[int]] = {}
-        for n, h in hashes[at:at + set_size]:
-            own.setdefault(n, []).append(h)
-        parts.append(stage(_scan(rows, own), "bench-scan"))
-    found = reduce(DataFrame.unionAll, [p.where(F.size("hits") > 0).select("key", F.inline("hits")) for p in parts]) \
-        .distinct()
+    lengths = {r["len"]: r["n"] for r in wins.select("len", "h").distinct().groupBy("len").agg(F.count("*").alias("n")).collect()}
+    rows, inner = own_names(docs)
+    place = dict(zip(docs.columns, inner))
+    rows = rows.select(F.col(place[doc_id]).alias("doc_id"), row_key(place[doc_id], place[text]).alias("key"),
+                       normal_words(place[text]).alias("words"))
+    if sum(lengths.values()) > set_size * max_sets:
+        found = _join(rows, wins, sorted(lengths)).distinct()
+        whole = rows.select("doc_id", "key", F.size("words").cast("long").alias("n_words"))
+    else:
+        hashes = [tuple(r) for r in wins.select("len", "h").distinct().orderBy("len", "h").collect()]
+        parts = []
+        for at in range(0, max(1, len(hashes)), set_size):
+            own: dict[int, list[int]] = {}
+            for n, h in hashes[at:at + set_size]:
+                own.setdefault(n, []).append(h)
+            parts.append(stage(_scan(rows, own), "bench-scan"))
+        found = reduce(DataFrame.unionAll, [p.where(F.size("hits") > 0).select("key", F.inline("hits")) for p in parts]).distinct()
+        whole = parts[0].select("doc_id", "key", "n_words")
     hits = found.join(wins.select("item_id", "len", "win"), ["len", "win"]).select("key", "pos", "len", "item_id")
-    return parts[0].select("doc_id", "key", "n_words"), hits
+    return whole, hits
 
 
 def marked(rows: DataFrame, hits: DataFrame) -> DataFrame:
@@ -87,28 +104,36 @@ def marked(rows: DataFrame, hits: DataFrame) -> DataFrame:
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names of our own with the row's key ``at``, and the names."""
+    rows, inner = own_names(docs)
+    place = dict(zip(docs.columns, inner))
+    return rows.withColumn("at", row_key(place[doc_id], place[text])), place
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a window of the benchmark."""
-    doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
     _, hits = scan(docs, benchmark, **options)
-    bad = hits.select(F.col("key").alias("_bad")).distinct()
-    return docs.withColumn("_row_key", row_key(doc_id, text)) \
-        .join(bad, F.col("_row_key") == F.col("_bad"), "left_anti").drop("_row_key")
+    rows, place = _keyed(docs, options.get("doc_id", "doc_id"), options.get("text", "text"))
+    bad = hits.select("key").distinct()
+    return rows.join(bad, F.col("at") == F.col("key"), "left_anti").select(*[F.col(k).alias(c) for c, k in place.items()])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` with the hit words, each with the characters up to the next word, cut out."""
-    doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
+    text = options.get("text", "text")
     _, hits = scan(docs, benchmark, **options)
-    at = hits.select(F.col("key").alias("_bad"), F.explode(F.sequence("pos", F.col("pos") + F.col("len") - 1)).alias("p")) \
-        .groupBy("_bad").agg(F.collect_set("p").alias("_hit"))
-    token = F.regexp_extract_all(F.col(text), F.lit(f"([^{RAW_GAP}]+[{RAW_GAP}]*)"), F.lit(1))
-    lead = F.regexp_extract(F.col(text), f"^[{RAW_GAP}]*", 0)
-    kept = F.filter(F.col("_tokens"), lambda _, i: ~F.array_contains(F.col("_hit"), i + 1))
-    return docs.withColumn("_row_key", row_key(doc_id, text)).join(at, F.col("_row_key") == F.col("_bad"), "left") \
-        .withColumn("_tokens", F.when(F.col("_hit").isNotNull(), token)) \
-        .withColumn(text, F.when(F.col("_hit").isNull(), F.col(text)).otherwise(F.concat(lead, F.array_join(kept, "")))) \
-        .select(*docs.columns)
+    spots = hits.select("key", F.explode(F.sequence("pos", F.col("pos") + F.col("len") - 1)).alias("p")) \
+        .groupBy("key").agg(F.collect_set("p").alias("hit"))
+    rows, place = _keyed(docs, options.get("doc_id", "doc_id"), text)
+    body = F.col(place[text])
+    token = F.regexp_extract_all(body, F.lit(f"([^{RAW_GAP}]+[{RAW_GAP}]*)"), F.lit(1))
+    lead = F.regexp_extract(body, f"^[{RAW_GAP}]*", 0)
+    kept = F.filter(F.col("tokens"), lambda _, i: ~F.array_contains(F.col("hit"), i + 1))
+    return rows.join(spots, F.col("at") == F.col("key"), "left") \
+        .withColumn("tokens", F.when(F.col("hit").isNotNull(), token)) \
+        .withColumn(place[text], F.when(F.col("hit").isNull(), body).otherwise(F.concat(lead, F.array_join(kept, "")))) \
+        .select(*[F.col(k).alias(c) for c, k in place.items()])
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -1,18 +1,23 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
-Each document gets its counts in one pass.  KLL sketches of the derived ratios are
-built per (language, source) and merged per language and over all.  A fence is the median
-plus ``1 + 2 * spread`` times the spread below it (median less lower quartile), or plus
-``spread`` times a floor for that ratio if that is more, so that a group without spread
-doesn't reject ordinary documents.  For a symmetric ratio that is the upper quartile plus
-``spread`` interquartile ranges, but junk in up to nearly half of a group can't raise it
-beyond the group's good documents.  A document is held against the strictest of the fences
-of its group, its language and all rows, so that a source of nothing but junk doesn't set
-its own measure; word length isn't held against other languages, of which some write no
-spaces.  The fence of fewer than ``min_rows`` documents goes over into the next wider one
-in proportion, so no verdict hangs on the row that reaches ``min_rows``.  Sketches hold a
-bounded number of values and merge map-side, so a group of a third of all rows costs no
-more than another.
+Each document gets its counts in one pass.  Sketches of the derived ratios, of all values
+and of those above zero, are built per (language, source) and merged per language and over
+all.  With ``z`` the share of zeros, ``q`` quantiles of all values and ``p`` of those above
+zero, a ratio's fence is
+
+* where it is common (the median is above zero): ``q50 + max((1 + 2 spread) (q50 - q25),
+  floor)``.  For a symmetric ratio that is the upper quartile plus ``spread`` interquartile
+  ranges, but junk in up to nearly half of a group can't raise it;
+* where it is rare: the lesser of ``(1 + 2 spread) p25``, by what documents have that have
+  any, and ``floor (1 + 2 spread (1 - z))``, by how many have any, which holds where those
+  are junk in bulk.
+
+A document is held against the strictest of the fences of its group, its language and all
+rows, so that a source of nothing but junk doesn't set its own measure; word length isn't
+held against other languages, of which some write no spaces.  The fence of fewer than
+``min_rows`` documents goes over into the next wider one in proportion, so no verdict hangs
+on the row that reaches ``min_rows``.  Sketches hold a bounded number of values and merge
+map-side, so a group of a third of all rows costs no more than another.
 
 Defined cases: null or empty text has no words and fails the base rules; null ``lang``
 or ``source`` form groups of their own; repeated rows each get a row; other columns are
@@ -31,13 +36,13 @@ from tickvault.llm.common import (WORD_SPACE, covered, map_batches, mix, stage,
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
 WINDOW = 8
-# Ratio: (numerator, denominator, floor of its spread).
+# Ratio: (numerator, denominator, floor: the least room above what is usual).
 RATIOS = {
-    "r_word": ("word_chars", "n_words", 0.5),
-    "r_symbol": ("n_symbols", "n_words", 0.05),
+    "r_word": ("word_chars", "n_words", 1.5),
+    "r_symbol": ("n_symbols", "n_words", 0.1),
     "r_upper": ("n_upper", "word_chars", 0.03),
-    "r_dup_line": ("n_dup_lines", "n_lines", 0.2),
-    "r_repeat": ("n_repeat_words", "n_words", 0.05),
+    "r_dup_line": ("n_dup_lines", "n_lines", 0.4),
+    "r_repeat": ("n_repeat_words", "n_words", 0.12),
 }
 #: Ratios that differ with the script, not held against other languages.
 OWN_LANGUAGE = frozenset(("r_word",))
@@ -94,18 +99,26 @@ def fences(measured: DataFrame, spread: float = 3.0) -> dict[str, DataFrame]:
     """Upper fence of each ratio by group, by language and over all rows."""
     ratios = measured.select("lang", "source", *[
         F.when(F.col(d) > 0, F.col(n) / F.col(d)).otherwise(0.0).alias(r) for r, (n, d, _) in RATIOS.items()])
+    some = lambda r: F.when(F.col(r) > 0, F.col(r))
     by_group = ratios.groupBy("lang", "source").agg(
-        F.count("*").alias("n"), *[F.kll_sketch_agg_double(r).alias(r) for r in RATIOS])
+        F.count("*").alias("n"), *[F.kll_sketch_agg_double(r).alias(r) for r in RATIOS],
+        *[F.kll_sketch_agg_double(some(r)).alias(f"some_{r}") for r in RATIOS], *[F.count(some(r)).alias(f"n_{r}") for r in RATIOS])
 
     def merged(*keys: str) -> DataFrame:
         return by_group.groupBy(*keys).agg(
-            F.sum("n").alias("n"), *[F.kll_merge_agg_double(r).alias(r) for r in RATIOS]).where("n > 0")
+            F.sum("n").alias("n"), *[F.kll_merge_agg_double(f"{k}{r}").alias(f"{k}{r}") for r in RATIOS for k in ("", "some_")],
+            *[F.sum(f"n_{r}").alias(f"n_{r}") for r in RATIOS]).where("n > 0")
 
     def fence(df: DataFrame, keys: list[str], mark: str) -> DataFrame:
-        q = lambda r, p: F.kll_sketch_get_quantile_double(F.col(r), F.lit(p))
-        return df.select(*[F.col(k).alias(f"{mark}_{k}") for k in keys], F.col("n").alias(f"{mark}_n"), *[
-            (q(r, 0.5) + F.greatest((1 + 2 * spread) * (q(r, 0.5) - q(r, 0.25)), F.lit(spread * floor))).alias(f"{mark}_{r}")
-            for r, (_, _, floor) in RATIOS.items()])
+        def bound(r: str, floor: float):
+            q = lambda c, p: F.kll_sketch_get_quantile_double(F.col(c), F.lit(p))
+            usual = q(r, 0.5) + F.greatest((1 + 2 * spread) * (q(r, 0.5) - q(r, 0.25)), F.lit(floor))
+            rare = F.lit(floor) * (1 + 2 * spread * F.col(f"n_{r}") / F.col("n"))
+            return F.when(q(r, 0.5) > 0, usual).when(F.col(f"n_{r}") > 0, F.least((1 + 2 * spread) * q(f"some_{r}", 0.25), rare)) \
+                .otherwise(rare)
+
+        return df.select(*[F.col(k).alias(f"{mark}_{k}") for k in keys], F.col("n").alias(f"{mark}_n"),
+                         *[bound(r, floor).alias(f"{mark}_{r}") for r, (_, _, floor) in RATIOS.items()])
 
     return {"g": fence(by_group, ["lang", "source"], "g"), "l": fence(merged("lang"), ["lang"], "l"),
             "a": fence(merged(), [], "a")}
