@@ -72,6 +72,46 @@ def test_blocks_hold_the_stream(docs, rows):
     assert max(per_shard.values()) <= 101 and len(per_shard) > 5
 
 
+def many_sources(spark, n=120):
+    rng = np.random.default_rng(12)
+    rows = [(k, " ".join(rng.choice(cases.WORDS, int(rng.integers(0, 60)))), f"s{int(rng.integers(0, n)):03d}" if k % 9 else None) for k in range(900)]
+    rows += [(2000 + k, " ".join(rng.choice(cases.WORDS, 300)), "big") for k in range(20)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_taken_by_hand(spark, plain, monkeypatch):
+    """Words taken of each document, from the slots one at a time; with a joined plan the same as with a broadcast one."""
+    rows, docs = many_sources(spark)
+    mix = mixing.Mix(docs, block_words=8, shard_slots=64, plain=plain)
+    slots = mix.slots().collect()
+    by_source = Counter((r["k"], r["block"]) for r in slots)
+    want = []
+    for r in mix.placed.collect():
+        taken = 0
+        for w in range(r["start"], r["start"] + r["size"]):
+            taken += by_source[r["k"], w // 8]
+        want.append((r["doc_id"], r["size"], taken))
+    found = mix.taken().select("doc_id", "size", "taken").collect()
+    assert sorted(map(tuple, found)) == sorted(want) and {r["doc_id"] for r in found} == {r[0] for r in rows}
+    # Each pass takes a block once, each source's slots are numbered without gaps.
+    assert max(by_source.values()) <= 3
+    for k in {r["k"] for r in slots}:
+        own = sorted(r["slot"] for r in slots if r["k"] == k)
+        assert own == list(range(len(own)))
+    # Sources come near their targets: the plain draw within five standard deviations, else within a slot a shard.
+    goal = {r["k"]: r["slots"] for r in mix.plan}
+    drawn = Counter()
+    for r in mix.counts().collect():
+        drawn[r["k"]] += r["n"]
+    assert sum(drawn.values()) == pytest.approx(sum(goal.values()), abs=mix.shards + 1)
+    for k, want_slots in goal.items():
+        assert abs(drawn[k] - want_slots) <= 5 * np.sqrt(want_slots) + 3
+    # Without a bound on sources.
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 3)
+    assert got(mixing.Mix(docs, block_words=8, shard_slots=64, plain=plain).taken()) == got(mix.taken())
+
+
 def test_single_small_source(spark):
     docs = spark.createDataFrame([(1, "a b c", "s"), (2, None, "s"), (3, "", None)], "doc_id long, text string, source string")
     assert got(mixing.Mix(docs).taken()) == [(1, 3, 3, 3.0, 3), (2, 0, 3, 3.0, 0), (3, 0, 0, 0.0, 0)]

@@ -11,9 +11,11 @@ mixture.  A prefix sum over shards numbers each source's slots; slot j takes ind
 pass, and slots meet their blocks in one join on (source, block).  Slots beyond
 ``max_epochs`` passes stay empty, so no document is taken more often.
 
+``plain=True`` draws all slots of a shard from the multinomial instead.
+
 No source is gathered in one task: prefix sums run over buckets of some thousand rows and
-then over the buckets' totals.  The driver holds a row for each source (at most
-``max_sources``, else an error).
+then over the buckets' totals.  The plan, a row for each source, is made on the driver and
+stored as a table; it is broadcast up to ``BROADCAST_SOURCES`` sources and joined beyond.
 
 Defined cases: null and empty texts have size 0 and are never taken; a null source is a
 source of its own, last in order; null ids are kept; repeated rows are separate documents;
@@ -22,7 +24,6 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import json
 import math
 import random
 
@@ -37,6 +38,8 @@ SHARD_SLOTS = 4096
 MAX_EPOCHS = 3
 BUCKET_ROWS = 4096
 PREFIX_GROUP = 1024
+BROADCAST_SOURCES = 10_000
+BINS = 4096             # parts of the unit interval in which draws look for their source
 
 
 def targets(sizes: dict, weights: dict, max_epochs: int = MAX_EPOCHS) -> dict:
@@ -59,11 +62,7 @@ def cycled_weights(names: list) -> dict:
     return {s: 1 + k % 3 for k, s in enumerate(ordered)}
 
 
-def _literal_rows(rows: list[dict], fields: str) -> Column:
-    return F.inline(F.from_json(F.lit(json.dumps(rows)), F.lit(f"array<struct<{fields}>>")))
-
-
-def _mix_plan(stats: list, weights, block_words: int, shard_slots: int, seed: int) -> tuple[list[dict], int]:
+def _mix_plan(stats: list, weights, block_words: int, shard_slots: int, seed: int, plain: bool = False) -> tuple[list[dict], int]:
     """A row for each source with words, and the number of output shards."""
     sizes = {r["source"]: r["words"] for r in stats}
     goal = targets(sizes, weights(list(sizes)))
@@ -78,29 +77,34 @@ def _mix_plan(stats: list, weights, block_words: int, shard_slots: int, seed: in
             while math.gcd(a, max(1, blocks)) != 1:
                 a = a % most + 1
             steps.append({"a": a, "c": rng.randrange(max(1, blocks))})
-        rows.append({"k": k, "source": r["source"], "no_source": r["source"] is None, "words": r["words"],
+        rows.append({"k": k, "source": r["source"], "words": r["words"],
                      "buckets": -(-r["docs"] // BUCKET_ROWS), "target": goal[r["source"]], "blocks": blocks,
                      "slots": goal[r["source"]] * blocks / r["words"] if r["words"] else 0.0, "steps": steps})
     slots = sum(r["slots"] for r in rows)
     shards = max(1, math.ceil(slots / shard_slots)) if slots else 0
     low = 0.0
-    rest = sum(r["slots"] / shards % 1 for r in rows) if shards else 0.0
-    for r in rows:
-        each = r["slots"] / shards if shards else 0.0
-        r["base"] = int(each)
-        r["low"], low = low, low + (each % 1) / rest if rest else low
+    each = [r["slots"] / shards if shards else 0.0 for r in rows]
+    base = [0 if plain else int(x) for x in each]
+    rest = sum(x - n for x, n in zip(each, base))
+    for r, x, n in zip(rows, each, base):
+        r["base"] = n
+        r["low"], low = low, low + (x - n) / rest if rest else low
         r["high"] = low
     if rows:
         rows[-1]["high"] = 2.0          # rounding leaves no gap
     return rows, shards
 
 
+PLAN = ("k int, source string, words long, buckets long, target double, blocks long, slots double, "
+        "steps array<struct<a: long, c: long>>, base long, low double, high double")
+
+
 class Mix:
     """A planned mixture over staged rows; ``blocks`` and ``slots`` meet in ``pieces``."""
 
     def __init__(self, docs: DataFrame, weights=cycled_weights, with_text: bool = False,
                  block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 1,
-                 max_sources: int = 10_000, doc_id: str = "doc_id", text: str = "text", source: str = "source"):
+                 plain: bool = False, doc_id: str = "doc_id", text: str = "text", source: str = "source"):
         self.length, self.seed, self.with_text = block_words, seed, with_text
         # Only keys and sizes are stored and ordered; texts join their place once it is known.
         key = row_key(doc_id, text).alias("key")
@@ -110,20 +114,21 @@ class Mix:
                            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                            *key_col)
         self.rows = stage(rows, "mix-rows")
-        stats = self.rows.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("words")) \
-            .limit(max_sources + 1).collect()
-        if len(stats) > max_sources:
-            raise ValueError(f"more than {max_sources} sources")
-        self.plan, self.shards = _mix_plan(stats, weights, block_words, shard_slots, seed)
-        self.info = docs.sparkSession.range(1).select(_literal_rows(
-            self.plan, "k int, source string, no_source boolean, words long, buckets long, target double, "
-            "blocks long, slots double, steps array<struct<a: long, c: long>>, base long, low double, high double"))
+        stats = self.rows.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("words")).collect()   # a row a source
+        self.plan, self.shards = _mix_plan(stats, weights, block_words, shard_slots, seed, plain)
+        names = [f.partition(" ")[0] for f in PLAN.replace("struct<a: long, c: long>", "").split(", ")]
+        spark = docs.sparkSession
+        self.table = stage(spark.createDataFrame([tuple(r[n] for n in names) for r in self.plan], PLAN), "mix-plan")
         self.placed = self._placed()
 
+    def info(self, *cols) -> DataFrame:
+        """Columns of the plan, for a join."""
+        own = self.table.select(*cols)
+        return F.broadcast(own) if len(self.plan) <= BROADCAST_SOURCES else own
+
     def _placed(self) -> DataFrame:
         """Rows with their source's number and the offset of their first word in its stream."""
-        # The plan has at most max_sources rows.
-        info = F.broadcast(self.info.select("k", F.col("source").alias("_s"), "buckets"))
+        info = self.info("k", F.col("source").alias("_s"), "buckets")
         tie = ["key"] if self.with_text else []
         rows = self.rows.join(info, F.col("source").eqNullSafe(F.col("_s"))).drop("_s") \
             .withColumn("bucket", F.pmod(F.xxhash64(F.lit(self.seed), "doc_id", "size"), F.col("buckets")))
@@ -159,15 +164,19 @@ class Mix:
         spark = self.rows.sparkSession
         rest = sum(r["slots"] for r in self.plan) / max(1, self.shards) - sum(r["base"] for r in self.plan)
         drawn = F.floor((F.col("shard") + 1) * F.lit(rest)) - F.floor(F.col("shard") * F.lit(rest))
-        unit = lambda i: F.pmod(F.xxhash64(F.lit(self.seed), F.col("shard"), i), F.lit(1 << 32)) / float(1 << 32)
-        draws = F.when(drawn > 0, F.transform(F.sequence(F.lit(1), F.greatest(drawn, F.lit(1))), unit)) \
-            .otherwise(F.array().cast("array<double>"))
-        plan = [{n: r[n] for n in ("k", "base", "low", "high")} for r in self.plan]
-        own = spark.range(self.shards).withColumnRenamed("id", "shard").withColumn("draws", draws) \
-            .select("shard", "draws", _literal_rows(plan, "k int, base long, low double, high double")) \
-            .select("shard", "k", (F.col("base") + F.size(F.filter(
-                "draws", lambda u: (u >= F.col("low")) & (u < F.col("high"))))).alias("n")) \
-            .withColumn("part", F.expr(f"shard div {PREFIX_GROUP}"))
+        unit = F.pmod(F.xxhash64(F.lit(self.seed), F.col("shard"), F.col("i")), F.lit(1 << 32)) / float(1 << 32)
+        draws = spark.range(self.shards).withColumnRenamed("id", "shard").where(drawn > 0) \
+            .select("shard", F.explode(F.sequence(F.lit(1), drawn.cast("int"))).alias("i")) \
+            .select("shard", unit.alias("u")).withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))
+        # A draw's source is the one whose part of the unit interval holds it.
+        spans = self.table.where("high > low").select("k", "low", "high", F.explode(F.sequence(
+            F.floor(F.col("low") * BINS).cast("int"), F.least(F.floor(F.col("high") * BINS), F.lit(BINS - 1)).cast("int"))).alias("bin"))
+        spans = F.broadcast(spans) if len(self.plan) <= BROADCAST_SOURCES else spans
+        hit = draws.join(spans, "bin").where((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))) \
+            .select("shard", "k", F.lit(1).cast("long").alias("n"))
+        sure = self.table.where("base > 0").select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, self.shards - 1)).cast("long"))).alias("shard"),
+                                                   "k", F.col("base").alias("n"))
+        own = hit.unionAll(sure).groupBy("shard", "k").agg(F.sum("n").alias("n")).withColumn("part", F.expr(f"shard div {PREFIX_GROUP}"))
         parts = own.groupBy("k", "part").agg(F.sum("n").alias("m"))
         parts = parts.select("k", "part", (F.sum("m").over(Window.partitionBy("k").orderBy("part")) - F.col("m")).alias("ahead"))
         inside = F.sum("n").over(Window.partitionBy("k", "part").orderBy("shard")) - F.col("n")
@@ -176,12 +185,11 @@ class Mix:
 
     def slots(self) -> DataFrame:
         """shard, k, slot (of the source) and the block that the slot takes."""
-        # The plan has at most max_sources rows.
-        info = F.broadcast(self.info.select("k", "blocks", "steps"))
+        info = self.info("k", "blocks", "steps")
         slots = self.counts().where(F.col("n") > 0) \
             .select("shard", "k", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("slot")) \
             .join(info, "k").where(F.col("slot") < F.col("blocks") * MAX_EPOCHS)
-        step = F.expr("steps[cast(slot div blocks as int)]")
+        step = F.expr("get(steps, cast(slot div blocks as int))")
         return slots.withColumn("step", step).select("shard", "k", "slot", F.pmod(
             F.col("step.a") * F.expr("slot % blocks") + F.col("step.c"), F.col("blocks")).alias("block"))
 
@@ -196,14 +204,13 @@ class Mix:
         whole = self.blocks().groupBy("k", "block").agg(F.array_sort(F.collect_list(part)).alias("p"))  # <= block_words
         whole = whole.select("k", "block", F.col("p.doc_id").alias("doc_ids"), F.array_join("p.text", " ").alias("text"),
                              F.aggregate("p.n", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_words"))
-        names = F.broadcast(self.info.select("k", "source"))        # at most max_sources rows
-        return self.slots().hint("merge").join(whole, ["k", "block"]).join(names, "k") \
+        return self.slots().hint("merge").join(whole, ["k", "block"]).join(self.info("k", "source"), "k") \
             .select("shard", "source", "slot", "block", "doc_ids", "n_words", "text")
 
     def taken(self) -> DataFrame:
         """Every document with its size, its source's size and target, and the words taken."""
         sums = self.pieces().groupBy("k", "start").agg(F.sum("n").alias("_taken"))
-        info = F.broadcast(self.info.select("k", F.col("words").alias("source_size"), "target"))
+        info = self.info("k", F.col("words").alias("source_size"), "target")
         return self.placed.select("k", "start", "doc_id", "size").join(sums, ["k", "start"], "left").join(info, "k") \
             .select("doc_id", "size", "source_size", "target",
                     F.when(F.col("size") > 0, F.coalesce("_taken", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken"))
