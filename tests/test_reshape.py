@@ -60,6 +60,28 @@ def test_missing_requested_ticker_is_failed(spark):
     assert t == {"QRS": (1, "success"), "TUV": (0, "failed")}
 
 
+def test_requested_tickers_the_frame_lacks_give_no_rows(spark):
+    w = wide(spark, [(D, VALS)], ["QRS"])
+    assert reshape.wide_to_long(w, tickers=["TUV"]).count() == 0
+
+
+def test_plan_grows_by_a_column_reference_per_ticker(spark):
+    sizes = {}
+    for n in (50, 2000):
+        tickers = [f"T{k}" for k in range(n)]
+        w = wide(spark, [(D, *[(float(k), None, 1.0, 2.0, 3.0, k) for k in range(n)])], tickers)
+        out = reshape.wide_to_long(w)
+        before = spark.conf.get("spark.sql.debug.maxToStringFields")
+        spark.conf.set("spark.sql.debug.maxToStringFields", "1000000")
+        text = out._jdf.queryExecution().analyzed().toString()
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+        sizes[n] = text.count("_row#")          # the rest of the plan names the columns once
+        assert len(out.columns) == 8
+        rows = {r["ticker"]: r for r in out.collect()}
+        assert len(rows) == n and rows[f"T{n - 1}"]["Volume"] == n - 1 and rows["T3"]["High"] is None
+    assert sizes[50] == sizes[2000]
+
+
 def test_tolerant_select(spark):
     df = spark.createDataFrame([(1, 2)], "b int, z int")
     assert reshape.tolerant_select(df, ["a", "b", "c"]).columns == ["b"]

@@ -72,3 +72,21 @@ def test_clean_stream_exactly_once_with_rejects(spark, tmp_dir):
         S.clean_stream(spark, src, SCHEMA, sink, ckpt).awaitTermination()
     assert S.read_batches(spark, sink).count() == quality.clean_rows(q).count() == 1420
     assert S.read_batches(spark, f"{sink}_rejected").count() == 80
+
+
+def test_late_rows_go_to_quarantine(spark, tmp_dir):
+    def row(day, close, n):
+        return (day, 10.0, 30.0, 5.0, close, close, 1, "A", "1", "s", n)
+
+    old, near, new = dt.date(2023, 1, 2), dt.date(2024, 2, 20), dt.date(2024, 3, 10)
+    root = f"{tmp_dir}/out"
+    run = S.silver_batch(root, SCHEMA, ISO, lateness_days=30)
+    first = spark.createDataFrame([row(old, 10.0, 1), row(new, 20.0, 2)], SCHEMA)       # nothing is late in the first epoch
+    second = spark.createDataFrame([row(old, 11.0, 3), row(dt.date(2024, 2, 8), 12.0, 4), row(near, 16.0, 5), row(near, -1.0, 6)], SCHEMA)
+    for epoch, batch in ((0, first), (1, second), (1, second)):
+        run(batch, epoch)
+    got = [(r["src_id"], r["daily_return"]) for r in S.read_silver(spark, root).orderBy("date").collect()]
+    assert got == [(1, None), (5, 0.6), (2, 0.25)]
+    lost = [(r["src_id"], r["failure_reason"]) for r in S.read_batches(spark, f"{root}/rejected").orderBy("src_id").collect()]
+    assert lost == [(3, "late"), (4, "late"), (6, "non_positive_price")]
+    assert S.newest_before(spark, root, 1) == new and S.newest_before(spark, root, 0) is None

@@ -3,6 +3,7 @@ lineage columns (P1-P4, P6)."""
 
 from __future__ import annotations
 
+import json
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,9 @@ def wide_to_long(wide: DataFrame, index: str = "Date", tickers: Sequence[str] |
     columns) is one ticker's data and needs ``ticker`` (P1).  Requested tickers
     missing from the frame yield no rows (they are reported as failed).
 
-    Done with ``inline(array(struct ...))`` in a single projection: no shuffle.
+    The ticker columns form one array that is exploded with its positions, which a
+    literal array turns into names: no shuffle, and the plan grows by one column
+    reference per ticker, as the scan does, not by a set of expressions.
     """
     structs = [f for f in wide.schema.fields if isinstance(f.dataType, T.StructType)]
     if not structs:
@@ -29,9 +32,11 @@ def wide_to_long(wide: DataFrame, index: str = "Date", tickers: Sequence[str] |
     available = [f.name for f in structs]
     names = [t for t in tickers if t in available] if tickers is not None else available
     fields = [f.name for f in structs[0].dataType.fields]
-    entries = [F.struct(*[F.col(f"`{t}`")[f].alias(f) for f in fields],
-                        F.lit(t).alias("ticker")) for t in names]
-    return wide.select(F.col(index), F.inline(F.array(*entries)))
+    if not names:
+        wide, names = wide.where(F.lit(False)), available[:1]
+    labels = F.from_json(F.lit(json.dumps(names)), F.lit("array<string>"))
+    rows = wide.select(F.col(index).alias("_index"), F.posexplode(F.array(*[F.col(f"`{t}`") for t in names])).alias("_at", "_row"))
+    return rows.select(F.col("_index").alias(index), *[F.col("_row")[f].alias(f) for f in fields], F.get(labels, F.col("_at")).alias("ticker"))
 
 
 def drop_all_null_groups(df: DataFrame, key: str = "ticker",

@@ -31,13 +31,13 @@ def q_stream_clean(spark, d):
     return S.read_batches(spark, sink, fixtures.quotes_schema())
 
 
-def run_silver(spark, d, after=None) -> str:
+def run_silver(spark, d, after=None, **options) -> str:
     src, root, ckpt = (work_path(spark, x) for x in ("landing", "stream", "checkpoint"))
     meta = store(fixtures.meta(spark, d), "meta")
     for k, rows in enumerate(arrivals(spark, d)):
         rows.write.parquet(f"{src}/part={k}")
         S.silver_stream(spark, src, fixtures.quotes_schema(), root, ckpt, RUN_TS_ISO,
-                        lambda clean: lookup_metadata(clean, meta), after).awaitTermination()
+                        lambda clean: lookup_metadata(clean, meta), after, **options).awaitTermination()
     return root
 
 
@@ -56,6 +56,26 @@ def q_stream_quarantine(spark, d):
     return rejected.select("src_id", "failure_reason").unionAll(duplicates.select("src_id", "failure_reason"))
 
 
+LATENESS_DAYS = 1500
+_LATE = f"""src_id % 2 = 0 AND date < (SELECT MAX(date) FROM clean WHERE src_id % 2 <> 0) - INTERVAL {LATENESS_DAYS} DAY"""
+_ON_TIME = {"on_time": f"SELECT * FROM quotes WHERE NOT COALESCE({_LATE}, FALSE)", **O.chain("on_time", "l_")}
+
+
+@register("stream_on_time", O.sql("SELECT * FROM l_silver", "clean", "meta", extra=_ON_TIME))
+def q_stream_on_time(spark, d):
+    """The clean table of a stream with a lateness bound: rows of the second delivery that are too
+    old for it have no part in it."""
+    return S.read_silver(spark, run_silver(spark, d, lateness_days=LATENESS_DAYS))
+
+
+@register("stream_late", O.sql(
+    f"SELECT src_id, failure_reason FROM flagged WHERE failure_reason IS NOT NULL "
+    f"UNION ALL SELECT src_id, 'late' FROM clean WHERE {_LATE}", "clean"))
+def q_stream_late(spark, d):
+    """What that stream rejects: faulty rows and late ones, each with its reason."""
+    return S.read_batches(spark, f"{run_silver(spark, d, lateness_days=LATENESS_DAYS)}/rejected").select("src_id", "failure_reason")
+
+
 @register("stream_fact", O.sql("SELECT * FROM fact", "fact"))
 def q_stream_fact(spark, d):
     path = work_path(spark, "fact")

@@ -10,6 +10,11 @@ late date changes the return of the day after it, and files may arrive in any
 order and number.  A late row costs its own month and the ones that follow it for
 the batch's tickers, not all months after it.
 
+With a lateness bound, a row older than the newest date of all earlier micro-batches less
+the bound is late: it goes to quarantine with that reason.  So what a micro-batch has to
+look at, the stored rows of the months it touches, lies within the bound, however long the
+stream has run.
+
 ``fact_updates`` carries the rebuilt months on into the fact by keyed upsert.
 
 Every output of epoch N goes to ``batch_id=N`` folders in overwrite mode, and
@@ -19,15 +24,16 @@ same tables again.
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickvault.operators import fact, months, quality
-from tickvault.sinks import tables
+from tickvault.sinks import files, tables
 from tickvault.sinks.files import has_data_files
 
 
@@ -59,20 +65,38 @@ def clean_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sin
     return writer.start()
 
 
+LATE = "late"
+
+
+def newest_before(spark: SparkSession, root: str, batch_id: int) -> dt.date | None:
+    """The newest accepted date of all epochs before ``batch_id``."""
+    earlier = [n for n in files.list_files(spark, f"{root}/newest") if n.isdigit() and int(n) < batch_id]
+    return dt.date.fromisoformat(files.read_text(spark, f"{root}/newest/{max(earlier)}")) if earlier else None
+
+
 def silver_batch(root: str, schema: T.StructType, processed_at: str,
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
                  after: Callable[[SparkSession, str, list[int]], None] | None = None,
-                 row_id: str = "src_id"):
+                 row_id: str = "src_id", lateness_days: int | None = None):
     """The foreachBatch function.  ``row_id`` is a unique number of every raw row;
     ``after(spark, silver_root, rebuilt_months)`` runs once the months are in."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         clean, rejected = quality.split(batch)
+        mark = newest_before(spark, root, batch_id)
+        if lateness_days is not None and mark is not None:
+            late = F.col("date") < F.lit(mark - dt.timedelta(days=lateness_days))
+            rejected = rejected.unionByName(clean.where(late).withColumn(quality.REASON, F.lit(LATE)))
+            clean = clean.where(~late)
         rejected.write.mode("overwrite").parquet(f"{root}/rejected/batch_id={batch_id}")
         accepted = f"{root}/accepted/batch_id={batch_id}"
-        (clean.withColumn(months.MONTH_KEY, months.month_key()).write.mode("overwrite")
-              .partitionBy(months.MONTH_KEY).parquet(accepted))
+        seen = Observation("newest")
+        (clean.observe(seen, F.max("date").alias("newest")).withColumn(months.MONTH_KEY, months.month_key())
+              .write.mode("overwrite").partitionBy(months.MONTH_KEY).parquet(accepted))
+        dates = [d for d in (mark, seen.get.get("newest")) if d is not None]
+        if dates:       # what later epochs compare with; a repeated epoch writes the same
+            files.write_text(spark, f"{root}/newest/{batch_id:012d}", max(dates).isoformat())
         if not has_data_files(spark, accepted):
             return
         new = spark.read.schema(_with(schema, months.MONTH_KEY)).parquet(accepted)
@@ -116,10 +140,10 @@ def silver_stream(spark: SparkSession, source_dir: str, schema: T.StructType, ro
                   checkpoint_dir: str, processed_at: str,
                   prepare: Callable[[DataFrame], DataFrame] | None = None,
                   after: Callable[[SparkSession, str, list[int]], None] | None = None,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None, lateness_days: int | None = None) -> StreamingQuery:
     """Clean-table updates over a raw file stream; ``read_silver`` reads the table."""
     stream = file_stream(spark, source_dir, schema, max_files_per_trigger)
-    return (stream.writeStream.foreachBatch(silver_batch(root, schema, processed_at, prepare, after))
+    return (stream.writeStream.foreachBatch(silver_batch(root, schema, processed_at, prepare, after, lateness_days=lateness_days))
             .option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())
 
