@@ -65,3 +65,24 @@ def test_ticker_table_restriction_prunes_partitions_at_runtime(spark, tmp_dir):
     wanted = fixtures.meta(spark, SF).where(F.col("exchange") == "NYSE")
     p = plan(landing.scan_range(spark.read.parquet(root), tickers=wanted))
     assert "dynamicpruningexpression(ticker" in p
+
+
+def test_bucketed_rows_are_not_shuffled_again(spark, tmp_dir):
+    from tickvault.sinks import bucketed
+
+    assert bucketed.bucket_count(0) == 1 and bucketed.bucket_count((256 << 20) + 1) == 2
+    bucketed.write_bucketed(quality.clean_rows(fixtures.quotes(spark, SF)), "bucketed_test", f"{tmp_dir}/b", 4)
+    rows = bucketed.read_bucketed(spark, "bucketed_test")
+    kept = bucketed.dedup_bucketed(rows)
+    p = plan(kept)
+    assert "Exchange" not in p and "Bucketed: true" in p
+    returns = bucketed.daily_returns(kept)
+    p = plan(returns)
+    # The window over the rows needs none either; the summary of months does, by ticker and back.
+    window = [x for x in p.splitlines() if "Exchange" in x]
+    assert len(window) <= 2 and all("BroadcastExchange" in x or "hashpartitioning(ticker#" in x for x in window)
+    assert sum("hashpartitioning" in x for x in window) == 1
+    expect = enrich.with_daily_return(quality.dedup_latest(quality.clean_rows(fixtures.quotes(spark, SF))), tiebreak=["src_id"])
+    cols = ["src_id", "daily_return"]
+    assert returns.select(cols).exceptAll(expect.select(cols)).count() == 0 and returns.count() == expect.count()
+    spark.sql("DROP TABLE bucketed_test")

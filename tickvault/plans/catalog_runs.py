@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,11 +11,11 @@ from tickvault.operators import dims, fact, months
 from tickvault.operators.lookup import lookup_metadata
 from tickvault.plans import oracle as O
 from tickvault.plans import warehouse
-from tickvault.plans.catalog import deduped, quotes, register, run_ts, silver, store
+from tickvault.plans.catalog import clean, deduped, quotes, register, run_ts, silver, store
 from tickvault.plans.constants import RUN_TS
 from tickvault.schemas import RAW_SCHEMA, enforce_schema
 from tickvault.session import work_path
-from tickvault.sinks import files, tables
+from tickvault.sinks import bucketed, files, tables
 from tickvault.sources import fixtures, landing
 
 SPLIT = dt.date(2018, 1, 1)
@@ -119,6 +120,20 @@ def q_landed_run(spark, d):
     return spark.read.parquet(paths.audit).select("run_id", "status", "created_at", *counts)
 
 
+# ---- clean rows bucketed by ticker and month -----------------------------------------------
+
+@register("bucketed_returns", O.sql(
+    """SELECT src_id, ticker, date, close,
+       ROUND((close - LAG(close) OVER w) / LAG(close) OVER w, 6) AS daily_return
+       FROM dedup WINDOW w AS (PARTITION BY ticker ORDER BY date, src_id)""", "dedup"))
+def q_bucketed_returns(spark, d):
+    """Clean rows stored bucketed and sorted once; dedup and returns shuffle only month summaries."""
+    name = f"clean_{uuid.uuid4().hex}"
+    bucketed.write_bucketed(clean(spark, d), name, work_path(spark, "bucketed"), 16)
+    kept = bucketed.dedup_bucketed(bucketed.read_bucketed(spark, name))
+    return bucketed.daily_returns(kept).select("src_id", "ticker", "date", "close", "daily_return")
+
+
 # ---- named tables, the built-in reference table, single days ---------------------------------
 
 @register("views_sql", O.sql(
