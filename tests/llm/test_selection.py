@@ -639,6 +639,9 @@ def test_pipeline_stages(spark, rows, tmp_dir):
             assert docs.columns == cols
     before, after = seen["language_id"]
     assert {r["doc_id"] for r in after} <= {r[0] for r in before if r[1] and any(map(str.isalpha, r[1]))}
+    _, guesses = plain_bayes(before, language_id.BUCKETS)
+    sure = {d: lang != "und" and p >= 0.5 for d, lang, p in guesses if abs(p - 0.5) > 1e-3}
+    assert len(sure) > 0.9 * len(before) and {r["doc_id"] for r in after} & sure.keys() == {d for d, keep in sure.items() if keep}
     before, after = seen["line_dedup"]
     want = [(d, t) for d, _, _, t in test_dedup.line_contract(before)]
     assert sorted(((r["doc_id"], r["text"]) for r in after), key=repr) == sorted(want, key=repr)
@@ -651,6 +654,20 @@ def test_pipeline_stages(spark, rows, tmp_dir):
     before, after = seen["source_mixing"]
     ids = {r[0] for r in before}
     assert after and all(set(r["doc_ids"]) <= ids and len(cases.words(r["text"])) == r["n_words"] for r in after)
+    # Every block is a stretch of its documents' words, the same each time; a source's slots come near its target.
+    own = {r[0]: cases.words(r[1]) for r in before}
+    texts = {}
+    for r in after:
+        assert texts.setdefault((r["source"], r["block"]), r["text"]) == r["text"]
+        assert 4 in r["doc_ids"] or f' {r["text"]} ' in f' {" ".join(w for d in r["doc_ids"] for w in own[d])} '
+    size = Counter()
+    for r in before:        # two documents have the id 4
+        size[r[3]] += len(cases.words(r[1]))
+    weights = {s: 1 + k % 3 for k, s in enumerate(sorted(size, key=NULLS_LAST))}
+    goal, taken = mixing.targets(dict(size), weights), Counter()
+    for r in after:
+        taken[r["source"]] += r["n_words"]
+    assert all(abs(taken[s] - goal[s]) <= 0.05 * goal[s] + 3 * mixing.BLOCK_WORDS for s in goal)
     assert corpus_pipeline.run(spark, tmp_dir).count() == len(after)
 
 
