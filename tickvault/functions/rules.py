@@ -57,6 +57,19 @@ DEFAULT_RULES: list[Rule] = [
 ]
 
 
+#: Column of ``schemas.enforce_schema(mark=...)``: a value that could not be cast.
+CAST_FAILED = "_cast_failed"
+TYPE_RULE = "type_mismatch"
+
+
+def type_mismatch(columns: Sequence[str]) -> Column:
+    return F.col(CAST_FAILED) if CAST_FAILED in columns else F.lit(False)
+
+
+#: The rules for files of other writers: a value of the wrong type is that, not a missing one.
+TYPED_RULES: list[Rule] = [(TYPE_RULE, type_mismatch), *DEFAULT_RULES]
+
+
 def failure_reason(columns: Sequence[str], rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
     """``CASE WHEN r1 THEN 'r1' WHEN r2 ... END`` - the first failing rule wins."""
     expr = None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickvault.functions import rules
 from tickvault.functions.naming import normalize_columns
 from tickvault.operators import reshape, tally
 from tickvault.operators.lookup import lookup_metadata
@@ -12,7 +13,7 @@ from tickvault.plans.catalog import quotes, register, silver, store
 from tickvault.operators import quality
 from tickvault.plans.constants import RUN_TS_ISO
 from tickvault.session import work_path
-from tickvault.schemas import SchemaChangeError
+from tickvault.schemas import SchemaChangeError, enforce_schema
 from tickvault.sinks import compaction, files
 from tickvault.sources import fixtures, footers, landing
 
@@ -276,6 +277,21 @@ def q_schema_enforced(spark, d):
     return back.select(*fixtures.QUOTE_COLUMNS)
 
 
+_WRONG = "(src_id % 211 = 0 OR src_id % 223 = 0)"
+
+
+@register("type_mismatch", O.sql(
+    f"SELECT src_id, CASE WHEN {_WRONG} THEN 'type_mismatch' ELSE failure_reason END AS failure_reason FROM flagged", "flagged"))
+def q_type_mismatch(spark, d):
+    """Another writer's files with text for numbers, some of it none: rejected for its type, not as missing."""
+    root = work_path(spark, "raw")
+    k = F.col("src_id")
+    (quotes(spark, d).withColumns({"volume": F.when(k % 211 == 0, "n/a").otherwise(F.col("volume").cast("string")),
+                                   "open": F.when(k % 223 == 0, "12,5").otherwise(F.col("open").cast("string"))}).write.parquet(root))
+    rows = enforce_schema(spark.read.parquet(root), fixtures.quotes_schema(), mark=rules.CAST_FAILED)
+    return quality.flag(rows, rules.TYPED_RULES).select("src_id", quality.REASON)
+
+
 def with_month(df):
     return files.with_partition_columns(df, "monthly")
 

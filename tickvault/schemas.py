@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,13 +73,15 @@ def _coerce(c: Column, current: T.DataType | None, dtype: T.DataType, nan_to_nul
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType = RAW_SCHEMA,
-                   keep_extra: bool = True, nan_to_null: bool = True) -> DataFrame:
+                   keep_extra: bool = True, nan_to_null: bool = True, mark: str | None = None) -> DataFrame:
     """Cast every declared column to its type; absent columns become typed NULLs.
 
     A timestamp ``date`` becomes a DATE, a DOUBLE ``volume`` a BIGINT, and NaN a
     NULL, so the quality rules see one shape whatever the writer inferred.
     ``nan_to_null=False`` is for data already normalised on write: predicates
-    on untouched columns are then pushed to the scan.
+    on untouched columns are then pushed to the scan.  ``mark`` names a BOOLEAN
+    column that is true where a value was there but could not be cast, so that
+    the rules can tell it from a missing one (``rules.TYPED_RULES``).
     """
     present = {f.name: f.dataType for f in df.schema.fields}
     cols = []
@@ -86,6 +90,10 @@ def enforce_schema(df: DataFrame, schema: T.StructType = RAW_SCHEMA,
             cols.append(_coerce(F.col(f.name), present[f.name], f.dataType, nan_to_null).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    if mark:
+        failed = [F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+                  for f in schema.fields if f.name in present and present[f.name] != f.dataType]
+        cols.append(reduce(lambda a, b: a | b, failed, F.lit(False)).alias(mark))
     if keep_extra:
         declared = {f.name for f in schema.fields}
         cols += [F.col(c) for c in df.columns if c not in declared]
