@@ -287,11 +287,11 @@ def test_scan_day_and_views(spark, tmp_dir):
 def test_raw_batch_defaults(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     today = dt.date.today()
-    rows = [raw_row(dt.date(2019, 12, 31), ticker="QRS"), raw_row(dt.date(2020, 1, 2), ticker="QRS"),
-            raw_row(dt.date(2020, 1, 2), ticker="ZZZZ"), raw_row(today, ticker="TUV")]
+    rows = [raw_row(dt.date(2019, 12, 31), ticker="NVDA"), raw_row(dt.date(2020, 1, 2), ticker="NVDA"),
+            raw_row(dt.date(2020, 1, 2), ticker="ZZZZ"), raw_row(today, ticker="JPM")]
     files.append_idempotent(spark.createDataFrame(rows, RAW), root)
     got = [(r["ticker"], r["date"]) for r in landing.raw_batch(spark, root).collect()]
-    assert got == [("QRS", dt.date(2020, 1, 2))]
+    assert got == [("NVDA", dt.date(2020, 1, 2))]
 
 
 def test_compaction_keeps_rows_and_merges_files(spark, tmp_dir):
