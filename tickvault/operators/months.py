@@ -162,7 +162,9 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
               .select(key, MONTH_KEY, *[F.col(f"_s.{c}").alias(c) for c in cols])
               .write.partitionBy(MONTH_KEY).parquet(own.folder("state")))
     repaired = []
-    if chosen and state is not None:
+    # Months of the state that could follow a changed one.
+    known = [int(v) for v in (f.partition(f"{MONTH_KEY}=")[2] for f in list_folders(spark, state_root)) if v.isdigit()]
+    if chosen and any(m > chosen[0] and m not in chosen for m in known):
         new_state = spark.read.parquet(own.folder("state")) if built else state.limit(0)
         seen = Observation("months_to_mend")
         successors(state, new_state, chosen, key).observe(seen, F.collect_set(MONTH_KEY).alias("months")) \
