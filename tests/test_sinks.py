@@ -55,6 +55,14 @@ def test_daily_layout_query_lands_every_row(spark, monkeypatch):
     assert not back.where("date IS NULL").isEmpty() and not back.where("ticker IS NULL").isEmpty()
 
 
+def test_daily_layout_is_written_by_several_tasks(spark, tmp_dir):
+    root = f"{tmp_dir}/stock_prices"
+    rows = [raw_row(dt.date(2024, 1, 1 + k % 28), ticker=f"Q{k // 28}") for k in range(56)]
+    files.append_idempotent(spark.createDataFrame(rows, RAW), root, "daily")
+    names = [f for _, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")]
+    assert len(names) == 56 and len({n.split("-")[1] for n in names}) > 1
+
+
 def test_existing_partition_is_skipped_first_write_wins(spark, tmp_dir):
     root = f"{tmp_dir}/stock_prices"
     files.append_idempotent(spark.createDataFrame([raw_row(dt.date(2024, 1, 2))], RAW), root, "daily")

@@ -141,6 +141,12 @@ def raw_read_schema(schema: T.StructType, layout: str) -> T.StructType:
     return T.StructType(schema.fields + extra)
 
 
+def _folder_tasks(spark: SparkSession) -> int:
+    """Tasks of a write whose time is that of its folders, a file each, not of its bytes: a given
+    number, since AQE would gather such small partitions into a single task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
                       keys: Sequence[str] = ("ticker", "date"), date_col: str = "date",
                       announce: Callable[[list], None] | None = None) -> Observation:
@@ -182,7 +188,8 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
     # spread over several tasks, each writing one file into it.  The count is
     # observed after the exchange: below it, the range sampling job would
     # count the rows a second time.
-    ranged = batch.repartitionByRange(*parts, *[k for k in keys if k not in parts])
+    by = [*parts, *[k for k in keys if k not in parts]]
+    ranged = batch.repartitionByRange(_folder_tasks(spark), *by) if layout == "daily" else batch.repartitionByRange(*by)
     (ranged.observe(obs, F.count(F.lit(1)).alias("rows_written"),
                     F.collect_set(F.year(date_col) * 100 + F.month(date_col)).alias("months"),     # a calendar's months
                     F.count(F.when(F.col(date_col).isNull(), 1)).alias("undated"))
