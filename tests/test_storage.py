@@ -1,6 +1,7 @@
 """Unlike files, footer statistics, compaction by bytes, data tests by month."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,20 @@ def test_files_come_near_the_target_and_others_stay(spark, tmp_dir):
     assert spark.read.parquet(root).count() == 60_002
 
 
+def test_compaction_reads_whole_folders_as_one_path():
+    listing = {"y=1/m=1": [("a", 1), ("b", 1)], "y=1/m=2": [("c", 1), ("d", 1), ("e", 10)], "y=2": [("f", 1), ("g", 1)],
+               "y=2/m=1": [("h", 1), ("i", 1)]}
+    paths = compaction.sources(listing, compaction.plan(listing, 10))
+    assert paths == ["y=1/m=1", "y=1/m=2/c", "y=1/m=2/d", "y=2/f", "y=2/g", "y=2/m=1"]
+
+
+def test_listing_leaves_out_hidden_folders(spark, tmp_dir):
+    for name in ("part=1/x.parquet", "part=1/x.txt", "_old/y.parquet", "part=2/.tmp/z.parquet", "w.parquet"):
+        os.makedirs(os.path.dirname(f"{tmp_dir}/t/{name}"), exist_ok=True)
+        open(f"{tmp_dir}/t/{name}", "w").close()
+    assert compaction.list_data_files(spark, f"{tmp_dir}/t") == {"part=1": [("x.parquet", 0)], "": [("w.parquet", 0)]}
+
+
 def test_compaction_stopped_before_its_moves(spark, tmp_dir, monkeypatch):
     from tickvault.sinks.journal import Journal
     root = f"{tmp_dir}/t"

@@ -33,14 +33,18 @@ def list_data_files(spark: SparkSession, root: str) -> dict[str, list[tuple[str,
     found: dict[str, list[tuple[str, int]]] = {}
     if not fs.exists(top):
         return found
-    base = fs.makeQualified(top).toString().rstrip("/")
-    each = fs.listFiles(top, True)
-    while each.hasNext():
-        status = each.next()
-        path = status.getPath().toString()
-        folder, _, name = path[len(base):].strip("/").rpartition("/")
-        if name.endswith(".parquet") and not any(x.startswith(("_", ".")) for x in folder.split("/")):
-            found.setdefault(folder, []).append((name, status.getLen()))
+    # Plain statuses, a folder at a time: ``listFiles`` looks up each file's owner and blocks too.
+    todo = [(top, "")]
+    while todo:
+        at, folder = todo.pop()
+        for status in fs.listStatus(at):
+            path = status.getPath()
+            name = path.getName()
+            if status.isDirectory():
+                if not name.startswith(("_", ".")):
+                    todo.append((path, f"{folder}/{name}" if folder else name))
+            elif name.endswith(".parquet"):
+                found.setdefault(folder, []).append((name, status.getLen()))
     return found
 
 
@@ -56,11 +60,23 @@ def plan(listing: dict[str, list[tuple[str, int]]], target_bytes: int) -> list[P
     return packs
 
 
-def _rows(spark: SparkSession, root: str, packs: list[Pack]) -> DataFrame:
+def sources(listing: dict[str, list[tuple[str, int]]], packs: list[Pack]) -> list[str]:
+    """What to read, relative to the root: a folder whose files are all rewritten as one path (its
+    listing costs one call however many files it has), else each file."""
+    above = {"/".join(parts[:k]) for parts in (f.split("/") for f in listing) for k in range(len(parts))}
+    paths = []
+    for p in packs:
+        whole = p.folder and p.folder not in above and len(p.names) == len(listing[p.folder]) \
+            and not any(n.startswith(("_", ".")) for n in p.names)
+        paths += [p.folder] if whole else [f"{p.folder}/{n}" if p.folder else n for n in p.names]
+    return paths
+
+
+def _rows(spark: SparkSession, root: str, packs: list[Pack], listing: dict[str, list[tuple[str, int]]]) -> DataFrame:
     """Stored rows of the packs' files, each with the number of its output file."""
     base = root.rstrip("/")
-    paths = [f"{base}/{p.folder}/{n}" if p.folder else f"{base}/{n}" for p in packs for n in p.names]
-    df = spark.read.parquet(*paths)     # without the folders' columns, as stored
+    # Without the folders' columns, as stored; of a folder, the files that the listing counts.
+    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(*[f"{base}/{x}" for x in sources(listing, packs)])
     firsts, at = [], 0
     for p in packs:
         firsts.append((p.folder, at, p.slots))
@@ -82,12 +98,13 @@ def compact_by_bytes(spark: SparkSession, root: str, target_bytes: int = 128 <<
     The driver holds the listing: a name and a size per file."""
     log = Journal(spark, f"{root.rstrip('/')}.journal")
     log.recover()
-    packs = plan(list_data_files(spark, root), target_bytes)
+    listing = list_data_files(spark, root)
+    packs = plan(listing, target_bytes)
     if not packs:
         return []
     commit = log.begin()
     total = sum(p.slots for p in packs)
-    _rows(spark, root, packs).repartitionById(total, F.col("_slot")) \
+    _rows(spark, root, packs, listing).repartitionById(total, F.col("_slot")) \
         .write.partitionBy("_slot").parquet(commit.folder("packed"))
     at = 0
     for p in packs:
@@ -103,4 +120,4 @@ def compact_by_bytes(spark: SparkSession, root: str, target_bytes: int = 128 <<
     return packs
 
 
-__all__ = ["Pack", "compact_by_bytes", "list_data_files", "plan"]
+__all__ = ["Pack", "compact_by_bytes", "list_data_files", "plan", "sources"]

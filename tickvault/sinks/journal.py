@@ -77,6 +77,12 @@ class Journal:
         commit.done()
 
 
+def _upwards(path: str) -> list[str]:
+    """``path`` and the folders it lies in."""
+    parts = path.split("/")
+    return ["/".join(parts[:k]) for k in range(len(parts), 0, -1)]
+
+
 class Commit:
     """Folders and marks that take effect together, by ``done``."""
 
@@ -110,9 +116,11 @@ class Commit:
 
     def seal(self) -> None:
         """The commit itself: after it, ``recover`` will finish the moves, before it nothing has happened."""
+        gone = set(self.removes)
+        inside = {x for path in gone for x in _upwards(path)}
         for _, target in self.moves:
             # A removal that is repeated after the move would take the new folder.
-            if any(f"{target}/".startswith(f"{gone}/") or f"{gone}/".startswith(f"{target}/") for gone in self.removes):
+            if target in inside or not gone.isdisjoint(_upwards(target)):
                 raise ValueError(f"{target} is both moved to and removed")
         j, name = self.journal, f"{self.number:012d}.json"
         files.write_text(j.spark, f"{self.stage}/{name}", json.dumps(
