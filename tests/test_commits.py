@@ -300,3 +300,23 @@ def test_a_late_row_rewrites_its_month_and_the_next_one(spark, tmp_dir):
     assert {(r["ticker"], r["date"]) for r in got.where("processed_at = 'two' AND month(date) <> 2").collect()} == {("A", dt.date(2023, 4, 3))}
     same = months.build_months(raw_rows(spark, late), silver, state, "three", months=[202302])
     assert same["repaired"] == []       # the closes are as they were
+
+
+def test_window_and_month_summary_share_the_dedup_shuffle(spark):
+    rows = spark.createDataFrame([(dt.date(2023, 1 + k % 3, 1 + k), 10.0 + k, 12.0 + k, 9.0, 11.0 + k, 11.0, 5, "AB", "t", k) for k in range(9)],
+                                 "date date, open double, high double, low double, close double, adj_close double, volume long, "
+                                 "ticker string, ingested_at string, src_id long").repartition(3)
+    df = enrich.with_prev_close(months.accepted(rows, tiebreak=["src_id"]), tiebreak=["src_id"])
+    days = sorted((r["date"], r["close"], r["prev_close"]) for r in df.collect())
+    assert [p for _, _, p in days] == [None, *[c for _, c, _ in days[:-1]]]
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_previous_close_from_months_outside_the_frame(spark):
+    columns = "ticker string, date date, close double"
+    rows = spark.createDataFrame([("AB", dt.date(2023, 2, 3), 3.0), ("AB", dt.date(2023, 2, 9), 4.0), ("AB", dt.date(2023, 5, 1), 7.0),
+                                  ("CD", dt.date(2023, 2, 1), 8.0)], columns)
+    before = spark.createDataFrame([("AB", dt.date(2023, 1, 30), 2.0), ("AB", dt.date(2023, 4, 30), 6.0), ("EF", dt.date(2023, 1, 1), 1.0)], columns)
+    got = enrich.with_prev_close(rows, earlier=before).collect()
+    assert sorted((r["ticker"], r["close"], r["prev_close"]) for r in got if r["ticker"] == "AB") == [("AB", 3.0, 2.0), ("AB", 4.0, 3.0), ("AB", 7.0, 6.0)]
+    assert [r["prev_close"] for r in got if r["ticker"] == "CD"] == [None] and len(got) == 4

@@ -18,7 +18,7 @@ def month_bucket(date_col: str = "date") -> Column:
 
 
 def lag_bucketed(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                 value_col: str, out_col: str, bucket: Column) -> DataFrame:
+                 value_col: str, out_col: str, bucket: Column, earlier: DataFrame | None = None) -> DataFrame:
     """``lag(value_col, 1) OVER (PARTITION BY partition_cols ORDER BY order_cols)``
     computed without putting a whole key into one task.
 
@@ -29,11 +29,16 @@ def lag_bucketed(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
     (one row per key and bucket, partial-aggregated before its shuffle).  The
     summary is joined on the window's own partition keys, so the big input is
     shuffled once.  Partition and order columns must be non-NULL.
+
+    ``earlier``: the last rows (partition, order and value columns) of further buckets, which
+    ``df`` has no rows of; they join the summary alone.
     """
     keys = [*partition_cols, _BUCKET]
     d = df.withColumn(_BUCKET, bucket)
     order = F.struct(*[F.col(c) for c in order_cols])
     last = d.groupBy(*keys).agg(F.max_by(F.col(value_col), order).alias("_bucket_last"))
+    if earlier is not None:
+        last = last.unionByName(earlier.withColumn(_BUCKET, bucket).select(*keys, F.col(value_col).alias("_bucket_last")))
     prev = (last.withColumn(_PREV_BUCKET_LAST,
                             F.lag("_bucket_last").over(
                                 Window.partitionBy(*partition_cols).orderBy(_BUCKET)))
@@ -47,10 +52,11 @@ def lag_bucketed(df: DataFrame, partition_cols: Sequence[str], order_cols: Seque
 
 def with_prev_close(df: DataFrame, key: str = "ticker", date_col: str = "date",
                     tiebreak: Sequence[str] = (), value_col: str = "close",
-                    out_col: str = "prev_close") -> DataFrame:
-    """Previous accepted close per ticker in date order."""
+                    out_col: str = "prev_close", earlier: DataFrame | None = None) -> DataFrame:
+    """Previous accepted close per ticker in date order (W1); ``earlier`` has the last rows of months
+    that aren't in ``df``."""
     return lag_bucketed(df, [key], [date_col, *tiebreak], value_col, out_col,
-                        month_bucket(date_col))
+                        month_bucket(date_col), earlier)
 
 
 def with_daily_return(df: DataFrame, key: str = "ticker", date_col: str = "date",

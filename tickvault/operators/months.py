@@ -94,6 +94,17 @@ def mended(stored: DataFrame, follow: DataFrame, processed_at: str, order: Seque
     return rows.withColumns({c: F.when(here, v).otherwise(F.col(c)) for c, v in new.items()}).select(*stored.columns)
 
 
+def accepted(raw: DataFrame, key: str = "ticker", date_col: str = "date", tiebreak: Sequence[str] = (),
+             dedup: bool = True) -> DataFrame:
+    """Rows that no rule fires on, one for each key and date with ``dedup``."""
+    clean = quality.clean_rows(raw)
+    if (key, date_col) == ("ticker", "date"):
+        # The rules leave no NULL there.  Said as a filter, which the join with the month summary
+        # would add to the summary's side only, both sides are one plan and share a shuffle.
+        clean = clean.where(F.col(key).isNotNull() & enrich.month_bucket(date_col).isNotNull())
+    return quality.dedup_latest(clean, tiebreak=tiebreak[0] if tiebreak else None) if dedup else clean
+
+
 def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at: str,
                  since: str | None = None, key: str = "ticker", date_col: str = "date",
                  tiebreak: Sequence[str] = (), dedup: bool = True, row_id: str | None = None,
@@ -128,21 +139,17 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
         raw = raw.where(in_range(F.col("year") * 100 + F.col("month")))
     # The raw layout's folder columns are derivable from the date.
     raw = raw.drop("year", "month", "day")
-    clean = quality.clean_rows(raw)
-    if dedup:
-        clean = quality.dedup_latest(clean, tiebreak=tiebreak[0] if tiebreak else None)
+    clean = accepted(raw, key, date_col, tiebreak, dedup)
     if row_id:
         clean = clean.drop(row_id)
     rows = prepare(clean) if prepare else clean
-    rows = rows.withColumn("_seed", F.lit(False))
+    seeds = None
     state = spark.read.parquet(state_root) if has_data_files(spark, state_root) else None
     if state is not None and (start is not None or chosen):
         seeds = (seeds_before(state, first, key, order, "close") if chosen is None else
                  state.where(~in_range(F.col(MONTH_KEY)) & (F.col(MONTH_KEY) < chosen[-1])).select(key, *order, "close"))
-        rows = rows.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-    with_prev = enrich.with_prev_close(rows, key, date_col, tiebreak).where(~F.col("_seed"))
-    out = (with_prev.withColumn("daily_return", enrich.daily_return("close", "prev_close"))
-                    .drop("prev_close", "_seed"))
+    with_prev = enrich.with_prev_close(rows, key, date_col, tiebreak, earlier=seeds)
+    out = with_prev.withColumn("daily_return", enrich.daily_return("close", "prev_close")).drop("prev_close")
     out = enrich.with_price_range(out).withColumns(
         {"processed_at": F.lit(processed_at), "layer": F.lit("silver"), MONTH_KEY: month_key(date_col)})
     if number is not None:
@@ -189,5 +196,5 @@ def build_months(raw: DataFrame, silver_root: str, state_root: str, processed_at
     return {"silver_rows": written.get.get("silver_rows") or 0, "months": built, "repaired": repaired}
 
 
-__all__ = ["COMMIT_COL", "MONTH_KEY", "build_months", "journal", "mended", "month_key", "month_start", "read_months",
+__all__ = ["COMMIT_COL", "MONTH_KEY", "accepted", "build_months", "journal", "mended", "month_key", "month_start", "read_months",
            "seeds_before", "successors"]
