@@ -90,3 +90,11 @@ def test_late_rows_go_to_quarantine(spark, tmp_dir):
     lost = [(r["src_id"], r["failure_reason"]) for r in S.read_batches(spark, f"{root}/rejected").orderBy("src_id").collect()]
     assert lost == [(3, "late"), (4, "late"), (6, "non_positive_price")]
     assert S.newest_before(spark, root, 1) == new and S.newest_before(spark, root, 0) is None
+
+
+def test_contested_rows_are_those_of_crowded_keys_of_the_epoch(spark):
+    day = dt.date(2024, 1, 2)
+    rows = spark.createDataFrame([("A", day, 1, 0), ("A", day, 2, 1), ("B", day, 3, 0), ("B", day, 4, 0), ("C", day, 5, 1), ("D", day, 6, 1),
+                                  ("D", day, 6, 1)], "ticker string, date date, src_id long, batch_id long")
+    assert sorted(r["src_id"] for r in S.contested(rows, 1).collect()) == [1, 2, 6, 6]
+    assert sorted(r["src_id"] for r in S.contested(rows.where("batch_id = 0"), 0).collect()) == [3, 4]

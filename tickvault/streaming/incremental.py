@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickvault.operators import fact, months, quality
+from tickvault.operators.lookup import broadcast_if_bounded
+from tickvault.session import work_path
 from tickvault.sinks import files, tables
 from tickvault.sinks.files import has_data_files
 
@@ -74,6 +76,19 @@ def newest_before(spark: SparkSession, root: str, batch_id: int) -> dt.date | No
     return dt.date.fromisoformat(files.read_text(spark, f"{root}/newest/{max(earlier)}")) if earlier else None
 
 
+def contested(stored: DataFrame, batch_id: int) -> DataFrame:
+    """Rows of the keys that hold several rows, one of them of this epoch.
+
+    Keys are counted first, map-side, and stored: they are few beside the rows, which then needn't
+    be shuffled unless the keys outgrow a broadcast."""
+    spark = stored.sparkSession
+    path = work_path(spark, "contested")
+    stored.groupBy("ticker", "date").agg(F.count(F.lit(1)).alias("n"), F.max("batch_id").alias("newest")) \
+        .where((F.col("n") > 1) & (F.col("newest") == batch_id)).select("ticker", "date").write.parquet(path)
+    keys = spark.read.schema(stored.select("ticker", "date").schema).parquet(path)
+    return stored.join(broadcast_if_bounded(keys), ["ticker", "date"], "left_semi")
+
+
 def silver_batch(root: str, schema: T.StructType, processed_at: str,
                  prepare: Callable[[DataFrame], DataFrame] | None = None,
                  after: Callable[[SparkSession, str, list[int]], None] | None = None,
@@ -102,11 +117,10 @@ def silver_batch(root: str, schema: T.StructType, processed_at: str,
         new = spark.read.schema(_with(schema, months.MONTH_KEY)).parquet(accepted)
         touched = sorted(r[0] for r in new.select(months.MONTH_KEY).distinct().collect())      # a calendar's months
         stored = (spark.read.schema(_with(schema, "batch_id", months.MONTH_KEY)).parquet(f"{root}/accepted")
-                  .where(F.col(months.MONTH_KEY).isin(touched) & (F.col("batch_id") <= batch_id))
-                  .select(*schema.fieldNames()))
+                  .where(F.col(months.MONTH_KEY).isin(touched) & (F.col("batch_id") <= batch_id)))
         # Rows that lost against another row of their key, now or to this batch.
-        rivals = stored.join(new.select("ticker", "date").distinct(), ["ticker", "date"], "left_semi") \
-            .select(*schema.fieldNames())
+        rivals = contested(stored, batch_id)
+        stored, rivals = (x.select(*schema.fieldNames()) for x in (stored, rivals))
         losers = quality.duplicate_rows(rivals, quality.dedup_latest(rivals, tiebreak=row_id), row_id)
         if has_data_files(spark, f"{root}/duplicates"):
             earlier = spark.read.schema(_with(schema, "batch_id")).parquet(f"{root}/duplicates") \
