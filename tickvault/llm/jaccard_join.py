@@ -3,8 +3,8 @@
 A document's set holds its distinct ``SIZE``-word shingles, as 64-bit hashes.  Equal sets
 collapse into one class first, so copies are never paired.  Then:
 
-1. A sketch of the corpus drops documents of whose shingles under 75 % may occur anywhere
-   else: they can't be linked.  (Estimates are never too low, so none is lost.)
+1. Shingles are counted, in shards whose number follows the input (``partners``): documents with
+   too few that occur anywhere else can't be linked and are dropped; none that can is.
 2. Shingles are ordered by estimated rarity; two linked classes share one of the first
    ``n - ceil(0.75 n) + 1`` of each, so classes meet in the groups of those shingles.
 3. A group's hub is the class that shares the largest part of its shingles.  Every class
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickvault.llm import repeat_sketch
+from tickvault.llm import partners, repeat_sketch
 from tickvault.llm.common import (map_batches, mix, own_names, row_key, signed, stage, stage_measured, use_small_batches,
                                   window_hashes, window_starts, word_hashes)
 from tickvault.llm.components import components
@@ -59,36 +59,40 @@ def shingle_hashes(texts: list[bytes | None], size: int = SIZE) -> tuple[np.ndar
     return found, owner
 
 
-def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, doc_id, n (set size), and for documents that may be linked: class and shingles."""
+def shingle_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """key, doc_id, n (set size) and, for documents that may be linked, class; and class, n and shingles
+    of the latter, read apart so that the shingles are stored once, by class."""
     spark = docs.sparkSession
     use_small_batches(spark)
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"),
                        F.col(text).alias("text"))
-    sketch = repeat_sketch.build(rows.select("text"), lambda cols: shingle_hashes(cols["text"])[0],
-                                 repeat_sketch.slots_for(docs, 0.5), rows=1)
-    shared = spark.sparkContext.broadcast(sketch)
 
-    def run(cols):
-        found, owner = shingle_hashes(cols["text"])
-        maybe = repeat_sketch.maybe_repeated(shared.value, found)
-        cuts = np.searchsorted(owner, np.arange(len(cols["text"]) + 1))
-        n, names, sets, seen = [], [], [], set()
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            own, first = np.unique(found[a:b], return_index=True)
-            n.append(len(own))
-            if not len(own) or 4 * int(maybe[a:b][first].sum()) < 3 * len(own):
-                names.append(None)
-                sets.append(None)
-                continue
-            name = xxhash.xxh3_128_digest(own.tobytes())
-            names.append(name)
-            sets.append(None if name in seen else signed(own))
-            seen.add(name)
-        yield {"key": cols["key"], "doc_id": cols["doc_id"], "n": n, "class": pa.array(names, pa.binary()),
-               "shingles": pa.array(sets, pa.list_(pa.int64()))}
+    def sets(texts):
+        found, owner = shingle_hashes(texts)
+        cuts = np.searchsorted(owner, np.arange(len(texts) + 1))
+        return [np.unique(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+    able = partners.build(rows.select("key", "text"), lambda cols: sets(cols["text"]), repeat_sketch.slots_for(docs, 1 / 64))
+    shared = spark.sparkContext.broadcast(able)
+
+    def may_be_linked(cols):
+        return repeat_sketch.maybe_repeated(shared.value, partners.key_halves(cols["key"]))
+
+    def name(own):
+        return xxhash.xxh3_128_digest(own.tobytes())
+
+    def named(cols):
+        found = sets(cols["text"])
+        names = [name(own) if linked and len(own) else None for own, linked in zip(found, may_be_linked(cols))]
+        yield {"key": cols["key"], "doc_id": cols["doc_id"], "n": [len(own) for own in found], "class": pa.array(names, pa.binary())}
+
+    def stored(cols):
+        found = {name(own): own for own in sets([cols["text"][k] for k in np.flatnonzero(may_be_linked(cols))]) if len(own)}
+        yield {"class": pa.array(list(found), pa.binary()), "n": [len(own) for own in found.values()],
+               "shingles": pa.array([signed(own) for own in found.values()], pa.list_(pa.int64()))}
 
-    return map_batches(rows, run, "key binary, doc_id long, n long, class binary, shingles array<long>")
+    return map_batches(rows, named, "key binary, doc_id long, n long, class binary"), \
+        map_batches(rows.select("key", "text"), stored, "class binary, n long, shingles array<long>")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -244,9 +248,10 @@ def links(classes: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """key, doc_id, n_shingles, component_id and component (null: alone) of every document."""
-    sets = stage(shingle_sets(docs, doc_id, text), "jaccard-sets")
+    sets, shingles = shingle_sets(docs, doc_id, text)
+    sets = stage(sets, "jaccard-sets")
     copies = sets.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
-    classes = stage(sets.where(F.col("shingles").isNotNull()).groupBy("class")
+    classes = stage(shingles.groupBy("class")
                     .agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
                     .withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")     # staged, so the ids stay
     label = components(links(classes)).select("node", "label")
