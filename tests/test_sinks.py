@@ -63,6 +63,43 @@ def test_daily_layout_is_written_by_several_tasks(spark, tmp_dir):
     assert len(names) == 56 and len({n.split("-")[1] for n in names}) > 1
 
 
+def spoil(root, folder=""):
+    """Makes the data files below a folder unreadable."""
+    for d, _, fs in os.walk(f"{root}/{folder}"):
+        for f in fs:
+            if f.endswith(".parquet"):
+                with open(f"{d}/{f}", "wb") as out:
+                    out.write(b"no Parquet file")
+
+
+def test_daily_layout_keys_come_from_folder_names(spark, tmp_dir):
+    """The second landing lists tens of thousands of one-row files, and opens none; none has a checksum file."""
+    root = f"{tmp_dir}/stock_prices"
+    tickers = ["QRS", "A/B", "A+B", "A B", "A%B", "A=B", "001", "é", None]
+    rows = [raw_row(day, ticker=t) for t in tickers for day in (dt.date(2024, 1, 2), dt.date(2023, 12, 31), None)]
+    df = spark.createDataFrame(rows, RAW)
+    assert files.append_idempotent(df, root, "daily").get["rows_written"] == len(rows)
+    assert not [f for _, _, fs in os.walk(root) for f in fs if "parquet" in f and f.endswith(".crc")]
+    back = landing.read_raw(spark, root, "daily", df.schema)
+    assert back.columns == [c for c in df.columns if c != "ticker"][:7] + ["ticker"] + df.columns[8:] + ["year", "month", "day"]
+    assert back.select(*df.columns).exceptAll(df).isEmpty() and back.count() == len(rows)
+    assert {(r["date"], r["year"], r["month"], r["day"]) for r in back.collect()} == {
+        (dt.date(2024, 1, 2), 2024, 1, 2), (dt.date(2023, 12, 31), 2023, 12, 31), (None, None, None, None)}
+    spoil(root)
+    more = spark.createDataFrame([*rows, raw_row(dt.date(2024, 1, 3))], RAW)
+    assert files.append_idempotent(more, root, "daily").get["rows_written"] == 1
+
+
+def test_daily_layout_scan_opens_only_the_window(spark, tmp_dir):
+    root = f"{tmp_dir}/stock_prices"
+    rows = [raw_row(dt.date(2023, 12, 31)), raw_row(dt.date(2024, 1, 2)), raw_row(dt.date(2024, 1, 2), ticker="XYZ")]
+    files.append_idempotent(spark.createDataFrame(rows, RAW), root, "daily")
+    spoil(root, "ticker=QRS/year=2023")
+    spoil(root, "ticker=XYZ")
+    df = landing.read_raw(spark, root, "daily")
+    assert landing.scan_range(df, "2024-01-01", None, ["QRS"]).count() == 1
+
+
 def test_existing_partition_is_skipped_first_write_wins(spark, tmp_dir):
     root = f"{tmp_dir}/stock_prices"
     files.append_idempotent(spark.createDataFrame([raw_row(dt.date(2024, 1, 2))], RAW), root, "daily")

@@ -6,10 +6,11 @@ from __future__ import annotations
 import uuid
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickvault.functions.naming import partition_value_from_path
 from tickvault.session import work_path
 
 # Layouts of the raw table.  "daily" is the one-folder-per-ticker-day layout
@@ -141,12 +142,35 @@ def raw_read_schema(schema: T.StructType, layout: str) -> T.StructType:
     return T.StructType(schema.fields + extra)
 
 
-def _folder_tasks(spark: SparkSession) -> int:
-    """Tasks of a write whose time is that of its folders, a file each, not of its bytes: a given
-    number, since AQE would gather such small partitions into a single task."""
+def folder_tasks(spark: SparkSession) -> int:
+    """Tasks of a write or scan whose time is that of its folders, a file each, not of its bytes: a given
+    number, since AQE would gather such small partitions into a single task, and a scan takes a few files a task."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
+# Of a write of tens of thousands of one-row files.  On a local file system each checksum file beside a
+# data file is one more file, and both are given their rights by processes of their own, which is most of
+# the time.  Parquet pages carry checksums anyway; other file systems don't look at these settings.
+_NO_CHECKSUM_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+def folder_columns(layout: str) -> dict[str, Column]:
+    """The layout's columns from a data file's path, as read with ``recursiveFileLookup``: Spark's own
+    discovery of partitions takes the square of the number of folders on the driver (33 s at 86,000)."""
+    parts = LAYOUTS[layout]
+    own = F.substring_index("_metadata.file_path", "/", -1 - len(parts))
+    values = {c: partition_value_from_path(own, c) for c in parts}
+    return {c: F.when(v != "__HIVE_DEFAULT_PARTITION__", v).cast(PARTITION_TYPES[c]) for c, v in values.items()}
+
+
+def folder_keys(spark: SparkSession, root: str, date_col: str = "date") -> DataFrame:
+    """ticker, date, year and month of the data files of the daily layout, from the names of their folders,
+    which hold them whole: files are listed, and none is opened."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    return (found.select(*[v.alias(c) for c, v in folder_columns("daily").items()]).coalesce(folder_tasks(spark))
+                 .select("ticker", F.make_date("year", "month", "day").alias(date_col), "year", "month"))
+
+
 def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
                       keys: Sequence[str] = ("ticker", "date"), date_col: str = "date",
                       announce: Callable[[list], None] | None = None) -> Observation:
@@ -179,8 +203,11 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
         wanted = folder.isin([m for m in touched if m is not None])
         if None in touched:
             wanted = wanted | F.col("year").isNull()
-        stored = (spark.read.schema(raw_read_schema(df.schema, layout)).parquet(root)
-                  .where(wanted).select(*keys).distinct())
+        if layout == "daily" and set(keys) == {"ticker", date_col} and df.schema[date_col].dataType == T.DateType():
+            stored = folder_keys(spark, root, date_col)
+        else:
+            stored = spark.read.schema(raw_read_schema(df.schema, layout)).parquet(root)
+        stored = stored.where(wanted).select(*keys).distinct()
         cond = [batch[k].eqNullSafe(stored[k]) for k in keys]
         batch = batch.join(stored, cond, "left_anti")
     obs = Observation("append_idempotent")
@@ -189,11 +216,11 @@ def append_idempotent(df: DataFrame, root: str, layout: str = "monthly",
     # observed after the exchange: below it, the range sampling job would
     # count the rows a second time.
     by = [*parts, *[k for k in keys if k not in parts]]
-    ranged = batch.repartitionByRange(_folder_tasks(spark), *by) if layout == "daily" else batch.repartitionByRange(*by)
+    ranged = batch.repartitionByRange(folder_tasks(spark), *by) if layout == "daily" else batch.repartitionByRange(*by)
     (ranged.observe(obs, F.count(F.lit(1)).alias("rows_written"),
                     F.collect_set(F.year(date_col) * 100 + F.month(date_col)).alias("months"),     # a calendar's months
                     F.count(F.when(F.col(date_col).isNull(), 1)).alias("undated"))
-           .write.mode("append").partitionBy(*parts).parquet(root))
+           .write.mode("append").options(**_NO_CHECKSUM_FILES if layout == "daily" else {}).partitionBy(*parts).parquet(root))
     return obs
 
 
@@ -301,8 +328,6 @@ def compact_partitions(spark: SparkSession, root: str, partition_cols: Sequence[
     ``rows_per_file`` is given) and swaps each rewritten folder in.  Rows are
     unchanged.  Returns the number of folders rewritten.
     """
-    from tickvault.functions.naming import partition_value_from_path
-
     cols = list(partition_cols)
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(root)

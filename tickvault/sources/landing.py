@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tickvault.functions.naming import partition_value_from_path
 from tickvault.schemas import RAW_SCHEMA, SchemaChangeError, enforce_schema
-from tickvault.sinks.files import LAYOUTS, has_data_files, raw_read_schema
+from tickvault.sinks.files import LAYOUTS, folder_columns, folder_tasks, has_data_files, raw_read_schema
 
 
 class NoInputError(RuntimeError):
@@ -40,10 +40,15 @@ def read_raw(spark: SparkSession, root: str, layout: str = "monthly",
         schema_read = T.StructType([f for f in stored.fields if f.name not in parts])
     else:
         schema_read = schema
-    df = spark.read.schema(raw_read_schema(schema_read, layout)).parquet(root)
+    if layout == "daily":
+        in_files = T.StructType([f for f in schema_read.fields if f.name not in LAYOUTS[layout]])
+        df = spark.read.option("recursiveFileLookup", "true").schema(in_files).parquet(root).withColumns(folder_columns(layout))
+    else:
+        df = spark.read.schema(raw_read_schema(schema_read, layout)).parquet(root)
     if row_id:
         df = df.withColumn(row_id, F.concat_ws("#", "_metadata.file_path", F.format_string("%012d", "_metadata.row_index")))
-    return enforce_schema(df, schema, nan_to_null=nan_to_null)
+    out = enforce_schema(df, schema, nan_to_null=nan_to_null)
+    return out.coalesce(folder_tasks(spark)) if layout == "daily" else out
 
 
 
